@@ -5,24 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import quality_rules, simhash_dedup
+from . import packing, personal_data, quality_rules, simhash_dedup, suffix_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.score_quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.find_personal_data(docs).drop("text")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op8_simhash_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op7_personal_data, op8_simhash_dedup)}
 
 WORD, STOP = r"[^\x20\x09-\x0D]+", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
