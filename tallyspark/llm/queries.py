@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, personal_data, quality_rules, simhash_dedup, suffix_dedup
+from . import language_id, packing, personal_data, quality_rules, simhash_dedup, suffix_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return personal_data.find_personal_data(docs).drop("text")
@@ -34,7 +38,7 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op7_personal_data, op8_simhash_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op5_language_id, op7_personal_data, op8_simhash_dedup)}
 
 WORD, STOP = r"[^\x20\x09-\x0D]+", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
