@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language_id, packing, personal_data, quality_rules, simhash_dedup, suffix_dedup
+from . import chat_format, decontamination, language_id, line_dedup, packing, personal_data, quality_rules, secret_scan, simhash_dedup, suffix_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +26,19 @@ def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return personal_data.find_personal_data(docs).drop("text")
@@ -38,7 +48,16 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op5_language_id, op7_personal_data, op8_simhash_dedup)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_format.conversation_calls(table(spark, sf_dir, "conversations"))
+    return chat_format.link_calls(calls, results, chat_format.ASK)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op4_line_dedup, op5_language_id, op6_secret_scan, op7_personal_data, op8_simhash_dedup, op9_decontamination, op10_chat_format)}
 
 WORD, STOP = r"[^\x20\x09-\x0D]+", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
