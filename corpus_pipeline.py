@@ -20,7 +20,7 @@ NEAR_SHINGLE = 5
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.score_quality(docs).filter("kept").select(*docs.columns)
+    return docs.filter(quality_rules.quality(F.col("text"))["kept"])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,8 +64,11 @@ def _repeated_words(words: Column, n: int) -> Column:
     return bind(windows, count)
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "n_stop_words")
+
+
 def measures(text: Column, words: Column) -> dict[str, Column]:
-    """The measured columns; words is a column that holds words_of(text)."""
+    """The measured columns; words is a bound words_of(text)."""
     clean = F.coalesce(text, F.lit(""))
     n = F.size(words)
     lines = F.filter(F.split(clean, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
@@ -80,21 +83,21 @@ def measures(text: Column, words: Column) -> dict[str, Column]:
     }
 
 
-def ratios() -> dict[str, Column]:
-    """What the rules test, from measured columns."""
-    per = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0))
+def ratios(m: Column) -> dict[str, Column]:
+    """What the rules test, from a struct of measures."""
+    per = lambda a, b: F.coalesce(F.try_divide(m[a].cast("double"), m[b]), F.lit(0.0))
     return {
         "mean_word_chars": per("word_chars", "n_words"),
         "symbol_ratio": per("n_symbols", "n_words"),
-        "stop_word_ratio": (F.col("n_stop_words") + 1) / (F.col("n_words") + 1),  # one more, else a short text without any fails
+        "stop_word_ratio": (m["n_stop_words"] + 1) / (m["n_words"] + 1),  # one more, else a short text without any fails
         "dup_line_ratio": per("n_dup_lines", "n_lines"),
         "words_per_line": per("n_words", "n_lines"),
     }
 
 
-def compile_rules(rules: Sequence[Rule]) -> Column:
+def compile_rules(rules: Sequence[Rule], m: Column) -> Column:
     """One boolean from the table."""
-    known, verdict = ratios(), F.lit(True)
+    known, verdict = ratios(m), F.lit(True)
     for rule in rules:
         if rule.low is not None:
             verdict &= known[rule.measure] >= rule.low
@@ -103,8 +106,17 @@ def compile_rules(rules: Sequence[Rule]) -> Column:
     return verdict
 
 
+def quality(text: Column, rules: Sequence[Rule] = RULES) -> Column:
+    """A struct of the measures, base_failed and kept: one expression, so that a filter on it evaluates it once."""
+
+    def judge(m: Column) -> Column:
+        failed = (m["n_words"] < MIN_WORDS) | (F.lit(100) * m["n_repeat_words"] > F.lit(MAX_REPEAT_PERCENT) * m["n_words"])
+        return F.struct(*[m[c].alias(c) for c in MEASURES], failed.alias("base_failed"), (~failed & compile_rules(rules, m)).alias("kept"))
+
+    return bind(bind(words_of(text), lambda w: F.struct(*[x.alias(c) for c, x in measures(text, w).items()])), judge)
+
+
 def score_quality(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """docs with the measures, base_failed and kept; a narrow plan without shuffle."""
-    failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
-    measured = docs.withColumn("__words", words_of(F.col(text_col))).withColumns(measures(F.col(text_col), F.col("__words"))).drop("__words")
-    return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
+    added = [*MEASURES, "base_failed", "kept"]
+    return docs.withColumn("__quality", quality(F.col(text_col), rules)).withColumns({c: F.col(f"__quality.{c}") for c in added}).drop("__quality")
