@@ -93,14 +93,14 @@ TOTALS = "count(*) AS n, CAST(sum(OBS_VALUE) AS DECIMAL(28,2)) AS value"
 # filters
 
 
-@query(with_obs(f"SELECT DONOR, SECTOR, {TOTALS} FROM obs WHERE DONOR IN ('FRANCE', 'GERMANY') AND SECTOR = '3' AND PRICE_BASE = 'V' AND TIME_PERIOD BETWEEN 1996 AND 1997 GROUP BY ALL"))
+@query(with_obs(f"SELECT DONOR, SECTOR, {TOTALS} FROM obs WHERE DONOR IN ('NATION_6', 'NATION_7') AND SECTOR = '3' AND PRICE_BASE = 'V' AND TIME_PERIOD BETWEEN 1996 AND 1997 GROUP BY ALL"))
 def filter_dac1(spark, d):
-    return summed(obs(spark, d).filter(filters.dimension_predicate("dac1", {"donor": ["FRANCE", "GERMANY"], "sector": 3, "price_base": "V"})).filter(filters.year_range(1996, 1997)), "DONOR", "SECTOR")
+    return summed(obs(spark, d).filter(filters.dimension_predicate("dac1", {"donor": ["NATION_6", "NATION_7"], "sector": 3, "price_base": "V"})).filter(filters.year_range(1996, 1997)), "DONOR", "SECTOR")
 
 
-@query(with_obs(f"SELECT RECIPIENT, MEASURE, {TOTALS} FROM obs WHERE RECIPIENT IN ('KENYA', 'PERU') AND MEASURE IN ('1', '2') AND UNIT_MEASURE = 'USD' GROUP BY ALL"))
+@query(with_obs(f"SELECT RECIPIENT, MEASURE, {TOTALS} FROM obs WHERE RECIPIENT IN ('NATION_14', 'NATION_17') AND MEASURE IN ('1', '2') AND UNIT_MEASURE = 'USD' GROUP BY ALL"))
 def filter_dac2a(spark, d):
-    return summed(obs(spark, d).filter(filters.dimension_predicate("dac2a", {"recipient": ["KENYA", "PERU"], "measure": [1, 2], "unit_measure": "USD"})), "RECIPIENT", "MEASURE")
+    return summed(obs(spark, d).filter(filters.dimension_predicate("dac2a", {"recipient": ["NATION_14", "NATION_17"], "measure": [1, 2], "unit_measure": "USD"})), "RECIPIENT", "MEASURE")
 
 
 @query(with_obs(f"SELECT CHANNEL, MODALITY, {TOTALS} FROM obs WHERE MD_DIM = 'DD' AND CHANNEL IN ('1', '3') AND FLOW_TYPE = 'F' GROUP BY ALL"))
@@ -113,19 +113,19 @@ def filter_cpa_aggregates(spark, d):
     return summed(obs(spark, d).filter(filters.dimension_predicate("cpa", {"modality": "R", "microdata": False})), "CHANNEL", "MODALITY")
 
 
-@query(with_obs(f"SELECT RECIPIENT, SECTOR, {TOTALS} FROM obs WHERE MD_DIM = '_T' AND DONOR = 'CHINA' GROUP BY ALL"))
+@query(with_obs(f"SELECT RECIPIENT, SECTOR, {TOTALS} FROM obs WHERE MD_DIM = '_T' AND DONOR = 'NATION_18' GROUP BY ALL"))
 def filter_multisystem(spark, d):
-    return summed(obs(spark, d).filter(filters.dimension_predicate("multisystem", {"donor": "CHINA"})), "RECIPIENT", "SECTOR")
+    return summed(obs(spark, d).filter(filters.dimension_predicate("multisystem", {"donor": "NATION_18"})), "RECIPIENT", "SECTOR")
 
 
-@query(with_obs(f"SELECT DONOR, {TOTALS} FROM obs WHERE DONOR IN ('FRANCE', 'JAPAN') AND MEASURE = '2' AND PRICE_BASE = 'Q' GROUP BY ALL"))
+@query(with_obs(f"SELECT DONOR, {TOTALS} FROM obs WHERE DONOR IN ('NATION_6', 'NATION_12') AND MEASURE = '2' AND PRICE_BASE = 'Q' GROUP BY ALL"))
 def filter_key(spark, d):
-    return summed(obs(spark, d).filter(filters.key_predicate("dac2a", "FRANCE+JAPAN..2..Q")), "DONOR")
+    return summed(obs(spark, d).filter(filters.key_predicate("dac2a", "NATION_6+NATION_12..2..Q")), "DONOR")
 
 
 @query(with_obs(f"SELECT MEASURE, {TOTALS} FROM obs WHERE MEASURE = '2' GROUP BY ALL"))
 def filter_key_multi_all(spark, d):
-    return summed(obs(spark, d).filter(filters.key_predicate("dac2a", "FRANCE+JAPAN.*.2..", multi_value="all")), "MEASURE")
+    return summed(obs(spark, d).filter(filters.key_predicate("dac2a", "NATION_6+NATION_12.*.2..", multi_value="all")), "MEASURE")
 
 
 @query(with_obs("SELECT DONOR || '.' || RECIPIENT || '.' || MEASURE || '.' || UNIT_MEASURE || '.' || PRICE_BASE AS series, count(*) AS n FROM obs GROUP BY ALL"))
@@ -292,10 +292,10 @@ def join_cubes(spark, d):
 
 
 TRANSLATED = {
-    "dac1": "SELECT i.code AS donor_code, aidtype_code, year, CASE amounttype_code WHEN 'V' THEN 'A' WHEN 'Q' THEN 'D' WHEN 'XDC' THEN 'N' END AS amounttype_code, value FROM (SELECT DISTINCT code, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code, CAST(MEASURE AS INT) AS aidtype_code, TIME_PERIOD AS year, CASE WHEN UNIT_MEASURE <> 'USD' THEN UNIT_MEASURE ELSE PRICE_BASE END AS amounttype_code, CASE WHEN UNIT_MEASURE <> 'USD' THEN 'u' ELSE 'p' END AS amount_type, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse ON DONOR = inverse.value WHERE DONOR IN ('FRANCE', 'KENYA', 'VIETNAM') AND TIME_PERIOD BETWEEN 1996 AND 1998)) i",
-    "dac2a": "SELECT a.code AS donor_code, b.code AS recipient_code, CAST(MEASURE AS INT) AS aidtype_code, CASE PRICE_BASE WHEN 'V' THEN 'A' ELSE 'D' END AS data_type_code, TIME_PERIOD AS year, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse a ON DONOR = a.value LEFT JOIN inverse b ON RECIPIENT = b.value WHERE DONOR = 'FRANCE' AND UNIT_MEASURE = 'USD'",
+    "dac1": "SELECT i.code AS donor_code, aidtype_code, year, CASE amounttype_code WHEN 'V' THEN 'A' WHEN 'Q' THEN 'D' WHEN 'XDC' THEN 'N' END AS amounttype_code, value FROM (SELECT DISTINCT code, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code, CAST(MEASURE AS INT) AS aidtype_code, TIME_PERIOD AS year, CASE WHEN UNIT_MEASURE <> 'USD' THEN UNIT_MEASURE ELSE PRICE_BASE END AS amounttype_code, CASE WHEN UNIT_MEASURE <> 'USD' THEN 'u' ELSE 'p' END AS amount_type, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse ON DONOR = inverse.value WHERE DONOR IN ('NATION_6', 'NATION_14', 'NATION_21') AND TIME_PERIOD BETWEEN 1996 AND 1998)) i",
+    "dac2a": "SELECT a.code AS donor_code, b.code AS recipient_code, CAST(MEASURE AS INT) AS aidtype_code, CASE PRICE_BASE WHEN 'V' THEN 'A' ELSE 'D' END AS data_type_code, TIME_PERIOD AS year, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse a ON DONOR = a.value LEFT JOIN inverse b ON RECIPIENT = b.value WHERE DONOR = 'NATION_6' AND UNIT_MEASURE = 'USD'",
     "crs": "SELECT a.code AS donor_code, b.code AS recipient_code, CAST(SECTOR AS INT) AS sector_code, CASE PRICE_BASE WHEN 'V' THEN 'A' ELSE 'D' END AS data_type_code, TIME_PERIOD AS year, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse a ON DONOR = a.value LEFT JOIN inverse b ON RECIPIENT = b.value WHERE CHANNEL = '2' AND MODALITY = 'N' AND MD_DIM = 'DD'",
-    "multisystem": "SELECT a.code AS donor_code, b.code AS recipient_code, CAST(SECTOR AS INT) AS sector_code, CASE PRICE_BASE WHEN 'V' THEN 'A' ELSE 'D' END AS data_type_code, TIME_PERIOD AS year, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse a ON DONOR = a.value LEFT JOIN inverse b ON RECIPIENT = b.value WHERE RECIPIENT = 'PERU' AND SECTOR = '3' AND MD_DIM = '_T'",
+    "multisystem": "SELECT a.code AS donor_code, b.code AS recipient_code, CAST(SECTOR AS INT) AS sector_code, CASE PRICE_BASE WHEN 'V' THEN 'A' ELSE 'D' END AS data_type_code, TIME_PERIOD AS year, CAST(OBS_VALUE AS DOUBLE) AS value FROM obs LEFT JOIN inverse a ON DONOR = a.value LEFT JOIN inverse b ON RECIPIENT = b.value WHERE RECIPIENT = 'NATION_17' AND SECTOR = '3' AND MD_DIM = '_T'",
 }
 TRANSLATED["cpa"] = TRANSLATED["crs"].replace("CHANNEL = '2' AND MODALITY = 'N'", "CHANNEL = '3' AND MODALITY = 'R'")
 
@@ -315,7 +315,7 @@ def conformed(spark, d, dataset, start, end, wanted, columns):
 @query(with_obs(TRANSLATED["dac1"].replace("SELECT DISTINCT code, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code,", "SELECT DISTINCT code, sector_code, flow, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code, SECTOR AS sector_code, 1 AS flow,"), AREAS, INVERSE))
 def read_dac1(spark, d):
     raw = labelled(spark, d).drop("FLOW_TYPE")
-    out = datasets.conform(raw, "dac1", 1996, 1998, {"donor": ["FRANCE", "KENYA", "VIETNAM"]}, areas=areas(spark, d))
+    out = datasets.conform(raw, "dac1", 1996, 1998, {"donor": ["NATION_6", "NATION_14", "NATION_21"]}, areas=areas(spark, d))
     return out.select("donor_code", "aidtype_code", "year", "amounttype_code", "value")
 
 
@@ -327,10 +327,10 @@ def _reader(dataset: str, wanted: dict, columns: list[str]) -> None:
     query(with_obs(TRANSLATED[dataset], AREAS, INVERSE))(f)
 
 
-_reader("dac2a", {"donor": "FRANCE", "unit_measure": "USD"}, ["donor_code", "recipient_code", "aidtype_code", "data_type_code", "year", "value"])
+_reader("dac2a", {"donor": "NATION_6", "unit_measure": "USD"}, ["donor_code", "recipient_code", "aidtype_code", "data_type_code", "year", "value"])
 _reader("crs", {"channel": 2, "modality": "N"}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
 _reader("cpa", {"channel": 3, "modality": "R"}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
-_reader("multisystem", {"recipient": "PERU", "sector": 3}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
+_reader("multisystem", {"recipient": "NATION_17", "sector": 3}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
 
 
 # aggregates and windows
@@ -341,9 +341,9 @@ def distinct_years(spark, d):
     return codes.distinct_values(obs(spark, d), "TIME_PERIOD")
 
 
-@query(with_obs(f"SELECT {TOTALS} FROM obs WHERE DONOR LIKE 'C%'"))
+@query(with_obs(f"SELECT {TOTALS} FROM obs WHERE DONOR LIKE 'NATION_1%'"))
 def count_and_sum(spark, d):
-    return obs(spark, d).filter(F.col("DONOR").startswith("C")).agg(F.count("*").alias("n"), F.sum("OBS_VALUE").cast("decimal(28,2)").alias("value"))
+    return obs(spark, d).filter(F.col("DONOR").startswith("NATION_1")).agg(F.count("*").alias("n"), F.sum("OBS_VALUE").cast("decimal(28,2)").alias("value"))
 
 
 @query(with_obs("SELECT DONOR, CASE WHEN grouping(CHANNEL) = 1 THEN '_T' ELSE CHANNEL END AS CHANNEL, CASE WHEN grouping(MODALITY) = 1 THEN '_T' ELSE MODALITY END AS MODALITY, sum(OBS_VALUE) AS value FROM obs GROUP BY GROUPING SETS ((DONOR), (DONOR, CHANNEL), (DONOR, MODALITY), (DONOR, CHANNEL, MODALITY))"))
