@@ -30,6 +30,11 @@ def filter_names(dataset: str) -> list[str]:
     return [*names, "microdata"] if dataset in ("crs", "cpa") else names
 
 
+def _check_names(dataset: str, filters: Mapping) -> None:
+    if unknown := set(filters) - set(filter_names(dataset)):
+        raise TypeError(f"unknown filters for {dataset}: {', '.join(sorted(unknown))}; known: {', '.join(filter_names(dataset))}")
+
+
 def one_of(column: str, values) -> Column:
     """A code, or any of a list of codes; None is all."""
     if values is None:
@@ -41,8 +46,7 @@ def one_of(column: str, values) -> Column:
 def dimension_predicate(dataset: str, filters: Mapping | None = None) -> Column:
     """Any of the codes within a dimension, all dimensions together; drilldown rows are pinned where the dataset has them."""
     filters = dict(filters or {})
-    if unknown := set(filters) - set(filter_names(dataset)):
-        raise TypeError(f"unknown filters for {dataset}: {', '.join(sorted(unknown))}; known: {', '.join(filter_names(dataset))}")
+    _check_names(dataset, filters)
     parts = [one_of(raw_column(d), filters[d]) for d in _dimensions(dataset) if filters.get(d) is not None]
     if dataset in ("crs", "cpa"):
         parts.append(F.col("MD_DIM") == (MICRODATA if filters.get("microdata", True) else TOTAL))
@@ -65,7 +69,7 @@ def key_predicate(dataset: str, key: str, multi_value: str = "any") -> Column:
 def build_key(dataset: str, filters: Mapping | None = None) -> str:
     """The dotted key of filters."""
     filters = dict(filters or {})
-    dimension_predicate(dataset, filters)
+    _check_names(dataset, filters)
     if dataset in ("crs", "cpa"):
         filters["md_dim"] = MICRODATA if filters.pop("microdata", True) else TOTAL
     elif dataset == "multisystem":

@@ -23,7 +23,7 @@ NOT_FOUND = ("Could not find Dataflow", "Could not find DSD", "Dataflow not foun
 def codelist_items(raw: DataFrame, column: str = "value") -> DataFrame:
     """(code, value) of the active rows of codelist envelopes; of a repeated code the last wins."""
     parsed = raw.select(F.from_json(column, ENVELOPE).alias("x"))
-    items = parsed.select(F.posexplode(F.col("x.codelists.codelist")[0]["codelist-items"]["codelist-item"]).alias("at", "i"))
+    items = parsed.select(F.posexplode(F.get("x.codelists.codelist", F.lit(0))["codelist-items"]["codelist-item"]).alias("at", "i"))
     value = F.coalesce(F.nullif(F.col("i.dotstatcode"), F.lit("")), F.nullif(F.col("i.`iso-alpha-3-code`"), F.lit("")))
     active = items.filter(F.lower("i.status") == "active").select("at", F.col("i.code").alias("code"), value.alias("value")).filter("value is not null")
     return active.groupBy("code").agg(F.max_by("value", "at").alias("value"))

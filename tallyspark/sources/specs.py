@@ -308,6 +308,9 @@ INTERNAL = {"tying_status", "md_dim", "md_id"}
 TOTALLED = {"crs": ("channel", "modality"), "cpa": ("channel", "modality"), "multisystem": ("recipient", "sector")}
 
 
+_TYPES = {"string": T.StringType(), "tinyint": T.ByteType(), "smallint": T.ShortType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
+
+
 def spec_of(dataset: str) -> tuple[Field, ...]:
     if dataset not in SPECS:
         raise ValueError(f"unknown dataset {dataset!r}; known: {', '.join(SPECS)}")
@@ -324,4 +327,4 @@ def struct_of(dataset: str) -> T.StructType:
     for f in spec_of(dataset):
         if f.keep:
             merged.setdefault(f.name, "tinyint" if f.flag else f.type)
-    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in merged.items()))
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in merged.items()])
