@@ -1,90 +1,77 @@
 """Packing along a space-filling curve.
 
-Each document's tokens are hashed to vectors and projected to three dimensions; the mean is a point of the unit cube and
-its place on a Hilbert curve is the sort key. The documents are range-sorted by that key, laid end to end, and cut every
-`length` tokens, so a sequence holds neighbours of the curve and only the very last one can need padding.
+A document's vector counts its byte pairs, hashed; its projection to three dimensions is a point of the unit cube, whose
+place on a Hilbert curve, followed by a hash that spreads equal points, is the sort key. The documents are range-sorted
+by that key, laid end to end, and cut every `length` tokens, so a sequence holds neighbours of the curve and only the
+very last one can need padding. The bounds of the ranges are quantiles of the keys, a number a range.
 
-Tokenisation: a text is split before every space that a letter, digit or ASCII sign follows, where the tokenizer's own
-pattern always splits too, so each part has the same ids alone as in its text; a bounded cache of two generations holds the ids of parts.
+The merges run in a compiled library that reads the tokenizer file's vocabulary; tests hold its ids against the
+tokenizer's own.
 
 Edge cases: a null or empty text is the closing id alone; repeated rows and null ids are packed row by row, ordered by
-key, id and a hash of the tokens; extra columns stay out; an empty table gives an empty result.
+key and id; extra columns stay out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, slices
-
-LENGTH, CLOSING_ID, VOCABULARY = 1024, 0, 50_257
-DIMENSIONS, BITS = 3, 10
-#: Parts whose ids a generation of a worker's cache keeps, and the longest part kept, in characters.
-CACHED, LONGEST = 300_000, 64
-
-_PART_STARTS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-
-
-def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """A function from texts to ids as uint16 arrays, without special tokens or the closing id."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    young: dict[str, bytes] = {}
-    old: dict[str, bytes] = {}
-
-    def parts_of(text: str) -> list[str]:
-        pieces = text.split(" ")
-        out = [pieces[0]]
-        for p in pieces[1:]:
-            if p and (p[0].isalnum() or p[0] in _PART_STARTS):
-                out.append(" " + p)
-            else:
-                out[-1] += " " + p
-        return out
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        nonlocal young, old
-        split = [parts_of(x) for x in texts]
-        own: dict[str, bytes] = {}  # what these texts need
-        new: list[str] = []
-        for p in {p for parts in split for p in parts}:
-            if (x := young.get(p) or old.get(p)) is None:
-                new.append(p)
-            else:
-                own[p] = x
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            own.update((p, np.array(e.ids, "<u2").tobytes()) for p, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True))
-        out = [np.frombuffer(b"".join(map(own.__getitem__, parts)), "<u2") for parts in split]
-        young.update((p, x) for p, x in own.items() if len(p) <= LONGEST)
-        if len(young) > CACHED:
-            young, old = {}, young
-        return out
-
-    return encode
+from .common import cut_lineage, slices, utf8
+
+LENGTH, CLOSING_ID = 1024, 0
+RANGES_PER_PARTITION = 4
+#: Dimensions, bits of each on the curve, what a projection is stretched by, and bits of the spreading hash.
+DIMENSIONS, BITS, SPREAD, TIE_BITS = 3, 10, 2.5, 32
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    """The vocabulary of a byte-level tokenizer file as byte strings with their ids."""
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # bytes that stand for themselves
+    written = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
+    return {bytes(written[c] for c in token): k for token, k in vocabulary.items() if all(c in written for c in token)}
+
+
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """A function from a text to its ids, without special tokens or the closing id."""
+    import tiktoken
+
+    ranks = _ranks(path)
+    ranks.pop(b"<|endoftext|>", None)
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def projection() -> np.ndarray:
-    """For each id the projection of its hashed unit vector: three signs from a mix of the id's bits."""
-    x = np.arange(VOCABULARY, dtype=np.uint64)
+    """For each pair of bytes the projection of its hashed unit vector, from a mix of its bits."""
+    x = np.arange(1 << 16, dtype=np.uint64) + np.uint64(1)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
-    return np.stack([(x >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.float32) / 32768 - 1 for k in range(DIMENSIONS)], axis=1)
+    return np.stack([(x >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.float32) / 32768 - 1 for k in range(DIMENSIONS)])
+
+
+def curve_places(texts: list[bytes], project: np.ndarray) -> np.ndarray:
+    """The place of each text on the curve."""
+    mean = np.zeros((len(texts), DIMENSIONS), np.float32)
+    for k, text in enumerate(texts):
+        if len(text) > 1:
+            data = np.frombuffer(text, np.uint8)
+            pairs = (data[:-1].astype(np.uint16) << 8) | data[1:]
+            mean[k] = [row[pairs].mean() for row in project]
+    return hilbert(np.clip((mean * SPREAD + 0.5) * 2**BITS, 0, 2**BITS - 1).astype(np.int64))
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -113,52 +100,60 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return out
 
 
-TOKENS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("curve", T.LongType()), T.StructField("n", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("ids", T.BinaryType())])
-
-
-def tokenize(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, curve, n, tie, ids): ids with the closing one, as compressed unsigned 16-bit little-endian integers."""
+KEYED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "key")])
+TOKENS = T.StructType([*KEYED, *(T.StructField(c, T.LongType()) for c in ("bucket", "n")), T.StructField("ids", T.BinaryType())])
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, project = encoder(path), projection()
-        for batch in batches:
-            names, texts = batch.column(0), batch.column(1)
-            lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-            for a, b in slices(lengths, 1 << 22):
-                ids = [np.append(x, np.uint16(CLOSING_ID)) for x in encode([x or "" for x in texts[a:b].to_pylist()])]
-                mean = np.array([project[x].mean(axis=0) for x in ids])
-                points = np.clip((mean * 2 + 0.5) * 2**BITS, 0, 2**BITS - 1).astype(np.int64)
-                raw = [x.tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [names[a:b], pa.array(hilbert(points)), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array([zlib.compress(x, 1) for x in raw], pa.binary())],
-                    names=TOKENS.names,
-                )
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, TOKENS)
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    """(ids, texts, keys) of some rows at a time, from (doc_id, tie, text)."""
+    project = projection()
+    for batch in batches:
+        texts = batch.column(2)
+        for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 1 << 22):
+            some = texts[a:b]
+            yield batch.column(0)[a:b], some, curve_places(list(utf8(some)), project) << TIE_BITS | batch.column(1)[a:b].to_numpy(zero_copy_only=False)
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for names, _, keys in _keys(batches):
+        yield pa.RecordBatch.from_arrays([names, pa.array(keys)], names=KEYED.names)
 
 
 def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_col: str = "text", id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """The pieces of each document; with_ids adds each piece's ids as an array.
 
-    The offsets of the sorted partitions are the only thing that the driver sees: one number a partition.
+    The driver sees two numbers a range: its bound and its tokens.
     """
-    tokens = cut_lineage(tokenize(docs, path or public_tokenizers.path("byte_bpe_50k.json"), text_col, id_col))  # sampling for the ranges reads it again
-    laid = cut_lineage(tokens.repartitionByRange("curve", "doc_id", "tie").sortWithinPartitions("curve", "doc_id", "tie"))
-    sums = laid.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("n").alias("n")).collect()
+    spark, path = docs.sparkSession, path or public_tokenizers.path("byte_bpe_50k.json")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, F.length(text_col)).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"), F.col(text_col).alias("text"))
+    ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    quantiles = rows.mapInArrow(place, KEYED).agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0]
+    bounds = np.unique(np.array(quantiles or [], np.int64))
+
+    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, shrink = encoder(path), zstandard.ZstdCompressor(level=1)
+        for names, texts, keys in _keys(batches):
+            ids = [array("H", [*encode(x or ""), CLOSING_ID]) for x in texts.to_pylist()]
+            packed = [shrink.compress(x.tobytes()) for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [names, pa.array(keys), pa.array(np.searchsorted(bounds, keys)), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())], names=TOKENS.names
+            )
+
+    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartition("bucket").sortWithinPartitions("bucket", "key", "doc_id"))
     starts, total = {}, 0
-    for r in sorted(sums):
-        starts[r.p] = total
-        total += r.n
+    for bucket, n in sorted(laid.groupBy("bucket").agg(F.sum("n")).collect()):
+        starts[bucket] = total
+        total += n
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = starts.get(TaskContext.get().partitionId(), 0)
+        now, at, expand = None, 0, zstandard.ZstdDecompressor()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(zlib.decompress(packed.as_py()), "<u2").astype("<u4")
+            for doc, bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if bucket != now:
+                    now, at = bucket, starts[bucket]
+                ids = np.frombuffer(expand.decompress(packed.as_py()), "<u2").astype("<u4")
                 start = 0
                 while start < len(ids):
                     n = min(len(ids) - start, length - at % length)
@@ -169,4 +164,4 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_co
                 types = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=[f"c{k}" for k in range(len(types))])
 
-    return laid.select("doc_id", "ids").mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
+    return laid.select("doc_id", "bucket", "ids").mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
