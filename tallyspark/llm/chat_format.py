@@ -31,8 +31,6 @@ class Param(NamedTuple):
 
 #: What the JSON text of a value of each kind looks like.
 _FORMS = {"integer": r"^-?[0-9]+$", "number": r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$", "boolean": "^(true|false)$"}
-#: More than the logarithm of any chain that a table can hold.
-MOST_ROUNDS = 48
 
 
 def valid_arguments(arguments: Column, schema: Sequence[Param]) -> Column:
@@ -58,11 +56,11 @@ def levels(calls: DataFrame) -> DataFrame:
     known = calls.select(F.col("call_id").alias("parent")).distinct()
     chained = calls.join(known.withColumn("there", F.lit(True)), "parent", "left")
     now = cut_lineage(chained.select("call_id", F.when(F.col("there"), F.col("parent")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("level")))
-    rounds = 0
-    while rounds < MOST_ROUNDS and not now.filter("up is not null").isEmpty():
+    rounds = now.count().bit_length() + 1  # what is open after that is a cycle
+    while rounds and not now.filter("up is not null").isEmpty():
         above = now.select(F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("level").alias("more"))
         now = cut_lineage(now.join(above, "up", "left").select("call_id", F.col("next").alias("up"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")))
-        rounds += 1
+        rounds -= 1
     return now.select("call_id", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
 
 
