@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space of the contracts, \x20 and \x09-\x0D, as the characters themselves.
@@ -18,14 +20,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Writes df to the checkpoint folder that the session names (a new temporary one where none is set, as in tests)."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; a new temporary one where none is set, as in tests."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df, checkpointed: the same partitions, read from the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df, written as a table in the shared folder and read again: columns make it smaller than a
+    checkpoint. Shuffle files that only df needed are then free, so they are asked to go."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
+def first_by_hash(df: DataFrame, columns: list[str], n: int) -> list[Row]:
+    """About n rows of df with the least hashes of some columns, in order; tasks send n hashes at most, not rows."""
+    hashed = df.withColumn("__h", F.xxhash64(*columns))
+    bound = hashed.select("__h").orderBy("__h").limit(n).agg(F.max("__h")).first()[0]
+    return [] if bound is None else hashed.filter(F.col("__h") <= bound).orderBy("__h", *columns).limit(n).collect()
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value evaluated once: lambdas would evaluate an outer expression for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

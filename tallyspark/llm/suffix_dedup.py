@@ -9,7 +9,9 @@ what it stands for, so all documents share it without a sort of all suffixes, an
    them: any two equal strings have the same anchor at the same place. A bucket with one anchor holds no repeat.
 2. An anchor's context is all that the 200-byte strings around it can touch. Anchors with equal contexts have all of it
    repeated; nothing of it needs to be looked at string by string.
-3. Where a bucket holds different contexts, one suffix of each lists its 200-byte buckets, whose sizes settle the rest.
+3. Where a bucket holds different contexts, one of each is fetched, and the bucket is refined to the 200-byte buckets
+   that have this anchor: a bucket of at most `CROWD` contexts within a task, a larger one by counting all its 200-byte
+   strings across the cluster.
 
 Keys are pairs of mixes, 128 bits together. Only counts and minima of a bucket are taken, pre-aggregated before the
 shuffle; members are marked by joins that Spark splits where a bucket is large. Texts are shuffled compressed.
@@ -32,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, slices
+from .common import slices, stored
 
 SPAN, GRAM = 200, 32
 #: Starts of GRAM-byte strings in a string of SPAN bytes.
 WIDTH = SPAN - GRAM + 1
 #: Bytes whose buckets are worked out at once; a longer text is worked out alone.
 AT_ONCE = 1 << 18
+#: The most contexts of a bucket that one task compares.
+CROWD = 20_000
 #: An address is a text's CRC-32 and a byte offset.
 OFFSET_BITS = 31
 
@@ -141,31 +145,98 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram[head].view(np.int64), context[head].view(np.int64), k[own], at, run.astype(np.int32))], names=ANCHOR.names)
 
 
-STRING = T.StructType([T.StructField(c, T.LongType()) for c in ("gram", "whole", "k", "at")] + [T.StructField("n", T.IntegerType())])
+CONTEXT = T.StructType([T.StructField(c, T.LongType()) for c in ("gram", "k", "at", "n", "size")] + [T.StructField("left", T.IntegerType()), T.StructField("bytes", T.BinaryType())])
 
 
-def list_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (k, crc, packed text, anchors, weights): the 200-byte buckets around those anchors that have them as least."""
+def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (k, crc, packed text, list of (p, gram, n, size)): the contexts at those places."""
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        for k, crc, packed, places, weights in zip(*(batch.column(i) for i in range(5)), strict=True):
+        rows: list[tuple] = []
+        for k, crc, packed, wanted in zip(*(batch.column(i) for i in range(4)), strict=True):
             text = unpack.decompress(packed.as_py(), max_output_size=1 << OFFSET_BITS)
-            data, starts, ends = _laid([text])
-            ids = buckets(data)
-            least, _ = anchors_of(data, starts, ends, ids)
-            at, n = np.array(places.as_py(), np.int64), np.array(weights.as_py(), np.int32)
-            low, high = np.maximum(0, at - (WIDTH - 1)), np.minimum(at, len(data) - SPAN)
-            count = high - low + 1
-            owner = np.repeat(np.arange(len(at)), count)
-            p = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[owner]
-            ok = least[p] == ids[GRAM][at[owner]]
-            p, owner = p[ok], owner[ok]
-            if len(p):
-                p, first = np.unique(p, return_index=True)  # an anchor's bucket may stand twice in a string
-                owner = owner[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (ids[GRAM][at[owner]].view(np.int64), ids[SPAN][p].view(np.int64), np.full(len(p), k.as_py()), crc.as_py() << OFFSET_BITS | p, n[owner])], names=STRING.names
-                )
+            k, crc = k.as_py(), crc.as_py() << OFFSET_BITS
+            for p, gram, n, size in zip(*(x.to_pylist() for x in wanted.values.flatten()), strict=True):
+                first = max(0, p - (WIDTH - 1))
+                rows.append((gram, k, crc | p, n, size, p - first, text[first : p + SPAN]))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.int32(), pa.binary()], strict=True)], names=CONTEXT.names)
+
+
+def _strings(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, p, bucket) of the 200-byte strings of contexts in which the context's anchor is the first that is least."""
+    data, starts, ends = _laid([x[-1] for x in rows])
+    ids = buckets(data)
+    least, _ = anchors_of(data, starts, ends, ids)
+    owner, anchor = np.repeat(np.arange(len(rows)), ends - starts), starts + np.array([x[5] for x in rows])
+    mine = ids[GRAM][anchor]
+    same = np.nonzero(ids[GRAM] == mine[owner[: len(ids[GRAM])]])[0]
+    same = same[same < anchor[owner[same]]]
+    earlier = np.full(len(rows), -1)  # where the anchor's bucket stands last before it
+    np.maximum.at(earlier, owner[same], same)
+    owner = owner[: len(least)]
+    p = np.nonzero((least == mine[owner]) & (least != 0) & (np.arange(len(least)) > earlier[owner]))[0]
+    return owner[p], p - starts[owner[p]], ids[SPAN][p]
+
+
+def _runs(owner: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last places of neighbours of one owner."""
+    if not len(p):
+        return p, p
+    new = np.ones(len(p), bool)
+    new[1:] = (np.diff(p) != 1) | (np.diff(owner) != 0)
+    head = np.nonzero(new)[0]
+    return head, np.append(head[1:], len(p)) - 1
+
+
+SPANS = "k long, at long, length int"
+
+
+def _covered(rows: list[tuple], owner: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    head, tail = _runs(owner, p)
+    at = np.array([x[2] - x[5] for x in rows], np.int64)
+    k = np.array([x[1] for x in rows], np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(k[owner[head]]), pa.array(at[owner[head]] + p[head]), pa.array((p[tail] - p[head] + SPAN).astype(np.int32))], names=["k", "at", "length"])
+
+
+def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From contexts sorted by bucket: what 200-byte strings repeat of contexts that occur once."""
+
+    def compare(rows: list[tuple]) -> pa.RecordBatch:
+        parts = []
+        for a, b in slices(np.array([len(x[-1]) for x in rows]), AT_ONCE):  # of a large bucket only its strings' keys are held together
+            owner, p, bucket = _strings(rows[a:b])
+            parts.append((owner + a, p, mix(np.array([x[0] for x in rows[a:b]], np.int64).view(np.uint64)[owner], bucket)))
+        owner, p, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+        n = np.minimum(np.array([x[3] for x in rows]), 2)
+        _, place = np.unique(key, return_inverse=True)
+        again = (np.bincount(place, n[owner]) > 1)[place] & (n[owner] == 1)
+        return _covered(rows, owner[again], p[again])
+
+    rows: list[tuple] = []
+    held = 0
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(len(CONTEXT))), strict=True):
+            if held > AT_ONCE and rows[-1][0] != row[0]:
+                yield compare(rows)
+                rows, held = [], 0
+            rows.append(row)
+            held += len(row[-1])
+    if rows:
+        yield compare(rows)
+
+
+STRING = T.StructType([T.StructField(c, T.LongType()) for c in ("gram", "whole", "n", "k", "at")])
+
+
+def list_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From contexts: their 200-byte buckets, one by one."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            rows = list(zip(*(batch.column(i)[at : at + 512].to_pylist() for i in range(len(CONTEXT))), strict=True))
+            owner, p, bucket = _strings(rows)
+            gram, k, place, n = (np.array([f(x) for x in rows], np.int64)[owner] for f in (lambda x: x[0], lambda x: x[1], lambda x: x[2] - x[5], lambda x: min(x[3], 2)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, bucket.view(np.int64), n, k, place + p)], names=STRING.names)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -199,27 +270,31 @@ def _packed(texts: pa.Array) -> pa.Array:
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(k, crc, starts, ends) of the texts of keyed (k, crc, text) that hold repeated strings."""
-    anchors = keyed.mapInArrow(find_anchors, ANCHOR)
-    shared = anchors.groupBy("gram").agg(F.sum("run").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
-    hits = cut_lineage(anchors.join(shared, "gram"))
-    # where contexts differ: sizes, and one suffix of each
-    sizes = cut_lineage(hits.filter("mixed").groupBy("gram", "context").agg(F.sum("run").alias("n"), F.min(F.struct("k", "at")).alias("one")))
-    whole = hits.filter("not mixed").select("k", "at", "run").union(hits.filter("mixed").join(sizes.filter("n > 1"), ["gram", "context"]).select("k", "at", "run"))
+    anchors = keyed.select("k", "crc", "text").mapInArrow(find_anchors, ANCHOR)
+    # small sides are stored before they are joined: Spark splits a bucket with many rows only where a shuffle feeds each side
+    shared = stored(anchors.groupBy("gram").agg(F.sum("run").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed")))
+    hits = stored(anchors.join(shared, "gram"))
+    # where contexts differ: how often each occurs, and one of its places
+    classes = stored(hits.filter("mixed").groupBy("gram", "context").agg(F.sum("run").alias("n"), F.min(F.struct("k", "at")).alias("one")))
+    whole = hits.filter("not mixed").select("k", "at", "run").union(hits.filter("mixed").join(classes.filter("n > 1"), ["gram", "context"]).select("k", "at", "run"))
     crc, offset = F.shiftright("at", OFFSET_BITS), F.col("at").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
-    wanted = sizes.select("one.*", F.when(F.col("n") > 1, 2).otherwise(1).alias("n")).groupBy("k", crc.alias("crc")).agg(F.collect_list(F.struct(offset.alias("p"), "n")).alias("x")).select("k", "crc", F.col("x.p").alias("places"), F.col("x.n").alias("weights"))
-    texts = keyed.filter(F.octet_length("text") >= SPAN).groupBy("k", "crc").agg(F.first("packed").alias("packed"))
-    strings = cut_lineage(texts.join(wanted, ["k", "crc"]).select("k", "crc", "packed", "places", "weights").mapInArrow(list_strings, STRING))
-    again = strings.groupBy("gram", "whole").agg(F.sum("n").alias("total")).filter("total > 1").select("gram", "whole")
-    single = strings.filter("n = 1").join(again, ["gram", "whole"]).select("k", "at")
+    sizes = stored(classes.groupBy("gram").agg(F.count("*").alias("size")))
+    wanted = classes.join(sizes, "gram").select("gram", "one.*", "n", "size").groupBy("k", crc.alias("crc")).agg(F.collect_list(F.struct(offset.alias("p"), "gram", "n", "size")).alias("wanted"))
+    texts = keyed.filter(F.octet_length("text") >= SPAN).groupBy("k", "crc").agg(F.first("text").alias("text")).withColumn("packed", _packed("text"))
+    found = stored(texts.join(wanted, ["k", "crc"]).select("k", "crc", "packed", "wanted").mapInArrow(cut_contexts, CONTEXT))
+    few, many = found.filter(F.col("size") <= CROWD), found.filter(F.col("size") > CROWD)
+    settled = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(settle, SPANS)
+    strings = many.mapInArrow(list_strings, STRING)
+    again = stored(strings.groupBy("gram", "whole").agg(F.sum("n").alias("total")).filter("total > 1").select("gram", "whole"))
+    single = strings.filter("n = 1").join(again, ["gram", "whole"]).select("k", "at", F.lit(SPAN).alias("length"))
     span = lambda low, high: F.struct(low.cast("int").alias("s"), high.cast("int").alias("e"))
-    spans = whole.select("k", crc.alias("crc"), span(F.greatest(F.lit(0), offset - (WIDTH - 1)), offset + F.col("run") - 1 + SPAN).alias("x")).union(single.select("k", crc.alias("crc"), span(offset, offset + SPAN).alias("x")))
-    return spans.groupBy("k", "crc").agg(F.collect_set("x").alias("x")).select("k", "crc", F.col("x.s").alias("starts"), F.col("x.e").alias("ends"))
+    spans = whole.select("k", crc.alias("crc"), span(F.greatest(F.lit(0), offset - (WIDTH - 1)), offset + F.col("run") - 1 + SPAN).alias("x")).union(settled.union(single).select("k", crc.alias("crc"), span(offset, offset + F.col("length")).alias("x")))
+    return stored(spans.groupBy("k", "crc").agg(F.collect_set("x").alias("x")).select("k", "crc", F.col("x.s").alias("starts"), F.col("x.e").alias("ends")))
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row; kept has the remaining bytes."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumns({"k": F.xxhash64("text"), "crc": F.crc32("text")})
-    packed = keyed.withColumn("packed", _packed("text"))
-    spans = repeated_spans(packed.select("k", "crc", "text", "packed"))
-    return packed.select("doc_id", "k", "crc", "packed").join(spans, ["k", "crc"], "left").select("doc_id", "packed", "starts", "ends").mapInArrow(remove, RESULT)
+    spans = repeated_spans(keyed)
+    return keyed.select("doc_id", "k", "crc", _packed("text").alias("packed")).join(spans, ["k", "crc"], "left").select("doc_id", "packed", "starts", "ends").mapInArrow(remove, RESULT)
