@@ -1,0 +1,340 @@
+"""Each operator against a brute-force version, and its edge cases."""
+
+import hashlib
+import json
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallyspark.llm import chat_format, components, decontamination, language_id, line_dedup, packing, personal_data, quality_rules, secret_scan, simhash_dedup, suffix_dedup
+from tallyspark.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, __row string, key string, words string"
+
+
+def frame(spark, texts, langs=None):
+    """Documents with extra columns whose names an operator might use."""
+    rows = [(i, t, (langs or ["en"] * len(texts))[i], "s", len(t or ""), "r", "k", "w") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+EDGES = [None, "", " \n\t", "a", "é" * 300, "x y " * 3000, "same text here", "same text here", "9" * 3000, "\x00 b"]
+
+
+# suffix dedup
+
+
+def repeats(texts):
+    seen = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone])
+        out.append((len(t), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [3, 20_000])
+def test_suffix_dedup(spark, monkeypatch, crowd):
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    rnd = random.Random(5)
+    base = ["".join(rnd.choice("ab c") for _ in range(700)) for _ in range(4)]
+    texts = [*EDGES, "a" * 199, "a" * 200, "ab" * 300, "abc" * 67]
+    for _ in range(40):
+        b = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 1, 2])):
+            b[rnd.randrange(len(b))] = rnd.choice("xyzé")
+        texts.append("".join(b)[rnd.choice([0, 0, 300]) :] + rnd.choice(["", base[0][100:350]]))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(repeats([(t or "").encode() for t in texts])))
+
+
+# quality
+
+
+def test_quality_edges(spark):
+    rows = {r.doc_id: r for r in quality_rules.score_quality(frame(spark, [*EDGES, "the cat and the dog sat in a garden of green grass " * 2, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 the w11"])).collect()}
+    assert all(rows[k].n_words == 0 and rows[k].base_failed and not rows[k].kept for k in range(3))
+    assert rows[5].n_words == 6000 and rows[5].n_repeat_words == 6000
+    assert rows[10].n_repeat_words == 24 and not rows[10].kept
+    assert rows[11].n_repeat_words == 0 and rows[11].kept
+
+
+# packing
+
+
+def test_packing_round_trip(spark):
+    texts = [*EDGES, "Hello  world,\n I'm <|endoftext|> here ² 日本 " * 400, *["Some text number %d." % k for k in range(50)]]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    want = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
+    rows = packing.pack(frame(spark, texts), with_ids=True).collect()
+    got, sequences = {}, {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == len(got.setdefault(r.doc_id, [])) and r.length == len(r.ids) > 0 and r.doc_tokens == len(want[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        got[r.doc_id] += r.ids
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert got == want
+    lengths = []
+    for pieces in sequences.values():
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        lengths.append(at)
+    assert max(lengths) <= 1024 and sum(n < 1024 for n in lengths) <= 1
+    assert packing.pack(frame(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_hilbert_neighbours():
+    side = np.arange(8)
+    points = np.array([(x, y, z) for x in side for y in side for z in side])
+    order = points[np.argsort(packing.hilbert(points, 3))]
+    assert (np.abs(np.diff(order, axis=0)).sum(axis=1) == 1).all()
+
+
+# line dedup
+
+
+def test_line_dedup(spark):
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    own = [[" ".join(word() for _ in range(9)) for _ in range(4)] for _ in range(12)]
+    texts = ["\n".join([own[k][0], f"Page {k} of the annual report printed on day {k * 7}", own[k][1], "Licensed under these terms by all of us", *own[k][2:]]) for k in range(12)]
+    texts += [None, "", "short line\nshort line", *["\n".join(own[0])] * 8]
+    rows = {r.doc_id: r for r in line_dedup.drop_recurring_lines(frame(spark, texts)).collect()}
+    for k in range(12):
+        assert rows[k].text == "\n".join(own[k]) and rows[k]["__n_dropped"] == 2
+    assert rows[12].text is None and rows[13].text == "" and rows[14].text == texts[14]
+    assert all(rows[k].text == texts[k] for k in range(15, 23))  # copies keep their lines
+    assert rows[0].words == "w" and rows[0]["__n_lines"] == 6
+
+
+def test_line_fields_without_digits(spark):
+    names = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    rnd = random.Random(2)
+    other = lambda: " ".join("".join(rnd.choice("klmnop") for _ in range(5)) for _ in range(8))
+    texts = [f"{other()}\nThis page was last saved by {n} in the office\n{other()}" for n in names]
+    rows = line_dedup.drop_recurring_lines(frame(spark, texts)).collect()
+    assert all("last saved" not in r.text and r.text.count("\n") == 1 for r in rows)
+    assert line_dedup.drop_recurring_lines(frame(spark, ["x"]).limit(0)).count() == 0
+
+
+# language
+
+
+def test_gradients():
+    rng = np.random.default_rng(0)
+    w = {k: v.astype(np.float64) for k, v in language_id.start_weights(3, rng).items()}
+    letters, target = rng.integers(97, 105, (5, 6)), rng.integers(0, 3, 5)
+    _, grads = language_id.step_gradients(w, letters, target)
+    for k, v in w.items():
+        at = (int(letters[0, 1]), 4) if k[0] == "x" else tuple(n // 2 for n in v.shape)
+        old, e = v[at], 1e-5
+        v[at] = old + e
+        up, _ = language_id.step_gradients(w, letters, target)
+        v[at] = old - e
+        down, _ = language_id.step_gradients(w, letters, target)
+        v[at] = old
+        assert abs((up - down) / 2 / e - grads[k][at]) < 1e-7
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    extra = spark.createDataFrame([(10**6, None, "en"), (10**6 + 1, "12 34 !", "en"), (10**6 + 2, "", None)], "doc_id long, text string, lang string")
+    found = language_id.identify_languages(docs.select("doc_id", "text", "lang").union(extra)).join(docs.select("doc_id", "lang"), "doc_id", "left").collect()
+    held = [r for r in found if r.held_out and r.lang]
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
+    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in found if r.doc_id >= 10**6)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in found)
+    none = language_id.identify_languages(extra.withColumn("lang", F.lit(None).cast("string")).withColumn("text", F.lit("abc")))
+    assert {r.lang_pred for r in none.collect()} == {"und"}
+
+
+# secrets
+
+
+def brute_secrets(text):
+    t = text or ""
+    a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    spans = [(m.start(), 0, "assign", m.end()) for m in a.finditer(t) if len(m[2]) >= 6]
+    spans += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(spans)).encode()).hexdigest()
+
+
+def test_secrets(spark):
+    rnd = random.Random(3)
+    digits = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    key = lambda: "AKIA" + "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    texts = [*EDGES, 'PassWord = "hunter22" x', "token: abc", "é secret='ſſ' Secret=abcdefgh", "AKIASHORT", "x" + digits(30) + "G"]
+    texts += [f"some words {key()} and api_key={digits(40)} then {digits(32)}." for _ in range(60)]
+    loose = f"The ordinary words and {key()[4:]}{digits(3).upper()}7Q in a place without a name"
+    found = {r.doc_id: r for r in secret_scan.find_secrets(frame(spark, [*texts, loose])).collect()}
+    assert all(found[k].base_sha256 == brute_secrets(t) for k, t in enumerate(texts))
+    at = loose.index("and ") + 4
+    assert found[len(texts)].spans == f"format:{at}:{at + 21}"
+    assert not any("format" in found[k].spans for k in range(len(EDGES)))
+
+
+def test_automaton_merges():
+    a = secret_scan.Automaton(["UU" + "d" * n for n in range(4, 40)] * 3)
+    assert len(a.table) < 12
+    assert a.score("UUdddddddd") > a.score("dUdUdUdUdU")
+
+
+# personal data
+
+
+def brute_personal(text):
+    t, out = text or "", []
+    digits = lambda m: re.sub("[^0-9]", "", m)
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    for kind, pattern, valid in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        ("card", r"[0-9]([ -]?[0-9])+", lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    ):
+        out.append([f"{kind}:{m.start()}:{m.end()}" for m in re.finditer(pattern, t) if valid(m[0])])
+    return [len(x) for x in out], hashlib.sha256(",".join(sum(out, [])).encode()).hexdigest()
+
+
+def test_personal_data(spark):
+    texts = [*EDGES, "a@b.c.d@e.f x@y.com_foo@z.org a@b@c.d ..@x.y a@b.c..d@e.f", "1.2.3.4.5.6.7 256.1.1.1 0255.01.1.1 9999999999999.1.1.1 é 10.0.0.1", "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111", "+1 (555) 123-4567 +49.30.1234567- x +1 2 +123456789012345678", "+1 234 567 89 " * 300, "é@x.yz" * 400, "a" * 20000 + "@", " 1-2" * 4000]
+    texts.append("iban DE89370400440532013000 and DE88370400440532013000")
+    rows = {r.doc_id: r for r in personal_data.find_personal_data(frame(spark, texts)).collect()}
+    for k, t in enumerate(texts):
+        n, digest = brute_personal(t)
+        assert ([rows[k].n_email, rows[k].n_ip, rows[k].n_card, rows[k].n_phone], rows[k].base_sha256) == (n, digest), t[:50]
+    last = rows[len(texts) - 1]
+    assert last.spans == "iban:5:27" and last.scores == "iban:5:27=1.0"
+
+
+# near duplicates
+
+
+def brute_print(text):
+    words = (text or "").encode().lower().split()
+    parts = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("crowd", [1, 32])
+def test_simhash(spark, crowd):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    texts = [*EDGES]
+    for _ in range(6):
+        base = [rnd.choice(words) for _ in range(250)]
+        for _ in range(25):
+            copy = list(base)
+            copy[rnd.randrange(250)] = "Edited"
+            texts.append(" ".join(copy))
+    rows = {r.doc_id: r for r in simhash_dedup.near_duplicates(frame(spark, texts), crowd=crowd).collect()}
+    prints = [brute_print(t) for t in texts]
+    assert [rows[k].fingerprint for k in range(len(texts))] == [f"{p:016x}" for p in prints]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert [rows[k].component_id for k in range(len(texts))] == [find(k) for k in range(len(texts))]
+
+
+def test_native_hash_is_the_same(spark):
+    x = spark.createDataFrame([("one two é",)], "t string").select(F.xxhash64("t")).first()[0]
+    assert x % 2**64 == xxhash.xxh64_intdigest("one two é".encode(), 42)
+
+
+def test_components_of_chains(spark):
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (-5, 101), (7, 7), (300, 300)]
+    got = {r.vertex: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert all(got[i] == 1 for i in range(1, 61)) and got[100] == got[101] == got[-5] == -5 and got[300] == 300
+
+
+# decontamination
+
+
+def test_decontamination(spark, monkeypatch):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(4))
+    items = [[word() for _ in range(n)] for n in (40, 40, 25, 3)]
+    prose = lambda n: [word() for _ in range(n)]
+    worn = list(items[1])
+    worn[0], worn[39] = "zzz", "qqq"
+    bad = list(items[2])
+    bad[5], bad[12], bad[20] = "zzz", "qqq", "xxx"
+    texts = [*EDGES, " ".join(prose(50) + items[0] + prose(30)), "\n ".join([*prose(9), *worn, *prose(9)]).upper(), " ".join(prose(20) + bad + prose(20)), " ".join(items[3]), " ".join(prose(200))]
+    bench = spark.createDataFrame([(k, " ".join(x), "t") for k, x in enumerate(items)] + [(9, None, "t")], "item_id long, text string, doc_id string")
+    want = {}
+    for k, t in enumerate(texts):
+        words = (t or "").encode().lower().split()
+        for i, item in enumerate(items):
+            shingles = decontamination._shingles([x.encode() for x in item], 5)
+            n = min(len(item), len(words))
+            best = max(((decontamination.similarity(shingles, decontamination._shingles(words[p : p + n], 5)), -p) for p in range(len(words) - n + 1)), default=(0, 0))
+            if best[0] >= 0.8:
+                want[(k, i)] = (round(best[0], 6), -best[1])
+    assert {(10, 0), (11, 1), (13, 3)} == set(want)
+    for block in (4_000_000, 100):
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+        assert {(r.doc_id, r.item_id): (round(r.similarity, 6), r.start) for r in decontamination.find_leaks(frame(spark, texts), bench).collect()} == want
+
+
+# chat
+
+
+def test_chat_links(spark):
+    calls = [(1, "a", "f", '{"n": 1, "s": "x"}', None), (1, "b", "f", '{"s": "y", "n": 2}', "a"), (1, "c", "f", '{"n": "z"}', "b"), (1, "c", "f", '{"n": "z"}', "b"), (2, "x", "f", None, "y"), (2, "y", "f", "not json", "x"), (3, "p", "f", '{"n":1,"s":"","q":0}', "gone")]
+    results = [(1, "a", "one"), (1, "b", 'tw"o'), (1, "b", 'tw"o'), (4, "lost", "r")]
+    schema = [chat_format.Param("n", "integer"), chat_format.Param("s", "string")]
+    got = {r.call_id: r for r in chat_format.link_calls(spark.createDataFrame(calls, "conv_id long, call_id string, name string, arguments string, parent string"), spark.createDataFrame(results, "conv_id long, call_id string, content string"), schema).collect()}
+    assert {k: (r.status, r.level, r.valid, r.copies) for k, r in got.items()} == {
+        "a": ("linked", 0, True, 1), "b": ("linked", 1, True, 1), "c": ("pending", 2, False, 2), "x": ("cyclic", None, False, 1), "y": ("cyclic", None, False, 1), "p": ("pending", 0, False, 1), "lost": ("orphan", None, False, 0),
+    }
+    assert got["b"].json == '{"arguments":{"n":2,"s":"y"},"id":"b","level":1,"name":"f","result":"tw\\"o","status":"linked","valid":true}'
+    assert json.loads(got["lost"].json)["arguments"] is None
+
+
+# queries
+
+
+ONE_ROW = {"op1_suffix_dedup", "op2_quality_rules", "op4_line_dedup", "op5_language_id", "op6_secret_scan", "op7_personal_data", "op8_simhash_dedup"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_queries_on_small_tables(spark, name):
+    rows = QUERIES[name](spark, SMALL).collect()
+    assert rows
+    if name in ONE_ROW:
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id").collect())
+
+
+@pytest.mark.parametrize("apply", [suffix_dedup.remove_repeats, quality_rules.score_quality, language_id.identify_languages, secret_scan.find_secrets, personal_data.find_personal_data, simhash_dedup.near_duplicates])
+def test_empty_tables(spark, apply):
+    assert apply(frame(spark, ["x"]).limit(0)).count() == 0
