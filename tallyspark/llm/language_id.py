@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import first_by_hash, slices
 
 HIDDEN, LONGEST = 10, 24
 #: The bound of the training sample: rows, characters a row, words a language.
@@ -151,7 +151,7 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, Any]:
     """{languages, weights} from the bounded sample of rows that aren't held out."""
     usable = docs.filter(~F.coalesce(held_out(F.col(id_col)), F.lit(False)) & F.col(lang_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
-    rows = usable.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("h")).orderBy("h", "lang").limit(SAMPLE_ROWS).collect()
+    rows = first_by_hash(usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), ["id", "text", "lang"], SAMPLE_ROWS)
     languages = sorted({r.lang for r in rows})
     number, words = {x: k for k, x in enumerate(languages)}, {x: [] for x in languages}
     for text, lang in dict.fromkeys((r.text, r.lang) for r in rows):
