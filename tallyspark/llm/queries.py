@@ -86,4 +86,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND word_chars / n_words::DOUBLE BETWEEN 2 AND 12 AND n_symbols / n_words::DOUBLE <= 0.1
        AND (n_stop + 1) / (n_words + 1)::DOUBLE >= 0.02 AND n_dup_lines / n_lines::DOUBLE <= 0.5 AND n_words / n_lines::DOUBLE >= 1 AS kept
 FROM b""",
+    "op10_chat_format": """
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, text, conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS parent FROM conversations WHERE role = 'user'
+), r AS (
+  SELECT conv_id AS answer_conv, conv_id || '-' || (turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'assistant'
+), lv AS (
+  SELECT call_id, 0::BIGINT AS level FROM c WHERE parent NOT IN (SELECT call_id FROM c)
+  UNION ALL SELECT c.call_id, level + 1 FROM c JOIN lv ON c.parent = lv.call_id
+), j AS (
+  SELECT coalesce(c.call_id, r.call_id) AS call_id, coalesce(conv_id, answer_conv) AS conv_id, level, turn, text, content,
+         CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
+         c.call_id IS NOT NULL AS valid, CASE WHEN c.call_id IS NULL THEN 0 ELSE 1 END::BIGINT AS copies
+  FROM c FULL JOIN r ON c.call_id = r.call_id LEFT JOIN lv ON lv.call_id = c.call_id
+)
+SELECT call_id, conv_id, level, status, valid, copies,
+       '{"arguments":' || CASE WHEN valid THEN json_object('prompt', text, 'turn', turn)::VARCHAR ELSE 'null' END || ','
+       || substr(json_object('id', call_id, 'level', level, 'name', CASE WHEN valid THEN 'ask' END, 'result', content, 'status', status, 'valid', valid)::VARCHAR, 2) AS json
+FROM j""",
 }
