@@ -8,7 +8,8 @@ documents: boilerplate has different neighbours everywhere, while the lines of c
 are left to document deduplication. Lines of recurring templates are dropped.
 
 Only templates with at least `MIN_TOKENS` tokens of which `CONSTANT` are constant count. Lines travel as hashes; the
-texts of lines are shuffled once, for those of large leaves, and the documents once.
+texts of lines are shuffled once, those of large leaves alone while these are few enough to be sent to all tasks, and
+the documents once.
 
 Edge cases: a null text stays null and has no lines; blank and short lines are kept; equal rows (id and text) count as
 one document and lose the same lines; null ids are kept; other columns pass through; an empty table gives an empty
@@ -24,6 +25,8 @@ from .common import SPACES, bind, stored
 
 DEPTH, SUPPORT, MIN_TOKENS, CONSTANT = 3, 5, 5, 0.6
 FIELD = "<*>"
+#: The most large leaves, a number each, that are sent to all tasks: some 25 MB there.
+BROADCAST_LEAVES = 1_000_000
 
 
 def masked(line: Column) -> Column:
@@ -46,18 +49,20 @@ def masked(line: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, around, mask, line, n, leaf) for each line of rows (row, text) with enough tokens."""
-    neighbours = bind(F.split("text", "\n", -1), lambda x: F.transform(x, lambda y, i: F.struct(masked(y).alias("mask"), F.xxhash64(F.get(x, i - 1), F.get(x, i + 1)).alias("around"))))
+    """(row, i, around, mask, line, n, leaf) for each line of rows (row, text) with enough tokens."""
+    neighbours = bind(F.split("text", "\n", -1), lambda x: F.transform(x, lambda y, i: F.struct(i.alias("i"), masked(y).alias("mask"), F.xxhash64(F.get(x, i - 1), F.get(x, i + 1)).alias("around"))))
     split = rows.select("row", F.inline(neighbours))
     n = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit(""))) + 1
-    return split.withColumn("n", n).filter(F.col("n") >= MIN_TOKENS).select("row", "around", "mask", F.xxhash64("mask").alias("line"), "n", F.xxhash64("n", F.substring_index("mask", " ", DEPTH)).alias("leaf"))
+    return split.withColumn("n", n).filter(F.col("n") >= MIN_TOKENS).select("row", "i", "around", "mask", F.xxhash64("mask").alias("line"), "n", F.xxhash64("n", F.substring_index("mask", " ", DEPTH)).alias("leaf"))
 
 
 def recurring_lines(rows: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(row, lines): for each document the hashes of its lines that go, from rows (row, text)."""
     lines = _lines(rows)
-    seen = stored(lines.groupBy("leaf", "line", "n", "row").agg(F.min("around").alias("around")))
-    large = seen.select("leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") >= support).select("leaf")
+    seen = stored(lines.groupBy("leaf", "line", "n", "row").agg(F.min_by("around", "i").alias("around")))
+    large = stored(seen.select("leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") >= support).select("leaf"))
+    if large.count() <= BROADCAST_LEAVES:  # else the lines are shuffled to the leaves
+        large = F.broadcast(large)
     # what is constant in large leaves
     tokens = stored(lines.join(large, "leaf", "left_semi").groupBy("leaf", "line", "n").agg(F.min("mask").alias("mask")).select("leaf", "line", "n", F.posexplode(F.split("mask", " ")).alias("i", "token")).withColumn("token", F.when(F.col("token") != FIELD, F.xxhash64("token"))))
     constant = tokens.filter("token is not null").groupBy("leaf", "i", "token").agg(F.count("*").alias("m")).filter(F.col("m") >= support).select("leaf", "i", "token")
