@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, line_dedup, packing, quality_rules, simhash_dedup
+from tallyspark.llm import decontamination, line_dedup, near_copies, packing, quality_rules
 from tallyspark.llm.common import stored, table
 
 #: The near-duplicate stage's shingles, in words.
@@ -30,8 +30,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest number."""
-    groups = simhash_dedup.near_duplicates(docs, shingle=NEAR_SHINGLE)
+    """One document of each group of near duplicates, the one with the smallest number: fingerprints within the operator's
+    radius, or shingle similarity of 0.8 or more."""
+    groups = near_copies.near_copies(docs, shingle=NEAR_SHINGLE)
     first = stored(groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
     nameless = docs.filter("doc_id is null")  # no group is named after them
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(nameless)

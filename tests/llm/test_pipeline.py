@@ -1,6 +1,8 @@
+import random
+
 import corpus_pipeline
 import numpy as np
-from tallyspark.llm import decontamination, quality_rules, simhash_dedup
+from tallyspark.llm import decontamination, near_copies, quality_rules, simhash_dedup
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -33,5 +35,37 @@ def test_near_duplicates_keep_one_row(spark):
     assert sorted((r.doc_id is None, r.doc_id) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()) == [(False, 1), (True, None)]
 
 
+def test_near_duplicates_of_similarity(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for n in (40, 80, 200, 400) * 5:
+        base = [word() for _ in range(n)]
+        for edits in (0, 1, n // 60, n // 45, n // 40):
+            copy = list(base)
+            for k in rnd.sample(range(n), edits):
+                copy[k] = word()
+            texts.append(" ".join(copy))
+    chain = [word() for _ in range(130)]
+    texts += [" ".join(chain[k : k + 100]) for k in (0, 10, 20, 30)]  # similar to the next alone
+    sets = [near_copies.shingles_of(t.encode(), 5) for t in texts]
+    prints = [simhash_dedup.fingerprint_of(t.encode(), 5) for t in texts]
+    assert [near_copies.marks_of(t.encode(), 5)[0] for t in texts] == prints
+    root, beyond = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            near = (prints[i] ^ prints[j]).bit_count() <= simhash_dedup.RADIUS
+            similar = near_copies.similarity(sets[i], sets[j]) >= 0.8
+            beyond += similar and not near
+            if near or similar:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert beyond > 50
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == dict(enumerate(root))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()) == sorted(set(root))
+    assert near_copies.near_copies(docs.limit(0)).count() == 0
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
