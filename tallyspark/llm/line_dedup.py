@@ -3,17 +3,16 @@
 The tree has a fixed depth: a line goes by its number of tokens, then by its `DEPTH` leading tokens, to a leaf. Tokens
 with a digit are variable fields from the start. In a leaf with `SUPPORT` different lines or more, a token stays in the
 template if that many of them have it at the same place; others are variable fields too. A template recurs if it stands
-in `SUPPORT` documents or more with as many different neighbour lines, at least half as many neighbourhoods as
-documents: boilerplate has different neighbours everywhere, while the lines of copied documents keep theirs, so copies
-are left to document deduplication. Lines of recurring templates are dropped.
+in `SUPPORT` different texts or more. Equal texts count as one, so copies of a document keep their lines, however many
+they are, and are left to document deduplication. Lines of recurring templates are dropped.
 
 Only templates with at least `MIN_TOKENS` tokens of which `CONSTANT` are constant count. Lines travel as hashes; the
 texts of lines are shuffled once, those of large leaves alone while these are few enough to be sent to all tasks, and
 the documents once.
 
-Edge cases: a null text stays null and has no lines; blank and short lines are kept; equal rows (id and text) count as
-one document and lose the same lines; null ids are kept; other columns pass through; an empty table gives an empty
-result.
+Edge cases: a null text stays null and has no lines; blank and short lines are kept; rows of equal text lose the same
+lines, whatever their ids; near copies are different texts; null ids are kept; other columns pass through; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -49,17 +48,17 @@ def masked(line: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, i, around, mask, line, n, leaf) for each line of rows (row, text) with enough tokens."""
-    neighbours = bind(F.split("text", "\n", -1), lambda x: F.transform(x, lambda y, i: F.struct(i.alias("i"), masked(y).alias("mask"), F.xxhash64(F.get(x, i - 1), F.get(x, i + 1)).alias("around"))))
-    split = rows.select("row", F.inline(neighbours))
+    """(row, mask, line, n, leaf) for each line of rows (row, text) with enough tokens."""
+    split = rows.select("row", F.explode(F.transform(F.split("text", "\n", -1), masked)).alias("mask"))
     n = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit(""))) + 1
-    return split.withColumn("n", n).filter(F.col("n") >= MIN_TOKENS).select("row", "i", "around", "mask", F.xxhash64("mask").alias("line"), "n", F.xxhash64("n", F.substring_index("mask", " ", DEPTH)).alias("leaf"))
+    return split.withColumn("n", n).filter(F.col("n") >= MIN_TOKENS).select("row", "mask", F.xxhash64("mask").alias("line"), "n", F.xxhash64("n", F.substring_index("mask", " ", DEPTH)).alias("leaf"))
 
 
 def recurring_lines(rows: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(row, lines): for each document the hashes of its lines that go, from rows (row, text)."""
+    """(row, lines): for each document the hashes of its lines that go, from rows (row, text), where equal texts
+    have one row."""
     lines = _lines(rows)
-    seen = stored(lines.groupBy("leaf", "line", "n", "row").agg(F.min_by("around", "i").alias("around")))
+    seen = stored(lines.select("leaf", "line", "row").distinct())
     large = stored(seen.select("leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") >= support).select("leaf"))
     if large.count() <= BROADCAST_LEAVES:  # else the lines are shuffled to the leaves
         large = F.broadcast(large)
@@ -69,15 +68,14 @@ def recurring_lines(rows: DataFrame, support: int = SUPPORT) -> DataFrame:
     shapes = tokens.join(constant, ["leaf", "i", "token"]).groupBy("leaf", "line", "n").agg(F.count("*").alias("fixed"), F.sum(F.xxhash64("i", "token").cast("decimal(38,0)")).alias("sum"))
     general = shapes.filter(F.col("fixed") >= CONSTANT * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "sum", "fixed").alias("template"))
     # a line without such a template is its own
-    placed = seen.join(general, ["leaf", "line"], "left").select("row", "line", "around", F.coalesce("template", "line").alias("template"))
-    near = placed.groupBy("template", "around").agg(F.count_distinct("row").alias("rows"))
-    often = near.groupBy("template").agg(F.sum("rows").alias("rows"), F.count("*").alias("places")).filter((F.col("places") >= support) & (2 * F.col("places") >= F.col("rows"))).select("template")
+    placed = seen.join(general, ["leaf", "line"], "left").select("row", "line", F.coalesce("template", "line").alias("template"))
+    often = placed.groupBy("template").agg(F.count_distinct("row").alias("rows")).filter(F.col("rows") >= support).select("template")
     return placed.join(often, "template").groupBy("row").agg(F.collect_set("line").alias("lines"))
 
 
 def drop_recurring_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", support: int = SUPPORT) -> DataFrame:
     """docs with recurring lines cut from the text, and __n_lines and __n_dropped."""
-    keyed = docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col)))
+    keyed = docs.withColumn("__row", F.xxhash64(text_col))
     gone = recurring_lines(keyed.select(F.col("__row").alias("row"), F.col(text_col).alias("text")), support=support).withColumnRenamed("row", "__row").withColumnRenamed("lines", "__lines")
     joined = keyed.join(gone, "__row", "left")
     all_ = F.split(F.col(text_col), "\n", -1)

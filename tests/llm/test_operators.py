@@ -133,6 +133,23 @@ def test_line_fields_without_digits(spark):
     assert line_dedup.drop_recurring_lines(frame(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_lines_in_blocks_paragraphs_and_copies(spark):
+    rnd = random.Random(12)
+    prose = lambda: " ".join("".join(rnd.choice("klmnopqrst") for _ in range(6)) for _ in range(9))
+    block, paragraph, notice = [prose() for _ in range(4)], prose(), prose()
+    own = [[prose() for _ in range(2)] for _ in range(24)]
+    texts = ["\n".join([own[k][0], *block, own[k][1]]) for k in range(8)]
+    texts += ["\n\n".join([own[k][0], paragraph, own[k][1]]) for k in range(8, 16)]
+    texts += ["\n".join([own[k][0], notice, own[k][1]]) for k in range(16, 24)]
+    copied = "\n".join([prose(), notice, prose()])
+    texts += [copied] * 200
+    rows = {r.doc_id: r for r in line_dedup.drop_recurring_lines(frame(spark, texts)).collect()}
+    assert all(rows[k].text == "\n".join(own[k]) for k in [*range(8), *range(16, 24)])
+    assert all(rows[k].text == "\n\n\n".join(own[k]) for k in range(8, 16))
+    first, _, last = copied.split("\n")
+    assert all(rows[k].text == f"{first}\n{last}" for k in range(24, 224))
+
+
 # language
 
 
