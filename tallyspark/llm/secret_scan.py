@@ -3,8 +3,11 @@
 Values that the base patterns match are the labelled credentials. Each kind's values, written as classes of characters,
 make a prefix tree with counts; states whose ends and next classes differ by no more than Hoeffding's bound are merged,
 so the tree becomes a probabilistic automaton. Every long token with letters and digits, wherever it stands, is then
-scored by its log-likelihood a character under the best automaton, less that under single characters of ordinary
-tokens; a token above the bar is a span of kind `format`, unless it overlaps a base span.
+scored at its whole length by its log-likelihood a character under each automaton, less that under single characters of
+ordinary tokens; a token that reaches an automaton's bar is a span of kind `format`, unless it overlaps a base span.
+
+An automaton's bar is the score that `RECALL` of its labelled values held out of training (every fourth) reach, and
+`LEAST_BAR` at least. Unlabelled text has no part in it, so an unlabelled secret in the sample can't raise it.
 
 The labelled sample is bounded: the first `SAMPLE_ROWS` by hash of the rows that match a base pattern and have at most
 `SAMPLE_CHARS` characters, and `SAMPLE_VALUES` values a kind. Base spans need no sample.
@@ -37,11 +40,13 @@ PATTERNS = {
 #: What finds rows with labelled values in Spark.
 LABELLED = r"(?i:passw|secret|token|api_?key)[a-z]*[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_VALUES = 1500, 20_000, 250
-#: Lengths of a token to score.
-SHORTEST, LONGEST = 20, 200
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
+#: The least length of a token to score.
+SHORTEST = 20
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 #: Confidence of the merge test, and the lowest bar in nats a character.
 ALPHA, LEAST_BAR = 0.05, 0.3
+#: The share of held-out values that reach the bar.
+RECALL = 0.95
 #: Classes of characters and their sizes.
 SIZES = {"d": 10, "f": 6, "l": 20, "U": 26, "s": 6}
 _CLASS = {c: "d" if c.isdigit() else "f" if c in "abcdef" else "l" if c.islower() else "U" if c.isupper() else "s" for c in "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_.=-"}
@@ -148,23 +153,32 @@ class Automaton:
 
 
 class Formats:
-    """Automata of the labelled kinds, ordinary tokens' character rates and the bar between them."""
+    """Automata of the labelled kinds, ordinary tokens' character rates and each automaton's bar."""
 
     def __init__(self, values: dict[str, list[str]], ordinary: list[str]) -> None:
-        self.automata = {k: Automaton([classes_of(x) for x in v]) for k, v in sorted(values.items()) if v}
+        apart = {k: sorted(v, key=lambda x: hashlib.sha256(x.encode()).digest()) for k, v in sorted(values.items()) if v}
+        held = {k: v[::4] if len(v) > 3 else v for k, v in apart.items()}
+        self.automata = {k: Automaton([classes_of(x) for n, x in enumerate(v) if n % 4 or len(v) <= 3]) for k, v in apart.items()}
         rate = Counter("dflUs") + Counter(c for x in ordinary for c in classes_of(x))
         total = rate.total()
         self.rate = {c: math.log(n / total) - math.log(SIZES[c]) for c, n in rate.items()}
-        mixed = [x for x in ordinary if is_candidate(x)]
-        self.bar = max([LEAST_BAR, *(self.score(x) + 1e-9 for x in mixed)]) if self.automata else math.inf
+        self.bars = {}
+        for k, v in held.items():
+            reached = sorted(self.scores(x)[k] for x in v)
+            self.bars[k] = max(LEAST_BAR, reached[math.floor((1 - RECALL) * len(reached))])
 
-    def score(self, token: str) -> float:
+    def scores(self, token: str) -> dict[str, float]:
         classes = classes_of(token)
-        return max((a.score(classes) for a in self.automata.values()), default=-math.inf) / len(token) - sum(self.rate[c] for c in classes) / len(token)
+        plain = sum(self.rate[c] for c in classes)
+        return {k: (a.score(classes) - plain) / len(token) for k, a in self.automata.items()}
+
+    def score(self, token: str) -> float | None:
+        """The greatest score that reaches its automaton's bar."""
+        return max((x for k, x in self.scores(token).items() if x >= self.bars[k]), default=None)
 
 
 def is_candidate(token: str) -> bool:
-    return SHORTEST <= len(token) <= LONGEST and any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+    return len(token) >= SHORTEST and any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
 
 
 def all_spans(text: str, formats: Formats | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
@@ -175,7 +189,7 @@ def all_spans(text: str, formats: Formats | None) -> tuple[list[tuple[int, int,
         base += [(m.start(), m.end(), "hex", m[0]) for m in PATTERNS["hex"].finditer(text)]
         if formats is not None and formats.automata:
             for m in TOKEN.finditer(text):
-                if is_candidate(m[0]) and not any(s < m.end() and m.start() < e for s, e, *_ in base) and (value := formats.score(m[0])) >= formats.bar:
+                if is_candidate(m[0]) and not any(s < m.end() and m.start() < e for s, e, *_ in base) and (value := formats.score(m[0])) is not None:
                     added.append((m.start(), m.end(), "format", value))
     order = {k: n for n, k in enumerate((*KINDS, "format"))}
     return sorted(((s, e, k) for s, e, k, _ in base), key=lambda x: (x[0], order[x[2]])), added
@@ -196,7 +210,7 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Fo
         for s, e, *_ in sorted(base):
             plain.append(text[last:s])
             last = max(last, e)
-        ordinary += [w for part in (*plain, text[last:]) for w in re.findall(r"[A-Za-z0-9+/_=-]{4,200}", part)]
+        ordinary += [w for part in (*plain, text[last:]) for w in re.findall(r"[A-Za-z0-9+/_=-]{4,}", part)]
     return Formats({k: list(v) for k, v in values.items()}, ordinary)
 
 

@@ -207,6 +207,26 @@ def test_secrets(spark):
     assert not any("format" in found[k].spans for k in range(len(EDGES)))
 
 
+def test_bare_secrets_in_the_sample(spark):
+    rnd = random.Random(9)
+    digits = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    key = lambda: "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + str(rnd.randrange(10)) for _ in range(12))
+    bare = [key() for _ in range(80)]
+    texts = [f"some words token={key()} and {x} then {digits(32)}." for x in bare]
+    rows = secret_scan.find_secrets(frame(spark, texts)).collect()
+    found = sum(f"format:{texts[r.doc_id].index(bare[r.doc_id])}:" in r.spans for r in rows)
+    assert found >= 0.85 * len(bare)
+
+
+def test_long_secrets(spark):
+    rnd = random.Random(10)
+    key = lambda n: "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + str(rnd.randrange(10)) for _ in range(n // 2))
+    texts = [f"some words token={key(rnd.randrange(40, 400))} in a place" for _ in range(80)]
+    loose = f"some ordinary words {key(900)} in a place"
+    found = {r.doc_id: r for r in secret_scan.find_secrets(frame(spark, [*texts, loose])).collect()}
+    assert found[80].spans == "format:20:920"
+
+
 def test_automaton_merges():
     a = secret_scan.Automaton(["UU" + "d" * n for n in range(4, 40)] * 3)
     assert len(a.table) < 12
