@@ -6,10 +6,13 @@ rounds that grow with the logarithm of the longest chain. No conversation is gat
 call_id) orders a conversation. Arguments are parsed natively and checked against a schema; a JSON variant has its keys
 in order, so writing it gives one form.
 
-Edge cases: repeated calls or results of one identifier fold to the least text, and `copies` counts the calls; a call
-without result is `pending`, a result without call `orphan`, a call whose chain has no end `cyclic` with null level; a
-parent that doesn't exist is none; null parts of an identifier are written `?`; null arguments are invalid and written
-null; extra columns stay out; empty tables give an empty result.
+Every other turn, whatever its role, is a row of its own with status `other`, its role as name and its text as result.
+
+Edge cases: equal calls, in all their fields, are one row and `copies` counts them; equal results are one. Of different
+calls or results of one identifier the least is linked, each other one is a row with status `duplicate`; those without an
+identifier are a row each with status `unidentified`; these have no level. A call without result is `pending`, a result
+without call `orphan`, a call whose chain has no end `cyclic` with null level; a parent that doesn't exist is none; null
+arguments are invalid and written null; extra columns stay out; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -64,15 +67,29 @@ def levels(calls: DataFrame) -> DataFrame:
     return now.select("call_id", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schema: Sequence[Param]) -> DataFrame:
-    """(call_id, conv_id, level, status, valid, copies, json) from calls (conv_id, call_id, name, arguments, parent) and
-    results (conv_id, call_id, content)."""
-    once = calls.groupBy("call_id").agg(F.min("conv_id").alias("conv_id"), F.min(F.struct("arguments", "name", "parent")).alias("c"), F.count("*").alias("copies")).select("call_id", "conv_id", "c.*", "copies")
-    once = cut_lineage(once)
-    answers = results.groupBy("call_id").agg(F.min("content").alias("content"), F.min("conv_id").alias("answer_conv"), F.lit(True).alias("answered"))
+def link_calls(calls: DataFrame, results: DataFrame, schema: Sequence[Param], others: DataFrame | None = None) -> DataFrame:
+    """(call_id, conv_id, level, status, valid, copies, json) from calls (conv_id, call_id, name, arguments, parent),
+    results (conv_id, call_id, content) and other turns (conv_id, call_id, name, content)."""
+    asked, told = ["arguments", "name", "parent", "conv_id"], ["content", "conv_id"]
+    alike = cut_lineage(calls.filter("call_id is not null").groupBy("call_id", *asked).agg(F.count("*").alias("copies")))
+    once = cut_lineage(alike.groupBy("call_id").agg(F.min(F.struct(*asked, "copies")).alias("c")).select("call_id", "c.*"))
+    distinct = cut_lineage(results.filter("call_id is not null").select("call_id", *told).distinct())
+    first = cut_lineage(distinct.groupBy("call_id").agg(F.min(F.struct(*told)).alias("r")).select("call_id", "r.*"))
+    answers = first.select("call_id", "content", F.col("conv_id").alias("answer_conv"), F.lit(True).alias("answered"))
     joined = once.withColumn("called", F.lit(True)).join(answers, "call_id", "full").join(levels(once.select("call_id", "parent")), "call_id", "left")
     status = F.when(F.col("called").isNull(), "orphan").when(F.col("level").isNull(), "cyclic").when(F.col("answered").isNull(), "pending").otherwise("linked")
-    checked = joined.withColumns({"conv_id": F.coalesce("conv_id", "answer_conv"), "status": status, "valid": valid_arguments(F.col("arguments"), schema), "copies": F.coalesce("copies", F.lit(0)).cast("long")})
+    columns = ["call_id", "conv_id", "level", "status", "name", "arguments", "content", "copies"]
+    rows = joined.withColumns({"conv_id": F.coalesce("conv_id", "answer_conv"), "status": status}).select(columns)
+
+    def apart(df: DataFrame, status: str) -> DataFrame:
+        kinds = {"level": "long", "name": "string", "arguments": "string", "content": "string", "copies": "long"}
+        return df.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in df.columns} | {"status": F.lit(status)}).select(columns)
+
+    rows = rows.union(apart(alike.exceptAll(once.select(alike.columns)), "duplicate")).union(apart(distinct.exceptAll(first.select(distinct.columns)), "duplicate"))
+    rows = rows.union(apart(calls.filter("call_id is null").withColumn("copies", F.lit(1).cast("long")), "unidentified")).union(apart(results.filter("call_id is null"), "unidentified"))
+    if others is not None:
+        rows = rows.union(apart(others, "other"))
+    checked = rows.withColumns({"valid": valid_arguments(F.col("arguments"), schema), "copies": F.coalesce("copies", F.lit(0)).cast("long")})
     inner = F.struct(F.col("call_id").alias("id"), "level", "name", F.col("content").alias("result"), "status", "valid")
     written = F.concat(F.lit('{"arguments":'), F.coalesce(canonical(F.col("arguments")), F.lit("null")), F.lit(","), F.substr(F.to_json(inner, {"ignoreNullFields": "false"}), F.lit(2)))
     return checked.select("call_id", "conv_id", "level", "status", "valid", "copies", written.alias("json"))
@@ -82,12 +99,21 @@ def link_calls(calls: DataFrame, results: DataFrame, schema: Sequence[Param]) ->
 ASK = (Param("prompt", "string"), Param("turn", "integer"))
 
 
+def _address(back: int) -> Column:
+    """The identifier of the turn some turns before; null without a conversation or turn."""
+    return F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
+
+
 def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results of a table of turns (conv_id, turn, role, text): each user turn is a call that comes after the
     call two turns before, each assistant turn the result of the call one turn before."""
-    address = lambda back: F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("?")), F.lit("-"), F.coalesce((F.col("turn") - back).cast("string"), F.lit("?")))
     calls = turns.filter("role = 'user'").select(
-        "conv_id", address(0).alias("call_id"), F.lit("ask").alias("name"), F.to_json(F.struct("turn", F.col("text").alias("prompt"))).alias("arguments"), address(2).alias("parent")
+        "conv_id", _address(0).alias("call_id"), F.lit("ask").alias("name"), F.to_json(F.struct("turn", F.col("text").alias("prompt"))).alias("arguments"), _address(2).alias("parent")
     )
-    results = turns.filter("role = 'assistant'").select("conv_id", address(1).alias("call_id"), F.col("text").alias("content"))
+    results = turns.filter("role = 'assistant'").select("conv_id", _address(1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
+
+
+def other_turns(turns: DataFrame) -> DataFrame:
+    """(conv_id, call_id, name, content) of the turns that are neither calls nor results."""
+    return turns.filter("role is null or role not in ('user', 'assistant')").select("conv_id", _address(0).alias("call_id"), F.col("role").alias("name"), F.col("text").alias("content"))

@@ -53,8 +53,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = chat_format.conversation_calls(table(spark, sf_dir, "conversations"))
-    return chat_format.link_calls(calls, results, chat_format.ASK)
+    turns = table(spark, sf_dir, "conversations")
+    calls, results = chat_format.conversation_calls(turns)
+    return chat_format.link_calls(calls, results, chat_format.ASK, chat_format.other_turns(turns))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op4_line_dedup, op5_language_id, op6_secret_scan, op7_personal_data, op8_simhash_dedup, op9_decontamination, op10_chat_format)}

@@ -358,6 +358,16 @@ def test_chat_links(spark):
     assert json.loads(got["lost"].json)["arguments"] is None
 
 
+def test_chat_keeps_every_turn(spark):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "tool", "t"), (1, 4, None, "n")]
+    rows += [(None, 1, "user", "x"), (None, 1, "user", "y"), (None, 2, "assistant", "z"), (2, 1, "user", "b"), (2, 1, "user", "c"), (2, 2, "assistant", "d"), (2, 2, "assistant", "e")]
+    calls, results = chat_format.conversation_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    found = chat_format.link_calls(calls, results, chat_format.ASK, chat_format.other_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
+    told = [((json.loads(r.json)["arguments"] or {}).get("prompt"), json.loads(r.json)["result"], r.status) for r in found]
+    assert sorted(told, key=repr) == sorted([("q", "a", "linked"), (None, "be brief", "other"), (None, "t", "other"), (None, "n", "other"), ("x", None, "unidentified"), ("y", None, "unidentified"), (None, "z", "unidentified"), ("b", "d", "linked"), ("c", None, "duplicate"), (None, "e", "duplicate")], key=repr)
+    assert {r.conv_id for r in found if r.status == "unidentified"} == {None}
+
+
 # queries
 
 
