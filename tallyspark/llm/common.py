@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The white space of the contracts, \x20 and \x09-\x0D, as the characters themselves.
@@ -21,10 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that the session names; a new temporary one where none is set, as in tests."""
+    """The checkpoint folder that the session names. A local session without one, as in tests, gets a temporary folder;
+    on a cluster that is an error, since machines share no such folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -34,24 +37,51 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Spark's own setting that drops a query's shuffle files when it ends.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """df, written as a table in the shared folder and read again: columns make it smaller than a
-    checkpoint. Shuffle files that only df needed are then free, so they are asked to go."""
+    """df, written as a table in the shared folder and read again: columns make it smaller than a checkpoint. The
+    shuffle files of the write go when it ends, since what it made is in the table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
-
-
-def first_by_hash(df: DataFrame, columns: list[str], n: int) -> list[Row]:
-    """About n rows of df with the least hashes of some columns, in order; tasks send n hashes at most, not rows."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that stored() wrote and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if folder.rpartition("/")[2].startswith("table-"):
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+
+def first_by_hash(df: DataFrame, columns: list[str], n: int, by: str | None = None) -> list[Row]:
+    """About n rows of df, or n of each value of a column, with the least hashes of some columns, in order; tasks send
+    n hashes at most, or a bound a value, not rows."""
     hashed = df.withColumn("__h", F.xxhash64(*columns))
-    bound = hashed.select("__h").orderBy("__h").limit(n).agg(F.max("__h")).first()[0]
-    return [] if bound is None else hashed.filter(F.col("__h") <= bound).orderBy("__h", *columns).limit(n).collect()
+    if by is None:
+        bound = hashed.select("__h").orderBy("__h").limit(n).agg(F.max("__h")).first()[0]
+        return [] if bound is None else hashed.filter(F.col("__h") <= bound).orderBy("__h", *columns).limit(n).collect()
+    w = Window.partitionBy(by).orderBy("__h", *columns)
+    # first the hashes alone: Spark drops all but n of a value in each task before it shuffles
+    ranked = hashed.select(by, "__h").withColumn("__k", F.row_number().over(Window.partitionBy(by).orderBy("__h"))).filter(F.col("__k") <= n)
+    bounds = ranked.groupBy(by).agg(F.max("__h").alias("__bound")).collect()
+    if not bounds:
+        return []
+    most = F.create_map(*[F.lit(x) for r in bounds for x in (r[0], r["__bound"])])
+    few = hashed.filter(F.col("__h") <= F.try_element_at(most, F.col(by)))
+    return few.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= n).drop("__k").orderBy(by, "__h", *columns).collect()
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

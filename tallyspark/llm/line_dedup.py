@@ -2,17 +2,21 @@
 
 The tree has a fixed depth: a line goes by its number of tokens, then by its `DEPTH` leading tokens, to a leaf. Tokens
 with a digit are variable fields from the start. In a leaf with `SUPPORT` different lines or more, a token stays in the
-template if that many of them have it at the same place; others are variable fields too. A template recurs if it stands
-in `SUPPORT` different texts or more. Equal texts count as one, so copies of a document keep their lines, however many
-they are, and are left to document deduplication. Lines of recurring templates are dropped.
+template if that many of them have it at the same place; others are variable fields too. Such a template needs
+`CONSTANT` of its tokens constant, one of them at least beyond the leading ones, which all lines of a leaf share; any
+other line is its own template. A template of fields alone is none.
 
-Only templates with at least `MIN_TOKENS` tokens of which `CONSTANT` are constant count. Lines travel as hashes; the
-texts of lines are shuffled once, those of large leaves alone while these are few enough to be sent to all tasks, and
-the documents once.
+A template recurs if it stands in `SUPPORT` different texts or more; its lines are dropped, whatever their length and
+neighbours. Equal texts count as one, so copies of a document keep their lines, however many they are, and are left to
+document deduplication.
 
-Edge cases: a null text stays null and has no lines; blank and short lines are kept; rows of equal text lose the same
-lines, whatever their ids; near copies are different texts; null ids are kept; other columns pass through; an empty
-table gives an empty result.
+Lines travel as hashes. What recurs is decided for each different line, after a partial count in each task; a line that
+stands in very many documents is a large key of one join alone, which Spark splits. The texts of lines are shuffled
+once, those of large leaves alone while these are few enough to be sent to all tasks, and the documents once.
+
+Edge cases: a null text stays null and has no lines; blank lines are kept; rows of equal text lose the same lines,
+whatever their ids; near copies are different texts; null ids are kept; other columns pass through, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,12 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, bind, stored
+from .common import SPACES, bind, discard, stored
 
-DEPTH, SUPPORT, MIN_TOKENS, CONSTANT = 3, 5, 5, 0.6
+DEPTH, SUPPORT, CONSTANT = 3, 5, 0.6
 FIELD = "<*>"
-#: The most large leaves, a number each, that are sent to all tasks: some 25 MB there.
-BROADCAST_LEAVES = 1_000_000
+#: The most leaves or lines, a number each, that are sent to all tasks: some 25 MB there.
+BROADCAST_KEYS = 1_000_000
 
 
 def masked(line: Column) -> Column:
@@ -48,10 +52,16 @@ def masked(line: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, mask, line, n, leaf) for each line of rows (row, text) with enough tokens."""
+    """(row, mask, line, n, leaf) for each line of rows (row, text) that has a token other than a field."""
     split = rows.select("row", F.explode(F.transform(F.split("text", "\n", -1), masked)).alias("mask"))
     n = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit(""))) + 1
-    return split.withColumn("n", n).filter(F.col("n") >= MIN_TOKENS).select("row", "mask", F.xxhash64("mask").alias("line"), "n", F.xxhash64("n", F.substring_index("mask", " ", DEPTH)).alias("leaf"))
+    solid = (F.col("mask") != "") & (~F.col("mask").contains(FIELD) | F.col("mask").rlike(r"(?<![^ ])(?!<\*>(?![^ ]))[^ ]"))
+    return split.filter(solid).withColumn("n", n).select("row", "mask", F.xxhash64("mask").alias("line"), "n", F.xxhash64("n", F.substring_index("mask", " ", DEPTH)).alias("leaf"))
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """keys with a broadcast hint after a count of them; more are shuffled."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def recurring_lines(rows: DataFrame, support: int = SUPPORT) -> DataFrame:
@@ -59,28 +69,32 @@ def recurring_lines(rows: DataFrame, support: int = SUPPORT) -> DataFrame:
     have one row."""
     lines = _lines(rows)
     seen = stored(lines.select("leaf", "line", "row").distinct())
-    large = stored(seen.select("leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") >= support).select("leaf"))
-    if large.count() <= BROADCAST_LEAVES:  # else the lines are shuffled to the leaves
-        large = F.broadcast(large)
-    # what is constant in large leaves
-    tokens = stored(lines.join(large, "leaf", "left_semi").groupBy("leaf", "line", "n").agg(F.min("mask").alias("mask")).select("leaf", "line", "n", F.posexplode(F.split("mask", " ")).alias("i", "token")).withColumn("token", F.when(F.col("token") != FIELD, F.xxhash64("token"))))
+    counted = stored(seen.groupBy("leaf", "line").agg(F.count("*").alias("rows")))
+    leaves = stored(counted.groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") >= support).select("leaf"))
+    # what is constant in large leaves; a line of at most DEPTH tokens is alone in its leaf
+    tokens = stored(lines.join(_few(leaves), "leaf", "left_semi").groupBy("leaf", "line", "n").agg(F.min("mask").alias("mask")).select("leaf", "line", "n", F.posexplode(F.split("mask", " ")).alias("i", "token")).withColumn("token", F.when(F.col("token") != FIELD, F.xxhash64("token"))))
     constant = tokens.filter("token is not null").groupBy("leaf", "i", "token").agg(F.count("*").alias("m")).filter(F.col("m") >= support).select("leaf", "i", "token")
-    shapes = tokens.join(constant, ["leaf", "i", "token"]).groupBy("leaf", "line", "n").agg(F.count("*").alias("fixed"), F.sum(F.xxhash64("i", "token").cast("decimal(38,0)")).alias("sum"))
-    general = shapes.filter(F.col("fixed") >= CONSTANT * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "sum", "fixed").alias("template"))
-    # a line without such a template is its own
-    placed = seen.join(general, ["leaf", "line"], "left").select("row", "line", F.coalesce("template", "line").alias("template"))
-    often = placed.groupBy("template").agg(F.count_distinct("row").alias("rows")).filter(F.col("rows") >= support).select("template")
-    return placed.join(often, "template").groupBy("row").agg(F.collect_set("line").alias("lines"))
-
-
-def drop_recurring_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", support: int = SUPPORT) -> DataFrame:
-    """docs with recurring lines cut from the text, and __n_lines and __n_dropped."""
-    keyed = docs.withColumn("__row", F.xxhash64(text_col))
-    gone = recurring_lines(keyed.select(F.col("__row").alias("row"), F.col(text_col).alias("text")), support=support).withColumnRenamed("row", "__row").withColumnRenamed("lines", "__lines")
-    joined = keyed.join(gone, "__row", "left")
-    all_ = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(all_, lambda x: ~F.array_contains(F.col("__lines"), F.xxhash64(masked(x))))
-    cut = joined.withColumn("__kept", F.when(F.col("__lines").isNotNull(), kept))
-    counts = {"__n_lines": F.coalesce(F.size(all_), F.lit(0)), "__n_dropped": F.coalesce(F.size(all_) - F.size("__kept"), F.lit(0))}
-    counted = cut.withColumns({c: F.when(F.col(text_col).isNull() | ((c == "__n_dropped") & F.col("__kept").isNull()), 0).otherwise(x).cast("long") for c, x in counts.items()})
-    return counted.withColumn(text_col, F.coalesce(F.array_join("__kept", "\n"), F.col(text_col))).drop("__row", "__lines", "__kept")
+    shapes = tokens.join(constant, ["leaf", "i", "token"]).groupBy("leaf", "line", "n").agg(F.count("*").alias("fixed"), F.sum(F.xxhash64("i", "token").cast("decimal(38,0)")).alias("sum"), F.max("i").alias("last"))
+    enough = (F.col("fixed") >= CONSTANT * F.col("n")) & (F.col("last") >= DEPTH)
+    general = stored(shapes.filter(enough).select("leaf", "line", F.xxhash64("leaf", "sum", "fixed").alias("template")))
+    # templates of several lines: their different documents
+    spread = seen.join(_few(general), ["leaf", "line"]).select("template", "row").distinct().groupBy("template").agg(F.count("*").alias("rows"))
+    often = spread.filter(F.col("rows") >= support).select("template")
+    alone = counted.filter(F.col("rows") >= support).select("leaf", "line")
+    gone = stored(alone.union(general.join(often, "template").select("leaf", "line")).distinct())
+    found = stored(seen.join(_few(gone), ["leaf", "line"], "left_semi").groupBy("row").agg(F.collect_set("line").alias("lines")))
+    discard(seen, counted, leaves, tokens, general, gone)
+    return found
+
+
+def drop_recurring_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", support: int = SUPPORT, n_lines: str = "__n_lines", n_dropped: str = "__n_dropped") -> DataFrame:
+    """docs with recurring lines cut from the text, and two counts under the given names."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{text_col}`").alias("row"))
+    gone = recurring_lines(whole.select("row", "text"), support=support)
+    all_ = F.split("text", "\n", -1)
+    kept = F.filter(all_, lambda x: ~F.array_contains(F.col("lines"), F.xxhash64(masked(x))))
+    cut = whole.join(gone, "row", "left").withColumn("kept", F.when(F.col("lines").isNotNull(), kept))
+    text = F.coalesce(F.array_join("kept", "\n"), F.col("text"))
+    counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(all_)), F.when(F.col("kept").isNull(), 0).otherwise(F.size(all_) - F.size("kept"))]
+    fields = [text.alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns]
+    return cut.select(*fields, *[x.cast("long").alias(c) for x, c in zip(counts, (n_lines, n_dropped), strict=True)])

@@ -11,7 +11,9 @@ have grown by that, all pairs of a bucket that are in different groups yet. Pair
 large groups of copies aren't paired and nothing is lost.
 
 Edge cases: null and blank texts have no shingle and are linked by their fingerprint, zero; texts under `shingle` words
-are one shingle; equal texts are one; rows are judged one by one; an empty table gives an empty result.
+are one shingle; equal texts are one; rows are judged one by one, so two texts with one doc_id are two documents; null
+ids are kept and name a group only if all its ids are null; extra columns pass through first_of_each(); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,11 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, stored, utf8
+from .common import cut_lineage, discard, stored, utf8
 from .components import connected_components
 from .simhash_dedup import SEED, STEP, link_fingerprints, signed
 
@@ -66,15 +68,15 @@ def marks_of(text: bytes, shingle: int) -> tuple[int, int, bytes, list[int]]:
     return int(np.packbits(2 * ones > len(parts), bitorder="little").view("<u8")[0]), len(once), ((least * _ODD) >> np.uint64(56)).astype(np.uint8).tobytes(), buckets.view(np.int64).tolist()
 
 
-MARKS = "doc_id long, key long, fp long, n long, sketch binary, buckets array<long>"
+MARKS = "doc_id long, row long, key long, fp long, n long, sketch binary, buckets array<long>"
 
 
 def _marker(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [marks_of(x, shingle) for x in utf8(batch.column(2))]
+            found = [marks_of(x, shingle) for x in utf8(batch.column(3))]
             columns = [pa.array([signed(x[0]) for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.binary()), pa.array([x[3] for x in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "key", "fp", "n", "sketch", "buckets"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names=["doc_id", "row", "key", "fp", "n", "sketch", "buckets"])
 
     return run
 
@@ -118,11 +120,17 @@ def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shingle:
     return stored(both.filter(exact_similarity(shingle)(F.col("text_a"), F.col("text_b")) >= SIMILAR).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
 
 
+def _row(docs: DataFrame) -> Column:
+    """What tells rows apart: a hash of all columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, component_id) for each row of docs; a component's name is its least doc_id."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    """(doc_id, row, component_id, root) for each row of docs: row is a hash of all its columns, root names its group,
+    component_id is the group's least doc_id."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row(docs).alias("row"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     marked = stored(texts.mapInArrow(_marker(shingle), MARKS))
-    rows, texts = marked.select("doc_id", "fp"), texts.select("key", "text")
+    rows, texts = marked.select("doc_id", "row", "fp"), texts.select("key", "text")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     once = marked.filter("n > 0").select("key", "fp", "n", "sketch")
     sketches = stored(once.dropDuplicates(["key"]))
@@ -138,6 +146,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     heads = at.filter("key = least").select("bucket", F.col("root").alias("head"))
     stars = at.join(heads, "bucket").filter("root != head").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
     links = links.union(_verified(stars, sketches, texts, shingle))
+    discard(rooted, at)
     rooted = stored(roots())
     at = shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "root")
     torn = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")
@@ -145,6 +154,19 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     x, y = (at.select("bucket", F.col("key").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
     rest = x.join(y, "bucket").filter("root_a < root_b").select("a", "b").distinct()
     links = links.union(_verified(rest, sketches, texts, shingle))
+    discard(rooted, at)
     rooted = stored(roots())
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(rooted.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "component_id")
+    found = stored(rows.join(rooted.join(names, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "row", "component_id", "root"))
+    discard(marked, prints, sketches, shared, rooted)
+    return found
+
+
+def first_of_each(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row of each group of near copies: of the least doc_id, and of its rows the one with the least hash."""
+    groups = near_copies(docs, shingle, text_col, id_col)
+    chosen = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("one")).select(F.col("one.row").alias("row"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), _row(docs).alias("row"))
+    # rows that are equal in all columns meet by the hash that the join has dealt them by
+    kept = whole.join(stored(chosen), "row", "left_semi").dropDuplicates(["row"])
+    return kept.select(*[F.col(f"doc.`{c}`") for c in docs.columns])

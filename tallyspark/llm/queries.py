@@ -27,8 +27,8 @@ def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+    cut = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), n_lines="n_lines", n_dropped="n_dropped")
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,29 +106,35 @@ SELECT call_id, conv_id, level, status, valid, copies,
        || substr(json_object('id', call_id, 'level', level, 'name', CASE WHEN valid THEN 'ask' END, 'result', content, 'status', status, 'valid', valid)::VARCHAR, 2) AS json
 FROM j""",
     "op4_line_dedup": r"""
-WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents),
-l AS (
-  SELECT doc_id, i, arr[i] AS line, list_filter([CASE WHEN i > 1 THEN arr[i - 1] END, CASE WHEN i < len(arr) THEN arr[i + 1] END], lambda x: x IS NOT NULL) AS around
+WITH texts AS (SELECT row_number() OVER () AS r, text FROM (SELECT DISTINCT text FROM documents)),
+d AS (SELECT r, string_split(text, chr(10)) AS arr FROM texts WHERE text IS NOT NULL),
+t AS (
+  SELECT r, i, arr[i] AS line, list_transform(string_split(regexp_replace(trim(arr[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
   FROM (SELECT *, unnest(range(1, len(arr) + 1)) AS i FROM d)
-), t AS (
-  SELECT *, list_transform(string_split(regexp_replace(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens FROM l
 ), m AS (
-  SELECT doc_id, i, line, around, array_to_string(tokens, ' ') AS mask, len(tokens) AS n, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM t
+  SELECT r, i, line, array_to_string(tokens, ' ') AS mask, len(tokens) AS n, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf, len(list_filter(tokens, lambda x: x NOT IN ('<*>', ''))) AS solid FROM t
 ), seen AS (
-  SELECT leaf, mask, n, doc_id, arg_min(around, i) AS around FROM m WHERE n >= 5 GROUP BY leaf, mask, n, doc_id
+  SELECT DISTINCT leaf, mask, n, r FROM m WHERE solid > 0
 ), big AS (
-  SELECT leaf FROM (SELECT DISTINCT leaf, mask FROM seen) GROUP BY leaf HAVING count(*) >= 5
+  SELECT leaf FROM seen GROUP BY leaf HAVING count(DISTINCT mask) >= 5
 ), tok AS (
   SELECT leaf, mask, n, p, string_split(mask, ' ')[p] AS token FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM (SELECT DISTINCT leaf, mask, n FROM seen SEMI JOIN big USING (leaf)))
 ), con AS (
   SELECT leaf, p, token FROM tok WHERE token <> '<*>' GROUP BY ALL HAVING count(*) >= 5
 ), shape AS (
-  SELECT leaf, mask, string_agg(p || ' ' || token, ' / ' ORDER BY p) AS s FROM tok JOIN con USING (leaf, p, token) GROUP BY leaf, mask, n HAVING count(*) >= 0.6::DOUBLE * n
+  SELECT leaf, mask, string_agg(p || ' ' || token, ' / ' ORDER BY p) AS s FROM tok JOIN con USING (leaf, p, token) GROUP BY leaf, mask, n HAVING count(*) >= 0.6::DOUBLE * n AND max(p) > 3
 ), placed AS (
-  SELECT doc_id, seen.mask, around, coalesce('leaf ' || seen.leaf || ': ' || s, seen.mask) AS template FROM seen LEFT JOIN shape ON seen.leaf = shape.leaf AND seen.mask = shape.mask
-), often AS (
-  SELECT template FROM (SELECT template, around, count(DISTINCT doc_id) AS docs FROM placed GROUP BY template, around) GROUP BY template HAVING count(*) >= 5 AND 2 * count(*) >= sum(docs)
-), gone AS (SELECT DISTINCT doc_id, mask, true AS goes FROM placed JOIN often USING (template))
-SELECT m.doc_id, count(*) AS n_lines, count(goes) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (goes IS NULL), '')) AS kept_sha256
-FROM m LEFT JOIN gone ON m.doc_id = gone.doc_id AND m.mask = gone.mask GROUP BY m.doc_id""",
+  SELECT r, seen.leaf, seen.mask, s FROM seen LEFT JOIN shape ON seen.leaf = shape.leaf AND seen.mask = shape.mask
+), spread AS (
+  SELECT leaf, s FROM placed WHERE s IS NOT NULL GROUP BY ALL HAVING count(DISTINCT r) >= 5
+), alone AS (
+  SELECT leaf, mask FROM placed GROUP BY ALL HAVING count(DISTINCT r) >= 5
+), gone AS (
+  SELECT DISTINCT r, mask, true AS goes FROM placed WHERE (leaf, mask) IN (SELECT (leaf, mask) FROM alone) OR (leaf, s) IN (SELECT (leaf, s) FROM spread)
+), cut AS (
+  SELECT m.r, count(*) AS n_lines, count(goes) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (goes IS NULL), '')) AS kept_sha256
+  FROM m LEFT JOIN gone ON m.r = gone.r AND m.mask = gone.mask GROUP BY m.r
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, kept_sha256
+FROM documents LEFT JOIN texts ON documents.text = texts.text LEFT JOIN cut USING (r)""",
 }

@@ -118,7 +118,7 @@ def test_line_dedup(spark):
     rows = {r.doc_id: r for r in line_dedup.drop_recurring_lines(frame(spark, texts)).collect()}
     for k in range(12):
         assert rows[k].text == "\n".join(own[k]) and rows[k]["__n_dropped"] == 2
-    assert rows[12].text is None and rows[13].text == "" and rows[14].text == texts[14]
+    assert rows[12].text is None and rows[13].text == "" and rows[14].text == texts[14] and rows[12]["__n_lines"] == 0 and rows[14]["__n_lines"] == 2
     assert all(rows[k].text == texts[k] for k in range(15, 23))  # copies keep their lines
     assert rows[0].words == "w" and rows[0]["__n_lines"] == 6
 
@@ -150,6 +150,18 @@ def test_lines_in_blocks_paragraphs_and_copies(spark):
     assert all(rows[k].text == f"{first}\n{last}" for k in range(24, 224))
 
 
+def test_short_lines_fields_and_long_texts(spark):
+    rnd = random.Random(21)
+    prose = lambda: " ".join("".join(rnd.choice("klmnopqrst") for _ in range(6)) for _ in range(9))
+    own = [prose() for _ in range(10)]
+    texts = [f"{own[k]}\nShare this page\n{k * 31}\nMenu\nwe do not {'abcdefghij'[k] * 4}" for k in range(10)]
+    long = "\n".join(prose() for _ in range(4000))
+    rows = {r.doc_id: r for r in line_dedup.drop_recurring_lines(frame(spark, [*texts, long + "\nMenu"])).collect()}
+    # short lines go; a line of fields alone and lines that share their leading tokens alone stay
+    assert all(rows[k].text == f"{own[k]}\n{k * 31}\nwe do not {'abcdefghij'[k] * 4}" for k in range(10))
+    assert rows[10].text == long and rows[10]["__n_dropped"] == 1
+
+
 # language
 
 
