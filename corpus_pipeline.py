@@ -1,7 +1,7 @@
 """The corpus pipeline: quality rules, line dedup, near-duplicate removal, decontamination and packing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs. Rows with
-the same document number are versions of one document to the near-duplicate stage, which keeps one row of each group.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs, so further
+columns pass through them. An empty table gives an empty result in each.
 """
 
 from __future__ import annotations
@@ -12,41 +12,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import decontamination, line_dedup, near_copies, packing, quality_rules
-from tallyspark.llm.common import stored, table
+from tallyspark.llm.common import discard, stored, table
 
 #: The near-duplicate stage's shingles, in words.
 NEAR_SHINGLE = 5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null and blank texts have no words and go; rows are judged one by one."""
     return docs.filter(quality_rules.quality(F.col("text"))["kept"])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of recurring templates; their n_chars follow."""
-    cut = line_dedup.drop_recurring_lines(docs)
-    return cut.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Documents without the lines of recurring templates; n_chars follows where a line went. No row goes."""
+    cut = line_dedup.drop_recurring_lines(docs.select(F.struct(*docs.columns).alias("doc"), "text"), n_dropped="n_dropped")
+    fields = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))}
+    return cut.select(*[fields.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest number: fingerprints within the operator's
-    radius, or shingle similarity of 0.8 or more."""
-    groups = near_copies.near_copies(docs, shingle=NEAR_SHINGLE)
-    first = stored(groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
-    nameless = docs.filter("doc_id is null")  # no group is named after them
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(nameless)
+    """One row of each group of near duplicates: fingerprints within the operator's radius, or shingle similarity of 0.8
+    or more. The least doc_id stays, null ids last; different texts of one doc_id are different documents; null and blank
+    texts are one group."""
+    return near_copies.first_of_each(docs, shingle=NEAR_SHINGLE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    leaks = decontamination.find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="__row").select(F.col("doc_id").alias("__row")).distinct()
-    return keyed.join(stored(leaks), "__row", "left_anti").select(*docs.columns)
+    """Documents without a passage of the benchmark. A row goes by its text, so null and repeated ids are no matter; null
+    texts stay, and all rows stay if the benchmark is empty."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), F.xxhash64("text").alias("key"))
+    leaks = decontamination.find_leaks(keyed.select("key", "text"), table(spark, sf_dir, "benchmark"), id_col="key").select(F.col("doc_id").alias("key")).distinct()
+    return keyed.join(stored(leaks), "key", "left_anti").select(*[F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences."""
+    """Pieces of packed sequences, of every row; a null text is the closing id alone."""
     return packing.pack(docs)
 
 
@@ -63,7 +63,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    docs = before = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        discard(before)  # of the tables, what stored() wrote
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
