@@ -89,12 +89,14 @@ def recurring_lines(rows: DataFrame, support: int = SUPPORT) -> DataFrame:
 
 def drop_recurring_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", support: int = SUPPORT, n_lines: str = "__n_lines", n_dropped: str = "__n_dropped") -> DataFrame:
     """docs with recurring lines cut from the text, and two counts under the given names."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{text_col}`").alias("row"))
-    gone = recurring_lines(whole.select("row", "text"), support=support)
-    all_ = F.split("text", "\n", -1)
+    text = F.col(f"doc.`{text_col}`")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.xxhash64(f"`{text_col}`").alias("row"))
+    # both sides grow with the documents, so the join is planned as one of two shuffled sides at every size
+    gone = recurring_lines(whole.select("row", text.alias("text")), support=support).hint("merge")
+    all_ = F.split(text, "\n", -1)
     kept = F.filter(all_, lambda x: ~F.array_contains(F.col("lines"), F.xxhash64(masked(x))))
     cut = whole.join(gone, "row", "left").withColumn("kept", F.when(F.col("lines").isNotNull(), kept))
-    text = F.coalesce(F.array_join("kept", "\n"), F.col("text"))
-    counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(all_)), F.when(F.col("kept").isNull(), 0).otherwise(F.size(all_) - F.size("kept"))]
-    fields = [text.alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns]
+    left = F.coalesce(F.array_join("kept", "\n"), text)
+    counts = [F.when(text.isNull(), 0).otherwise(F.size(all_)), F.when(F.col("kept").isNull(), 0).otherwise(F.size(all_) - F.size("kept"))]
+    fields = [left.alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns]
     return cut.select(*fields, *[x.cast("long").alias(c) for x, c in zip(counts, (n_lines, n_dropped), strict=True)])
