@@ -1,14 +1,17 @@
 """Language identification: a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of each letter run (a word; at most `LONGEST` bytes at a time, so long runs are read in
-pieces, whole) forwards and backwards and labels every byte; a document's log-probabilities are the mean of those of all
-its bytes. The state starts anew at each word, so equal words have equal labels: a task labels each distinct word once
-and looks repeats up in a bounded cache. Weights come from backpropagation through time in numpy on a bounded sample of
-labelled rows, the first `SAMPLE_ROWS` by hash among those that have at most `SAMPLE_CHARS` characters.
-
-Edge cases: a text that is null or without a letter is `und` with score 0; without a labelled row everything is; rows
-are judged one by one; extra columns stay out; ties go to the first language by name; an empty table gives an empty
-result.
+The network reads a text's bytes, spaces, digits and marks included, forwards and backwards and labels each of them; a
+document's log-probabilities are the mean of those of all its bytes. Its state runs on across words. So that a long text
+is read in parallel and in bounded memory, it is read in windows of `WINDOW` bytes, all of them, each with `RUN_IN` bytes
+on either side that set the state and aren't counted; a text that fits is one window.
+
+Weights come from backpropagation through time in numpy on a bounded sample of labelled rows: for each language the
+`SAMPLE_ROWS` rows with the least hashes, and of a longer text `SAMPLE_CHARS` characters from a hashed place on. Every
+language that has a labelled row is in the sample, however rare it is.
+
+Edge cases: a text that is null or without a letter (Unicode category L) is `und` with score 0; without a labelled row
+everything is; rows are judged one by one, repeated or not; extra columns stay out; ties go to the first language by
+name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,26 +28,24 @@ from pyspark.sql import functions as F
 
 from .common import first_by_hash, slices
 
-HIDDEN, LONGEST = 10, 24
-#: The bound of the training sample: rows, characters a row, words a language.
-SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_WORDS = 1500, 20_000, 12_000
-ROUNDS, BATCH, RATE = 700, 256, 0.02
-#: Words that a worker keeps labelled, and words labelled at once.
-CACHED, AT_ONCE = 400_000, 8192
+HIDDEN, WINDOW, RUN_IN = 8, 256, 24
+#: The bound of the training sample: rows a language and characters a row.
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 4_000
+#: Training: steps, windows a step, bytes of a window, and the first rate.
+ROUNDS, BATCH, LENGTH, RATE = 400, 160, 56, 0.02
+#: Windows that are labelled at once.
+AT_ONCE = 1024
 UNKNOWN = "und"
 
-#: Bytes that belong to words: ASCII letters in lower case and all beyond ASCII; others become spaces.
-FOLD = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-LETTER = re.compile(r"[^\W\d_]")
+#: Bytes as the network sees them: ASCII letters in lower case, digits as one.
+FOLD = bytes(b + 32 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256))
+_ASCII_LETTER = re.compile("[A-Za-z]")
 
 Weights = dict[str, np.ndarray]
 
 
-def words_of(text: bytes) -> list[bytes]:
-    found = text.translate(FOLD).split()
-    if max(map(len, found), default=0) <= LONGEST:
-        return found
-    return [w[k : k + LONGEST] for w in found for k in range(0, len(w), LONGEST)]
+def has_letter(text: str) -> bool:
+    return _ASCII_LETTER.search(text) is not None or (not text.isascii() and any(map(str.isalpha, text)))
 
 
 def start_weights(n_languages: int, rng: np.random.Generator) -> Weights:
@@ -60,82 +61,141 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _run(w: Weights, d: str, letters: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-    """The states after each column of letters (words, places) and what their gradients need."""
-    h, states, kept = np.zeros((len(letters), HIDDEN), np.float32), [], []
-    for t in range(letters.shape[1]):
-        x, a = w[f"x{d}"][letters[:, t]], h @ w[f"u{d}"]
-        gates = _sigmoid(x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
-        kept.append((h, z, r, n, a[:, 2 * HIDDEN :]))
-        h = n + z * (h - n)
-        states.append(h)
-    return np.stack(states), kept
-
-
-def label(w: Weights, letters: np.ndarray) -> np.ndarray:
-    """Log-probabilities (places, words, languages) for words of one length."""
-    forward, _ = _run(w, "f", letters)
-    backward, _ = _run(w, "b", letters[:, ::-1])
-    logits = forward @ w["vf"] + backward[::-1] @ w["vb"] + w["c"]
-    logits -= logits.max(axis=2, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))
+def _step(x: np.ndarray, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(new state, update, reset, candidate, what the candidate takes from the state)."""
+    a = h @ u
+    gates = _sigmoid(x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
+    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+    n = np.tanh(x[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
+    return n + z * (h - n), z, r, n, a[:, 2 * HIDDEN :]
+
+
+def _states(w: Weights, d: str, letters: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """The states at each place of letters (places, windows); at place t the first alive[t] windows have a byte. The
+    same steps as _step(), in place: labelling a table is nearly all made of them."""
+    half, wide = np.float32(0.5), 2 * HIDDEN
+    # sigmoid(x) = tanh(x / 2) / 2 + 1 / 2, the first half put into the weights
+    (gate_x, new_x), (gate_u, new_u) = ((np.ascontiguousarray(w[k + d][:, :wide]) * half, np.ascontiguousarray(w[k + d][:, wide:])) for k in "xu")
+    out = np.zeros((*letters.shape, HIDDEN), np.float32)
+    h, gates, drawn = np.zeros((letters.shape[1], HIDDEN), np.float32), np.empty((letters.shape[1], wide), np.float32), np.empty((letters.shape[1], wide), np.float32)
+    new, back = np.empty_like(h), np.empty_like(h)
+    places = range(len(alive)) if d == "f" else range(len(alive) - 1, -1, -1)
+    for t in places:
+        n = int(alive[t])
+        g, c, a, r, o = gates[:n], new[:n], drawn[:n], back[:n], out[t, :n]
+        np.take(gate_x, letters[t, :n], 0, out=g, mode="clip")
+        np.take(new_x, letters[t, :n], 0, out=c, mode="clip")
+        g += np.matmul(h[:n], gate_u, out=a)
+        np.tanh(g, out=g)
+        g *= half
+        g += half
+        np.matmul(h[:n], new_u, out=r)
+        r *= g[:, HIDDEN:]
+        c += r
+        np.tanh(c, out=c)
+        np.subtract(h[:n], c, out=o)
+        o *= g[:, :HIDDEN]
+        o += c
+        h[:n] = o
+    return out
+
+
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=-1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+
+
+def label_sums(w: Weights, windows: list[tuple[bytes, int, int]]) -> np.ndarray:
+    """For each (bytes, first, last) the summed log-probabilities of the bytes from first to before last."""
+    order = sorted(range(len(windows)), key=lambda k: -len(windows[k][0]))
+    lengths = np.array([len(windows[k][0]) for k in order])
+    most = int(lengths[0])
+    alive = np.searchsorted(-lengths, -np.arange(most), side="left")
+    letters = np.frombuffer(b"".join(windows[k][0].ljust(most, b"\0") for k in order), np.uint8).reshape(-1, most)
+    letters = np.ascontiguousarray(letters.T).astype(np.intp)
+    logits = _states(w, "f", letters, alive) @ w["vf"]
+    logits += _states(w, "b", letters, alive) @ w["vb"]
+    logits += w["c"]
+    place = np.arange(most)[:, None]
+    counted = (place >= np.array([windows[k][1] for k in order])) & (place < np.array([windows[k][2] for k in order]))
+    by_language = np.ascontiguousarray(logits.transpose(2, 0, 1))
+    top = by_language.max(axis=0)
+    by_language -= np.log(np.exp(by_language - top).sum(axis=0)) + top
+    sums = np.zeros((len(windows), len(by_language)))
+    sums[order] = (by_language * counted).sum(axis=1, dtype=np.float64).T
+    return sums
+
+
+def windows_of(text: bytes) -> Iterator[tuple[bytes, int, int]]:
+    """(bytes, first, last) of each window: what is read, and the part of it that counts."""
+    for s in range(0, len(text), WINDOW):
+        e = min(len(text), s + WINDOW)
+        low = max(0, s - RUN_IN)
+        yield text[low : e + RUN_IN], s - low, e - low
 
 
 def _back(w: Weights, d: str, letters: np.ndarray, kept: list[tuple], given: np.ndarray, grads: Weights) -> None:
     """Backpropagation through time; given: gradients of the states."""
-    gx, gu = grads[f"x{d}"], grads[f"u{d}"]
-    dh = np.zeros_like(given[0])
+    dh, by_place = np.zeros_like(given[0]), []
     for t in range(len(kept) - 1, -1, -1):
         h, z, r, n, a = kept[t]
         dh = dh + given[t]
         dn = dh * (1 - z) * (1 - n * n)
         dz = dh * (h - n) * z * (1 - z)
         dr = dn * a * r * (1 - r)
-        dx = np.concatenate([dz, dr, dn], axis=1)
+        by_place.append(np.concatenate([dz, dr, dn], axis=1))
         da = np.concatenate([dz, dr, dn * r], axis=1)
-        np.add.at(gx, letters[:, t], dx)
-        gu += h.T @ da
+        grads[f"u{d}"] += h.T @ da
         dh = dh * z + da @ w[f"u{d}"].T
+    # sums by byte
+    dx, at = np.concatenate(by_place[::-1]), letters.T.ravel()
+    order = np.argsort(at, kind="stable")
+    seen, first = np.unique(at[order], return_index=True)
+    grads[f"x{d}"][seen] += np.add.reduceat(dx[order], first, axis=0)
 
 
 def step_gradients(w: Weights, letters: np.ndarray, target: np.ndarray) -> tuple[float, Weights]:
-    """Loss and gradients of the mean negative log-probability of target at all places."""
-    forward, kept_f = _run(w, "f", letters)
-    backward, kept_b = _run(w, "b", letters[:, ::-1])
-    logits = forward @ w["vf"] + backward[::-1] @ w["vb"] + w["c"]
-    logits -= logits.max(axis=2, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=2, keepdims=True)
+    """Loss and gradients of the mean negative log-probability of target at all places of letters (windows, places)."""
+
+    def run(d: str, x: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        h, states, kept = np.zeros((len(x), HIDDEN), w["c"].dtype), [], []
+        for t in range(x.shape[1]):
+            new, *rest = _step(w[f"x{d}"][x[:, t]], h, w[f"u{d}"])
+            kept.append((h, *rest))
+            states.append(h := new)
+        return np.stack(states), kept
+
+    turned = letters[:, ::-1]
+    (forward, kept_f), (backward, kept_b) = run("f", letters), run("b", turned)
+    p = np.exp(_log_softmax(forward @ w["vf"] + backward[::-1] @ w["vb"] + w["c"]))
     rows = np.arange(len(target))
     loss = -float(np.log(p[:, rows, target] + 1e-9).mean())
     p[:, rows, target] -= 1
     p /= p.shape[0] * p.shape[1]
     grads = {k: np.zeros_like(v) for k, v in w.items()}
-    grads["c"] = p.sum(axis=(0, 1))
-    grads["vf"] = np.tensordot(forward, p, ((0, 1), (0, 1)))
-    grads["vb"] = np.tensordot(backward[::-1], p, ((0, 1), (0, 1)))
+    grads["c"] += p.sum(axis=(0, 1))
+    grads["vf"] += np.tensordot(forward, p, ((0, 1), (0, 1)))
+    grads["vb"] += np.tensordot(backward[::-1], p, ((0, 1), (0, 1)))
     _back(w, "f", letters, kept_f, p @ w["vf"].T, grads)
-    _back(w, "b", letters[:, ::-1], kept_b, (p @ w["vb"].T)[::-1], grads)
+    _back(w, "b", turned, kept_b, (p @ w["vb"].T)[::-1], grads)
     return loss, grads
 
 
-def fit(samples: list[tuple[bytes, int]], n_languages: int, seed: int = 7) -> Weights:
-    """Weights from (word, language number) pairs, by Adam on batches of words of one length, languages in balance."""
+def fit(texts: list[list[bytes]], seed: int = 7) -> Weights:
+    """Weights from the folded texts of each language, by Adam on windows that are drawn from all languages alike."""
     rng = np.random.default_rng(seed)
-    w = start_weights(n_languages, rng)
-    by: dict[int, list[tuple[bytes, int]]] = {}
-    for word, k in samples:
-        by.setdefault(len(word), []).append((word, k))
-    share = np.array([n * len(x) for n, x in by.items()], float)
-    lengths, share = list(by), share / share.sum()
-    packed = {n: (np.frombuffer(b"".join(x for x, _ in rows), np.uint8).reshape(-1, n), np.array([k for _, k in rows])) for n, rows in by.items()}
+    w = start_weights(len(texts), rng)
+    # a language's texts in a row, a blank between them, repeated where they are shorter than a window
+    data = []
+    for some in texts:
+        joined = b" ".join(some)
+        data.append(np.frombuffer(joined * (1 + LENGTH // max(1, len(joined))), np.uint8))
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     for i in range(1, ROUNDS + 1):
-        letters, target = packed[lengths[rng.choice(len(lengths), p=share)]]
-        some = rng.integers(0, len(target), BATCH)
-        _, grads = step_gradients(w, letters[some], target[some])
+        target = rng.integers(0, len(texts), BATCH)
+        starts = [int(rng.integers(0, len(data[k]) - LENGTH + 1)) for k in target]
+        letters = np.stack([data[k][s : s + LENGTH] for k, s in zip(target, starts, strict=True)])
+        _, grads = step_gradients(w, letters, target)
         rate = RATE * (1 - 0.9 * i / ROUNDS)
         for k, g in grads.items():
             m[k] += 0.1 * (g - m[k])
@@ -150,17 +210,16 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, Any]:
     """{languages, weights} from the bounded sample of rows that aren't held out."""
-    usable = docs.filter(~F.coalesce(held_out(F.col(id_col)), F.lit(False)) & F.col(lang_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
-    rows = first_by_hash(usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), ["id", "text", "lang"], SAMPLE_ROWS)
-    languages = sorted({r.lang for r in rows})
-    number, words = {x: k for k, x in enumerate(languages)}, {x: [] for x in languages}
-    for text, lang in dict.fromkeys((r.text, r.lang) for r in rows):
-        words[lang] += words_of(text.encode())
-    rng, samples = np.random.default_rng(3), []
-    for lang, found in words.items():
-        if found:
-            samples += [(found[k], number[lang]) for k in rng.integers(0, len(found), SAMPLE_WORDS)]
-    return {"languages": languages, "weights": fit(samples, len(languages)) if samples else {}}
+    usable = docs.filter(~F.coalesce(held_out(F.col(id_col)), F.lit(False)) & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
+    spare = F.greatest(F.length(text_col) - SAMPLE_CHARS, F.lit(0))
+    part = F.substr(F.col(text_col), F.pmod(F.xxhash64(text_col), spare + 1).cast("int") + 1, F.lit(SAMPLE_CHARS))
+    rows = first_by_hash(usable.select(F.col(id_col).alias("id"), part.alias("text"), F.col(lang_col).alias("lang")), ["id", "text"], SAMPLE_ROWS, by="lang")
+    by: dict[str, dict[bytes, None]] = {}
+    for r in rows:
+        if has_letter(r.text):
+            by.setdefault(r.lang, {})[r.text.encode().translate(FOLD)] = None
+    languages = sorted(by)
+    return {"languages": languages, "weights": fit([list(by[x]) for x in languages]) if languages else {}}
 
 
 PREDICTION = "lang_pred string, score double"
@@ -170,51 +229,24 @@ def predictor(model: dict[str, Any]):
     """text -> struct(lang_pred, score)."""
     languages, weights = model["languages"], model["weights"]
 
-    class Labels:
-        """Summed log-probabilities of words, labelled when first seen."""
-
-        def __init__(self) -> None:
-            self.at: dict[bytes, int] = {}
-            self.sums = np.zeros((CACHED, len(languages)), np.float32)
-
-        def learn(self, words: set[bytes]) -> None:
-            new = [w for w in words if w not in self.at]
-            if len(self.at) + len(new) > CACHED:
-                self.at, new = {}, list(words)
-                if len(new) > len(self.sums):
-                    self.sums = np.zeros((len(new), len(languages)), np.float32)
-            by: dict[int, list[bytes]] = {}
-            for x in new:
-                by.setdefault(len(x), []).append(x)
-            for n, found in by.items():
-                for k in range(0, len(found), AT_ONCE):
-                    some = found[k : k + AT_ONCE]
-                    at = len(self.at)
-                    self.sums[at : at + len(some)] = label(weights, np.frombuffer(b"".join(some), np.uint8).reshape(-1, n)).sum(axis=0)
-                    self.at.update(zip(some, range(at, at + len(some)), strict=True))
-
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        labels = Labels()
         for texts in batches:
-            names, scores = [], []
+            names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 1 << 22):
-                some = texts[a:b].to_pylist()
                 if not weights:
-                    names, scores = names + [UNKNOWN] * len(some), scores + [0.0] * len(some)
-                    continue
-                split = [words_of(x.encode()) if x is not None and LETTER.search(x) else [] for x in some]
-                labels.learn(set().union(*split))
-                for words in split:
-                    if not words:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    at = np.fromiter(map(labels.at.__getitem__, words), np.int64, len(words))
-                    mean = labels.sums[at].sum(axis=0, dtype=np.float64) / sum(map(len, words))
+                    break
+                some = [(a + k, x.encode().translate(FOLD)) for k, x in enumerate(texts[a:b].to_pylist()) if x is not None and has_letter(x)]
+                # all windows of these texts, longest first, so that a block's windows are about as long
+                windows = sorted(((row, x) for row, text in some for x in windows_of(text)), key=lambda x: -len(x[1][0]))
+                sums = np.zeros((b - a, len(languages)))
+                for k in range(0, len(windows), AT_ONCE):
+                    block = windows[k : k + AT_ONCE]
+                    np.add.at(sums, [row - a for row, _ in block], label_sums(weights, [x for _, x in block]))
+                for row, text in some:
+                    mean = sums[row - a] / len(text)
                     p = np.exp(mean - mean.max())
-                    k = int(p.argmax())
-                    names.append(languages[k])
-                    scores.append(float(p[k] / p.sum()))
+                    best = int(p.argmax())
+                    names[row], scores[row] = languages[best], float(p[best] / p.sum())
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
     predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -3,10 +3,11 @@
 A document's vector counts its byte pairs, hashed; its projection to three dimensions is a point of the unit cube, whose
 place on a Hilbert curve, followed by a hash that spreads equal points, is the sort key. The documents are range-sorted
 by that key, laid end to end, and cut every `length` tokens, so a sequence holds neighbours of the curve and only the
-very last one can need padding. The bounds of the ranges are quantiles of the keys, a number a range.
+very last one can need padding. The bounds of the ranges are quantiles of the keys, a number a range; a range is for
+`RANGE_BYTES` of text, so what a task sorts doesn't grow with the table until there are `MOST_RANGES`.
 
-The merges run in a compiled library that reads the tokenizer file's vocabulary; tests hold its ids against the
-tokenizer's own.
+The merges run in a compiled library that reads the tokenizer file's vocabulary and added tokens; tests hold its ids
+against the tokenizer's own.
 
 Edge cases: a null or empty text is the closing id alone; repeated rows and null ids are packed row by row, ordered by
 key and id; extra columns stay out; an empty table gives an empty result.
@@ -31,7 +32,8 @@ from pyspark.sql import types as T
 from .common import cut_lineage, slices, utf8
 
 LENGTH, CLOSING_ID = 1024, 0
-RANGES_PER_PARTITION = 4
+#: Text of a range, and the most ranges, a number each on the driver and in every task (beyond, ranges grow).
+RANGE_BYTES, MOST_RANGES = 24_000_000, 65_536
 #: Dimensions, bits of each on the curve, what a projection is stretched by, and bits of the spreading hash.
 DIMENSIONS, BITS, SPREAD, TIE_BITS = 3, 10, 2.5, 32
 
@@ -45,13 +47,24 @@ def _ranks(path: str) -> dict[bytes, int]:
     return {bytes(written[c] for c in token): k for token, k in vocabulary.items() if all(c in written for c in token)}
 
 
+def _special(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file, which are found in texts before any merge."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if odd := [t["content"] for t in added if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]:
+        raise ValueError(f"added tokens that take in what is around them: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
 def encoder(path: str) -> Callable[[str], list[int]]:
-    """A function from a text to its ids, without special tokens or the closing id."""
+    """A function from a text to its ids, without the tokens that a tokenizer adds or the closing id."""
     import tiktoken
 
-    ranks = _ranks(path)
-    ranks.pop(b"<|endoftext|>", None)
-    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    ranks, special = _ranks(path), _special(path)
+    for token in special:
+        ranks.pop(token.encode(), None)
+    coding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: coding.encode(text, allowed_special="all")
 
 
 def projection() -> np.ndarray:
@@ -127,20 +140,24 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_co
     """
     spark, path = docs.sparkSession, path or public_tokenizers.path("byte_bpe_50k.json")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, F.length(text_col)).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"), F.col(text_col).alias("text"))
-    ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    quantiles = rows.mapInArrow(place, KEYED).agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0]
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(MOST_RANGES, max(-(-size // RANGE_BYTES), spark.sparkContext.defaultParallelism))
+    quantiles = rows.mapInArrow(place, KEYED).agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], max(10_000, 8 * ranges))).first()[0]
     bounds = np.unique(np.array(quantiles or [], np.int64))
+    with open(path, encoding="utf-8") as f:
+        wide = max(json.load(f)["model"]["vocab"].values()) >= 1 << 16  # of ids
+    stored_ids = "<u4" if wide else "<u2"
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shrink = encoder(path), zstandard.ZstdCompressor(level=1)
         for names, texts, keys in _keys(batches):
-            ids = [array("H", [*encode(x or ""), CLOSING_ID]) for x in texts.to_pylist()]
+            ids = [array("I" if wide else "H", [*encode(x or ""), CLOSING_ID]) for x in texts.to_pylist()]
             packed = [shrink.compress(x.tobytes()) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [names, pa.array(keys), pa.array(np.searchsorted(bounds, keys)), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())], names=TOKENS.names
             )
 
-    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartition("bucket").sortWithinPartitions("bucket", "key", "doc_id"))
+    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartition(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", "key", "doc_id"))
     starts, total = {}, 0
     for bucket, n in sorted(laid.groupBy("bucket").agg(F.sum("n")).collect()):
         starts[bucket] = total
@@ -153,7 +170,7 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_co
             for doc, bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if bucket != now:
                     now, at = bucket, starts[bucket]
-                ids = np.frombuffer(expand.decompress(packed.as_py()), "<u2").astype("<u4")
+                ids = np.frombuffer(expand.decompress(packed.as_py()), stored_ids).astype("<u4")
                 start = 0
                 while start < len(ids):
                     n = min(len(ids) - start, length - at % length)

@@ -1,7 +1,13 @@
 """Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust their score.
 
+Base kinds (email, ip, card, phone) keep every valid match. The method proposes further kinds: account numbers (mod-97),
+15-digit cards (Luhn), French (mod-97) and Spanish (mod-23) person numbers, American ones, phones without a country
+code and dates. A match's score is its kind's, raised by words of the kind nearby and lowered by words that name other
+numbers; proposals that score less than `LEAST_SCORE` are dropped, so a bare date is nothing and one after "born" is
+personal. Proposals that overlap a base span are dropped too.
+
 A pattern's matches and the pieces between them come from two native functions; a match starts where the lengths of all
-pieces and matches before it add up to. Lookbehinds and possessive loops keep each scan linear in the text: a match can
+pieces and matches before it add up to. Lookarounds and possessive loops keep each scan linear in the text: a match can
 only start where a run starts or the last match ended.
 
 Edge cases: a null or empty text has no spans; rows are judged one by one, repeated or not; offsets count code points;
@@ -21,8 +27,11 @@ from .common import bind
 
 #: Characters before and after a match in which context words count.
 NEAR = 48
-#: Spans of the method that score less are dropped; base spans always stay.
-LEAST_SCORE = 0.5
+#: Spans of the method that score less, in hundredths, are dropped; base spans always stay.
+LEAST_SCORE = 50
+#: What words of the kind add to a score, and words of other numbers take.
+LIFT, DROP = 20, 30
+OTHER_NUMBERS = "order|invoice|version|isbn|serial|rechnung|factura|facture|article"
 
 
 def _digits(m: Column) -> Column:
@@ -71,21 +80,52 @@ def _account(m: Column) -> Column:
     return right & mod97(m)
 
 
+def _person_fr(m: Column) -> Column:
+    """Month 1 to 12, and a key that makes the number and its first 13 digits add up to 97 in remainders."""
+    body = F.substring(m, 1, 13).try_cast("long")
+    return F.substring(m, 4, 2).try_cast("int").between(1, 12) & (97 - F.pmod(body, F.lit(97)) == F.substring(m, 14, 2).try_cast("int"))
+
+
+# The check letters of Spanish person numbers, by remainder.
+CHECK_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
+
+
+def _person_es(m: Column) -> Column:
+    rest = F.pmod(F.substring(m, 1, 8).try_cast("long"), F.lit(23)).cast("int")
+    return F.right(m, F.lit(1)) == F.substr(F.lit(CHECK_LETTERS), rest + 1, F.lit(1))
+
+
+def _person_us(m: Column) -> Column:
+    area = F.substring(m, 1, 3)
+    return ~area.isin("000", "666") & ~area.startswith("9") & (F.substring(m, 5, 2) != "00") & (F.substring(m, 8, 4) != "0000")
+
+
+def _date(m: Column) -> Column:
+    return F.coalesce(m.try_cast("date"), F.try_to_date(F.translate(m, "/", "."), "d.M.yyyy")).isNotNull()
+
+
 class Kind(NamedTuple):
     name: str
     pattern: str
     valid: Callable[[Column], Column]
-    score: float  # of a valid match without context
+    score: int  # of a valid match without context, in hundredths
     context: str  # a pattern for nearby words, matched in lower case
     base: bool = True
 
 
+_START, _END = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
 KINDS = (
-    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), 0.8, "mail|contact|kontakt|correo|courriel"),
-    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"\bip\b|host|server|addr|adress|client"),
-    Kind("card", r"[0-9](?:[ -]?[0-9])++", lambda m: F.length(_digits(m)).between(16, 19) & luhn(_digits(m)), 0.7, "card|visa|karte|carte|tarjeta|credit|payment"),
-    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(8, 15), 0.6, "tel|phone|call|mobil|fax|anruf|llam"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", _account, 0.8, "iban|account|konto|compte|cuenta|bank", False),
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), 80, "mail|contact|kontakt|correo|courriel"),
+    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 60, "(^|[^a-z0-9])ip([^a-z0-9]|$)|host|server|addr|adress|client"),
+    Kind("card", r"[0-9](?:[ -]?[0-9])++", lambda m: F.length(_digits(m)).between(16, 19) & luhn(_digits(m)), 70, "card|visa|karte|carte|tarjeta|credit|payment"),
+    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(8, 15), 60, "tel|phone|call|mobil|fax|anruf|llam"),
+    Kind("iban", rf"{_START}[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}{_END}", _account, 80, "iban|account|konto|compte|cuenta|bank", False),
+    Kind("card15", rf"{_START}3[47][0-9]{{2}}[ -]?[0-9]{{6}}[ -]?[0-9]{{5}}{_END}", lambda m: luhn(_digits(m)), 45, "card|amex|karte|carte|tarjeta|credit|payment", False),
+    Kind("person_fr", rf"{_START}[12][0-9]{{14}}{_END}", _person_fr, 55, "nir|insee|secu|social|assur", False),
+    Kind("person_es", rf"{_START}[0-9]{{8}}-?[A-Z]{_END}", _person_es, 45, "dni|nif|documento|identidad|identity", False),
+    Kind("person_us", rf"{_START}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}", _person_us, 40, "ssn|social|security|taxpayer", False),
+    Kind("phone_local", rf"{_START}0[0-9]{{1,4}}[ /.-][0-9]{{3,4}}[ .-]?[0-9]{{3,5}}{_END}", lambda m: F.length(_digits(m)).between(9, 12), 35, "tel|phone|call|mobil|fax|anruf|llam", False),
+    Kind("birth", rf"{_START}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}[./][0-9]{{1,2}}[./](?:19|20)[0-9]{{2}}){_END}", _date, 35, "born|birth|geboren|geburt|nacid|nacim|naiss", False),
 )
 #: A match's place is summed in blocks of this many, so that many matches don't cost their square.
 SUM_BLOCK = 64
@@ -107,12 +147,12 @@ def _spans(text: Column, kind: Kind) -> Column:
             block = F.floor(i / SUM_BLOCK).cast("int")
             start = _total(blocks, F.lit(1), block) + _total(n, block * SUM_BLOCK + 1, F.pmod(i, F.lit(SUM_BLOCK))) + F.length(F.get(pieces, i))
             near = F.lower(F.concat(F.right(F.get(pieces, i), F.lit(NEAR)), F.lit(" "), F.left(F.get(pieces, i + 1), F.lit(NEAR))))
-            score = F.lit(kind.score) + F.when(near.rlike(kind.context), 0.2).otherwise(0.0)
+            score = kind.score + F.when(near.rlike(kind.context), LIFT).otherwise(0) - F.when(near.rlike(OTHER_NUMBERS), DROP).otherwise(0)
             return F.struct(m.alias("m"), start.alias("s"), (start + F.length(m)).alias("e"), score.alias("score"))
 
         found = F.transform(matches, one)
         keep = lambda x: kind.valid(x["m"]) if kind.base else kind.valid(x["m"]) & (x["score"] >= LEAST_SCORE)
-        return F.transform(F.filter(found, keep), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.round(x["score"], 2).alias("score")))
+        return F.transform(F.filter(found, keep), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), (x["score"] / F.lit(100.0)).alias("score")))
 
     none = F.array().cast("array<struct<s:int,e:int,score:double>>")
     # without a valid match there is nothing to place
@@ -121,14 +161,17 @@ def _spans(text: Column, kind: Kind) -> Column:
 
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_email, n_ip, n_card, n_phone, base_sha256, spans and scores (as spans, with =score)."""
-    clean = F.coalesce(F.col(text_col), F.lit(""))
+    clean = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     #: What a text must hold for a kind to be sought.
     needs = {"email": clean.contains("@"), "phone": clean.contains("+")}
     none = F.array().cast("array<struct<s:int,e:int,score:double>>")
-    found = docs.withColumns({f"__{k.name}": F.when(needs[k.name], _spans(clean, k)).otherwise(none) if k.name in needs else _spans(clean, k) for k in KINDS})
-    written = lambda k, score=False: F.transform(f"__{k.name}", lambda x: F.concat(F.lit(f"{k.name}:"), x["s"], F.lit(":"), x["e"], *([F.lit("="), x["score"].cast("string")] if score else [])))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[(F.when(needs[k.name], _spans(clean, k)).otherwise(none) if k.name in needs else _spans(clean, k)).alias(k.name) for k in KINDS])
+    base, more = [k.name for k in KINDS if k.base], [k.name for k in KINDS if not k.base]
+    taken = F.concat(*base)
+    clear = lambda x: ~F.exists("taken", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"]))
+    found = whole.withColumn("taken", taken).select("doc", *base, *[F.filter(k, clear).alias(k) for k in more])
+    written = lambda k, score=False: F.transform(k, lambda x: F.concat(F.lit(f"{k}:"), x["s"], F.lit(":"), x["e"], *([F.lit("="), x["score"].cast("string")] if score else [])))
     joined = lambda kinds, score=False: F.array_join(F.concat(*[written(k, score) for k in kinds]), ",")
-    base = [k for k in KINDS if k.base]
-    return found.withColumns(
-        {f"n_{k.name}": F.size(f"__{k.name}").cast("long") for k in base} | {"base_sha256": F.sha2(joined(base), 256), "spans": joined(KINDS), "scores": joined(KINDS, True)}
-    ).drop(*[f"__{k.name}" for k in KINDS])
+    every = [*base, *more]
+    added = {f"n_{k}": F.size(k).cast("long") for k in base} | {"base_sha256": F.sha2(joined(base), 256), "spans": joined(every), "scores": joined(every, True)}
+    return found.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in added], *[x.alias(c) for c, x in added.items()])

@@ -60,6 +60,49 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op4_line_dedup, op5_language_id, op6_secret_scan, op7_personal_data, op8_simhash_dedup, op9_decontamination, op10_chat_format)}
 
+def _personal_data_sql() -> str:
+    """Matches and the pieces between them, places as sums of their lengths, checks and scores kind by kind."""
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INT) ELSE (2 * CAST(x AS INT)) // 10 + (2 * CAST(x AS INT)) % 10 END)) % 10 = 0"
+    mod97 = "list_reduce(list_transform(string_split(substr(m, 5) || m[1:4], ''), lambda x: CASE WHEN x <= '9' THEN CAST(x AS INT) ELSE ascii(x) - 55 END), lambda a, x: CASE WHEN x < 10 THEN (a * 10 + x) % 97 ELSE (a * 100 + x) % 97 END) = 1"
+    account = " OR ".join(f"(m[1:2] = '{c}' AND length(m) = {n})" for c, n in personal_data.ACCOUNT_LENGTHS.items())
+    valid = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(m, '.'), lambda x: CAST(x AS HUGEINT) > 255)) = 0"),
+        "card": (r"[0-9](?:[ -]?[0-9])+", f"length({digits}) BETWEEN 16 AND 19 AND {luhn}"),
+        "phone": (r"\+[0-9][ ().0-9-]+[0-9]", f"length({digits}) BETWEEN 8 AND 15"),
+        "iban": (r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b", f"({account}) AND {mod97}"),
+        "card15": (r"\b3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}\b", luhn),
+        "person_fr": (r"\b[12][0-9]{14}\b", "CAST(m[4:5] AS INT) BETWEEN 1 AND 12 AND 97 - CAST(m[1:13] AS BIGINT) % 97 = CAST(m[14:15] AS INT)"),
+        "person_es": (r"\b[0-9]{8}-?[A-Z]\b", f"m[-1] = '{personal_data.CHECK_LETTERS}'[CAST(m[1:8] AS INT) % 23 + 1]"),
+        "person_us": (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "m[1:3] NOT IN ('000', '666') AND m[1] <> '9' AND m[5:6] <> '00' AND m[8:11] <> '0000'"),
+        "phone_local": (r"\b0[0-9]{1,4}[ /.-][0-9]{3,4}[ .-]?[0-9]{3,5}\b", f"length({digits}) BETWEEN 9 AND 12"),
+        "birth": (r"\b(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./](?:19|20)[0-9]{2})\b", "coalesce(try_cast(m AS DATE), try_strptime(replace(m, '/', '.'), '%d.%m.%Y')::DATE) IS NOT NULL"),
+    }
+    parts = []
+    for n, k in enumerate(personal_data.KINDS):
+        pattern, check = valid[k.name]
+        parts.append(f"""SELECT r, {n} AS o, '{k.name}' AS kind, {str(k.base).lower()} AS base, s, s + length(m) AS e, {k.score} + CASE WHEN regexp_matches(near, '{k.context}') THEN 20 ELSE 0 END - CASE WHEN regexp_matches(near, '{personal_data.OTHER_NUMBERS}') THEN 30 ELSE 0 END AS score
+  FROM (SELECT r, ms[i] AS m, coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) + list_sum(list_transform(ps[1:i], lambda x: length(x))) AS s, lower(right(ps[i], 48) || ' ' || left(ps[i + 1], 48)) AS near
+        FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d)))
+  WHERE {check}""")
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in ("email", "ip", "card", "phone"))
+    union = "\n  UNION ALL ".join(parts)
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+f AS (
+  {union}
+), kept AS (
+  SELECT * FROM f WHERE base OR (score >= 50 AND NOT EXISTS (SELECT 1 FROM f g WHERE g.base AND g.r = f.r AND f.s < g.e AND g.s < f.e))
+), j AS (
+  SELECT r, {counts}, string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY o, s) FILTER (base) AS b,
+         string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY o, s) AS spans, string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) || '=' || CAST(score / 100.0 AS DOUBLE), ',' ORDER BY o, s) AS scores
+  FROM kept GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN j USING (r)"""
+
+
 WORD, STOP = r"[^\x20\x09-\x0D]+", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 ORACLES: dict[str, str] = {
@@ -105,6 +148,7 @@ SELECT call_id, conv_id, level, status, valid, copies,
        '{"arguments":' || CASE WHEN valid THEN json_object('prompt', text, 'turn', turn)::VARCHAR ELSE 'null' END || ','
        || substr(json_object('id', call_id, 'level', level, 'name', CASE WHEN valid THEN 'ask' END, 'result', content, 'status', status, 'valid', valid)::VARCHAR, 2) AS json
 FROM j""",
+    "op7_personal_data": _personal_data_sql(),
     "op4_line_dedup": r"""
 WITH texts AS (SELECT row_number() OVER () AS r, text FROM (SELECT DISTINCT text FROM documents)),
 d AS (SELECT r, string_split(text, chr(10)) AS arr FROM texts WHERE text IS NOT NULL),

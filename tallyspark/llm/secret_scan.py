@@ -1,16 +1,19 @@
 """Secret scans: base patterns, and formats learned from them by grammar inference.
 
-Values that the base patterns match are the labelled credentials. Each kind's values, written as classes of characters,
-make a prefix tree with counts; states whose ends and next classes differ by no more than Hoeffding's bound are merged,
-so the tree becomes a probabilistic automaton. Every long token with letters and digits, wherever it stands, is then
-scored at its whole length by its log-likelihood a character under each automaton, less that under single characters of
-ordinary tokens; a token that reaches an automaton's bar is a span of kind `format`, unless it overlaps a base span.
-
-An automaton's bar is the score that `RECALL` of its labelled values held out of training (every fourth) reach, and
-`LEAST_BAR` at least. Unlabelled text has no part in it, so an unlabelled secret in the sample can't raise it.
+Values that the base patterns match are the labelled credentials. A value is written as symbols: between marks each run
+of letters and digits gets the narrowest set of characters that holds it (`SETS`: digits, hexadecimal, capitals and so
+on), so the symbols tell a format's alphabets and lengths, whatever its random characters are. Each kind's values make a
+prefix tree with counts; states whose ends and next symbols differ by no more than Hoeffding's bound, below them too,
+are merged, so the tree becomes a probabilistic automaton: fixed lengths stay a chain of states, free ones become loops.
+
+Every token of `SHORTEST` characters or more, wherever it stands and however long it is, is then scored by its
+log-likelihood a character under each automaton, less that under single symbols of ordinary tokens. A token that reaches
+an automaton's bar is a span of kind `format`, unless it overlaps a base span. The bar is `SLACK` of the score that
+`RECALL` of the automaton's labelled values held out of training (every fourth) reach, and `LEAST_BAR` at least.
+Unlabelled text has no part in it, so an unlabelled secret in the sample can't raise it.
 
 The labelled sample is bounded: the first `SAMPLE_ROWS` by hash of the rows that match a base pattern and have at most
-`SAMPLE_CHARS` characters, and `SAMPLE_VALUES` values a kind. Base spans need no sample.
+`SAMPLE_CHARS` characters, and `SAMPLE_VALUES` values a kind. Base spans need no sample, and scoring takes whole texts.
 
 Edge cases: a null or empty text has no spans; without labelled values no span is added; rows are judged one by one,
 repeated or not; offsets count code points; extra columns stay out; an empty table gives an empty result.
@@ -42,18 +45,25 @@ LABELLED = r"(?i:passw|secret|token|api_?key)[a-z]*[\"']?\x20*[:=]|AKIA[A-Z0-9]{
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_VALUES = 1500, 20_000, 250
 #: The least length of a token to score.
 SHORTEST = 20
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
-#: Confidence of the merge test, and the lowest bar in nats a character.
-ALPHA, LEAST_BAR = 0.05, 0.3
-#: The share of held-out values that reach the bar.
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?<![A-Za-z0-9+/_=-]\.)[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
+#: Confidence of the merge test, the lowest bar in nats a character, and the share of the held-out score that a bar is.
+ALPHA, LEAST_BAR, SLACK = 0.05, 0.3, 0.8
+#: The share of held-out values that reach that score.
 RECALL = 0.95
-#: Classes of characters and their sizes.
-SIZES = {"d": 10, "f": 6, "l": 20, "U": 26, "s": 6}
-_CLASS = {c: "d" if c.isdigit() else "f" if c in "abcdef" else "l" if c.islower() else "U" if c.isupper() else "s" for c in "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_.=-"}
+#: Symbols and how many characters each stands for: digits, lower-case hexadecimal, capitals, lower case, a capitalised
+#: word, capitals and digits, lower case and digits, any letters, any letters and digits, marks.
+SETS = (("d", r"[0-9]+", 10), ("h", r"(?=[a-f]*[0-9])[0-9a-f]+", 16), ("U", r"[A-Z]+", 26), ("l", r"[a-z]+", 26), ("C", r"[A-Z][a-z]+", 26), ("A", r"[A-Z0-9]+", 36), ("n", r"[a-z0-9]+", 36), ("L", r"[A-Za-z]+", 52), ("m", r"[A-Za-z0-9]+", 62), ("s", r"[+/_.=-]+", 6))
+SIZES = {name: size for name, _, size in SETS}
+_RUN = re.compile("|".join(f"(?P<{name}>{pattern}(?![A-Za-z0-9]))" if name != "s" else f"(?P<s>{pattern})" for name, pattern, _ in SETS))
 
 
 def classes_of(token: str) -> str:
-    return "".join(_CLASS.get(c, "s") for c in token)
+    """The symbols of a token, one a character; other characters count as marks."""
+    out, last = [], 0
+    for m in _RUN.finditer(token):
+        out.append("s" * (m.start() - last) + m.lastgroup * len(m[0]))
+        last = m.end()
+    return "".join(out) + "s" * (len(token) - last)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -159,13 +169,13 @@ class Formats:
         apart = {k: sorted(v, key=lambda x: hashlib.sha256(x.encode()).digest()) for k, v in sorted(values.items()) if v}
         held = {k: v[::4] if len(v) > 3 else v for k, v in apart.items()}
         self.automata = {k: Automaton([classes_of(x) for n, x in enumerate(v) if n % 4 or len(v) <= 3]) for k, v in apart.items()}
-        rate = Counter("dflUs") + Counter(c for x in ordinary for c in classes_of(x))
+        rate = Counter("".join(SIZES)) + Counter(c for x in ordinary for c in classes_of(x))
         total = rate.total()
         self.rate = {c: math.log(n / total) - math.log(SIZES[c]) for c, n in rate.items()}
         self.bars = {}
         for k, v in held.items():
             reached = sorted(self.scores(x)[k] for x in v)
-            self.bars[k] = max(LEAST_BAR, reached[math.floor((1 - RECALL) * len(reached))])
+            self.bars[k] = max(LEAST_BAR, SLACK * reached[math.floor((1 - RECALL) * len(reached))])
 
     def scores(self, token: str) -> dict[str, float]:
         classes = classes_of(token)
@@ -177,10 +187,6 @@ class Formats:
         return max((x for k, x in self.scores(token).items() if x >= self.bars[k]), default=None)
 
 
-def is_candidate(token: str) -> bool:
-    return len(token) >= SHORTEST and any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-
-
 def all_spans(text: str, formats: Formats | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
     """(base spans, added spans with scores), each by start and kind."""
     base = base_spans(text)
@@ -189,7 +195,7 @@ def all_spans(text: str, formats: Formats | None) -> tuple[list[tuple[int, int,
         base += [(m.start(), m.end(), "hex", m[0]) for m in PATTERNS["hex"].finditer(text)]
         if formats is not None and formats.automata:
             for m in TOKEN.finditer(text):
-                if is_candidate(m[0]) and not any(s < m.end() and m.start() < e for s, e, *_ in base) and (value := formats.score(m[0])) is not None:
+                if m.end() - m.start() >= SHORTEST and not any(s < m.end() and m.start() < e for s, e, *_ in base) and (value := formats.score(m[0])) is not None:
                     added.append((m.start(), m.end(), "format", value))
     order = {k: n for n, k in enumerate((*KINDS, "format"))}
     return sorted(((s, e, k) for s, e, k, _ in base), key=lambda x: (x[0], order[x[2]])), added
@@ -200,7 +206,7 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Fo
     usable = docs.filter((F.length(text_col) <= SAMPLE_CHARS) & F.col(text_col).rlike(LABELLED))
     rows = first_by_hash(usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ["id", "text"], SAMPLE_ROWS)
     values: dict[str, dict[str, None]] = defaultdict(dict)
-    ordinary: list[str] = []
+    ordinary: list[str] = []  # tokens outside labelled values
     for text in dict.fromkeys(r.text for r in rows):
         base = base_spans(text) + [(m.start(), m.end(), "hex", m[0]) for m in PATTERNS["hex"].finditer(text)]
         for _, _, kind, value in base:

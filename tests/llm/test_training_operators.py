@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and its edge cases."""
 
+import datetime
 import hashlib
 import json
 import random
@@ -78,7 +79,6 @@ def test_quality_edges(spark):
 def test_packing_round_trip(spark):
     texts = [*EDGES, "Hello  world,\n I'm <|endoftext|> here ² 日本 " * 400, *["Some text number %d." % k for k in range(50)]]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
     rows = packing.pack(frame(spark, texts), with_ids=True).collect()
     got, sequences = {}, {}
@@ -168,7 +168,7 @@ def test_short_lines_fields_and_long_texts(spark):
 def test_gradients():
     rng = np.random.default_rng(0)
     w = {k: v.astype(np.float64) for k, v in language_id.start_weights(3, rng).items()}
-    letters, target = rng.integers(97, 105, (5, 6)), rng.integers(0, 3, 5)
+    letters, target = rng.integers(97, 105, (5, 6)).astype(np.uint8), rng.integers(0, 3, 5)
     _, grads = language_id.step_gradients(w, letters, target)
     for k, v in w.items():
         at = (int(letters[0, 1]), 4) if k[0] == "x" else tuple(n // 2 for n in v.shape)
@@ -181,9 +181,53 @@ def test_gradients():
         assert abs((up - down) / 2 / e - grads[k][at]) < 1e-7
 
 
+def brute_language(model, text):
+    """(language, score) of a text by a byte-at-a-time network."""
+    w, n = model["weights"], language_id.HIDDEN
+    data = [48 if 48 <= b <= 57 else b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+
+    def states(d, part):
+        h, out = np.zeros(n), []
+        for b in part:
+            x, a = w[f"x{d}"][b].astype(float), h @ w[f"u{d}"]
+            z, r = 1 / (1 + np.exp(-(x[:n] + a[:n]))), 1 / (1 + np.exp(-(x[n : 2 * n] + a[n : 2 * n])))
+            h = z * h + (1 - z) * np.tanh(x[2 * n :] + r * a[2 * n :])
+            out.append(h)
+        return out
+
+    total = 0
+    for s in range(0, len(data), 256):
+        low, high = max(0, s - 24), min(len(data), s + 280)
+        forward, backward = states("f", data[low:high]), states("b", data[low:high][::-1])[::-1]
+        for k in range(s, min(len(data), s + 256)):
+            logits = forward[k - low] @ w["vf"] + backward[k - low] @ w["vb"] + w["c"]
+            total = total + logits - np.log(np.exp(logits).sum())
+    p = np.exp(total / len(data))
+    return model["languages"][int(p.argmax())], p.max() / p.sum()
+
+
+def test_language_predictions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.train(docs)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(25).collect()] + ["a", "The 12 and <b>", "é", "und " * 300, "x" * 257]
+    got = {r.doc_id: r.p for r in frame(spark, texts).select("doc_id", language_id.predictor(model)(F.col("text")).alias("p")).collect()}
+    for k, t in enumerate(texts):
+        name, score = brute_language(model, t)
+        assert got[k].lang_pred == name and abs(got[k].score - score) < 1e-3
+
+
+def test_rare_languages_are_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rare = spark.createDataFrame([(8, "qzxv wkzq vvzx qqkz " * 900, "xx")], "doc_id long, text string, lang string")
+    model = language_id.train(docs.union(rare))
+    assert "xx" in model["languages"]
+    assert rare.select(language_id.predictor(model)(F.col("text")).alias("p")).first().p.lang_pred == "xx"
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    extra = spark.createDataFrame([(10**6, None, "en"), (10**6 + 1, "12 34 !", "en"), (10**6 + 2, "", None)], "doc_id long, text string, lang string")
+    odd = [None, "12 34 !", "", "½ ²", "①", "Ⅷ ٣", "\u0301"]
+    extra = spark.createDataFrame([(10**6 + k, t, "en") for k, t in enumerate(odd)], "doc_id long, text string, lang string")
     found = language_id.identify_languages(docs.select("doc_id", "text", "lang").union(extra)).join(docs.select("doc_id", "lang"), "doc_id", "left").collect()
     held = [r for r in found if r.held_out and r.lang]
     assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
@@ -239,6 +283,51 @@ def test_long_secrets(spark):
     assert found[80].spans == "format:20:920"
 
 
+def brute_formats(text, formats):
+    """Added spans: tokens found character by character, scored by a walk through each automaton."""
+    t, out, letters = text or "", [], set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+    base = [(m.start(), m.end()) for k, p in secret_scan.PATTERNS.items() for m in p.finditer(t) if len(m[0] if k != "assign" else m[2]) >= {"assign": 6, "access": 20, "hex": 24}[k]]
+    k = 0
+    while k < len(t):
+        e = k
+        while e < len(t) and (t[e] in letters or (e > k and t[e] == "." and e + 1 < len(t) and t[e + 1] in letters)):
+            e += 1
+        if e - k >= 20 and not any(s < e and k < f for s, f in base):
+            symbols, reached = secret_scan.classes_of(t[k:e]), False
+            for name, a in formats.automata.items():
+                state, total = 0, 0.0
+                for c in symbols:
+                    known, _, unseen = a.table[state]
+                    total += known[c][0] if c in known else unseen - np.log(secret_scan.SIZES[c])
+                    state = known[c][1] if c in known else state
+                score = (total + a.table[state][1] - sum(formats.rate[c] for c in symbols)) / (e - k)
+                reached |= score >= formats.bars[name]
+            if reached:
+                out.append(f"format:{k}:{e}")
+        k = max(e, k + 1)
+    return out
+
+
+def test_planted_secrets_are_found(spark):
+    rnd = random.Random(31)
+    pick = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    prose = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(300).collect()]
+    secret = lambda k: pick(mixed, 40) if k % 2 else ".".join((pick(mixed, 24), pick(mixed, 30), pick(mixed, 43)))
+    texts = [f"{t} api_key={secret(k)}" if k < 120 else t for k, t in enumerate(prose)]
+    planted = {k: secret(k) for k in range(150, 250)}
+    texts = [f"{t} see {planted[k]} and (Donaudampfschifffahrtsgesellschaft or www.example.org/some/long/path/here)" if k in planted else t for k, t in enumerate(texts)]
+    docs = frame(spark, texts)
+    formats = secret_scan.learn(docs)
+    assert len(formats.automata["assign"].table) > 20  # lengths are kept as states
+    rows = {r.doc_id: r.spans for r in secret_scan.find_secrets(docs, formats).collect()}
+    added = {k: [x for x in rows[k].split(",") if x.startswith("format")] for k in rows}
+    assert added == {k: brute_formats(t, formats) for k, t in enumerate(texts)}
+    right = {k: f"format:{texts[k].index(x)}:{texts[k].index(x) + len(x)}" for k, x in planted.items()}
+    assert sum(right[k] in added[k] for k in right) >= 0.9 * len(right)
+    assert sum(map(len, added.values())) <= 1.05 * len(right)
+
+
 def test_automaton_merges():
     a = secret_scan.Automaton(["UU" + "d" * n for n in range(4, 40)] * 3)
     assert len(a.table) < 12
@@ -265,15 +354,63 @@ def brute_personal(text):
     return [len(x) for x in out], hashlib.sha256(",".join(sum(out, [])).encode()).hexdigest()
 
 
+def brute_added(text):
+    """Spans of the further kinds, by Python's own patterns, dates and sums."""
+    t, out, base = text or "", [], []
+    for pattern, valid in ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True), (r"[0-9]+(\.[0-9]+){3}", lambda m: all(int(x) <= 255 for x in m.split("."))), (r"[0-9]([ -]?[0-9])+", lambda m: 16 <= len(re.sub("[^0-9]", "", m)) <= 19 and brute_luhn(m)), (r"\+[0-9][ ().0-9-]+[0-9]", lambda m: 8 <= len(re.sub("[^0-9]", "", m)) <= 15)):
+        base += [m.span() for m in re.finditer(pattern, t) if valid(m[0])]
+
+    def account(m):
+        turned = "".join(str(int(c, 36)) for c in m[4:] + m[:4])
+        return len(m) == personal_data.ACCOUNT_LENGTHS.get(m[:2]) and int(turned) % 97 == 1
+
+    def day(m):
+        for form in ("%Y-%m-%d", "%d.%m.%Y"):
+            try:
+                return bool(datetime.datetime.strptime(m.replace("/", "."), form))
+            except ValueError:
+                pass
+        return False
+
+    for kind, score, pattern, context, valid in (
+        ("iban", 80, r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", "iban|account|konto|compte|cuenta|bank", account),
+        ("card15", 45, r"3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}", "card|amex|karte|carte|tarjeta|credit|payment", brute_luhn),
+        ("person_fr", 55, r"[12][0-9]{14}", "nir|insee|secu|social|assur", lambda m: 1 <= int(m[3:5]) <= 12 and int(m[:13]) % 97 + int(m[13:]) == 97),
+        ("person_es", 45, r"[0-9]{8}-?[A-Z]", "dni|nif|documento|identidad|identity", lambda m: "TRWAGMYFPDXBNJZSQVHLCKE"[int(m[:8]) % 23] == m[-1]),
+        ("person_us", 40, r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "ssn|social|security|taxpayer", lambda m: m[:3] not in ("000", "666") and m[0] != "9" and m[4:6] != "00" and m[7:] != "0000"),
+        ("phone_local", 35, r"0[0-9]{1,4}[ /.-][0-9]{3,4}[ .-]?[0-9]{3,5}", "tel|phone|call|mobil|fax|anruf|llam", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 12),
+        ("birth", 35, r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./](?:19|20)[0-9]{2})", "born|birth|geboren|geburt|nacid|nacim|naiss", day),
+    ):
+        found = list(re.finditer(rf"(?<![A-Za-z0-9_]){pattern}(?![A-Za-z0-9_])", t))
+        for n, m in enumerate(found):
+            low, high = found[n - 1].end() if n else 0, found[n + 1].start() if n + 1 < len(found) else len(t)
+            near = f"{t[max(low, m.start() - 48) : m.start()]} {t[m.end() : min(high, m.end() + 48)]}".lower()
+            value = score + 20 * bool(re.search(context, near)) - 30 * bool(re.search("order|invoice|version|isbn|serial|rechnung|factura|facture|article", near))
+            if valid(m[0]) and value >= 50 and not any(s < m.end() and m.start() < e for s, e in base):
+                out.append(f"{kind}:{m.start()}:{m.end()}={value / 100}")
+    return out
+
+
+def brute_luhn(m):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(re.sub("[^0-9]", "", m)))) % 10 == 0
+
+
 def test_personal_data(spark):
     texts = [*EDGES, "a@b.c.d@e.f x@y.com_foo@z.org a@b@c.d ..@x.y a@b.c..d@e.f", "1.2.3.4.5.6.7 256.1.1.1 0255.01.1.1 9999999999999.1.1.1 é 10.0.0.1", "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111", "+1 (555) 123-4567 +49.30.1234567- x +1 2 +123456789012345678", "+1 234 567 89 " * 300, "é@x.yz" * 400, "a" * 20000 + "@", " 1-2" * 4000]
+    fill = " and so on for many more words that say nothing at all "
+    texts += [fill.join(["amex card 378282246310005", "378282246310005", "NIR 255081416802538 x", "255081416802538", "invoice 255081416802538", "ssn 123-45-6789", "123-45-6789", "ssn 000-45-6789", "DNI: 12345678Z", "12345678Z", "DNI 12345678A"])]
+    texts += [fill.join(["call 030 123 4567", "030 123 4567", "tel +44 0171 555 1234", "born 1990-02-30", "born 1990-02-03", "1990-02-03", "geboren am 3.2.1990", "order 3.2.1990 born", "né: naissance 13/12/1988", "FR7630006000011234567890189 GB82WEST12345698765432 GB83WEST12345698765432"])]
     texts.append("iban DE89370400440532013000 and DE88370400440532013000")
     rows = {r.doc_id: r for r in personal_data.find_personal_data(frame(spark, texts)).collect()}
     for k, t in enumerate(texts):
         n, digest = brute_personal(t)
         assert ([rows[k].n_email, rows[k].n_ip, rows[k].n_card, rows[k].n_phone], rows[k].base_sha256) == (n, digest), t[:50]
+        added = [x for x in rows[k].scores.split(",") if x and x.split(":")[0] not in ("email", "ip", "card", "phone")]
+        assert added == brute_added(t)
+        assert [x.split("=")[0] for x in rows[k].scores.split(",")] == rows[k].spans.split(",")
+    assert [len(brute_added(t)) for t in texts[-3:]] == [5, 6, 1]
     last = rows[len(texts) - 1]
-    assert last.spans == "iban:5:27" and last.scores == "iban:5:27=1.0"
+    assert last.spans == "iban:5:27" and last.scores == "iban:5:27=1.0" and last.words == "w"
 
 
 # near duplicates
