@@ -25,9 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates; n_chars follows where a line went. No row goes."""
-    cut = line_dedup.drop_recurring_lines(docs.select(F.struct(*docs.columns).alias("doc"), "text"), n_dropped="n_dropped")
-    fields = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))}
-    return cut.select(*[fields.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    cut = line_dedup.drop_recurring_lines(docs, n_lines="line_dedup n_lines", n_dropped="line_dedup n_dropped")
+    n_chars = F.when(F.col("line_dedup n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
