@@ -1,51 +1,93 @@
-"""Column functions over data addresses: identifiers, versions and request addresses."""
+"""Column functions over data addresses: identifiers, versions and request addresses.
 
-from __future__ import annotations
+An address is read as its parts between slashes. The dataflow stands in one part with the agency and its version, with
+commas between them, or in the parts after the agency's.
+"""
 
-from collections.abc import Mapping
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The agency, the services and what a request asks for.
+# The agency, the services, the format that is asked for and the first year of an open range.
 AGENCY = "OECD.DCD.FSD"
 BASE_V1 = "https://sdmx.oecd.org/public/rest/data/"
 BASE_V2 = "https://sdmx.oecd.org/public/rest/v2/data/dataflow/"
 BASE_PROJECTS = "https://sdmx.oecd.org/dcd-public/rest/data/"
-SHAPE = {"dimensionAtObservation": "AllDimensions"}
-FORMAT = {"format": "csvfilewithlabels"}
+FORMAT = "csvfilewithlabels"
+FIRST_YEAR = 1950
+
+
+def _parts(url: Column) -> Column:
+    return F.split(url, "/")
+
+
+def _listed(url: Column) -> Column:
+    """The fields of the part that begins with the agency and a comma; null where there is none."""
+    return F.split(F.get(F.filter(_parts(url), lambda p: p.startswith(f"{AGENCY},")), F.lit(0)), ",")
 
-_AGENCY = AGENCY.replace(".", r"\.")
-_COMMA_VERSION, _SLASH_VERSION = r",(\d+\.\d+)/", r"/(\d+\.\d+)/"
 
+def _seat(url: Column) -> Column:
+    """The place of the part after the agency's, from 0; null where the agency isn't a part."""
+    at = F.array_position(_parts(url), AGENCY).cast("int")
+    return F.when(at > 0, at)
 
-def _found(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+
+def _version(text: Column) -> Column:
+    return F.when(text.rlike("^[0-9]+[.][0-9]+$"), text)
+
+
+def _named(url: Column) -> Column:
+    """struct(id, version), from commas or, where there are none, from slashes."""
+    listed, seat = _listed(url), _seat(url)
+    by_comma = F.struct(F.get(listed, F.lit(1)).alias("id"), _version(F.get(listed, F.lit(2))).alias("version"))
+    by_slash = F.struct(F.get(_parts(url), seat).alias("id"), _version(F.get(_parts(url), seat + 1)).alias("version"))
+    return F.when(by_comma["version"].isNotNull(), by_comma).when(by_slash["version"].isNotNull(), by_slash)
 
 
 def dataflow_id(url: Column) -> Column:
-    return F.coalesce(_found(url, rf"{_AGENCY},([^,/]+),\d+\.\d+"), _found(url, rf"{_AGENCY}/([^/]+)/\d+\.\d+"))
+    return F.nullif(_named(url)["id"], F.lit(""))
 
 
 def dataflow_version(url: Column) -> Column:
-    return F.coalesce(_found(url, _COMMA_VERSION), _found(url, _SLASH_VERSION))
+    return _named(url)["version"]
 
 
 def with_version(url: Column, version: str | Column) -> Column:
-    version = F.lit(version) if isinstance(version, str) else version
-    put = lambda mark, pattern: F.regexp_replace(url, F.lit(pattern), F.concat(F.lit(mark), version, F.lit("/")))
-    return F.when(url.rlike(_COMMA_VERSION), put(",", _COMMA_VERSION)).otherwise(put("/", _SLASH_VERSION))
+    """The address with another version; unchanged where it has none."""
+    new, listed, seat = F.lit(version) if isinstance(version, str) else version, _listed(url), _seat(url)
+    by_comma = F.transform(_parts(url), lambda p: F.when(p.startswith(f"{AGENCY},"), F.concat_ws(",", F.get(listed, F.lit(0)), F.get(listed, F.lit(1)), new)).otherwise(p))
+    by_slash = F.transform(_parts(url), lambda p, i: F.when(i == seat + 1, new).otherwise(p))
+    found = F.when(_version(F.get(listed, F.lit(2))).isNotNull(), by_comma).when(_version(F.get(_parts(url), seat + 1)).isNotNull(), by_slash)
+    return F.coalesce(F.array_join(found, "/"), url)
 
 
 def flow_id(url: Column) -> Column:
-    return _found(url, rf"{_AGENCY}/([^/]+)/?$")
-
-
-def request_url(dataflow: Column, version: Column, key: Column, params: Mapping[str, Column] | None = None, api_version: int = 1) -> Column:
-    """The address of a request: service, dataflow, key, then the parameters that aren't null, in order."""
-    mark = "/" if api_version == 2 else ","
-    base = F.when(dataflow.contains("CRS") | dataflow.contains("MULTI"), BASE_PROJECTS).otherwise(BASE_V2 if api_version == 2 else BASE_V1)
-    shown = F.coalesce(version, F.lit("+" if api_version == 2 else ""))
-    fixed = {k: F.lit(v) for k, v in (SHAPE | FORMAT).items()}
-    given = [F.when(v.isNotNull(), F.concat(F.lit(f"{k}="), v.cast("string"))) for k, v in (fixed | dict(params or {})).items()]
-    return F.concat(base, F.lit(AGENCY + mark), dataflow, F.lit(mark), shown, F.lit("/"), key, F.lit("?"), F.concat_ws("&", *given))
+    """The identifier that an address ends with, after the agency."""
+    seat = _seat(url)
+    rest = F.filter(F.slice(_parts(url), seat + 2, F.size(_parts(url))), lambda p: p != "")
+    return F.when((F.size(_parts(url)) > seat) & (F.size(rest) == 0), F.nullif(F.get(_parts(url), seat), F.lit("")))
+
+
+def _given(value: Column | int | str | None) -> Column:
+    """value as text; null where it is none, empty or 0."""
+    text = (value if isinstance(value, Column) else F.lit(value)).cast("string")
+    return F.when(~text.isin("", "0"), text)
+
+
+def request_url(dataflow: Column, version: Column | None = None, key: Column | None = None, start: Column | int | None = None, end: Column | int | None = None, last: Column | int | None = None, file_format: str = FORMAT, api_version: int = 1) -> Column:
+    """The address of a request: service, dataflow and key (all of it by default), then format, period and the number of
+    last observations."""
+    newer = api_version == 2
+    mark, every = ("/", "*") if newer else (",", "all")
+    service = F.when(dataflow.contains("CRS") | dataflow.contains("MULTI"), BASE_PROJECTS).otherwise(BASE_V2 if newer else BASE_V1)
+    shown = F.coalesce(version if version is not None else F.lit(None).cast("string"), F.lit("+" if newer else ""))
+    low, high = _given(start), _given(end)
+    if newer:
+        first = F.when(low.isNotNull(), low).when(high.isNotNull(), F.lit(str(FIRST_YEAR)))
+        period = [F.concat(F.lit("c[TIME_PERIOD]="), F.concat_ws("+", F.concat(F.lit("ge:"), first), F.concat(F.lit("le:"), high)))]
+        period = [F.when(first.isNotNull(), period[0])]
+    else:
+        period = [F.concat(F.lit("startPeriod="), low), F.concat(F.lit("endPeriod="), high)]
+    asked = F.concat_ws("&", F.lit(f"format={file_format}"), *period, F.concat(F.lit("lastNObservations="), _given(last)))
+    return F.concat(service, F.lit(AGENCY + mark), dataflow, F.lit(mark), shown, F.lit("/"), F.coalesce(key if key is not None else F.lit(None).cast("string"), F.lit(every)), F.lit("?"), asked)

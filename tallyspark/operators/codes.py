@@ -39,19 +39,28 @@ def invert(mapping: DataFrame, overrides: dict | None = None) -> DataFrame:
     return mapping.groupBy("value").agg(code.alias("code"))
 
 
-def map_area_codes(df: DataFrame, mapping: DataFrame, source: str = "donor_code", target: str = "donor_code", overrides: dict | None = None) -> DataFrame:
-    """target holds the numeric code of source's value; null where there is none."""
-    inverse = small(invert(mapping, overrides).select(F.col("value").alias("__value"), F.col("code").cast("int").alias("__code")))
-    joined = df.join(inverse, F.col(source) == F.col("__value"), "left")
+def area_inverse(mapping: DataFrame, overrides: dict | None = None) -> DataFrame:
+    """(__value, __code): numeric codes by value, to be joined; its rows are counted once, here."""
+    return small(invert(mapping, overrides).select(F.col("value").alias("__value"), F.col("code").cast("int").alias("__code")))
+
+
+def map_area_codes(df: DataFrame, mapping: DataFrame | None = None, source: str = "donor_code", target: str = "donor_code", overrides: dict | None = None, inverse: DataFrame | None = None) -> DataFrame:
+    """target holds the numeric code of source's value; null where there is none. inverse: area_inverse(), where several
+    columns are mapped."""
+    inverse = area_inverse(mapping, overrides) if inverse is None else inverse
+    joined = df.join(inverse, F.col(f"`{source}`") == F.col("__value"), "left")
     columns = [c for c in df.columns if c != target]
     place = df.columns.index(target) if target in df.columns else len(columns)
     chosen = [F.col(f"`{c}`") for c in columns]
     return joined.select(*chosen[:place], F.col("__code").alias(target), *chosen[place:])
 
 
+def price_code(c: Column, prices: dict | None = None) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in (prices or PRICES).items() for x in pair]), c)
+
+
 def map_prices(df: DataFrame, source: str = "amounttype_code", target: str = "amounttype_code", prices: dict | None = None) -> DataFrame:
-    table = F.create_map(*[F.lit(x) for pair in (prices or PRICES).items() for x in pair])
-    return df.withColumn(target, F.try_element_at(table, F.col(source)))
+    return df.withColumn(target, price_code(F.col(source), prices))
 
 
 def unit_to_amount_type(df: DataFrame) -> DataFrame:
@@ -70,14 +79,19 @@ def union_members(members: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
-def translate(df: DataFrame, dataset: str, areas: DataFrame, overrides: dict | None = None) -> DataFrame:
-    """Legacy codes for a conformed table."""
-    out = map_area_codes(df, areas, overrides=overrides)
+#: Conformed columns that hold area codes and, but for the table of aggregates, price codes.
+AREA_COLUMNS, PRICE_COLUMN = ("donor_code", "recipient_code"), "data_type_code"
+
+
+def translate(df: DataFrame, dataset: str, inverse: DataFrame) -> DataFrame:
+    """Legacy codes for a conformed table, from area_inverse()."""
+    out = df
+    for c in AREA_COLUMNS:
+        if c in out.columns:
+            out = map_area_codes(out, source=c, target=c, inverse=inverse)
     if dataset == "dac1":
         return map_prices(unit_to_amount_type(out))
-    if "recipient_code" in out.columns:
-        out = map_area_codes(out, areas, "recipient_code", "recipient_code", overrides)
-    return map_prices(out, "data_type_code", "data_type_code")
+    return map_prices(out, PRICE_COLUMN, PRICE_COLUMN)
 
 
 def first_list_wins(lists: Sequence[DataFrame]) -> DataFrame:
@@ -140,7 +154,38 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).dropna().distinct()
 
 
-def dimension_catalogue(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(dimension, code, n): observed codes; codes are counted before they meet in one column."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "dimension", "code")
-    return long.filter("code is not null").groupBy("dimension", "code").agg(F.count("*").alias("n"))
+def dimension_catalogue(df: DataFrame, columns: Sequence[str], labels: dict[str, str] | None = None) -> DataFrame:
+    """(dimension, code, label, n): observed codes, with a label from the column that labels names for theirs (of several
+    the least). Codes are counted in each task before they are shuffled."""
+    labels = labels or {}
+    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(f"`{c}`").cast("string").alias("code"), (F.col(f"`{labels[c]}`").cast("string") if c in labels else F.lit(None).cast("string")).alias("label")) for c in columns])
+    long = df.select(F.explode(pairs).alias("x")).select("x.*")
+    return long.filter("code is not null").groupBy("dimension", "code").agg(F.min("label").alias("label"), F.count("*").alias("n"))
+
+
+def count_and_total(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., n, value): rows and the sum of a column."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.sum(value).alias("value"))
+
+
+def join_measures(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Two tables that hold different measures of the same keys, side by side."""
+    return left.join(right, list(on), how)
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    return df.dropDuplicates()
+
+
+def ranked_codes(codes: DataFrame, column: str = "code") -> DataFrame:
+    """(code, place): places in canonical order, from 1. Codes are ranked within ranges, numbers by millions and texts by
+    their first letters, and the sizes of the ranges before are added; only those sizes meet in one task."""
+    group, number, text = canonical_order(F.col(column))
+    ranges = [group.alias("__g"), F.floor(number / 1_000_000).alias("__m"), F.when(number.isNull(), F.substring(text, 1, 4)).alias("__t")]
+    keys = ["__g", "__m", "__t"]
+    dealt = codes.select(F.col(column).alias("code"), *ranges, number.alias("__number"))
+    sizes = dealt.groupBy(*keys).agg(F.count("*").alias("__size"))
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__size")
+    placed = dealt.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__number", F.col("code").cast("string")))).alias("d")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    return placed.join(before.alias("b"), same).select("code", (F.col("__n") + F.col("__before")).cast("long").alias("place"))

@@ -30,6 +30,16 @@ def filter_names(dataset: str) -> list[str]:
     return [*names, "microdata"] if dataset in ("crs", "cpa") else names
 
 
+def filter_kinds(dataset: str) -> dict[str, str]:
+    """What each filter of a dataset takes."""
+    return {n: "bool" if n == "microdata" else "code, list of codes or None" for n in filter_names(dataset)}
+
+
+def prefixed(column: str, prefix: str) -> Column:
+    """Codes that begin with a text; a scan skips what can't."""
+    return F.col(column).startswith(prefix)
+
+
 def _check_names(dataset: str, filters: Mapping) -> None:
     if unknown := set(filters) - set(filter_names(dataset)):
         raise TypeError(f"unknown filters for {dataset}: {', '.join(sorted(unknown))}; known: {', '.join(filter_names(dataset))}")
@@ -85,7 +95,7 @@ def series_key(dataset: str) -> Column:
 def year_range(start: int | None = None, end: int | None = None, column: str = YEAR, floor: int | None = None) -> Column:
     """Inclusive; a falsy bound is none. floor applies where only an end is given."""
     start = start or (floor if end else None)
-    year = F.col(column).cast("int")
+    year = F.col(column).try_cast("int")  # raw periods may be text such as _Z
     return _all(([year >= start] if start else []) + ([year <= end] if end else []))
 
 
@@ -93,7 +103,7 @@ def filter_years(df: DataFrame, start: int | None, end: int | None, column: str
     """As year_range, but a bound must be a year of the data."""
     if not start and not end:
         return df
-    years = sorted(r[0] for r in df.select(F.col(column).cast("int")).dropna().distinct().collect())  # a row a year
+    years = sorted(r[0] for r in df.select(F.col(column).try_cast("int")).dropna().distinct().collect())  # a row a year
     if missing := [y for y in (start, end) if y and y not in years]:
         raise ValueError(f"no data for {missing}; available years: {years}")
     return df.filter(year_range(start, end, column))

@@ -32,19 +32,32 @@ def _present(fields: tuple[Field, ...], df: DataFrame, names: Mapping[str, str])
     return [f for f in fields if names.get(f.raw, f.raw) in df.columns]
 
 
-def fallback_types(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> dict[str, str]:
-    """Types of the spec for df, in one pass: columns of FALLBACK with a value that isn't a whole number become text;
-    such a value elsewhere is an error."""
+def failed_casts(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> dict[str, Column]:
+    """For each numeric column of the spec in df the aggregate that counts values that aren't of its type."""
     names = names or {}
-    numeric = [f for f in _present(spec_of(dataset), df, names) if f.type in _INTEGERS and not f.flag]
-    types = {f.raw: f.type for f in spec_of(dataset)}
-    if numeric:
-        failed = lambda f: F.count_if(quoted(names.get(f.raw, f.raw)).isNotNull() & quoted(names.get(f.raw, f.raw)).try_cast(f.type).isNull())
-        bad = [f for f, n in zip(numeric, df.agg(*[failed(f).alias(f"n{k}") for k, f in enumerate(numeric)]).first(), strict=True) if n]
-        if wrong := [f.raw for f in bad if f.raw not in FALLBACK]:
-            raise ValueError(f"values that aren't numbers in {', '.join(wrong)}")
-        types |= {f.raw: "string" for f in bad}
-    return types
+    numeric = [f for f in _present(spec_of(dataset), df, names) if f.type in (*_INTEGERS, "double") and not f.flag]
+    at = lambda f: quoted(names.get(f.raw, f.raw))
+    return {f.raw: F.count_if(at(f).isNotNull() & at(f).try_cast(f.type).isNull()) for f in numeric}
+
+
+def types_after(dataset: str, failed: Mapping[str, int]) -> dict[str, str]:
+    """Types of the spec, given how many values of each numeric column failed: columns of FALLBACK with one become text,
+    any other is an error."""
+    if wrong := [c for c, n in failed.items() if n and c not in FALLBACK]:
+        raise ValueError(f"values that aren't numbers in {', '.join(wrong)}")
+    return {f.raw: f.type for f in spec_of(dataset)} | {c: "string" for c, n in failed.items() if n}
+
+
+def fallback_types(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Types of the spec for df, in one pass."""
+    failed = failed_casts(df, dataset, names)
+    row = df.agg(*[x.alias(f"n{k}") for k, x in enumerate(failed.values())]).first() if failed else ()
+    return types_after(dataset, dict(zip(failed, row, strict=True)))
+
+
+def fixed_types(dataset: str) -> dict[str, str]:
+    """Types without a look at the data: columns of FALLBACK are text."""
+    return {f.raw: "string" if f.raw in FALLBACK else f.type for f in spec_of(dataset)}
 
 
 def cast_columns(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None, types: Mapping[str, str] | None = None, strict: bool = False) -> DataFrame:
@@ -66,9 +79,9 @@ def cast_columns(df: DataFrame, dataset: str, names: Mapping[str, str] | None =
     return df.select(*[cast(c, t) for c, t in df.dtypes])
 
 
-def preprocess(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> DataFrame:
-    """Flags as numbers, kept columns in the order of the spec, renamed; two raw columns with one target are merged.
-    names: raw names to those in df, where a reader had to change them."""
+def kept_columns(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> dict[str, Column]:
+    """Kept columns in the order of the spec by their new names, flags as numbers; of two raw columns with one target the
+    first value that isn't null. names: raw names to those in df, where a reader had to change them."""
     names, chosen = names or {}, {}
     for f in spec_of(dataset):
         at = names.get(f.raw, f.raw)
@@ -76,7 +89,11 @@ def preprocess(df: DataFrame, dataset: str, names: Mapping[str, str] | None = No
             raise KeyError(f"flag column {f.raw} is missing")
         if f.keep and at in df.columns:
             chosen.setdefault(f.name, []).append(yes_no(quoted(at)) if f.flag else quoted(at))
-    return df.select(*[(F.coalesce(*cs) if len(cs) > 1 else cs[0]).alias(n) for n, cs in chosen.items()])
+    return {n: F.coalesce(*cs) if len(cs) > 1 else cs[0] for n, cs in chosen.items()}
+
+
+def preprocess(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> DataFrame:
+    return df.select(*[c.alias(n) for n, c in kept_columns(df, dataset, names).items()])
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:

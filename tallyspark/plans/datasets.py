@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.codes import translate
-from ..operators.filters import dimension_predicate, filter_names, filter_years, guard_totals, year_range
-from ..operators.projections import cast_columns, drop_empty_columns, fallback_types, nulls_from_tokens, preprocess
-from ..sources.readers import read_observations, read_project_table
+from ..operators.codes import AREA_COLUMNS, PRICE_COLUMN, area_inverse, map_area_codes, price_code, translate
+from ..operators.filters import YEAR, dimension_predicate, filter_kinds, filter_years, guard_totals, year_range
+from ..operators.projections import cast_columns, drop_empty_columns, failed_casts, fixed_types, kept_columns, nulls_from_tokens, preprocess, types_after
+from ..sources.metadata import area_codes
+from ..sources.readers import YEAR_FOLDER, read_landed, read_observations, read_project_table
 from ..sources.sinks import write_lake
 from ..sources.specs import spec_of
 
@@ -29,34 +31,75 @@ def latest_version(spark: SparkSession, root: str, dataset: str) -> str:
     return max(versions, key=lambda v: tuple(map(int, v.split("."))))
 
 
-def conform(raw: DataFrame, dataset: str, start_year: int | None = None, end_year: int | None = None, filters: Mapping | None = None, names: Mapping[str, str] | None = None, areas: DataFrame | None = None, pre_process: bool = True, dotstat_codes: bool = True, overrides: dict | None = None) -> DataFrame:
+def conform(raw: DataFrame, dataset: str, start_year: int | None = None, end_year: int | None = None, filters: Mapping | None = None, names: Mapping[str, str] | None = None, areas: DataFrame | None = None, pre_process: bool = True, dotstat_codes: bool = True, overrides: dict | None = None, fixed: bool = False) -> DataFrame:
     """Filters on raw codes, then null tokens, types, kept columns and, with dotstat_codes, legacy codes.
 
-    areas is the codelist (code, value, ord) that legacy codes come from.
+    areas is the codelist (code, value, ord) that legacy codes come from. One pass over the filtered rows finds columns
+    that must be text and, for project tables, columns without a value, which go. With fixed there is no such pass: the
+    columns that may be text are, and none goes, so the schema doesn't depend on the data.
     """
     spec_of(dataset)
     if dotstat_codes and not pre_process:
         raise ValueError("codes can only be translated in conformed tables")
+    if dotstat_codes and areas is None:
+        raise ValueError("translation needs the area codelist")
     wanted = raw.filter(dimension_predicate(dataset, filters)).filter(year_range(start_year, end_year))
     clean = nulls_from_tokens(wanted)
-    typed = cast_columns(clean, dataset, names, fallback_types(clean, dataset, names))
+    inverse = area_inverse(areas, overrides) if dotstat_codes else None
+    types, empty = (fixed_types(dataset), []) if fixed else _profile(clean, dataset, names, inverse, pre_process and dataset in PROJECTS)
+    typed = cast_columns(clean, dataset, names, types)
     if not pre_process:
         return typed
     kept = preprocess(typed, dataset, names)
-    if dotstat_codes:
-        if areas is None:
-            raise ValueError("translation needs the area codelist")
-        kept = translate(kept, dataset, areas, overrides)
-    return drop_empty_columns(kept) if dataset in PROJECTS else kept
-
-
-def read_dataset(spark: SparkSession, root: str, dataset: str, start_year: int | None = None, end_year: int | None = None, filters: Mapping | None = None, areas: DataFrame | None = None, pre_process: bool = True, dotstat_codes: bool = True, dataflow_version: str | None = None, as_grant_equivalent: bool = False, overrides: dict | None = None) -> DataFrame:
-    """A landed dataset, root/dataset/version, latest by default."""
+    return (translate(kept, dataset, inverse) if dotstat_codes else kept).drop(*empty)
+
+
+def _profile(clean: DataFrame, dataset: str, names: Mapping[str, str] | None, inverse: DataFrame | None, drops: bool) -> tuple[dict[str, str], list[str]]:
+    """(types, conformed columns without a value if they are to go) in one pass over the rows."""
+    failed, probe = failed_casts(clean, dataset, names), clean
+    kept = kept_columns(clean, dataset, names) if drops else {}
+    if inverse is not None and drops:
+        for c in [c for c in AREA_COLUMNS if c in kept]:
+            probe = map_area_codes(probe.withColumn(f"__raw_{c}", kept[c]), source=f"__raw_{c}", target=f"__{c}", inverse=inverse)
+            kept[c] = F.col(f"__{c}")
+        if PRICE_COLUMN in kept:
+            kept[PRICE_COLUMN] = price_code(kept[PRICE_COLUMN])
+    wanted = [*failed.values(), *[F.count(c) for c in kept.values()]]
+    row = list(probe.agg(*[x.alias(f"n{k}") for k, x in enumerate(wanted)]).first()) if wanted else []
+    types = types_after(dataset, dict(zip(failed, row[: len(failed)], strict=True)))
+    return types, [c for c, n in zip(kept, row[len(failed) :], strict=True) if not n]
+
+
+def read_dataset(spark: SparkSession, root: str, dataset: str, start_year: int | None = None, end_year: int | None = None, filters: Mapping | None = None, areas: DataFrame | None = None, pre_process: bool = True, dotstat_codes: bool = True, dataflow_version: str | None = None, as_grant_equivalent: bool = False, overrides: dict | None = None, fixed: bool = False, multi_line: bool = False) -> DataFrame:
+    """A landed dataset, root/dataset/version, latest by default: its parquet where land_dataset() wrote it, else its files.
+    Legacy codes come from areas, or from the codelist that landed in root/codelists."""
     spec_of(dataset)
     guard_totals(dataset, filters)
     table = GRANT_EQUIVALENT if as_grant_equivalent and dataset == "crs" else dataset
-    raw, names = read_observations(spark, f"{root.rstrip('/')}/{table}/{dataflow_version or latest_version(spark, root, table)}")
-    return conform(raw, dataset, start_year, end_year, filters, names, areas, pre_process, dotstat_codes, overrides)
+    version = dataflow_version or latest_version(spark, root, table)
+    raw, names = _landed(spark, root, table, version, start_year, end_year) or read_observations(spark, f"{root.rstrip('/')}/{table}/{version}", multi_line)
+    if dotstat_codes and pre_process and areas is None:
+        areas = area_codes(spark, root, dataset)
+    return conform(raw, dataset, start_year, end_year, filters, names, areas, pre_process, dotstat_codes, overrides, fixed)
+
+
+def _landed_path(root: str, table: str, version: str) -> str:
+    return f"{root.rstrip('/')}/landed/{table}/{version}"
+
+
+def _landed(spark: SparkSession, root: str, table: str, version: str, start: int | None, end: int | None) -> tuple[DataFrame, dict[str, str]] | None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_landed_path(root, table, version)}/_SUCCESS")
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return read_landed(spark, _landed_path(root, table, version), year_range(start, end, YEAR_FOLDER)) if there else None
+
+
+def land_dataset(spark: SparkSession, root: str, dataset: str, dataflow_version: str | None = None, multi_line: bool = False) -> str:
+    """Writes a landed dataset once as parquet by year, as raw text, for reads that skip years and columns; returns where."""
+    version = dataflow_version or latest_version(spark, root, dataset)
+    raw, _ = read_observations(spark, f"{root.rstrip('/')}/{dataset}/{version}", multi_line)
+    by_year = raw.withColumn(YEAR_FOLDER, F.col(YEAR))
+    write_lake(by_year, _landed_path(root, dataset, version), YEAR_FOLDER)
+    return _landed_path(root, dataset, version)
 
 
 def read_dac1(spark: SparkSession, root: str, start_year: int | None = None, end_year: int | None = None, filters: Mapping | None = None, **options) -> DataFrame:
@@ -84,11 +127,12 @@ def read_aiddata(spark: SparkSession, path: str, start_year: int | None = None,
     df = cast_columns(filter_years(read_project_table(spark, path), start_year, end_year), "aiddata", strict=True)
     if pre_process:
         df = preprocess(df, "aiddata")
-    df = drop_empty_columns(df)
+    df = drop_empty_columns(df)  # dates and flags are read with their types, so this is the one pass before the result
     if save_to_path:
         write_lake(df, save_to_path, None)
     return df
 
 
-def available_filters(dataset: str) -> list[str]:
-    return filter_names(dataset)
+def available_filters(dataset: str) -> dict[str, str]:
+    """The filters of a dataset and what each takes."""
+    return filter_kinds(dataset)

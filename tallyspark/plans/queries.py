@@ -5,15 +5,21 @@ The observation view shapes line items as a raw cube: suppliers' nations are don
 
 from __future__ import annotations
 
+import io
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import codes, filters, projections
 from ..sources import metadata, readers, sinks
+from ..sources.specs import spec_of
 from ..streaming.increments import append_increments, read_increments
 from . import datasets
 
@@ -41,12 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share."""
+    """A new folder that driver and executors share: below the checkpoint folder that the session names. A local session
+    without one, as in tests, gets a temporary folder; on a cluster that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scratch-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="scratch-"))
     return f"{sc.getCheckpointDir()}/slice-{uuid.uuid4().hex}"
 
 
@@ -158,7 +166,7 @@ def totals_and_details(spark, d):
 
 @query("SELECT p_brand, count(*) AS n FROM part WHERE p_brand LIKE 'Brand#1%' GROUP BY ALL")
 def prefix_count(spark, d):
-    return table(spark, d, "part").filter(F.col("p_brand").startswith("Brand#1")).groupBy("p_brand").agg(F.count("*").alias("n"))
+    return table(spark, d, "part").filter(filters.prefixed("p_brand", "Brand#1")).groupBy("p_brand").agg(F.count("*").alias("n"))
 
 
 # projections
@@ -216,48 +224,48 @@ def map_price_codes(spark, d):
     return codes.map_prices(p).groupBy("amounttype_code").agg(F.count("*").alias("n"))
 
 
-NATIONS = """old AS (SELECT CAST(n_nationkey AS INT) AS code, n_name AS value FROM nation WHERE n_nationkey < 20),
-live AS (SELECT CAST(n_nationkey AS INT) AS code, CASE WHEN n_nationkey % 4 = 0 THEN lower(n_name) ELSE n_name END AS value FROM nation WHERE n_nationkey >= 10)"""
+#: Two codelists over the customers: the committed one, and a live one that adds, drops and changes codes.
+LISTS = """old AS (SELECT CAST(c_custkey AS INT) AS code, c_name AS value FROM customer WHERE c_custkey % 5 < 4),
+live AS (SELECT CAST(c_custkey AS INT) AS code, CASE WHEN c_custkey % 4 = 0 THEN lower(c_name) ELSE c_name END AS value FROM customer WHERE c_custkey % 5 >= 2)"""
 
 
 def old_and_live(spark, d) -> tuple[DataFrame, DataFrame]:
-    n = table(spark, d, "nation").select(F.col("n_nationkey").cast("int").alias("code"), F.col("n_name").alias("value"))
-    return n.filter("code < 20"), n.filter("code >= 10").withColumn("value", F.when(F.col("code") % 4 == 0, F.lower("value")).otherwise(F.col("value")))
+    n = table(spark, d, "customer").select(F.col("c_custkey").cast("int").alias("code"), F.col("c_name").alias("value"))
+    return n.filter("code % 5 < 4"), n.filter("code % 5 >= 2").withColumn("value", F.when(F.col("code") % 4 == 0, F.lower("value")).otherwise(F.col("value")))
 
 
-@query(f"WITH {NATIONS} SELECT coalesce(l.code, o.code) AS code, coalesce(l.value, o.value) AS value, CAST(coalesce(o.code, 19 + l.code) AS BIGINT) AS ord FROM old o FULL JOIN live l ON o.code = l.code")
+@query(f"WITH {LISTS} SELECT coalesce(l.code, o.code) AS code, coalesce(l.value, o.value) AS value, CAST(coalesce(o.code, (SELECT max(code) FROM old) + l.code) AS BIGINT) AS ord FROM old o FULL JOIN live l ON o.code = l.code")
 def overlay_codes(spark, d):
     old, live = (x.withColumn("ord", F.col("code").cast("long")) for x in old_and_live(spark, d))
     return codes.overlay(old, live)
 
 
-@query(f"WITH {AREAS}, {INVERSE} SELECT * FROM inverse")
+@query("SELECT c_nationkey || '-' || c_custkey % 1000 AS value, CAST(arg_max(c_custkey, c_acctbal * 100000 + c_custkey) AS INT) AS code FROM customer GROUP BY ALL")
 def invert_codes(spark, d):
-    return codes.invert(areas(spark, d))
+    order = (F.col("c_acctbal") * 100000 + F.col("c_custkey")).alias("ord")
+    listed = table(spark, d, "customer").select(F.col("c_custkey").cast("int").alias("code"), F.concat_ws("-", "c_nationkey", F.col("c_custkey") % 1000).alias("value"), order)
+    return codes.invert(listed)
 
 
-@query(f"WITH {NATIONS} SELECT coalesce(l.code, o.code) AS code, coalesce(l.value, o.value) AS value FROM old o FULL JOIN live l ON o.code = l.code")
+@query(f"WITH {LISTS} SELECT coalesce(l.code, o.code) AS code, coalesce(l.value, o.value) AS value FROM old o FULL JOIN live l ON o.code = l.code")
 def merge_codes(spark, d):
     return codes.merge_lists(*old_and_live(spark, d))
 
 
-@query(f"WITH {NATIONS} SELECT CASE WHEN o.code IS NULL THEN 'added' WHEN l.code IS NULL THEN 'historical' WHEN o.value = l.value THEN 'same' ELSE 'changed' END AS status, count(*) AS n FROM old o FULL JOIN live l ON o.code = l.code GROUP BY ALL")
+@query(f"WITH {LISTS} SELECT CASE WHEN o.code IS NULL THEN 'added' WHEN l.code IS NULL THEN 'historical' WHEN o.value = l.value THEN 'same' ELSE 'changed' END AS status, count(*) AS n FROM old o FULL JOIN live l ON o.code = l.code GROUP BY ALL")
 def drift_codes(spark, d):
     return codes.drift(*old_and_live(spark, d)).groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {NATIONS} SELECT coalesce(o.code, l.code) AS code, coalesce(o.value, l.value) AS value FROM old o FULL JOIN live l ON o.code = l.code")
+@query(f"WITH {LISTS} SELECT coalesce(o.code, l.code) AS code, coalesce(o.value, l.value) AS value FROM old o FULL JOIN live l ON o.code = l.code")
 def priority_union(spark, d):
     return codes.first_list_wins(list(old_and_live(spark, d)))
 
 
-@query("SELECT code, CAST(row_number() OVER (ORDER BY CASE WHEN regexp_full_match(code, '[0-9]+') THEN 0 ELSE 1 END, try_cast(code AS BIGINT), code) AS BIGINT) AS place FROM (SELECT CAST(n_nationkey AS VARCHAR) AS code FROM nation UNION ALL SELECT n_name FROM nation)")
+@query("SELECT code, CAST(row_number() OVER (ORDER BY CASE WHEN regexp_full_match(code, '[0-9]+') THEN 0 ELSE 1 END, try_cast(code AS BIGINT), code) AS BIGINT) AS place FROM (SELECT CAST(o_orderkey AS VARCHAR) AS code FROM orders UNION ALL SELECT c_name FROM customer)")
 def canonical_codes(spark, d):
-    n = table(spark, d, "nation")
-    listed = n.select(F.col("n_nationkey").cast("string").alias("code")).union(n.select("n_name"))
-    from pyspark.sql import Window
-
-    return listed.withColumn("place", F.row_number().over(Window.orderBy(*codes.canonical_order(F.col("code")))).cast("long"))  # a codelist, not data
+    listed = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("code")).union(table(spark, d, "customer").select("c_name"))
+    return codes.ranked_codes(listed)
 
 
 FOLD = """folded AS (
@@ -276,19 +284,20 @@ def fold_units(spark, d):
 
 @query(with_obs("SELECT DISTINCT DONOR, RECIPIENT, CASE WHEN SECTOR > '3' THEN SECTOR END AS SECTOR FROM obs"))
 def distinct_rows(spark, d):
-    return obs(spark, d).select("DONOR", "RECIPIENT", F.when(F.col("SECTOR") > "3", F.col("SECTOR")).alias("SECTOR")).dropDuplicates()
+    return obs(spark, d).select("DONOR", "RECIPIENT", F.when(F.col("SECTOR") > "3", F.col("SECTOR")).alias("SECTOR")).transform(codes.distinct_rows)
 
 
-@query("SELECT n_name AS name, n_regionkey AS region, NULL::BIGINT AS key FROM nation UNION ALL SELECT r_name, NULL, r_regionkey FROM region")
+@query("SELECT c_name AS name, CAST(c_nationkey AS BIGINT) AS nation, NULL::BIGINT AS key FROM customer UNION ALL SELECT s_name, NULL, s_suppkey FROM supplier")
 def union_tables(spark, d):
-    return codes.union_members([table(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("long").alias("region")), table(spark, d, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").cast("long").alias("key"))])
+    customers = table(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").cast("long").alias("nation"))
+    return codes.union_members([customers, table(spark, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").cast("long").alias("key"))])
 
 
 @query(with_obs("SELECT a.donor_code, a.year, a.total, b.recipients FROM (SELECT DONOR AS donor_code, TIME_PERIOD AS year, sum(OBS_VALUE) AS total FROM obs GROUP BY ALL) a JOIN (SELECT DONOR AS donor_code, TIME_PERIOD AS year, count(DISTINCT RECIPIENT) AS recipients FROM obs WHERE PRICE_BASE = 'V' GROUP BY ALL) b ON a.donor_code = b.donor_code AND a.year = b.year"))
 def join_cubes(spark, d):
     o = obs(spark, d).withColumnsRenamed({"DONOR": "donor_code", "TIME_PERIOD": "year"})
     totals = o.groupBy("donor_code", "year").agg(F.sum("OBS_VALUE").alias("total"))
-    return totals.join(o.filter("PRICE_BASE = 'V'").groupBy("donor_code", "year").agg(F.count_distinct("RECIPIENT").alias("recipients")), ["donor_code", "year"])
+    return codes.join_measures(totals, o.filter("PRICE_BASE = 'V'").groupBy("donor_code", "year").agg(F.count_distinct("RECIPIENT").alias("recipients")), ["donor_code", "year"])
 
 
 TRANSLATED = {
@@ -307,21 +316,28 @@ def labelled(spark, d) -> DataFrame:
     return text.withColumns({"Unit of measure": F.when(F.col("UNIT_MEASURE") != "USD", "u").otherwise("p"), "Price base": F.lit("p")})
 
 
-def conformed(spark, d, dataset, start, end, wanted, columns):
-    out = datasets.conform(labelled(spark, d), dataset, start, end, wanted, areas=areas(spark, d))
-    return out.select(*columns)
+def landed(spark, d, dataset: str, raw: DataFrame) -> str:
+    """A root where a dataset has landed as labelled text, with the codelist beside it."""
+    root = scratch(spark)
+    raw.write.csv(f"{root}/{dataset}/1.0", header=True)
+    pairs = F.array_sort(F.collect_list(F.struct("ord", F.col("code").cast("string").alias("code"), "value")))
+    listed = areas(spark, d).agg(pairs.alias("p"))  # a codelist, one object in one file
+    text = F.to_json(F.map_from_entries(F.transform("p", lambda x: F.struct(x["code"], x["value"]))))
+    listed.select(text.alias("value")).write.text(f"{root}/codelists/{metadata.AREA_LISTS[dataset]}")
+    return root
 
 
 @query(with_obs(TRANSLATED["dac1"].replace("SELECT DISTINCT code, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code,", "SELECT DISTINCT code, sector_code, flow, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code, SECTOR AS sector_code, 1 AS flow,"), AREAS, INVERSE))
 def read_dac1(spark, d):
-    raw = labelled(spark, d).drop("FLOW_TYPE")
-    out = datasets.conform(raw, "dac1", 1996, 1998, {"donor": ["NATION_6", "NATION_14", "NATION_21"]}, areas=areas(spark, d))
+    root = landed(spark, d, "dac1", labelled(spark, d).drop("FLOW_TYPE"))
+    out = datasets.read_dac1(spark, root, 1996, 1998, {"donor": ["NATION_6", "NATION_14", "NATION_21"]})
     return out.select("donor_code", "aidtype_code", "year", "amounttype_code", "value")
 
 
 def _reader(dataset: str, wanted: dict, columns: list[str]) -> None:
     def f(spark, d):
-        return conformed(spark, d, dataset, None, None, wanted, columns)
+        read = getattr(datasets, f"read_{dataset}")
+        return read(spark, landed(spark, d, dataset, labelled(spark, d)), None, None, wanted).select(*columns)
 
     f.__name__ = f"read_{dataset}"
     query(with_obs(TRANSLATED[dataset], AREAS, INVERSE))(f)
@@ -333,6 +349,15 @@ _reader("cpa", {"channel": 3, "modality": "R"}, ["donor_code", "recipient_code",
 _reader("multisystem", {"recipient": "NATION_17", "sector": 3}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
 
 
+@query(with_obs("SELECT i.code AS donor_code, TIME_PERIOD AS year, count(*) AS n, sum(2 * CAST(OBS_VALUE AS DOUBLE)) AS value FROM obs LEFT JOIN inverse i ON DONOR = i.value WHERE MD_DIM = 'DD' AND TIME_PERIOD <= 1995 GROUP BY ALL", AREAS, INVERSE))
+def grant_equivalents(spark, d):
+    """The twin of the project table with other values, landed by year first."""
+    root = landed(spark, d, "crs", labelled(spark, d).filter("DONOR = 'NATION_6'"))
+    labelled(spark, d).withColumn("OBS_VALUE", (F.col("OBS_VALUE").cast("double") * 2).cast("string")).write.csv(f"{root}/crs_greq/1.0", header=True)
+    datasets.land_dataset(spark, root, "crs_greq")
+    return datasets.read_crs(spark, root, None, 1995, as_grant_equivalent=True).groupBy("donor_code", "year").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+
+
 # aggregates and windows
 
 
@@ -343,7 +368,7 @@ def distinct_years(spark, d):
 
 @query(with_obs(f"SELECT {TOTALS} FROM obs WHERE DONOR LIKE 'NATION_1%'"))
 def count_and_sum(spark, d):
-    return obs(spark, d).filter(F.col("DONOR").startswith("NATION_1")).agg(F.count("*").alias("n"), F.sum("OBS_VALUE").cast("decimal(28,2)").alias("value"))
+    return codes.count_and_total(obs(spark, d).filter(filters.prefixed("DONOR", "NATION_1")), "OBS_VALUE")
 
 
 @query(with_obs("SELECT DONOR, CASE WHEN grouping(CHANNEL) = 1 THEN '_T' ELSE CHANNEL END AS CHANNEL, CASE WHEN grouping(MODALITY) = 1 THEN '_T' ELSE MODALITY END AS MODALITY, sum(OBS_VALUE) AS value FROM obs GROUP BY GROUPING SETS ((DONOR), (DONOR, CHANNEL), (DONOR, MODALITY), (DONOR, CHANNEL, MODALITY))"))
@@ -351,9 +376,9 @@ def totals_cube(spark, d):
     return codes.with_totals(obs(spark, d), ["DONOR"], ["CHANNEL", "MODALITY"], "OBS_VALUE")
 
 
-@query(with_obs("SELECT 'DONOR' AS dimension, DONOR AS code, count(*) AS n FROM obs GROUP BY ALL UNION ALL SELECT 'SECTOR', SECTOR, count(*) FROM obs GROUP BY ALL UNION ALL SELECT 'CHANNEL', CHANNEL, count(*) FROM obs GROUP BY ALL"))
+@query(with_obs("SELECT 'DONOR' AS dimension, DONOR AS code, lower(DONOR) AS label, count(*) AS n FROM obs GROUP BY ALL UNION ALL SELECT 'SECTOR', SECTOR, NULL, count(*) FROM obs GROUP BY ALL UNION ALL SELECT 'CHANNEL', CHANNEL, min(RECIPIENT), count(*) FROM obs GROUP BY CHANNEL"))
 def catalogue(spark, d):
-    return codes.dimension_catalogue(obs(spark, d), ["DONOR", "SECTOR", "CHANNEL"])
+    return codes.dimension_catalogue(obs(spark, d).withColumn("Donor label", F.lower("DONOR")), ["DONOR", "SECTOR", "CHANNEL"], {"DONOR": "Donor label", "CHANNEL": "RECIPIENT"})
 
 
 @query(with_obs("SELECT DONOR, SECTOR, TIME_PERIOD, value FROM (SELECT *, row_number() OVER (PARTITION BY DONOR, SECTOR ORDER BY TIME_PERIOD DESC) AS k FROM (SELECT DONOR, SECTOR, TIME_PERIOD, sum(OBS_VALUE) AS value FROM obs GROUP BY ALL)) WHERE k <= 2"))
@@ -364,66 +389,88 @@ def last_two_years(spark, d):
 
 # functions
 
-ADDRESS = "'https://example.org/rest/data/OECD.DCD.FSD,DSD_' || n_regionkey || '@DF_' || n_nationkey || ',1.' || n_regionkey || '/all?x=1'"
-SLASHED = "'https://example.org/v2/OECD.DCD.FSD/DSD_' || n_regionkey || '@DF_' || n_nationkey || '/2.' || n_regionkey || '/*?x=1'"
+ADDRESS = "'https://example.org/rest/data/OECD.DCD.FSD,DSD_' || o_custkey || '@DF_' || o_orderkey || ',1.' || o_orderkey % 9 || '/all?x=1'"
+SLASHED = "'https://example.org/v2/OECD.DCD.FSD/DSD_' || o_custkey || '@DF_' || o_orderkey || '/2.' || o_orderkey % 9 || '/*?x=1'"
+ADDRESSES = f"CASE o_orderkey % 3 WHEN 0 THEN {ADDRESS} WHEN 1 THEN {SLASHED} ELSE 'https://example.org/' || o_orderkey END"
 
 
-@query(f"SELECT n_nationkey AS k, 'DSD_' || n_regionkey || '@DF_' || n_nationkey AS id, CASE WHEN n_nationkey % 2 = 0 THEN '1.' ELSE '2.' END || n_regionkey AS version, replace(replace(u, ',1.' || n_regionkey || '/', ',9.1/'), '/2.' || n_regionkey || '/', '/9.1/') AS renewed FROM (SELECT *, CASE WHEN n_nationkey % 2 = 0 THEN {ADDRESS} ELSE {SLASHED} END AS u FROM nation)")
+@query(f"SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 < 2 THEN 'DSD_' || o_custkey || '@DF_' || o_orderkey END AS id, CASE o_orderkey % 3 WHEN 0 THEN '1.' || o_orderkey % 9 WHEN 1 THEN '2.' || o_orderkey % 9 END AS version, replace(replace(u, ',1.' || o_orderkey % 9 || '/', ',9.1/'), '/2.' || o_orderkey % 9 || '/', '/9.1/') AS renewed FROM (SELECT *, {ADDRESSES} AS u FROM orders)")
 def address_parts(spark, d):
-    n = table(spark, d, "nation").withColumn("u", F.expr(f"CASE WHEN n_nationkey % 2 = 0 THEN {ADDRESS} ELSE {SLASHED} END"))
-    return n.select(F.col("n_nationkey").alias("k"), urls.dataflow_id(F.col("u")).alias("id"), urls.dataflow_version(F.col("u")).alias("version"), urls.with_version(F.col("u"), "9.1").alias("renewed"))
+    n = table(spark, d, "orders").withColumn("u", F.expr(ADDRESSES))
+    return n.select(F.col("o_orderkey").alias("k"), urls.dataflow_id(F.col("u")).alias("id"), urls.dataflow_version(F.col("u")).alias("version"), urls.with_version(F.col("u"), "9.1").alias("renewed"))
 
 
-@query("SELECT n_nationkey AS k, 'DSD_' || n_nationkey AS id FROM nation")
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'DSD_' || o_custkey END AS id FROM orders")
 def flow_ids(spark, d):
-    return table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), urls.flow_id(F.concat(F.lit("https://example.org/OECD.DCD.FSD/DSD_"), "n_nationkey", F.lit("/"))).alias("id"))
+    end = F.when(F.col("o_orderkey") % 2 == 0, "/").otherwise("/1.0/all")
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), urls.flow_id(F.concat(F.lit("https://example.org/OECD.DCD.FSD/DSD_"), "o_custkey", end)).alias("id"))
 
 
-@query("SELECT n_nationkey AS k, 'https://sdmx.oecd.org/public/rest/data/OECD.DCD.FSD,DF' || n_nationkey || ',1.0/' || n_name || '..?dimensionAtObservation=AllDimensions&format=csvfilewithlabels' || CASE WHEN n_regionkey > 1 THEN '&startPeriod=' || n_regionkey ELSE '' END AS url FROM nation")
+@query("""SELECT o_orderkey AS k, 'https://sdmx.oecd.org/' || CASE WHEN o_orderkey % 4 = 0 THEN 'dcd-public/rest/data/OECD.DCD.FSD,DF_CRS' ELSE 'public/rest/data/OECD.DCD.FSD,DF' || o_custkey END || ',1.0/' || coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus || '..' END, 'all')
+       || '?format=csvfilewithlabels' || coalesce('&startPeriod=' || CASE WHEN o_orderkey % 5 > 0 THEN 1990 + o_orderkey % 5 END, '') || coalesce('&endPeriod=' || CASE WHEN o_orderkey % 7 > 0 THEN 2000 + o_orderkey % 7 END, '') AS url,
+       'https://sdmx.oecd.org/' || CASE WHEN o_orderkey % 4 = 0 THEN 'dcd-public/rest/data/OECD.DCD.FSD/DF_CRS' ELSE 'public/rest/v2/data/dataflow/OECD.DCD.FSD/DF' || o_custkey END || '/+/*?format=csv'
+       || CASE WHEN o_orderkey % 5 > 0 AND o_orderkey % 7 > 0 THEN '&c[TIME_PERIOD]=ge:' || 1990 + o_orderkey % 5 || '+le:' || 2000 + o_orderkey % 7 WHEN o_orderkey % 5 > 0 THEN '&c[TIME_PERIOD]=ge:' || 1990 + o_orderkey % 5 WHEN o_orderkey % 7 > 0 THEN '&c[TIME_PERIOD]=ge:1950+le:' || 2000 + o_orderkey % 7 ELSE '' END
+       || '&lastNObservations=3' AS newer FROM orders""")
 def request_urls(spark, d):
-    n = table(spark, d, "nation")
-    start = {"startPeriod": F.when(F.col("n_regionkey") > 1, F.col("n_regionkey"))}
-    return n.select(F.col("n_nationkey").alias("k"), urls.request_url(F.concat(F.lit("DF"), "n_nationkey"), F.lit("1.0"), F.concat("n_name", F.lit("..")), start).alias("url"))
+    k = F.col("o_orderkey")
+    flow = F.when(k % 4 == 0, "DF_CRS").otherwise(F.concat(F.lit("DF"), "o_custkey"))
+    start, end = F.when(k % 5 > 0, 1990 + k % 5), F.when(k % 7 > 0, 2000 + k % 7)
+    key = F.when(k % 3 > 0, F.concat("o_orderstatus", F.lit("..")))
+    return table(spark, d, "orders").select(k.alias("k"), urls.request_url(flow, F.lit("1.0"), key, start, end).alias("url"), urls.request_url(flow, start=start, end=end, last=3, file_format="csv", api_version=2).alias("newer"))
 
 
-@query("""SELECT n_nationkey AS k, substr(sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || '}'), 1, 16) AS key FROM nation""")
+@query("""SELECT c_custkey AS k, substr(sha256('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}'), 1, 16) AS key FROM customer""")
 def result_keys(spark, d):
-    return table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), sinks.key_column(["n_nationkey", "n_name"]).alias("key"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k"), sinks.key_column(["c_name", "c_custkey"]).alias("key"))
 
 
-@query("SELECT lower(replace(replace(n_name || ' A.txt', '.txt', '.parquet'), ' ', '_')) AS name FROM nation")
+@query("SELECT lower(replace(replace(replace(c_name || ' A' || CASE WHEN c_custkey % 2 = 0 THEN '.txt' ELSE '.csv' END, '.txt', '.parquet'), '.csv', '.parquet'), ' ', '_')) AS name FROM customer")
 def member_names(spark, d):
-    return table(spark, d, "nation").select(sinks.clean_member(F.concat("n_name", F.lit(" A.txt"))).alias("name"))
+    return table(spark, d, "customer").select(sinks.clean_member(F.concat("c_name", F.lit(" A"), F.when(F.col("c_custkey") % 2 == 0, ".txt").otherwise(".csv"))).alias("name"))
 
 
 @query("SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day FROM orders")
 def date_casts(spark, d):
-    return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.to_date(F.date_format("o_orderdate", "MM/dd/yyyy"), "MM/dd/yyyy").alias("day"))
+    raw = "Commitment Date (MM/DD/YYYY)"
+    text = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.date_format("o_orderdate", "MM/dd/yyyy").alias(raw))
+    return projections.cast_columns(text, "aiddata").withColumnRenamed(raw, "day")
+
 
+#: The white space that a payload's ends lose, for SQL.
+STRIPPED = " || ".join(f"chr({ord(c)})" for c in metadata.WHITE)
 
-@query("SELECT doc_id, contains(text, 'NoRecordsFound') OR (length(trim(text, ' ')) < 50 AND NOT starts_with(trim(text, ' '), '\"') AND NOT contains(text, ',') AND NOT contains(text, chr(10))) AS bad FROM documents")
+
+@query(f"SELECT doc_id, kind, contains(t, 'NoRecordsFound') OR contains(t, 'Could not find') OR (length(trim(t, {STRIPPED})) < 50 AND NOT starts_with(trim(t, {STRIPPED}), '\"') AND NOT contains(t, ',') AND NOT contains(t, chr(10))) AS bad FROM (SELECT doc_id, 'whole' AS kind, text AS t FROM documents UNION ALL SELECT doc_id, 'part', chr(9) || chr(12) || substr(text, 3, 46) || chr(160) || chr(8195) FROM documents UNION ALL SELECT doc_id, 'answer', 'Could not find Dataflow, or ' || text FROM documents)")
 def error_payloads(spark, d):
-    return table(spark, d, "documents").select("doc_id", metadata.is_error_payload(F.col("text")).alias("bad"))
+    docs = table(spark, d, "documents")
+    kind = lambda name, t: docs.select("doc_id", F.lit(name).alias("kind"), t.alias("t"))
+    every = kind("whole", F.col("text")).union(kind("part", F.concat(F.lit("\t\f"), F.substring("text", 3, 46), F.lit("\xa0\u2003")))).union(kind("answer", F.concat(F.lit("Could not find Dataflow, or "), "text")))
+    return every.select("doc_id", "kind", metadata.is_error_payload(F.col("t")).alias("bad"))
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS code, upper(substr(n_name, 1, 3)) AS value FROM nation WHERE n_nationkey % 3 > 0")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS code, upper(substr(c_name, 10)) AS value FROM customer WHERE c_custkey % 3 > 0")
 def codelist_source(spark, d):
-    item = F.struct(F.when(F.col("n_nationkey") % 3 > 0, "Active").otherwise("withdrawn").alias("status"), F.col("n_nationkey").cast("string").alias("code"), F.when(F.col("n_nationkey") % 2 == 0, F.upper(F.substring("n_name", 1, 3))).otherwise("").alias("dotstatcode"), F.upper(F.substring("n_name", 1, 3)).alias("iso-alpha-3-code"))
-    items = table(spark, d, "nation").select(item.alias("i")).agg(F.collect_list("i").alias("codelist-item"))
+    """Envelopes of a hundred codes each."""
+    k, name = F.col("c_custkey"), F.upper(F.substring("c_name", 10, 99))
+    item = F.struct(F.when(k % 3 > 0, "Active").otherwise("withdrawn").alias("status"), k.cast("string").alias("code"), F.when(k % 2 == 0, name).otherwise("").alias("dotstatcode"), name.alias("iso-alpha-3-code"))
+    items = table(spark, d, "customer").groupBy(F.floor(k / 100)).agg(F.collect_list(item).alias("codelist-item"))
     raw = items.select(F.to_json(F.struct(F.struct(F.array(F.struct(F.struct("codelist-item").alias("codelist-items"))).alias("codelist")).alias("codelists"))).alias("value"))
     return metadata.codelist_items(raw)
 
 
-@query()
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 > 0 THEN '1.' || o_custkey END AS version, CAST(1 + o_orderkey % 3 AS INT) AS dimensions FROM orders")
 def structure_versions(spark, d):
-    xml = F.concat(F.lit('<s:Structure xmlns:s="urn:x"><s:Dataflow id="a" version="1.'), "n_regionkey", F.lit('"/><s:Dimension/><s:Dimension/><s:TimeDimension/></s:Structure>'))
-    return table(spark, d, "nation").withColumn("x", xml).select("n_nationkey", metadata.dataflow_version(F.col("x")).alias("version"), metadata.dimension_count(F.col("x")).alias("dimensions"))
+    k = F.col("o_orderkey")
+    flow = F.when(k % 4 > 0, F.concat(F.lit('<s:Dataflow id="a" version="1.'), "o_custkey", F.lit('"/>'))).otherwise("")
+    xml = F.concat(F.lit('<s:Structure xmlns:s="urn:x">'), flow, F.expr("repeat('<s:Dimension/>', 1 + cast(o_orderkey % 3 as int))"), F.lit("<s:TimeDimension/></s:Structure>"))
+    return table(spark, d, "orders").withColumn("x", xml).select(k.alias("k"), metadata.dataflow_version(F.col("x")).alias("version"), metadata.dimension_count(F.col("x")).alias("dimensions"))
 
 
-@query("SELECT n_nationkey AS k, 'id' || n_regionkey AS id FROM nation")
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 > 0 THEN 'id' || o_custkey END AS id FROM orders")
 def bulk_file_ids(spark, d):
-    text = F.concat(F.lit("<t>Full set (x)| http://e.org/f?a=b&amp;id=id"), "n_regionkey", F.lit(" </t>"))
-    return table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), metadata.bulk_file_id(text, "Full set (x)|").alias("id"))
+    label = F.when(F.col("o_orderkey") % 3 > 0, "Full set (x)|").otherwise("Other set|")
+    text = F.concat(F.lit("<t>"), label, F.lit(" http://e.org/f?a=b&amp;id=id"), "o_custkey", F.lit(" </t>"))
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), metadata.bulk_file_id(text, "Full set (x)|").alias("id"))
 
 
 # sources, sinks and streams, through a slice written and read again
@@ -443,11 +490,98 @@ def reduced_bulk(spark, d):
     return readers.reduced(readers.read_bulk(spark, path), ["DONOR", "MEASURE", "absent"]).groupBy("DONOR", "MEASURE").agg(F.count("*").alias("n"))
 
 
-@query("SELECT n_nationkey AS k, n_name AS name, CASE WHEN n_regionkey = 0 THEN NULL ELSE n_regionkey END AS region FROM nation")
+@query("SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 5 > 0 THEN c_nationkey END AS nation, CAST(c_acctbal AS DOUBLE) AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, NULL, NULL FROM supplier")
 def delimited_bulk(spark, d):
+    """Members of two headers and delimiters, several files each."""
+    path, nation = scratch(spark), F.col("c_nationkey").cast("string")
+    members = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 5 > 0, nation).otherwise("NA").alias("nation"), F.col("c_acctbal").cast("double").alias("balance"))
+    members.repartition(3).write.option("sep", "|").csv(f"{path}/a", header=True)
+    table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")).repartition(2).write.csv(f"{path}/b", header=True)
+    return readers.read_bulk(spark, path).select("k", "name", F.col("nation").cast("long").alias("nation"), "balance")
+
+
+@query("SELECT event_type AS first, CASE WHEN event_id % 5 > 0 THEN upper(event_type) END AS second, count(*) AS n FROM events GROUP BY ALL")
+def mangled_header(spark, d):
+    """Files whose header repeats a name."""
+    path, kind = scratch(spark), F.col("event_type")
+    lines = table(spark, d, "events").select(F.concat_ws(",", "event_id", kind, F.when(F.col("event_id") % 5 > 0, F.upper(kind)).otherwise("_Z")).alias("value"))
+
+    def headed(batches):
+        for n, batch in enumerate(batches):
+            if not n:
+                yield pa.RecordBatch.from_arrays([pa.array(["ID,RMNCH,RMNCH"])], names=["value"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    lines.mapInArrow(headed, "value string").write.text(path)
+    df, _ = readers.read_conformed(spark, path)
+    return df.groupBy(F.col("RMNCH").alias("first"), F.col("`RMNCH.1`").alias("second")).agg(F.count("*").alias("n"))
+
+
+@query(with_obs("SELECT part, DONOR, count(*) AS n FROM (SELECT 'full' AS part, DONOR FROM obs UNION ALL SELECT 'reduced', DONOR FROM obs UNION ALL SELECT 'period', DONOR FROM obs WHERE TIME_PERIOD BETWEEN 1993 AND 1995 UNION ALL SELECT 'dac2a', DONOR FROM obs WHERE UNIT_MEASURE = 'USD' UNION ALL SELECT 'multisystem', DONOR FROM obs WHERE MD_DIM = '_T') GROUP BY ALL"))
+def bulk_entries(spark, d):
+    root, o = scratch(spark), obs(spark, d)
+    sinks.write_lake(o.withColumnRenamed("TIME_PERIOD", "year"), f"{root}/{readers.BULK['crs']}")
+    o.select("DONOR", "RECIPIENT").write.parquet(f"{root}/{readers.BULK['crs_reduced']}")
+    o.filter("UNIT_MEASURE = 'USD'").write.csv(f"{root}/{readers.BULK['dac2a']}", header=True)
+    o.filter("MD_DIM = '_T'").write.parquet(f"{root}/{readers.BULK['multisystem']}")
+    parts = {"full": readers.bulk_crs(spark, root), "reduced": readers.bulk_crs(spark, root, reduced_version=True), "period": readers.crs_file(spark, root, "1993-95"), "dac2a": readers.bulk_dac2a(spark, root), "multisystem": readers.bulk_multisystem(spark, root)}
+    return codes.union_members([df.select(F.lit(name).alias("part"), "DONOR") for name, df in parts.items()]).groupBy("part", "DONOR").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS aiddata_id, CAST(year(o_orderdate) AS INT) AS commitment_year, CAST(o_orderdate AS DATE) AS commitment_date, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS TINYINT) AS covid FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1997")
+def project_table(spark, d):
+    """The project table, read strictly, saved and read again."""
+    root, flags = scratch(spark), [f.raw for f in spec_of("aiddata") if f.flag]
+    said = F.when(F.col("o_orderkey") % 2 == 0, "Yes").otherwise("No")
+    sheet = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("AidData Record ID"), F.year("o_orderdate").cast("string").alias("Commitment Year"), F.date_format("o_orderdate", "MM/dd/yyyy").alias("Commitment Date (MM/DD/YYYY)"), *[said.alias(f) for f in flags])
+    sheet.write.csv(f"{root}/sheet", header=True)
+    datasets.read_aiddata(spark, f"{root}/sheet", 1995, 1997, save_to_path=f"{root}/saved")
+    return spark.read.parquet(f"{root}/saved").select("aiddata_id", "commitment_year", "commitment_date", "covid")
+
+
+@query("SELECT CAST(p_size AS INT) AS code, max(p_brand) AS value FROM part GROUP BY ALL")
+def mapping_source(spark, d):
+    """A mapping file of one object, with an entry that isn't a number."""
     path = scratch(spark)
-    table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.when(F.col("n_regionkey") > 0, F.col("n_regionkey").cast("string")).otherwise("NA").alias("region")).coalesce(1).write.option("sep", "|").csv(path, header=True)
-    return readers.read_bulk(spark, path).select(F.col("k").cast("long").alias("k"), "name", F.col("region").cast("long").alias("region"))
+    entries = F.sort_array(F.collect_list(F.struct(F.col("p_size").cast("string").alias("k"), "v")))  # a row a size
+    sizes = table(spark, d, "part").groupBy("p_size").agg(F.max("p_brand").alias("v")).agg(entries.alias("e"))
+    sizes.select(F.to_json(F.map_from_entries(F.concat("e", F.array(F.struct(F.lit("(.*)").alias("k"), F.lit("x").alias("v")))))).alias("value")).write.text(path)
+    return metadata.read_mapping(spark, path).select("code", "value")
+
+
+def zipped(spark, d) -> str:
+    """Archives of the suppliers, one a nation, each with a delimited member; one in five is cut short."""
+    root, suppliers = scratch(spark), table(spark, d, "supplier").select(F.col("s_nationkey").cast("int").alias("nation"), "s_suppkey", "s_name")
+
+    def pack(key, rows):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("Full Data.txt", "k|name\n" + "".join(f"{a}|{b}\n" for a, b in zip(rows["s_suppkey"], rows["s_name"], strict=True)))
+        data = held.getvalue()
+        return pd.DataFrame({"nation": [key[0]], "content": [data[:-9] if key[0] % 5 == 4 else data]})
+
+    made = suppliers.groupBy("nation").applyInPandas(pack, "nation int, content binary")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for r in made.toLocalIterator():  # an archive at a time
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{'cut' if r.nation % 5 == 4 else 'whole'}/n{r.nation}.zip")
+        out = path.getFileSystem(conf).create(path)
+        out.write(bytearray(r.content))
+        out.close()
+    return root
+
+
+@query("SELECT 'n' || s_nationkey || '.zip' AS name, s_nationkey % 5 <> 4 AS ok FROM supplier GROUP BY ALL")
+def audited_archives(spark, d):
+    found = metadata.audit_archives(spark, f"{zipped(spark, d)}/*")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "ok")
+
+
+@query("SELECT s_suppkey AS k, s_name AS name, 'n' || s_nationkey || '-full_data' AS member FROM supplier WHERE s_nationkey % 5 <> 4")
+def landed_archives(spark, d):
+    root = zipped(spark, d)
+    path = metadata.land_archives(spark, f"{root}/whole", f"{root}/landed")
+    df = readers.read_bulk(spark, path)
+    return df.select("k", "name", F.regexp_extract(F.input_file_name(), "member=([^/]+)/", 1).alias("member"))
 
 
 @query(with_obs("SELECT DONOR, TIME_PERIOD, count(*) AS n FROM obs WHERE PRICE_BASE = 'V' GROUP BY ALL"))

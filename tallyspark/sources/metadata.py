@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import io
 import json
+import shutil
+import tempfile
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
+from typing import IO
 
 import pandas as pd
 import pyarrow as pa
@@ -15,10 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
+from ..operators.codes import overlay
+
 ENVELOPE = "codelists struct<codelist:array<struct<`codelist-items`:struct<`codelist-item`:array<struct<status:string,code:string,name:string,dotstatcode:string,`iso-alpha-3-code`:string>>>>>>"
 # What an answer says when a table is not found.
 NOT_FOUND = ("Could not find Dataflow", "Could not find DSD", "Dataflow not found", "NoRecordsFound")
 
+# The white space that is trimmed from a payload.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# Codes that replace or complete the area codelists, in this order.
+AREA_CORRECTIONS = {20000: "DAC_EC", 10280: "F5_X", 6790: "S7_X", 10330: "O7_X", 8600: "O8_X", 10350: "O9_X", 918: "4EU001", 20004: "DACEU_EC"}
+#: Which landed codelist translates a dataset, below the folder of codelists.
+AREA_LISTS = {"dac1": "dac1_codes_area.json", "dac2a": "dac2_codes_area.json", "crs": "dac2_codes_area.json", "cpa": "dac2_codes_area.json", "multisystem": "dac2_codes_area.json"}
+
 
 def codelist_items(raw: DataFrame, column: str = "value") -> DataFrame:
     """(code, value) of the active rows of codelist envelopes; of a repeated code the last wins."""
@@ -46,6 +59,13 @@ def read_mapping(spark: SparkSession, path: str, keys_as_int: bool = True) -> Da
     return out.filter(F.col("code").rlike("^[0-9]+$")).withColumn("code", F.col("code").cast("int"))
 
 
+def area_codes(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """(code, value, ord): the landed area codelist of a dataset, root/codelists, with the corrections over it."""
+    base = read_mapping(spark, f"{root.rstrip('/')}/codelists/{AREA_LISTS[dataset]}")
+    top = spark.createDataFrame([(c, v, n) for n, (c, v) in enumerate(AREA_CORRECTIONS.items(), 1)], "code int, value string, ord long")
+    return overlay(base, top)
+
+
 def dataflow_version(xml: Column) -> Column:
     return F.nullif(F.xpath_string(xml, F.lit("//*[local-name()='Dataflow']/@version")), F.lit(""))
 
@@ -72,7 +92,7 @@ def is_error_payload(text: Column) -> Column:
     said = F.lit(False)
     for phrase in NOT_FOUND:
         said |= text.contains(phrase)
-    bare = F.trim(text)
+    bare = F.btrim(text, F.lit(WHITE))
     return said | ((F.length(bare) < 50) & ~bare.startswith('"') & ~text.contains(",") & ~text.contains("\n"))
 
 
@@ -99,49 +119,92 @@ def audit_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(audit, "path string, ok boolean, reason string")
 
 
-def _members(content: bytes, endings: tuple[str, ...]) -> Iterator[tuple[str, bytes]]:
+def _members(content: bytes, endings: tuple[str, ...]) -> Iterator[tuple[str, IO[bytes]]]:
+    """The members of an archive as they unpack."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for member in sorted(z.namelist()):
             if member.lower().endswith(endings):
-                yield member, z.read(member)
+                with z.open(member) as f:
+                    yield member, f
+
+
+def _spooled(member: IO[bytes]) -> IO[bytes]:
+    """A member on the task's disk, where parquet can seek."""
+    held = tempfile.TemporaryFile()
+    shutil.copyfileobj(member, held, 1 << 20)
+    held.seek(0)
+    return held
+
+
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def read_parquet_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the parquet members of archives, decoded by tasks; each archive has the columns of the first."""
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
+    """The rows of the parquet members of archives, decoded by tasks, a batch of rows at a time. Columns of all members are
+    united; those whose types differ become text."""
+    raw = _archives(spark, path)
 
-    def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
-                for _, data in _members(content, (".parquet",)):
-                    yield pd.DataFrame({"path": [name], "schema": [from_arrow_schema(pq.read_schema(io.BytesIO(data))).json()]})
-                    break
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                for _, member in _members(content.as_py(), (".parquet",)):
+                    with _spooled(member) as f:
+                        yield pa.RecordBatch.from_arrays([pa.array([from_arrow_schema(pq.read_schema(f)).json()])], names=["schema"])
 
-    first = raw.mapInPandas(probe, "path string, schema string").agg(F.min_by("schema", "path")).first()[0]
-    if first is None:
+    schemas = [T.StructType.fromJson(json.loads(r.schema)) for r in raw.select("content").mapInArrow(probe, "schema string").distinct().orderBy("schema").collect()]
+    if not schemas:
         raise ValueError("No parquet members")
-    schema = T.StructType.fromJson(json.loads(first))
-    arrow = to_arrow_schema(schema)
+    types: dict[str, set] = {}
+    for f in (f for schema in schemas for f in schema):
+        types.setdefault(f.name, set()).add(f.dataType)
+    merged = T.StructType([T.StructField(c, ts.pop() if len(ts) == 1 else T.StringType()) for c, ts in types.items()])
+    arrow = to_arrow_schema(merged)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(1):
-                for _, data in _members(content.as_py(), (".parquet",)):
-                    for rows in pq.ParquetFile(io.BytesIO(data)).iter_batches():  # a row group at a time
-                        yield from pa.Table.from_batches([rows]).select(arrow.names).cast(arrow).to_batches()
+            for content in batch.column(0):
+                for _, member in _members(content.as_py(), (".parquet",)):
+                    with _spooled(member) as held:
+                        for rows in pq.ParquetFile(held).iter_batches():
+                            columns = [rows.column(f.name).cast(f.type) if f.name in rows.schema.names else pa.nulls(rows.num_rows, f.type) for f in arrow]
+                            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return raw.mapInArrow(decode, schema)
+    return raw.select("content").mapInArrow(decode, merged)
 
 
-def read_text_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(path, member, at, line) of the delimited members of archives."""
+#: Lines of a member that are held at once.
+LINES_AT_ONCE = 50_000
 
-    def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
-                for member, data in _members(content, (".csv", ".txt")):
-                    found = data.decode("utf-8", "replace").splitlines()
-                    yield pd.DataFrame({"path": name, "member": member, "at": range(len(found)), "line": found})
 
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
-    return raw.mapInPandas(lines, "path string, member string, at long, line string")
+def read_text_archives(spark: SparkSession, path: str) -> DataFrame:
+    """(path, member, at, line) of the delimited members of archives, unpacked line by line."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for member, f in _members(content.as_py(), (".csv", ".txt")):
+                    text, at = io.TextIOWrapper(f, "utf-8", errors="replace", newline=None), 0
+                    while found := [x.rstrip("\n") for x in islice(text, LINES_AT_ONCE)]:
+                        n = len(found)
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array([member] * n), pa.array(range(at, at + n), pa.int64()), pa.array(found)], names=["path", "member", "at", "line"])
+                        at += n
+
+    return _archives(spark, path).mapInArrow(lines, "path string, member string, at long, line string")
+
+
+def land_archives(spark: SparkSession, path: str, target: str) -> str:
+    """Unpacks archives to a folder that read_bulk() reads, and returns it: parquet members as one table if there are any,
+    else each delimited member as text, under its clean name. A member's lines stay in order, header first, since one
+    task unpacks and writes an archive."""
+    from .sinks import clean_member
+
+    target = target.rstrip("/")
+    try:
+        read_parquet_archives(spark, path).write.mode("overwrite").parquet(f"{target}/parquet")
+        return f"{target}/parquet"
+    except ValueError:
+        found = read_text_archives(spark, path)
+    name = F.concat_ws("-", F.regexp_extract("path", "([^/]+?)(?:[.]zip)?$", 1), F.regexp_replace(F.regexp_replace(clean_member(F.col("member")), "[.]parquet$", ""), "/", "-"))
+    (found.select(name.alias("member"), F.col("line").alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("member").text(f"{target}/text"))
+    return f"{target}/text"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,47 +42,102 @@ def safe_names(header: Sequence[str]) -> dict[str, str]:
     return names
 
 
-def _header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    first = spark.read.text(path).first()
-    if first is None:
-        return []
-    line = first[0].lstrip("﻿")
-    parsed = spark.range(1).select(F.from_csv(F.lit(line), F.lit(", ".join(f"c{k} string" for k in range(line.count(sep) + 1))), {"sep": sep, "quote": '"'}).alias("x")).first()["x"]
-    return [x or "" for x in parsed if x is not None]
+#: Small jobs, of one row each, that run at the same time.
+AT_ONCE = 16
 
 
-def read_observations(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
-    """A labelled file or folder as text columns, and raw names to the names in the frame. All files share a header."""
-    names = safe_names(mangle(_header(spark, path)))
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names.values()])
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=True, quote='"', escape='"', multiLine=True, nullValue=""), names
+def _headers(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The first line of each file: a job of one row a file."""
+    with ThreadPool(AT_ONCE) as pool:
+        firsts = pool.map(lambda p: spark.read.text(p).first(), paths)
+    return ["" if r is None else r[0].lstrip("\ufeff") for r in firsts]
 
 
-def read_conformed(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
-    df, names = read_observations(spark, path)
-    return nulls_from_tokens(df), names
+def split_header(line: str, sep: str = ",") -> list[str]:
+    """The names of a header; an empty name keeps its place."""
+    return next(csv.reader([line], delimiter=sep), [])
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files below path: names only, which the driver plans a scan with anyway."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()
-    return sorted(r.path for r in rows)
+def _read(spark: SparkSession, paths: Sequence[str], names: Sequence[str], sep: str, multi_line: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.csv(list(paths), header=True, schema=schema, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue="")
+
+
+def read_observations(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """A labelled file or folder as text columns, and raw names to the names in the frame.
+
+    Files with one header are one scan; columns of different headers are united by name. With multi_line quoted values may
+    hold line ends, and then a file is one task; without it Spark splits files.
+    """
+    files = _list(spark, path)
+    by: dict[tuple[str, ...], list[str]] = {}
+    for f, line in zip(files, _headers(spark, files), strict=True):
+        if line:
+            by.setdefault(tuple(mangle([x or f"_c{k}" for k, x in enumerate(split_header(line))])), []).append(f)
+    names = safe_names(list(dict.fromkeys(x for header in by for x in header)))
+    if not by:
+        return spark.createDataFrame([], T.StructType([])), {}
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_read(spark, fs, [names[x] for x in header], ",", multi_line) for header, fs in by.items()]), names
+
+
+#: The folder column of landed tables; the year stays a column of its own.
+YEAR_FOLDER = "year_folder"
+
 
+def read_landed(spark: SparkSession, path: str, years: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """A table that was landed by year, and raw names to those in the frame; years: a predicate on YEAR_FOLDER."""
+    df = spark.read.parquet(path)
+    if years is not None:
+        df = df.filter(years)
+    df = df.drop(YEAR_FOLDER)
+    lower = {c.lower() for c in df.columns}
+    raw = lambda c: c.removesuffix(LABEL_SUFFIX) if c.endswith(LABEL_SUFFIX) and c.removesuffix(LABEL_SUFFIX).lower() in lower else c
+    return df, {raw(c): c for c in df.columns}
 
-def read_parquet_members(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All members, columns united; members whose types differ are read apart and united by name."""
+
+def read_conformed(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    df, names = read_observations(spark, path, multi_line)
+    return nulls_from_tokens(df), names
+
+
+def _list(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files below path: names only, which the driver plans a scan with anyway."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    found, todo = [], [s.getPath() for s in root.getFileSystem(conf).globStatus(root) or []]
+    if not todo:
+        raise FileNotFoundError(path)
+    fs = root.getFileSystem(conf)
+    for top in todo:
+        files = fs.listFiles(top, True)
+        while files.hasNext():
+            at = files.next().getPath()
+            if not any(x.startswith(("_", ".")) for x in at.toString()[len(top.toString()) :].split("/") if x):
+                found.append(at.toString())
+    return sorted(found)
+
+
+def read_parquet_members(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
+    """All members, columns united, with the folder columns below base. Where types differ, members of one schema are one
+    scan, and columns whose types differ become text."""
     try:
-        df = spark.read.option("mergeSchema", True).parquet(*paths)
+        reader = spark.read.option("mergeSchema", True)
+        df = (reader.option("basePath", base) if base else reader).parquet(*paths)
         df.schema  # noqa: B018  a merge that fails says so here
         return df
     except Exception as e:
         if "MERGE" not in str(e).upper():
             raise
-    parts = [spark.read.parquet(p) for p in paths]
+    with ThreadPool(AT_ONCE) as pool:
+        schemas = pool.map(lambda p: spark.read.parquet(p).schema, paths)
+    by: dict[str, tuple[T.StructType, list[str]]] = {}
+    for p, schema in zip(paths, schemas, strict=True):
+        by.setdefault(schema.json(), (schema, []))[1].append(p)
     types: dict[str, set[str]] = {}
-    for p in parts:
-        for c, t in p.dtypes:
-            types.setdefault(c, set()).add(t)
+    for schema, _ in by.values():
+        for f in schema:
+            types.setdefault(f.name, set()).add(f.dataType.simpleString())
+    parts = [spark.read.schema(schema).parquet(*members) for schema, members in by.values()]
     one = lambda p: p.select(*[quoted(c).cast("string").alias(c) if len(types[c]) > 1 else quoted(c) for c in p.columns])
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(one, parts))
 
@@ -95,13 +152,40 @@ def detect_delimiter(lines: Sequence[str]) -> str:
     return "|" if text.count("|") > text.count(",") else ","
 
 
-def read_delimited_members(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All members, each with its own delimiter and inferred types, columns united."""
-    parts = []
-    for p in paths:
-        sep = detect_delimiter([r[0] for r in spark.read.text(p).limit(SAMPLE_LINES).collect()])
-        df = spark.read.csv(p, header=True, sep=sep, quote='"', escape='"', inferSchema=True, multiLine=True)
-        parts.append(nulls_from_tokens(df, DEFAULT_NULLS))
+#: What a column of text is tried as, in this order.
+TRIED = ("bigint", "double", "boolean")
+
+
+def with_inferred_types(df: DataFrame) -> DataFrame:
+    """df with each text column of the first type that fits all its values, in one pass; columns without values stay text."""
+    text = [c for c, t in df.dtypes if t == "string"]
+    if not text:
+        return df
+    failed = [F.count_if(quoted(c).isNotNull() & quoted(c).try_cast(t).isNull()).alias(f"{k} {t}") for k, c in enumerate(text) for t in TRIED]
+    row = df.agg(*failed, *[F.count(quoted(c)).alias(f"{k} n") for k, c in enumerate(text)]).first()
+    types = {c: next((t for t in TRIED if not row[f"{k} {t}"]), None) if row[f"{k} n"] else None for k, c in enumerate(text)}
+    return df.select(*[quoted(c).cast(types[c]).alias(c) if types.get(c) else quoted(c) for c in df.columns])
+
+
+def read_delimited_members(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """All members, each with its own delimiter, columns united, types inferred after null tokens. Members of one header
+    and delimiter are one scan."""
+    with ThreadPool(AT_ONCE) as pool:
+        samples = pool.map(lambda p: [r[0] for r in spark.read.text(p).limit(SAMPLE_LINES).collect()], paths)
+    by: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for p, lines in zip(paths, samples, strict=True):
+        if lines:
+            sep = detect_delimiter(lines)
+            by.setdefault((sep, tuple(mangle([x or f"_c{k}" for k, x in enumerate(split_header(lines[0].lstrip("\ufeff"), sep))]))), []).append(p)
+    if not by:
+        return spark.createDataFrame([], T.StructType([]))
+    parts = [with_inferred_types(nulls_from_tokens(_read(spark, members, header, sep, multi_line), DEFAULT_NULLS)) for (sep, header), members in by.items()]
+    types: dict[str, set[str]] = {}
+    for p in parts:
+        for c, t in p.dtypes:
+            types.setdefault(c, set()).add(t)
+    wide = {c: "double" if ts == {"bigint", "double"} else "string" for c, ts in types.items() if len(ts) > 1}
+    parts = [p.select(*[quoted(c).cast(wide[c]).alias(c) if c in wide else quoted(c) for c in p.columns]) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -109,14 +193,37 @@ def read_bulk(spark: SparkSession, path: str) -> DataFrame:
     """Members of a landed archive: parquet if there is any, else delimited text."""
     files = _list(spark, path)
     parquet = [f for f in files if f.lower().endswith(".parquet")]
-    text = [f for f in files if f.lower().endswith((".csv", ".txt"))]
+    text = [f for f in files if f.lower().endswith((".csv", ".txt", ".csv.gz", ".txt.gz"))]
     if parquet:
-        return read_parquet_members(spark, parquet)
+        return read_parquet_members(spark, parquet, None if set(path) & set("*?[{") else path)
     if text:
         return read_delimited_members(spark, text)
     raise ValueError("No parquet, csv, or txt files")
 
 
+# Where each bulk table lands below a root.
+BULK = {"crs": "bulk/crs", "crs_reduced": "bulk/crs_reduced", "dac2a": "bulk/dac2a", "multisystem": "bulk/multisystem"}
+
+
+def bulk_crs(spark: SparkSession, root: str, reduced_version: bool = False) -> DataFrame:
+    """The landed project table, or its landed reduced version."""
+    return read_bulk(spark, f"{root.rstrip('/')}/{BULK['crs_reduced' if reduced_version else 'crs']}")
+
+
+def crs_file(spark: SparkSession, root: str, period: int | str) -> DataFrame:
+    """The years of one file of the project table: a year or a label such as 1973-94."""
+    df = bulk_crs(spark, root)
+    return of_period(df, period, next(c for c in df.columns if c.lower() == "year"))
+
+
+def bulk_dac2a(spark: SparkSession, root: str) -> DataFrame:
+    return read_bulk(spark, f"{root.rstrip('/')}/{BULK['dac2a']}")
+
+
+def bulk_multisystem(spark: SparkSession, root: str) -> DataFrame:
+    return read_bulk(spark, f"{root.rstrip('/')}/{BULK['multisystem']}")
+
+
 def reduced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The variant with fewer columns; a columnar scan reads only these."""
     return df.select(*[quoted(c) for c in columns if c in df.columns])
@@ -142,4 +249,5 @@ def read_project_table(spark: SparkSession, path: str) -> DataFrame:
     """The landed sheet of projects, as parquet or delimited text with all columns as text."""
     if any(f.endswith(".parquet") for f in _list(spark, path)):
         return spark.read.parquet(path)
+    # descriptions hold line ends
     return nulls_from_tokens(spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True), DEFAULT_NULLS)

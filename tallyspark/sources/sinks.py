@@ -6,15 +6,17 @@ import hashlib
 import json
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def write_lake(df: DataFrame, path: str, partition: str | None = "year", mode: str = "overwrite") -> None:
-    """Parquet by year, so that year filters skip folders; rows of a year meet first, so a folder gets few files."""
+    """Parquet by year, so that year filters skip folders. Rows of a year meet first, so a folder gets few files; Spark
+    splits a year that is too large for a task and joins small ones."""
     if partition in df.columns:
-        df.repartition(F.col(partition)).write.mode(mode).partitionBy(partition).parquet(path)
+        df.hint("rebalance", F.col(partition)).write.mode(mode).partitionBy(partition).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
@@ -33,16 +35,71 @@ def key_column(columns: list[str]) -> Column:
     return F.substring(F.sha2(F.to_json(F.struct(*sorted(columns))), 256), 1, 16)
 
 
-def materialize(spark: SparkSession, build: Callable[[], DataFrame], root: str, **params) -> DataFrame:
-    """build()'s result, kept under a key of params; an entry that can't be read is built anew."""
-    path = f"{root.rstrip('/')}/{result_key(**params)}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+class Kept:
+    """Results kept under a folder by what made them.
+
+    An entry counts once its write has ended (`_SUCCESS`) and its files can be read; any other is built anew. A disabled
+    store builds each time and keeps nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, enabled: bool = True) -> None:
+        self.spark, self.root, self.enabled = spark, root.rstrip("/"), enabled
+        self.hits = self.misses = 0
+
+    def path(self, **params) -> str:
+        return f"{self.root}/{result_key(**params)}"
+
+    def _file(self, path: str):
+        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+    def _readable(self, path: str) -> DataFrame | None:
+        fs, done = self._file(f"{path}/_SUCCESS")
+        if not fs.exists(done):
+            return None
+        try:
+            df = self.spark.read.parquet(path)
+            df.select(F.lit(1).alias("one")).agg(F.count("*")).first()  # reads every footer
+            return df
+        except (PySparkException, Py4JJavaError):
+            return None
+
+    def get(self, build: Callable[[], DataFrame], **params) -> DataFrame:
+        """build()'s result, or what was kept of it."""
+        if not self.enabled:
+            return build()
+        path = self.path(**params)
+        found = self._readable(path)
+        if found is not None:
+            self.hits += 1
+            return found
+        self.misses += 1
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def clear(self, **params) -> bool:
+        """Deletes an entry, or all without parameters."""
+        fs, path = self._file(self.path(**params) if params else self.root)
+        return bool(fs.delete(path, True))
+
+    def stats(self) -> dict[str, int]:
+        """Entries and bytes below the folder, and this store's hits and misses."""
+        fs, root = self._file(self.root)
+        there = fs.exists(root)
+        entries = sum(1 for s in fs.listStatus(root) if s.isDirectory()) if there else 0
+        return {"entries": entries, "bytes": fs.getContentSummary(root).getLength() if there else 0, "hits": self.hits, "misses": self.misses}
+
+    def enable(self) -> None:
+        self.enabled = True
+
+    def disable(self) -> None:
+        self.enabled = False
+
+
+def materialize(spark: SparkSession, build: Callable[[], DataFrame], root: str, **params) -> DataFrame:
+    """build()'s result, kept under a key of params."""
+    return Kept(spark, root).get(build, **params)
 
 
 def clear(spark: SparkSession, root: str, **params) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{result_key(**params)}")
-    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return Kept(spark, root).clear(**params)

@@ -1,7 +1,7 @@
 """Column specs of the datasets and their dimension keys.
 
-A spec lists the raw columns that are kept, in output order, with target name and type. Raw columns that no line names
-are dropped.
+A spec lists the raw columns that are kept, in output order, with target name and type; a raw column after a dash is
+typed in raw reads and dropped from conformed ones. Raw columns that no line names are text, and dropped too.
 """
 
 from __future__ import annotations
@@ -28,6 +28,10 @@ TIME_PERIOD = year int
 OBS_VALUE = value double
 BASE_PER = base_period int
 UNIT_MULT = unit_multiplier int
+-Time period = time_period int
+-Observation value = observation_value double
+-Base period = base_period_name int
+-DECIMALS = decimals int
 """
 
 # Raw column = name type.
@@ -48,6 +52,10 @@ TIME_PERIOD = year int
 OBS_VALUE = value double
 BASE_PER = base_period int
 UNIT_MULT = unit_multiplier int
+-Time period = time_period int
+-Observation value = observation_value double
+-Base period = base_period_name int
+-DECIMALS = decimals int
 """
 
 # Raw column = name type.
@@ -73,6 +81,12 @@ TIME_PERIOD = year int
 OBS_VALUE = value double
 BASE_PER = base_period int
 UNIT_MULT = unit_multiplier int
+-MD_ID = md_id smallint
+-Microdata ID = microdata_id smallint
+-Time period = time_period int
+-Observation value = observation_value double
+-Base period = base_period_name int
+-DECIMALS = decimals int
 """
 
 # Raw column = name type.
@@ -137,6 +151,13 @@ AMOUNT_TIED = amount_tied double
 AMOUNT_UNTIED = amount_untied double
 AMOUNT_PARTLY_UNTIED = amount_partly_untied double
 NATURE_OF_SUBMISSION = nature_of_submission int
+-Time period = time_period int
+-Observation value = observation_value double
+-Base period = base_period_name int
+-DECIMALS = decimals int
+-Amount tied = amount_tied_value double
+-Amount untied = amount_untied_value double
+-Amount partly untied = amount_partly_untied_value double
 """
 
 # Raw column = name type. A leading ? marks yes/no flags, a leading - dropped columns.

@@ -140,3 +140,86 @@ def test_read_aiddata(spark, tmp_path):
     (tmp_path / "p.csv").write_text("\n".join(lines) + "\n")
     row = datasets.read_aiddata(spark, str(tmp_path / "p.csv"), 2001, 2001).first()
     assert row.aiddata_id == "7" and row.commitment_year == 2001 and str(row.commitment_date) == "2001-03-15" and row.covid == 1 and "project_title" not in row
+
+
+def test_periods_that_are_text(spark):
+    df = spark.createDataFrame([("2019",), ("_Z",), (None,), ("2021",)], "TIME_PERIOD string")
+    assert [r[0] for r in df.filter(filters.year_range(2020, None)).collect()] == ["2021"]
+    assert filters.filter_years(df, 2019, None, "TIME_PERIOD").count() == 2
+
+
+def test_filter_kinds():
+    kinds = datasets.available_filters("crs")
+    assert kinds["microdata"] == "bool" and "md_dim" not in kinds and set(datasets.available_filters("dac2a")) == {"donor", "recipient", "measure", "unit_measure", "price_base"}
+    with pytest.raises(ValueError):
+        datasets.available_filters("nothing")
+
+
+def cube(tmp_path, name="crs/1.6", values="1.5"):
+    folder = tmp_path / name
+    folder.mkdir(parents=True)
+    head = "DONOR,Donor,RECIPIENT,CHANNEL,PRICE_BASE,MD_DIM,TIME_PERIOD,OBS_VALUE,DECIMALS,FLOW_TYPE"
+    (folder / "a.csv").write_text(f"{head}\nFRA,France,KEN,_T,V,DD,2020,{values},2,_Z\nnobody,,UGA,11000,Q,DD,2021,{values},2,_Z\nFRA,France,KEN,1,V,_T,2020,9,2,_Z\n")
+    (tmp_path / "codelists").mkdir(exist_ok=True)
+    (tmp_path / "codelists/dac2_codes_area.json").write_text('{"4": "FRA", "248": "KEN", "(.*)": "x"}')
+
+
+def test_landed_codelist_is_the_default(spark, tmp_path):
+    cube(tmp_path)
+    out = datasets.read_crs(spark, str(tmp_path), 2020, 2020)
+    assert [tuple(r) for r in out.select("donor_code", "donor_name", "recipient_code", "year", "value", "data_type_code").collect()] == [(4, "France", 248, 2020, 1.5, "A")]
+    assert dict(out.dtypes)["donor_code"] == "int"
+    assert not [c for c in out.columns if "flow" in c]  # no value, so it goes
+    assert "donor_code" not in datasets.read_crs(spark, str(tmp_path), 2021).columns  # no code for that donor
+    fixed = datasets.read_crs(spark, str(tmp_path), 2021, fixed=True)
+    assert "donor_code" in fixed.columns and fixed.first().donor_code is None
+    raw = datasets.read_crs(spark, str(tmp_path), pre_process=False, dotstat_codes=False)
+    assert dict(raw.dtypes)["DECIMALS"] == "int" and dict(raw.dtypes)["CHANNEL"] == "string" and raw.count() == 2
+    with pytest.raises(FileNotFoundError):
+        datasets.read_crs(spark, str(tmp_path), dataflow_version="9.9")
+
+
+def test_one_pass_before_the_result(spark, tmp_path):
+    cube(tmp_path)
+    raw, names = datasets.read_observations(spark, str(tmp_path / "crs/1.6"))
+    areas = spark.createDataFrame([(4, "FRA", 0)], "code int, value string, ord long")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("probe", "")
+    datasets.conform(raw, "crs", names=names, areas=areas, fixed=True)
+    least = len(tracker.getJobIdsForGroup("probe"))
+    spark.sparkContext.setJobGroup("both", "")
+    datasets.conform(raw, "crs", names=names, areas=areas)
+    ran = len(tracker.getJobIdsForGroup("both"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert ran - least <= 4  # stages of one aggregate and the join in it
+
+
+def test_tables_landed_by_year(spark, tmp_path):
+    cube(tmp_path)
+    cube(tmp_path, "crs_greq/1.6", "7.5")
+    before = sorted(map(tuple, datasets.read_crs(spark, str(tmp_path), 2021, 2021, as_grant_equivalent=True, fixed=True).collect()))
+    datasets.land_dataset(spark, str(tmp_path), "crs_greq")
+    out = datasets.read_crs(spark, str(tmp_path), 2021, 2021, as_grant_equivalent=True, fixed=True)
+    assert sorted(map(tuple, out.collect())) == before and before[0][out.columns.index("value")] == 7.5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year_folder" in plan
+
+
+def test_codes_are_ranked_without_one_task(spark):
+    rows = [("12",), ("3",), ("abc",), ("2000001",), ("(.*)",), ("ab",), ("0003",), ("1000000",), ("z",)]
+    got = {r.code: r.place for r in codes.ranked_codes(spark.createDataFrame(rows, "code string")).collect()}
+    assert sorted(got, key=got.get) == ["0003", "3", "12", "1000000", "2000001", "ab", "abc", "z", "(.*)"] and sorted(got.values()) == list(range(1, 10))
+
+
+def test_catalogue_with_labels(spark):
+    df = spark.createDataFrame([("a", "Alpha", 1), ("a", "Alpha", 2), ("b", None, None)], "c string, l string, d int")
+    got = {(r.dimension, r.code): (r.label, r.n) for r in codes.dimension_catalogue(df, ["c", "d"], {"c": "l"}).collect()}
+    assert got == {("c", "a"): ("Alpha", 2), ("c", "b"): (None, 1), ("d", "1"): (None, 1), ("d", "2"): (None, 1)}
+
+
+def test_project_table_is_saved(spark, tmp_path):
+    flags = [f.raw for f in SPECS["aiddata"] if f.flag]
+    header = ["AidData Record ID", "Commitment Year", *flags]
+    (tmp_path / "p.csv").write_text(",".join(f'"{h}"' for h in header) + "\n7,2001," + ",".join(["No"] * len(flags)) + "\n")
+    df = datasets.read_aiddata(spark, str(tmp_path / "p.csv"), save_to_path=str(tmp_path / "saved"))
+    assert spark.read.parquet(str(tmp_path / "saved")).collect() == df.collect()

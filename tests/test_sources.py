@@ -93,7 +93,7 @@ def test_archives(spark, tmp_path):
     path = str(tmp_path / "z")
     assert sorted(r.a for r in metadata.read_parquet_archives(spark, path).collect()) == [1, 2, 3]
     assert metadata.read_text_archives(spark, path).filter("at = 0 and line = 'c1,c2'").count() == 2
-    (tmp_path / "z/bad.zip").write_bytes(b"NOT A ZIP" + b"\xff" * 1000)
+    (tmp_path / "z/bad.zip").write_bytes(bytes(range(256)) * 4)
     audit = {r.path.rpartition("/")[2]: (r.ok, r.reason) for r in metadata.audit_archives(spark, path).collect()}
     assert audit["x.zip"] == (True, None) and not audit["bad.zip"][0] and "zip" in audit["bad.zip"][1]
 
@@ -130,3 +130,121 @@ def test_addresses(spark):
     assert tuple(row(a)) == ("DSD_A@DF_A", "1.8", a.replace("1.8", "3.1"))
     assert tuple(row(b)) == ("DSD_B@DF_B", "2.0", b.replace("2.0", "3.1"))
     assert tuple(row("https://h/x"))[:2] == (None, None)
+
+
+def test_empty_and_differing_headers(spark, tmp_path):
+    write(tmp_path / "e/a.csv", "a,,c\n1,2,3\n")
+    df, names = readers.read_observations(spark, str(tmp_path / "e"))
+    assert df.columns == ["a", "_c1", "c"] and tuple(df.first()) == ("1", "2", "3")
+    write(tmp_path / "h/1.csv", "DONOR,SECTOR\nUSA,1\n")
+    write(tmp_path / "h/2.csv", "SECTOR,DONOR,MORE\n2,FRA,x\n")
+    write(tmp_path / "h/3.csv", "SECTOR,DONOR,MORE\n3,DEU,y\n")
+    write(tmp_path / "h/_SUCCESS", "")
+    df, names = readers.read_observations(spark, str(tmp_path / "h"))
+    assert {tuple(r) for r in df.select("DONOR", "SECTOR", "MORE").collect()} == {("USA", "1", None), ("FRA", "2", "x"), ("DEU", "3", "y")}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2  # a scan a header
+
+
+def test_line_ends_in_values(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'a,b\n1,"two\nlines"\n')
+    df, _ = readers.read_observations(spark, path, multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("1", "two\nlines")]
+
+
+def test_text_is_split(spark, tmp_path):
+    path = write(tmp_path / "s.csv", "a,b\n" + "".join(f"{k},{'x' * 90}\n" for k in range(20_000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+    try:
+        df, _ = readers.read_observations(spark, path)
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_types_of_members(spark, tmp_path):
+    write(tmp_path / "t/a.csv", "n,x,f,b,e\n1,NA,1.5,True,\nNA,2,2,False,\n")
+    write(tmp_path / "t/b.txt", "n|f\n3|z\n")
+    df = readers.read_bulk(spark, str(tmp_path / "t"))
+    assert dict(df.dtypes) == {"n": "bigint", "x": "bigint", "f": "string", "b": "boolean", "e": "string"}
+    assert {(r.n, r.x, r.f) for r in df.collect()} == {(1, None, "1.5"), (None, 2, "2.0"), (3, None, "z")}
+
+
+def test_archives_land(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for name, data in (("x", {"a": [1, 2], "b": ["q", "r"]}), ("y", {"a": ["t"], "c": [2.5]})):
+        pq.write_table(pa.table(data), tmp_path / "m.parquet")
+        with zipfile.ZipFile(tmp_path / f"p/{name}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.write(tmp_path / "m.parquet", "data/Test.parquet")
+    df = readers.read_bulk(spark, metadata.land_archives(spark, str(tmp_path / "p"), str(tmp_path / "out")))
+    assert {(r.a, r.b, r.c) for r in df.collect()} == {("1", "q", None), ("2", "r", None), ("t", None, 2.5)}
+    (tmp_path / "q").mkdir()
+    with zipfile.ZipFile(tmp_path / "q/Some Set.zip", "w") as z:
+        z.writestr("Part A.txt", "k|v\n" + "".join(f"{k}|w{k}\n" for k in range(120_000)))
+        z.writestr("b.csv", "k,u\n7,8\n")
+    path = metadata.land_archives(spark, str(tmp_path / "q"), str(tmp_path / "out"))
+    df = readers.read_bulk(spark, path)
+    assert df.filter("v = concat('w', k)").count() == 120_000 and [r.u for r in df.filter("u is not null").collect()] == [8]
+
+
+def test_payload_white_space(spark):
+    rows = [("\u2003\t" + "w" * 49 + "\x1f\xa0",), (" " * 60 + "short",), ('\x0b"quoted"',)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(metadata.is_error_payload(F.col("t"))).collect()]
+    assert got == [True, True, False]
+
+
+def test_kept_results(spark, tmp_path):
+    made = []
+    build = lambda: made.append(1) or spark.range(5)
+    store = sinks.Kept(spark, str(tmp_path / "kept"))
+    assert store.get(build, a=1).count() == store.get(build, a=1).count() == 5 and len(made) == 1
+    folder = tmp_path / "kept" / sinks.result_key(a=1)
+    for f in folder.glob("part-*"):
+        f.write_bytes(b"not parquet")
+    for f in folder.glob(".*.crc"):
+        f.unlink()
+    assert store.get(build, a=1).count() == 5 and len(made) == 2  # a file that can't be read
+    (folder / "_SUCCESS").unlink()
+    assert store.get(build, a=1).count() == 5 and len(made) == 3  # a write that didn't end
+    stats = store.stats()
+    assert (stats["entries"], stats["hits"], stats["misses"]) == (1, 1, 3) and stats["bytes"] > 0
+    store.disable()
+    store.get(build, a=1)
+    store.enable()
+    assert len(made) == 4 and store.clear() and store.stats()["entries"] == 0
+
+
+def test_lake_splits_a_large_year(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "50000")
+    try:
+        sinks.write_lake(spark.range(200_000).selectExpr("id", "if(id < 10, 2001, 2000) as year", "uuid() as u").repartition(8), str(tmp_path / "lake"))
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "lake/year=2000").glob("part-*"))) > 1
+    assert len(list((tmp_path / "lake/year=2001").glob("part-*"))) == 1
+
+
+def test_corrections_over_the_area_list(spark, tmp_path):
+    write(tmp_path / "codelists/dac1_codes_area.json", json.dumps({"1": "AUT", "918": "old", "20004": "DACEUEC", "20918": "4EU001", "(.*)": "\\1"}))
+    areas = metadata.area_codes(spark, str(tmp_path), "dac1")
+    got = {r.code: r.value for r in areas.collect()}
+    # the values that corrections fix
+    assert got[1] == "AUT" and got[918] == "4EU001" and got[20004] == "DACEU_EC" and got[10280] == "F5_X"
+    from tallyspark.operators import codes
+
+    inverse = {r.value: r.code for r in codes.invert(areas).collect()}
+    assert inverse["4EU001"] == 20918 and "DACEUEC" not in inverse and inverse["AUT"] == 1
+
+
+def test_request_addresses(spark):
+    url = lambda **k: spark.range(1).select(urls.request_url(F.lit(k.pop("flow", "DF_DAC1")), **k)).first()[0]
+    assert url() == "https://sdmx.oecd.org/public/rest/data/OECD.DCD.FSD,DF_DAC1,/all?format=csvfilewithlabels"
+    assert url(version=F.lit("1.0"), key=F.lit("1..2010..1140.."), start=2020, end=2023).endswith("DF_DAC1,1.0/1..2010..1140..?format=csvfilewithlabels&startPeriod=2020&endPeriod=2023")
+    assert url(api_version=2, start=2020, end=2023) == "https://sdmx.oecd.org/public/rest/v2/data/dataflow/OECD.DCD.FSD/DF_DAC1/+/*?format=csvfilewithlabels&c[TIME_PERIOD]=ge:2020+le:2023"
+    assert url(api_version=2, end=2023, last=5).endswith("?format=csvfilewithlabels&c[TIME_PERIOD]=ge:1950+le:2023&lastNObservations=5")
+    assert url(api_version=2, start=2020, file_format="jsondata").endswith("?format=jsondata&c[TIME_PERIOD]=ge:2020")
+    assert url(flow="DSD_CRS@DF_CRS", version=F.lit("1.0"), start=0).startswith("https://sdmx.oecd.org/dcd-public/rest/data/OECD.DCD.FSD,DSD_CRS@DF_CRS,1.0/all?format=csvfilewithlabels")
+    ends = spark.createDataFrame([("https://h/OECD.DCD.FSD/DSD_A@DF_A/",), ("https://h/OECD.DCD.FSD/DSD_A@DF_A",), ("https://h/OECD.DCD.FSD/A/1.0/all",), ("https://h/OECD.DCD.FSD",)], "u string")
+    assert [r[0] for r in ends.select(urls.flow_id(F.col("u"))).collect()] == ["DSD_A@DF_A", "DSD_A@DF_A", None, None]
