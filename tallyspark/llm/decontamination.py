@@ -1,24 +1,32 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
-A document's windows have as many words as the item they are held against. Windows that share no word shingle with any
-item of their size have similarity 0 and are passed over; the others get a 64-bit SimHash of their shingles. A
-multi-index of 8 blocks finds items: if two fingerprints differ in at most `RADIUS` bits, one block differs in at most
-RADIUS // 8, so the tables list, for each value of each block, the items whose block is that near. Distances of those
-items are then counted over all 64 bits, and survivors verified by the exact weighted similarity of their shingles, the
-sum of least over the sum of greatest multiplicities. At similarity 0.8 fingerprints differ in 9.7 bits on average with
-a deviation of 2.9, so a radius of 22 misses one in 10^5 or fewer.
-
-The items are the query set: they are read in blocks of at most `BLOCK_BYTES`, a bound that the driver and each task
-hold, with one pass over the documents a block. No document is shuffled.
+A document's windows have as many words as the item they are held against. Each is compared in three steps that lose
+nothing but what the fingerprint's radius does:
+
+1. A window of similarity s or more lacks at most 1 - s of an item's shingles, so it holds one of the item's probes: its
+   rarest shingles among the items, more than 1 - s of all. Windows without a probe of an item aren't looked at, and
+   shingles that many items share are probes of hardly any.
+2. Window and item have a 64-bit SimHash of their shingles. A multi-index of 8 blocks lists for each value of each block
+   the items whose block differs in at most `RADIUS` // 8 bits: if two fingerprints differ in `RADIUS` bits or fewer, one
+   block does. Items that it lists stay if the distance over all 64 bits is within the radius. At similarity 0.8
+   fingerprints differ in 9.7 bits on average with a deviation of 2.9, so a radius of 22 misses one in 10^5 or fewer.
+   At that radius the index lists 71 % of all items for any fingerprint, which is why the probes come first.
+3. Survivors are verified by the exact weighted similarity of their shingles, the sum of least over the sum of greatest
+   multiplicities.
+
+The items are the query set: they are read in blocks of about `BLOCK_BYTES`, a bound that the driver and each task hold,
+with one pass over the documents a block, whose matches are stored before the next block is read. No document is
+shuffled.
 
 Edge cases: null, empty and blank texts hold nothing; an item under `shingle` words is one shingle of all its words, one
 without words is passed over; a document shorter than the item is one window; rows are judged one by one, repeated or
-not; ties of similarity go to the first window; extra columns stay out; empty tables give an empty result.
+not, and null ids are kept; ties of similarity go to the first window; extra columns stay out; empty tables give an
+empty result.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from typing import Any
@@ -29,12 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import slices, stored, utf8
 
 SHINGLE, SIMILAR, RADIUS = 5, 0.8, 22
 BLOCKS = 8
 #: Bytes of item texts in a pass, and of document texts at a time in a task.
-BLOCK_BYTES, AT_ONCE = 4_000_000, 1 << 20
+BLOCK_BYTES, AT_ONCE = 8_000_000, 1 << 20
 
 _FOLD = np.array([32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -98,56 +106,74 @@ def similarity(a: Counter, b: Counter) -> float:
     return shared / (a.total() + b.total() - shared) if shared else 0.0
 
 
-def index(items: list[tuple[Any, bytes]], shingle: int, radius: int) -> dict[str, Any]:
+def index(items: list[tuple[Any, bytes]], shingle: int, similar: float, radius: int) -> dict[str, Any]:
     """What a task needs to know of a block of items."""
-    powers, rows = Powers(), []
+    powers, names, texts, words, prints, owned = Powers(), [], [], [], [], []
     for name, text in items:
-        data, starts, ends, hashes = word_hashes([text], powers)
-        if len(hashes):
-            rows.append((name, len(hashes), shingle_hashes(hashes, shingle), _shingles(data.tobytes().split(), shingle)))
-    prints = np.concatenate([simhash(h, np.zeros(1, np.int64), len(h)) for _, _, h, _ in rows]) if rows else np.zeros((0, BLOCKS), np.uint8)
+        data, starts, _, hashes = word_hashes([text], powers)
+        if len(starts):
+            mine = shingle_hashes(hashes, shingle)
+            names.append(name)
+            texts.append(data.tobytes())
+            words.append(len(starts))
+            prints.append(simhash(mine, np.zeros(1, np.int64), len(mine)))
+            owned.append(mine)
+    all_, n_items = np.unique(np.concatenate([np.unique(x) for x in owned]), return_counts=True) if owned else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    probes, owner = [], []
+    for k, mine in enumerate(owned):
+        own, times = np.unique(mine, return_counts=True)
+        order = np.argsort(n_items[np.searchsorted(all_, own)], kind="stable")
+        enough = np.cumsum(times[order]) > (1 - similar) * len(mine) + 1e-9
+        few = own[order[: int(np.argmax(enough)) + 1]]
+        probes.append(few)
+        owner.append(np.full(len(few), k))
+    at, whose = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((probes, np.uint64), (owner, np.int64)))
+    order = np.argsort(at, kind="stable")
+    known, first = np.unique(at[order], return_index=True)
+    prints = np.concatenate(prints) if prints else np.zeros((0, BLOCKS), np.uint8)
     bits = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :])
     near = np.stack([np.packbits(bits[:, prints[:, k]] <= radius // BLOCKS, axis=1) for k in range(BLOCKS)])  # block, value, items as bits
-    owners: dict[int, set[int]] = defaultdict(set)
-    for _, n, h, _ in rows:
-        for x in h.tolist():
-            owners[x].add(n)
-    known = np.array(sorted(owners), np.uint64)
-    return {"rows": rows, "prints": prints, "near": near, "known": known, "sizes": [sorted(owners[x]) for x in known.tolist()], "words": np.array([r[1] for r in rows])}
+    return {"names": names, "texts": texts, "words": np.array(words, np.int64), "prints": prints, "near": near, "known": known, "first": np.append(first, len(at)), "owners": whose[order]}
 
 
 def search(words: np.ndarray, found: np.ndarray, at: np.ndarray, text, known: dict[str, Any], shingle: int, similar: float, radius: int) -> list[tuple]:
-    """(item, similarity, start, words) of a document with shingles `found` (index into known) at places `at`."""
-    by_size: dict[int, list[int]] = defaultdict(list)
-    for x, p in zip(found.tolist(), at.tolist(), strict=True):
-        for n in known["sizes"][x]:
-            by_size[n].append(p)
+    """(item, similarity, start, words) of a document with probes `found` (places in known) at words `at`."""
+    many = known["first"][found + 1] - known["first"][found]
+    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    item, place = known["owners"][np.repeat(known["first"][found], many) + nth], np.repeat(at, many)
+    size = np.minimum(known["words"][item], len(words))
     best: dict[int, tuple] = {}
-    for size, places in by_size.items():
-        n = min(size, len(words))
-        span = max(1, n - shingle + 1)  # shingles of a window
-        last = len(words) - n
-        starts = np.unique(np.concatenate([np.arange(max(0, p - span + 1), min(p, last) + 1) for p in places]))
+    for n in np.unique(size).tolist():
+        here = size == n
+        span, last = max(1, n - shingle + 1), len(words) - n  # shingles of a window, and its last start
+        shifted = place[here][:, None] - np.arange(span)
+        pair = np.stack([np.repeat(item[here], span), shifted.ravel()], axis=1)
+        pair = np.unique(pair[(pair[:, 1] >= 0) & (pair[:, 1] <= last)], axis=0)
+        if not len(pair):
+            continue
+        starts, which = np.unique(pair[:, 1], return_inverse=True)
         low, high = int(starts[0]), int(starts[-1]) + n
-        hashes = shingle_hashes(words[low:high], min(shingle, n))
-        prints = simhash(hashes, starts - low, span)
-        listed = known["near"][0][prints[:, 0]]
-        for k in range(1, BLOCKS):
-            listed = listed | known["near"][k][prints[:, k]]
-        window, item = np.nonzero(np.unpackbits(listed, axis=1)[:, : len(known["rows"])] & (known["words"] == size))
-        close = np.bitwise_count(prints[window] ^ known["prints"][item]).sum(axis=1) <= radius
-        for s, i in zip(starts[window[close]].tolist(), item[close].tolist(), strict=True):
-            value = similarity(known["rows"][i][3], _shingles(text(s, s + n), shingle))
-            if value >= similar and (i not in best or (-value, s) < (-best[i][0], best[i][1])):
-                best[i] = (value, s, n)
-    return [(known["rows"][i][0], *best[i]) for i in sorted(best)]
+        prints = simhash(shingle_hashes(words[low:high], min(shingle, n)), starts - low, span)[which]
+        i = pair[:, 0]
+        listed = np.zeros(len(pair), bool)
+        for k in range(BLOCKS):
+            listed |= (known["near"][k][prints[:, k], i >> 3] >> (7 - (i & 7)).astype(np.uint8) & 1).astype(bool)
+        listed[listed] = np.bitwise_count(prints[listed] ^ known["prints"][i[listed]]).sum(axis=1) <= radius
+        last_item, mine = -1, Counter()
+        for k, s in pair[listed].tolist():
+            if k != last_item:
+                last_item, mine = k, _shingles(known["texts"][k].split(), shingle)
+            value = similarity(mine, _shingles(text(s, s + n), shingle))
+            if value >= similar and (k not in best or (-value, s) < (-best[k][0], best[k][1])):
+                best[k] = (value, s, n)
+    return [(known["names"][k], *best[k]) for k in sorted(best)]
 
 
 MATCH = "doc_id long, item_id long, similarity double, start long, n_words long"
 
 
 def _matcher(items: list[tuple[Any, bytes]], shingle: int, similar: float, radius: int):
-    known = index(items, shingle, radius)
+    known = index(items, shingle, similar, radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -192,5 +218,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, simila
     for k in range(blocks):
         block = wanted if blocks == 1 else wanted.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         held = [(r.item, r.text.encode()) for r in block.orderBy("item", "text").collect()]
-        parts.append(rows.mapInArrow(_matcher(held, shingle, similar, radius), MATCH))
+        matches = rows.mapInArrow(_matcher(held, shingle, similar, radius), MATCH)
+        parts.append(matches if blocks == 1 else stored(matches))
     return reduce(DataFrame.union, parts)

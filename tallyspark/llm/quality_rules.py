@@ -38,7 +38,7 @@ RULES = (
     Rule("symbol_ratio", None, 0.1),
     Rule("stop_word_ratio", 0.02, None),
     Rule("dup_line_ratio", None, 0.5),
-    Rule("words_per_line", 1.0, None),
+    Rule("words_per_line", 2.0, None),
 )
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 

@@ -55,7 +55,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     calls, results = chat_format.conversation_calls(turns)
-    return chat_format.link_calls(calls, results, chat_format.ASK, chat_format.other_turns(turns))
+    return chat_format.link_calls(calls, results, chat_format.TOOLS, chat_format.other_turns(turns))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op4_line_dedup, op5_language_id, op6_secret_scan, op7_personal_data, op8_simhash_dedup, op9_decontamination, op10_chat_format)}
@@ -128,26 +128,57 @@ WITH d AS (
 ), b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars / n_words::DOUBLE BETWEEN 2 AND 12 AND n_symbols / n_words::DOUBLE <= 0.1
-       AND (n_stop + 1) / (n_words + 1)::DOUBLE >= 0.02 AND n_dup_lines / n_lines::DOUBLE <= 0.5 AND n_words / n_lines::DOUBLE >= 1 AS kept
+       AND (n_stop + 1) / (n_words + 1)::DOUBLE >= 0.02 AND n_dup_lines / n_lines::DOUBLE <= 0.5 AND n_words / n_lines::DOUBLE >= 2 AS kept
 FROM b""",
     "op10_chat_format": """
-WITH RECURSIVE c AS (
-  SELECT conv_id, turn, text, conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS parent FROM conversations WHERE role = 'user'
-), r AS (
+WITH RECURSIVE asked AS (
+  SELECT conv_id, conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS p2, conv_id || '-' || (turn - 4) AS p4, turn, text,
+         coalesce(contains(text, chr(10)), false) AS several, CASE WHEN length(text) < 200 THEN 'short' WHEN length(text) < 600 THEN 'middle' ELSE 'long' END AS size
+  FROM conversations WHERE role = 'user'
+), told AS (
   SELECT conv_id AS answer_conv, conv_id || '-' || (turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'assistant'
-), lv AS (
-  SELECT call_id, 0::BIGINT AS level FROM c WHERE parent NOT IN (SELECT call_id FROM c)
-  UNION ALL SELECT c.call_id, level + 1 FROM c JOIN lv ON c.parent = lv.call_id
-), j AS (
-  SELECT coalesce(c.call_id, r.call_id) AS call_id, coalesce(conv_id, answer_conv) AS conv_id, level, turn, text, content,
-         CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
-         c.call_id IS NOT NULL AS valid, CASE WHEN c.call_id IS NULL THEN 0 ELSE 1 END::BIGINT AS copies
-  FROM c FULL JOIN r ON c.call_id = r.call_id LEFT JOIN lv ON lv.call_id = c.call_id
+), edges AS (
+  SELECT c.call_id, p.call_id AS parent FROM asked c JOIN asked p ON p.call_id IN (c.p2, c.p4)
+), chains AS (
+  SELECT call_id, 0 AS far FROM asked UNION SELECT edges.call_id, far + 1 FROM chains JOIN edges ON edges.parent = chains.call_id
+), levels AS (
+  SELECT call_id, max(far)::BIGINT AS level FROM chains GROUP BY call_id
+), linked AS (
+  SELECT coalesce(c.call_id, r.call_id) AS call_id, coalesce(conv_id, answer_conv) AS conv_id, level, CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
+         c.call_id IS NOT NULL AND text IS NOT NULL AND CASE WHEN several THEN size <> 'long' ELSE length(text) >= 1 END AS valid,
+         CASE WHEN c.call_id IS NULL THEN 0 ELSE 1 END::BIGINT AS copies, CASE WHEN several THEN 'recite' WHEN c.call_id IS NOT NULL THEN 'ask' END AS name, content,
+         CASE WHEN c.call_id IS NULL THEN 'null' WHEN several THEN json_object('at', json_object('size', size, 'turn', turn), 'lines', string_split(text, chr(10)))::VARCHAR
+              WHEN text IS NULL THEN json_object('turn', turn)::VARCHAR ELSE json_object('prompt', text, 'turn', turn)::VARCHAR END AS arguments
+  FROM asked c FULL JOIN told r ON c.call_id = r.call_id LEFT JOIN levels ON levels.call_id = c.call_id
+  UNION ALL SELECT conv_id || '-' || turn, conv_id, NULL, 'other', false, 0, role, text, 'null' FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 )
 SELECT call_id, conv_id, level, status, valid, copies,
-       '{"arguments":' || CASE WHEN valid THEN json_object('prompt', text, 'turn', turn)::VARCHAR ELSE 'null' END || ','
-       || substr(json_object('id', call_id, 'level', level, 'name', CASE WHEN valid THEN 'ask' END, 'result', content, 'status', status, 'valid', valid)::VARCHAR, 2) AS json
-FROM j""",
+       '{"arguments":' || arguments || ',' || substr(json_object('id', call_id, 'level', level, 'name', name, 'result', content, 'status', status, 'valid', valid)::VARCHAR, 2) AS json
+FROM linked""",
+    "op9_decontamination": r"""
+WITH fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+i AS (
+  SELECT *, len(w) AS n, least(5, len(w)) AS q, len(w) - least(5, len(w)) + 1 AS span
+  FROM (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x20\x09-\x0D]+') AS w FROM benchmark, fold) WHERE len(w) > 0
+), ish AS (
+  SELECT item, q, sh, count(*) AS c FROM (SELECT item, q, array_to_string(w[p:p + q - 1], ' ') AS sh FROM (SELECT *, unnest(range(1, span + 1)) AS p FROM i)) GROUP BY ALL
+), d AS (
+  SELECT *, len(w) AS m FROM (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x20\x09-\x0D]+') AS w FROM documents, fold)
+), dsh AS (
+  SELECT doc, q, p, array_to_string(w[p:p + q - 1], ' ') AS sh FROM (SELECT doc, w, q, unnest(range(1, m - q + 2)) AS p FROM d, (SELECT DISTINCT q FROM i) WHERE m >= q)
+), hit AS (
+  SELECT doc, item, p, q FROM dsh JOIN ish USING (q, sh)
+), win AS (
+  SELECT DISTINCT doc, item, q, n, span, k, unnest(range(greatest(1, p - (k - q)), least(p, m - k + 1) + 1)) AS s
+  FROM (SELECT hit.doc, hit.item, hit.q, p, n, span, m, least(n, m) AS k FROM hit JOIN i USING (item) JOIN d USING (doc))
+), shared AS (
+  SELECT doc, item, s, span, k, x.q AS q, sum(least(c, t)) AS common
+  FROM (SELECT win.doc, win.item, s, span, k, win.q, sh, count(*) AS t FROM win JOIN dsh ON win.doc = dsh.doc AND win.q = dsh.q AND dsh.p BETWEEN s AND s + k - win.q GROUP BY ALL) AS x JOIN ish USING (item, sh) GROUP BY doc, item, s, span, k, x.q
+), best AS (
+  SELECT *, common / (span + k - q + 1 - common)::DOUBLE AS similarity FROM shared
+)
+SELECT doc_id, item_id, similarity, CAST(s - 1 AS BIGINT) AS start, CAST(k AS BIGINT) AS n_words
+FROM (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY similarity DESC, s) AS place FROM best WHERE similarity >= 0.8) JOIN i USING (item) JOIN d USING (doc) WHERE place = 1""",
     "op7_personal_data": _personal_data_sql(),
     "op4_line_dedup": r"""
 WITH texts AS (SELECT row_number() OVER () AS r, text FROM (SELECT DISTINCT text FROM documents)),

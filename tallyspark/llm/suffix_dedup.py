@@ -13,6 +13,9 @@ what it stands for, so all documents share it without a sort of all suffixes, an
    that have this anchor: a bucket of at most `CROWD` contexts within a task, a larger one by counting all its 200-byte
    strings across the cluster.
 
+Identifiers are thus hashes, not the ranks that a sort at every level would give them: ranks of all suffixes would be
+shuffled anew for each level, a hundred times the input. Where a bucket is settled its strings are sorted by identifier.
+
 Keys are pairs of mixes, 128 bits together. Only counts and minima of a bucket are taken, pre-aggregated before the
 shuffle; members are marked by joins that Spark splits where a bucket is large. Texts are shuffled compressed.
 
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored
+from .common import discard, slices, stored
 
 SPAN, GRAM = 200, 32
 #: Starts of GRAM-byte strings in a string of SPAN bytes.
@@ -280,7 +283,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     crc, offset = F.shiftright("at", OFFSET_BITS), F.col("at").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
     sizes = stored(classes.groupBy("gram").agg(F.count("*").alias("size")))
     wanted = classes.join(sizes, "gram").select("gram", "one.*", "n", "size").groupBy("k", crc.alias("crc")).agg(F.collect_list(F.struct(offset.alias("p"), "gram", "n", "size")).alias("wanted"))
-    texts = keyed.filter(F.octet_length("text") >= SPAN).groupBy("k", "crc").agg(F.first("text").alias("text")).withColumn("packed", _packed("text"))
+    texts = keyed.filter(F.octet_length("text") >= SPAN).select("k", "crc", _packed("text").alias("packed")).groupBy("k", "crc").agg(F.first("packed").alias("packed"))
     found = stored(texts.join(wanted, ["k", "crc"]).select("k", "crc", "packed", "wanted").mapInArrow(cut_contexts, CONTEXT))
     few, many = found.filter(F.col("size") <= CROWD), found.filter(F.col("size") > CROWD)
     settled = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(settle, SPANS)
@@ -289,7 +292,9 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     single = strings.filter("n = 1").join(again, ["gram", "whole"]).select("k", "at", F.lit(SPAN).alias("length"))
     span = lambda low, high: F.struct(low.cast("int").alias("s"), high.cast("int").alias("e"))
     spans = whole.select("k", crc.alias("crc"), span(F.greatest(F.lit(0), offset - (WIDTH - 1)), offset + F.col("run") - 1 + SPAN).alias("x")).union(settled.union(single).select("k", crc.alias("crc"), span(offset, offset + F.col("length")).alias("x")))
-    return stored(spans.groupBy("k", "crc").agg(F.collect_set("x").alias("x")).select("k", "crc", F.col("x.s").alias("starts"), F.col("x.e").alias("ends")))
+    covered = stored(spans.groupBy("k", "crc").agg(F.collect_set("x").alias("x")).select("k", "crc", F.col("x.s").alias("starts"), F.col("x.e").alias("ends")))
+    discard(shared, hits, classes, sizes, found, again)
+    return covered
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -492,26 +492,92 @@ def test_decontamination(spark, monkeypatch):
         assert {(r.doc_id, r.item_id): (round(r.similarity, 6), r.start) for r in decontamination.find_leaks(frame(spark, texts), bench).collect()} == want
 
 
+def test_decontamination_radius(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, bench = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
+    every = {tuple(r) for r in decontamination.find_leaks(docs, bench, radius=64).collect()}
+    found = {tuple(r) for r in decontamination.find_leaks(docs, bench).collect()}
+    assert len(every) > 20 and found == every
+
+
+def test_decontamination_edges(spark):
+    bench = spark.createDataFrame([(None, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (3, " ")], "item_id long, text string")
+    docs = spark.createDataFrame([(None, "x a b c d e f g"), (7, "a b c d e f g"), (7, "a b c d e f g"), (8, "a b c " * 50_000), (9, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.item_id, r.similarity, r.start) for r in decontamination.find_leaks(docs, bench).collect()), key=repr)
+    assert got == sorted([(None, None, 1.0, 1), (None, 1, 1.0, 1), (7, None, 1.0, 0), (7, None, 1.0, 0), (7, 1, 1.0, 0), (7, 1, 1.0, 0)], key=repr)
+    assert decontamination.find_leaks(docs, bench.limit(0)).count() == 0 and decontamination.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_shared_shingles_are_no_probes(spark):
+    common = " ".join(f"c{k}" for k in range(12))
+    items = [(k, f"{common} " + " ".join(f"i{k}w{n}" for n in range(20))) for k in range(50)]
+    known = decontamination.index([(k, t.encode()) for k, t in items], 5, 0.8, 22)
+    assert np.diff(known["first"]).max() == 1  # no probe belongs to two items
+    docs = spark.createDataFrame([(k, f"start {t} end") for k, t in items] + [(99, common * 3)], "doc_id long, text string")
+    found = decontamination.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(k, k) for k in range(50)]
+
+
 # chat
 
 
+CALLS = "conv_id long, call_id string, name string, arguments string, parents array<string>"
+RESULTS = "conv_id long, call_id string, content string"
+
+
 def test_chat_links(spark):
-    calls = [(1, "a", "f", '{"n": 1, "s": "x"}', None), (1, "b", "f", '{"s": "y", "n": 2}', "a"), (1, "c", "f", '{"n": "z"}', "b"), (1, "c", "f", '{"n": "z"}', "b"), (2, "x", "f", None, "y"), (2, "y", "f", "not json", "x"), (3, "p", "f", '{"n":1,"s":"","q":0}', "gone")]
+    calls = [(1, "a", "f", '{"n": 1, "s": "x"}', None), (1, "b", "f", '{"s": "y", "n": 2}', ["a"]), (1, "c", "f", '{"n": "z"}', ["b", None]), (1, "c", "f", '{"n": "z"}', ["b", None]), (2, "x", "f", None, ["y"]), (2, "y", "f", "not json", ["x"]), (3, "p", "f", '{"n":1,"s":"","q":0}', ["gone"]), (3, "q", "unknown", "{}", [])]
     results = [(1, "a", "one"), (1, "b", 'tw"o'), (1, "b", 'tw"o'), (4, "lost", "r")]
-    schema = [chat_format.Param("n", "integer"), chat_format.Param("s", "string")]
-    got = {r.call_id: r for r in chat_format.link_calls(spark.createDataFrame(calls, "conv_id long, call_id string, name string, arguments string, parent string"), spark.createDataFrame(results, "conv_id long, call_id string, content string"), schema).collect()}
+    schema = {"f": {"type": "object", "properties": {"n": {"type": "integer"}, "s": {"type": "string"}}, "required": ["n", "s"]}}
+    linked = chat_format.link_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), schema)
+    got = {r.call_id: r for r in linked.collect()}
     assert {k: (r.status, r.level, r.valid, r.copies) for k, r in got.items()} == {
-        "a": ("linked", 0, True, 1), "b": ("linked", 1, True, 1), "c": ("pending", 2, False, 2), "x": ("cyclic", None, False, 1), "y": ("cyclic", None, False, 1), "p": ("pending", 0, False, 1), "lost": ("orphan", None, False, 0),
+        "a": ("linked", 0, True, 1), "b": ("linked", 1, True, 1), "c": ("pending", 2, False, 2), "x": ("cyclic", None, False, 1), "y": ("cyclic", None, False, 1), "p": ("pending", 0, False, 1), "q": ("pending", 0, False, 1), "lost": ("orphan", None, False, 0),
     }
     assert got["b"].json == '{"arguments":{"n":2,"s":"y"},"id":"b","level":1,"name":"f","result":"tw\\"o","status":"linked","valid":true}'
     assert json.loads(got["lost"].json)["arguments"] is None
 
 
+def test_chat_levels_with_several_parents(spark):
+    rnd = random.Random(17)
+    parents = {k: sorted(set(rnd.sample(range(k), min(k, rnd.choice([0, 1, 1, 1, 2, 3]))))) for k in range(60)}
+    parents |= {100: [101], 101: [102, 3], 102: [100], 103: [100, 5], 104: [103], 105: [200]}
+    level = {}
+    for k in range(60):
+        level[k] = max((level[p] + 1 for p in parents[k]), default=0)
+    level |= {100: None, 101: None, 102: None, 103: None, 104: None, 105: 0}
+    rows = [(str(k), [str(p) for p in ps]) for k, ps in parents.items()]
+    got = {int(r.call_id): r.level for r in chat_format.levels(spark.createDataFrame(rows, "call_id string, parents array<string>")).collect()}
+    assert got == level
+
+
+def test_chat_schemas(spark):
+    schema = {"type": "object", "properties": {"k": {"enum": ["a", 1]}, "o": {"type": "object", "properties": {"x y": {"type": "number", "minimum": 0, "maximum": 2}}, "required": ["x y"]}, "l": {"type": "array", "items": {"type": "array", "items": {"type": "integer"}, "maxItems": 2}}, "b": {"type": "boolean"}, "s": {"type": "string", "minLength": 1, "maxLength": 3}, "any": {}, "free": {"type": "object", "additionalProperties": True}}, "required": ["k"]}
+    good = ['{"k":"a"}', '{"k":1,"o":{"x y":1.5}}', '{"k":"a","l":[]}', '{"k":"a","l":[[1,2],[]]}', '{"k":"a","b":false,"s":"éèà"}', '{"k":"a","any":[{}],"free":{"z":{}}}']
+    bad = ["{}", '{"k":"b"}', '{"k":"a","o":{}}', '{"k":"a","o":{"x y":3}}', '{"k":"a","o":{"x y":1,"z":1}}', '{"k":"a","l":[1]}', '{"k":"a","l":[[1.5]]}', '{"k":"a","l":[[1,2,3]]}', '{"k":"a","b":"true"}', '{"k":"a","s":""}', '{"k":"a","s":"abcd"}', '{"k":"a","s":1}', '{"k":"a","q":1}', "[]", "null", "", "{", None]
+    rows = [(k, "f", x) for k, x in enumerate(good + bad)]
+    got = {r.k: r.v for r in spark.createDataFrame(rows, "k int, n string, a string").select("k", chat_format.valid_arguments(F.col("n"), F.col("a"), {"f": schema}).alias("v")).collect()}
+    assert {k for k, v in got.items() if v} == set(range(len(good)))
+    with pytest.raises(ValueError, match="oneOf"):
+        chat_format.fits(F.lit(1), {"oneOf": []})
+
+
+def test_chat_on_empty_tables_and_lines(spark, tmp_path):
+    calls, results = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
+    assert chat_format.link_calls(calls, results, chat_format.TOOLS).count() == 0
+    turns = spark.createDataFrame([(2, 0, "system", "s"), (2, 1, "user", "q" * 300_000), (2, 2, "assistant", None), (1, 0, "user", "two\nlines"), (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    linked = chat_format.link_calls(*chat_format.conversation_calls(turns), chat_format.TOOLS, chat_format.other_turns(turns))
+    chat_format.write_conversations(linked, str(tmp_path / "out"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert [x["id"] for x in lines] == [None, "1-0", "2-0", "2-1"] and lines[1]["arguments"] == {"at": {"size": "short", "turn": 0}, "lines": ["two", "lines"]}
+    assert len(lines[3]["arguments"]["prompt"]) == 300_000
+
+
 def test_chat_keeps_every_turn(spark):
     rows = [(1, 0, "system", "be brief"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "tool", "t"), (1, 4, None, "n")]
     rows += [(None, 1, "user", "x"), (None, 1, "user", "y"), (None, 2, "assistant", "z"), (2, 1, "user", "b"), (2, 1, "user", "c"), (2, 2, "assistant", "d"), (2, 2, "assistant", "e")]
     calls, results = chat_format.conversation_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    found = chat_format.link_calls(calls, results, chat_format.ASK, chat_format.other_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
+    found = chat_format.link_calls(calls, results, chat_format.TOOLS, chat_format.other_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
     told = [((json.loads(r.json)["arguments"] or {}).get("prompt"), json.loads(r.json)["result"], r.status) for r in found]
     assert sorted(told, key=repr) == sorted([("q", "a", "linked"), (None, "be brief", "other"), (None, "t", "other"), (None, "n", "other"), ("x", None, "unidentified"), ("y", None, "unidentified"), (None, "z", "unidentified"), ("b", "d", "linked"), ("c", None, "duplicate"), (None, "e", "duplicate")], key=repr)
     assert {r.conv_id for r in found if r.status == "unidentified"} == {None}
