@@ -4,9 +4,12 @@ A fingerprint is the bitwise majority of the XXH64 hashes of a text's word shing
 first; what follows works on distinct ones:
 
 1. A table holds each fingerprint's Hamming distances to reference fingerprints (pivots). By the triangle inequality two
-   fingerprints within radius r differ by at most r in every coordinate. Besides pivots for whole fingerprints there are
-   bit-block pivots: of four 16-bit blocks at least two are equal if r is 2, so the pairs of block contents are the
-   buckets in which pairs are sought, and each link appears in one of the six buckets at least.
+   fingerprints within radius r differ by at most r in every coordinate. Distances can be taken block by block too: of
+   four 16-bit blocks at least two are untouched if r is 2, and the coordinates of an untouched block are equal for every
+   pivot. Distances to 16 independent pivots tell a block's bits apart, so a block's bits stand for its coordinates, and
+   the pairs of blocks are the buckets in which pairs are sought: each link appears in one of the six at least. Whole
+   coordinates can't take their place: one pivot's range of +-2 holds 34 % of random pairs, four hold 1.7 %, eight
+   0.04 %, and k of them would have to be looked up in 2.3**k cells.
 2. In a bucket of at most `crowd` fingerprints all pairs are compared: those with a coordinate difference over r are
    discarded, the survivors are verified bit by bit.
 3. Members of larger buckets are not paired. Their pivots are all points at distance 0 or 1 from them; two fingerprints
