@@ -37,6 +37,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Names of the tables that this process has written and may delete.
+_WRITTEN: set[str] = set()
 #: Spark's own setting that drops a query's shuffle files when it ends.
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -45,7 +47,9 @@ def stored(df: DataFrame) -> DataFrame:
     """df, written as a table in the shared folder and read again: columns make it smaller than a checkpoint. The
     shuffle files of the write go when it ends, since what it made is in the table."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    name = f"table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    _WRITTEN.add(name)
     before = spark.conf.get(_DROP_SHUFFLES, None)
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:
@@ -56,12 +60,12 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables that stored() wrote and nothing reads any more."""
+    """Deletes tables that stored() wrote and nothing reads any more; other tables stay."""
     for df in tables:
         spark = df.sparkSession
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if folder.rpartition("/")[2].startswith("table-"):
+            if folder.rpartition("/")[2] in _WRITTEN:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
 

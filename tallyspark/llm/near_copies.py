@@ -7,8 +7,8 @@ Candidates whose sizes or sketches (a byte of each least hash) can't belong to s
 verified by the exact similarity of their shingle sets, shared over all.
 
 Links of fingerprints come first. Then each text is held against the least of each of its buckets, and after the groups
-have grown by that, all pairs of a bucket that are in different groups yet. Pairs within a group can't change it, so
-large groups of copies aren't paired and nothing is lost.
+have grown by that, pairs of a bucket that are in different groups yet and of like size. Pairs within a group can't
+change it, so large groups of copies aren't paired and nothing is lost.
 
 Edge cases: null and blank texts have no shingle and are linked by their fingerprint, zero; texts under `shingle` words
 are one shingle; equal texts are one; rows are judged one by one, so two texts with one doc_id are two documents; null
@@ -18,6 +18,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,7 +135,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     once = marked.filter("n > 0").select("key", "fp", "n", "sketch")
     sketches = stored(once.dropDuplicates(["key"]))
-    placed = marked.select("key", "fp", F.explode("buckets").alias("bucket")).distinct()
+    placed = marked.select("key", "fp", "n", F.explode("buckets").alias("bucket")).distinct()
     # texts of one bucket; those of one fingerprint are linked already
     leaders = placed.groupBy("bucket").agg(F.min("key").alias("least"), F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high").select("bucket", "least")
     shared = stored(placed.join(leaders, "bucket"))
@@ -148,11 +149,15 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     links = links.union(_verified(stars, sketches, texts, shingle))
     discard(rooted, at)
     rooted = stored(roots())
-    at = shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "root")
+    at = shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "n", "root")
     torn = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")
-    at = stored(at.join(torn, "bucket"))
-    x, y = (at.select("bucket", F.col("key").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    rest = x.join(y, "bucket").filter("root_a < root_b").select("a", "b").distinct()
+    # similar texts are of one size level or of neighbouring ones, so a bucket of unlike sizes is many small groups
+    level = F.floor(F.log(F.col("n").cast("double")) / -math.log(SIMILAR))
+    at = stored(at.join(torn, "bucket").withColumn("level", level))
+    x, y = (at.select("bucket", F.col("key").alias(c), F.col("root").alias(f"root_{c}"), F.col("n").alias(f"n_{c}"), "level") for c in "ab")
+    y = y.withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
+    sized = F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")
+    rest = x.join(y, ["bucket", "level"]).filter((F.col("root_a") < F.col("root_b")) & sized).select("a", "b").distinct()
     links = links.union(_verified(rest, sketches, texts, shingle))
     discard(rooted, at)
     rooted = stored(roots())

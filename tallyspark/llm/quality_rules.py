@@ -119,4 +119,5 @@ def quality(text: Column, rules: Sequence[Rule] = RULES) -> Column:
 def score_quality(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """docs with the measures, base_failed and kept; a narrow plan without shuffle."""
     added = [*MEASURES, "base_failed", "kept"]
-    return docs.withColumn("__quality", quality(F.col(text_col), rules)).withColumns({c: F.col(f"__quality.{c}") for c in added}).drop("__quality")
+    judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), quality(F.col(f"`{text_col}`"), rules).alias("judged"))
+    return judged.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in added], *[F.col(f"judged.{c}").alias(c) for c in added])
