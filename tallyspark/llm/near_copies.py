@@ -6,9 +6,18 @@ texts of similarity s share a bucket with probability 1 - (1 - s**ROWS)**BANDS;
 Candidates whose sizes or sketches (a byte of each least hash) can't belong to similar texts are passed over, the others
 verified by the exact similarity of their shingle sets, shared over all.
 
-Links of fingerprints come first. Then each text is held against the least of each of its buckets, and after the groups
-have grown by that, pairs of a bucket that are in different groups yet and of like size. Pairs within a group can't
-change it, so large groups of copies aren't paired and nothing is lost.
+Links of fingerprints come first. Then each text is held against one of each of its buckets, in buckets of more than
+`CROWD` the one that stands in the most others' (the hub). What pairs are left, of texts in different groups yet, is
+found without listing a bucket's pairs:
+
+- A bucket of at most `CROWD` texts gives each of them fewer pairs than that; only those of like size are made.
+- In a larger one texts are compared by what sets them apart from the hub, the set D of shingles that one of both has.
+  Texts a and b differ in |D(a)| + |D(b)| - 2 |D(a) & D(b)| shingles, and they are similar if these are at most t times
+  their shingles together, t = (1 - s) / (1 + s). Of two texts in different groups one isn't similar to the hub, and then
+  that bound asks for a common element of D, in fact for a known number of them. So pairs are sought among texts that
+  share an element early enough in the order of their rarest: copies with edits of their own share none there.
+
+Pairs within a group can't change it, so large groups of copies aren't paired and nothing is lost.
 
 Edge cases: null and blank texts have no shingle and are linked by their fingerprint, zero; texts under `shingle` words
 are one shingle; equal texts are one; rows are judged one by one, so two texts with one doc_id are two documents; null
@@ -24,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +44,8 @@ from .simhash_dedup import SEED, STEP, link_fingerprints, signed
 SIMILAR, ROWS, BANDS = 0.8, 4, 32
 #: Equal bytes of two sketches that similar texts have but for one pair in 10^6.
 LEAST_EQUAL = 77
+#: The most texts of a bucket whose pairs are made.
+CROWD = 32
 #: The most texts, a number each, whose keys are sent to all tasks.
 BROADCAST_TEXTS = 1_000_000
 
@@ -108,6 +119,42 @@ def exact_similarity(shingle: int):
     return apply
 
 
+def shingle_hashes(shingle: int):
+    """text -> its different shingles as hashes."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def apply(texts: pa.Array) -> pa.Array:
+        return pa.array([[signed(xxhash.xxh64_intdigest(s, SEED)) for s in shingles_of(x, shingle)] for x in utf8(texts)], pa.list_(pa.int64()))
+
+    return apply
+
+
+def _crowded(at: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(a, b): pairs that can be similar, of different groups, from members (least, key, n, root) of large buckets."""
+    part = (1 - SIMILAR) / (1 + SIMILAR)
+    rows = stored(at.select(F.col("least").alias("hub"), "key", "n", "root").distinct())
+    wanted = rows.select("key").union(rows.select("hub")).distinct()
+    sets = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).select("key", shingle_hashes(shingle)(F.col("text")).alias("set")))
+    joined = rows.join(sets, "key").join(sets.select(F.col("key").alias("hub"), F.col("set").alias("hub_set")), "hub")
+    apart = joined.select("hub", "key", "n", "root", F.size("hub_set").alias("n_hub"), F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set")).alias("d"))
+    elements = stored(apart.select("hub", "key", "n", "root", "n_hub", F.size("d").alias("nd"), F.explode("d").alias("e")))
+    common = elements.groupBy("hub", "e").agg(F.count("*").alias("df")).filter("df > 1")
+    # places in the order of rarity; elements of one text alone come first and need not be kept
+    w = Window.partitionBy("hub", "key")
+    place = F.col("nd") - F.count("*").over(w) + F.row_number().over(w.orderBy("df", "e"))
+    least = lambda x: F.greatest(F.lit(1), F.ceil(x / 2 - 1e-9))
+    beyond = F.col("nd") - part * (F.col("n") + F.col("n_hub"))
+    shared = F.when(beyond <= 1e-9, least((1 - part) * F.col("nd"))).otherwise(least(beyond + (1 - part)))
+    index = stored(elements.join(common, ["hub", "e"]).withColumn("place", place).filter(F.col("place") <= F.col("nd") - shared + 1).select("hub", "e", "key", "n", "root", "nd", "place"))
+    x, y = (index.select("hub", "e", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root", "nd", "place")]) for side in "ab")
+    both = least(F.col("nd_a") + F.col("nd_b") - part * (F.col("n_a") + F.col("n_b")))
+    near = (F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
+    early = (F.col("place_a") <= F.col("nd_a") - both + 1) & (F.col("place_b") <= F.col("nd_b") - both + 1)
+    pairs = stored(x.join(y, ["hub", "e"]).filter(near & early).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
+    discard(rows, sets, elements, index)
+    return pairs
+
+
 def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(a, b): fingerprints of the pairs (a, b) of keys that are similar."""
     end = lambda c: sketches.select(F.col("key").alias(c), F.col("fp").alias(f"fp_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
@@ -126,7 +173,7 @@ def _row(docs: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id", crowd: int = CROWD) -> DataFrame:
     """(doc_id, row, component_id, root) for each row of docs: row is a hash of all its columns, root names its group,
     component_id is the group's least doc_id."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row(docs).alias("row"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
@@ -137,8 +184,12 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     sketches = stored(once.dropDuplicates(["key"]))
     placed = marked.select("key", "fp", "n", F.explode("buckets").alias("bucket")).distinct()
     # texts of one bucket; those of one fingerprint are linked already
-    leaders = placed.groupBy("bucket").agg(F.min("key").alias("least"), F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high").select("bucket", "least")
-    shared = stored(placed.join(leaders, "bucket"))
+    stats = placed.groupBy("bucket").agg(F.count_distinct("key").alias("size"), F.min("key").alias("least"), F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high")
+    together = stored(placed.join(stats.select("bucket", "size", "least"), "bucket"))
+    large = together.filter(F.col("size") > crowd)
+    fame = large.groupBy("key").agg(F.sum("size").alias("fame"))
+    hubs = large.join(fame, "key").groupBy("bucket").agg(F.max_by("key", F.struct("fame", "key")).alias("hub"))
+    shared = stored(together.join(hubs, "bucket", "left").withColumn("least", F.coalesce("hub", "least")).drop("hub"))
 
     links = cut_lineage(link_fingerprints(prints))
     roots = lambda: prints.join(connected_components(links, "a", "b"), prints.fp == F.col("vertex"), "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
@@ -149,21 +200,22 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     links = links.union(_verified(stars, sketches, texts, shingle))
     discard(rooted, at)
     rooted = stored(roots())
-    at = shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "n", "root")
+    at = shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "least", "size", "n", "root")
     torn = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")
-    # similar texts are of one size level or of neighbouring ones, so a bucket of unlike sizes is many small groups
+    # similar texts are of one size level or of neighbouring ones
     level = F.floor(F.log(F.col("n").cast("double")) / -math.log(SIMILAR))
     at = stored(at.join(torn, "bucket").withColumn("level", level))
-    x, y = (at.select("bucket", F.col("key").alias(c), F.col("root").alias(f"root_{c}"), F.col("n").alias(f"n_{c}"), "level") for c in "ab")
+    x, y = (at.filter(F.col("size") <= crowd).select("bucket", F.col("key").alias(c), F.col("root").alias(f"root_{c}"), F.col("n").alias(f"n_{c}"), "level") for c in "ab")
     y = y.withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
     sized = F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")
-    rest = x.join(y, ["bucket", "level"]).filter((F.col("root_a") < F.col("root_b")) & sized).select("a", "b").distinct()
+    rest = x.join(y, ["bucket", "level"]).filter((F.col("root_a") < F.col("root_b")) & sized).select("a", "b")
+    rest = rest.union(_crowded(at.filter(F.col("size") > crowd), texts, shingle)).distinct()
     links = links.union(_verified(rest, sketches, texts, shingle))
     discard(rooted, at)
     rooted = stored(roots())
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = stored(rows.join(rooted.join(names, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "row", "component_id", "root"))
-    discard(marked, prints, sketches, shared, rooted)
+    discard(marked, prints, sketches, together, shared, rooted)
     return found
 
 

@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.llm import decontamination, near_copies, quality_rules, simhash_dedup
@@ -100,5 +101,26 @@ def test_near_duplicates_of_similarity(spark):
     assert near_copies.near_copies(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [0, 3, 32])
+def test_near_copies_of_a_large_group(spark, crowd):
+    rnd = random.Random(40)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    base, texts = [word() for _ in range(120)], []
+    kinds = [(rnd.randrange(120), word()) for _ in range(6)]  # edits that several copies share
+    for k in range(140):
+        copy = list(base)
+        for at in rnd.sample(range(120), k % 7):
+            copy[at] = word()
+        for at, new in rnd.sample(kinds, rnd.choice([0, 0, 1, 3, 4])):
+            copy[at] = new
+        texts.append(" ".join(copy))
+    texts += [" ".join(base[:60] + [word() for _ in range(60)]) for _ in range(20)]  # half in common
+    rows = list(enumerate(texts))
+    want = groups(rows)
+    assert 5 < len(set(want.values())) < 120
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], DOCS)
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs, crowd=crowd).collect()} == want
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
