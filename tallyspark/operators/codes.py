@@ -127,6 +127,22 @@ def column_drift(df: DataFrame, expected: Sequence[str]) -> dict[str, list[str]]
     return {"missing": [c for c in expected if c not in df.columns], "unexpected": [c for c in df.columns if c not in expected]}
 
 
+def column_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """(column, status, n): columns of df and expected ones, as expected, missing or unexpected, with their values that
+    aren't null; one pass."""
+    drifted = column_drift(df, expected)
+    status = {c: "unexpected" if c in drifted["unexpected"] else "expected" for c in df.columns} | {c: "missing" for c in drifted["missing"]}
+    counted = [F.struct(F.lit(c).alias("column"), F.lit(s).alias("status"), (F.count(F.col(f"`{c}`")) if c in df.columns else F.lit(0).cast("long")).alias("n")) for c, s in status.items()]
+    return df.agg(F.array(*counted).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
+def dimensions_changed(found: Column, dataset: str) -> Column:
+    """Whether a number of key dimensions isn't that of a dataset."""
+    from ..sources.specs import DIMENSIONS
+
+    return ~found.eqNullSafe(F.lit(len(DIMENSIONS[dataset])))
+
+
 def check_dimensions(found: int, dataset: str) -> None:
     from ..sources.specs import DIMENSIONS
 

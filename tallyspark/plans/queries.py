@@ -262,6 +262,12 @@ def priority_union(spark, d):
     return codes.first_list_wins(list(old_and_live(spark, d)))
 
 
+@query("SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'absent']) AS \"column\", unnest(['expected', 'expected', 'unexpected', 'missing']) AS status, unnest([count(o_orderkey), count(o_custkey), count(CASE WHEN o_orderkey % 3 > 0 THEN 1 END), 0]) AS n FROM orders")
+def column_report(spark, d):
+    status = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")).alias("o_orderstatus")
+    return codes.column_report(table(spark, d, "orders").select("o_orderkey", "o_custkey", status), ["o_orderkey", "o_custkey", "absent"])
+
+
 @query("SELECT code, CAST(row_number() OVER (ORDER BY CASE WHEN regexp_full_match(code, '[0-9]+') THEN 0 ELSE 1 END, try_cast(code AS BIGINT), code) AS BIGINT) AS place FROM (SELECT CAST(o_orderkey AS VARCHAR) AS code FROM orders UNION ALL SELECT c_name FROM customer)")
 def canonical_codes(spark, d):
     listed = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("code")).union(table(spark, d, "customer").select("c_name"))
@@ -458,12 +464,13 @@ def codelist_source(spark, d):
     return metadata.codelist_items(raw)
 
 
-@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 > 0 THEN '1.' || o_custkey END AS version, CAST(1 + o_orderkey % 3 AS INT) AS dimensions FROM orders")
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 > 0 THEN '1.' || o_custkey END AS version, CAST(4 + o_orderkey % 3 AS INT) AS dimensions, o_orderkey % 3 <> 1 AS changed FROM orders")
 def structure_versions(spark, d):
     k = F.col("o_orderkey")
     flow = F.when(k % 4 > 0, F.concat(F.lit('<s:Dataflow id="a" version="1.'), "o_custkey", F.lit('"/>'))).otherwise("")
-    xml = F.concat(F.lit('<s:Structure xmlns:s="urn:x">'), flow, F.expr("repeat('<s:Dimension/>', 1 + cast(o_orderkey % 3 as int))"), F.lit("<s:TimeDimension/></s:Structure>"))
-    return table(spark, d, "orders").withColumn("x", xml).select(k.alias("k"), metadata.dataflow_version(F.col("x")).alias("version"), metadata.dimension_count(F.col("x")).alias("dimensions"))
+    xml = F.concat(F.lit('<s:Structure xmlns:s="urn:x">'), flow, F.expr("repeat('<s:Dimension/>', 4 + cast(o_orderkey % 3 as int))"), F.lit("<s:TimeDimension/></s:Structure>"))
+    read = table(spark, d, "orders").withColumn("x", xml).select(k.alias("k"), metadata.dataflow_version(F.col("x")).alias("version"), metadata.dimension_count(F.col("x")).alias("dimensions"))
+    return read.withColumn("changed", codes.dimensions_changed(F.col("dimensions"), "dac2a"))
 
 
 @query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 > 0 THEN 'id' || o_custkey END AS id FROM orders")
