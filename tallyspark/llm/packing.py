@@ -138,11 +138,11 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_co
 
     The driver sees two numbers a range: its bound and its tokens.
     """
-    spark, path = docs.sparkSession, path or public_tokenizers.path("byte_bpe_50k.json")
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, F.length(text_col)).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = min(MOST_RANGES, max(-(-size // RANGE_BYTES), spark.sparkContext.defaultParallelism))
-    quantiles = rows.mapInArrow(place, KEYED).agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], max(10_000, 8 * ranges))).first()[0]
+    ranges = min(MOST_RANGES, max(1, -(-size // RANGE_BYTES)))
+    quantiles = rows.mapInArrow(place, KEYED).agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], max(10_000, 8 * ranges))).first()[0] if ranges > 1 else []
     bounds = np.unique(np.array(quantiles or [], np.int64))
     with open(path, encoding="utf-8") as f:
         wide = max(json.load(f)["model"]["vocab"].values()) >= 1 << 16  # of ids
@@ -157,7 +157,7 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_co
                 [names, pa.array(keys), pa.array(np.searchsorted(bounds, keys)), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())], names=TOKENS.names
             )
 
-    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartition(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", "key", "doc_id"))
+    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartitionById(len(bounds) + 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "key", "doc_id"))
     starts, total = {}, 0
     for bucket, n in sorted(laid.groupBy("bucket").agg(F.sum("n")).collect()):
         starts[bucket] = total
