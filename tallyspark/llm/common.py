@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,31 +32,38 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, checkpointed: the same partitions, read from the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 #: Names of the tables that this process has written and may delete.
 _WRITTEN: set[str] = set()
 #: Spark's own setting that drops a query's shuffle files when it ends.
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """For writes whose result is read from what they wrote: their shuffle files go when they end."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df, checkpointed: the same partitions, read from the shared folder."""
+    shared_folder(df.sparkSession)
+    with _dropping_shuffles(df.sparkSession):
+        return df.checkpoint()
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """df, written as a table in the shared folder and read again: columns make it smaller than a checkpoint. The
-    shuffle files of the write go when it ends, since what it made is in the table."""
+    """df, written as a table in the shared folder and read again: columns make it smaller than a checkpoint."""
     spark = df.sparkSession
     name = f"table-{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/{name}"
     _WRITTEN.add(name)
-    before = spark.conf.get(_DROP_SHUFFLES, None)
-    spark.conf.set(_DROP_SHUFFLES, "true")
-    try:
+    with _dropping_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,28 +130,34 @@ def shingle_hashes(shingle: int):
 
 
 def _crowded(at: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """(a, b): pairs that can be similar, of different groups, from members (least, key, n, root) of large buckets."""
+    """(a, b): pairs that can be similar, of different groups, from members (least, key, n, root) of large buckets. A pair
+    is made once, at the first hub and common element of both."""
     part = (1 - SIMILAR) / (1 + SIMILAR)
+    least = lambda x: F.greatest(F.lit(1), F.ceil(x / 2 - 1e-9)).cast("int")
     rows = stored(at.select(F.col("least").alias("hub"), "key", "n", "root").distinct())
     wanted = rows.select("key").union(rows.select("hub")).distinct()
+    if wanted.count() <= BROADCAST_TEXTS:  # else the documents are shuffled to them
+        wanted = F.broadcast(wanted)
     sets = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).select("key", shingle_hashes(shingle)(F.col("text")).alias("set")))
     joined = rows.join(sets, "key").join(sets.select(F.col("key").alias("hub"), F.col("set").alias("hub_set")), "hub")
-    apart = joined.select("hub", "key", "n", "root", F.size("hub_set").alias("n_hub"), F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set")).alias("d"))
-    elements = stored(apart.select("hub", "key", "n", "root", "n_hub", F.size("d").alias("nd"), F.explode("d").alias("e")))
+    d = F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set"))
+    beyond = F.size("d") - part * (F.col("n") + F.size("hub_set"))
+    needed = F.when(beyond <= 1e-9, least((1 - part) * F.size("d"))).otherwise(least(beyond + (1 - part)))
+    apart = stored(joined.withColumn("d", d).select("hub", "key", "n", "root", F.size("d").alias("nd"), needed.alias("needed"), "d"))
+    elements = apart.select("hub", "key", F.explode("d").alias("e"))
     common = elements.groupBy("hub", "e").agg(F.count("*").alias("df")).filter("df > 1")
-    # places in the order of rarity; elements of one text alone come first and need not be kept
-    w = Window.partitionBy("hub", "key")
-    place = F.col("nd") - F.count("*").over(w) + F.row_number().over(w.orderBy("df", "e"))
-    least = lambda x: F.greatest(F.lit(1), F.ceil(x / 2 - 1e-9))
-    beyond = F.col("nd") - part * (F.col("n") + F.col("n_hub"))
-    shared = F.when(beyond <= 1e-9, least((1 - part) * F.col("nd"))).otherwise(least(beyond + (1 - part)))
-    index = stored(elements.join(common, ["hub", "e"]).withColumn("place", place).filter(F.col("place") <= F.col("nd") - shared + 1).select("hub", "e", "key", "n", "root", "nd", "place"))
-    x, y = (index.select("hub", "e", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root", "nd", "place")]) for side in "ab")
+    # a text's elements by rarity; those of it alone come before them and match nothing
+    rare = elements.join(common, ["hub", "e"]).groupBy("hub", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("rare"))
+    hubs = rows.groupBy("key").agg(F.collect_set("hub").alias("hubs"))
+    first = F.slice("rare", 1, F.greatest(F.size("rare") - F.col("needed") + 1, F.lit(0)))
+    index = stored(rare.join(apart.drop("d"), ["hub", "key"]).join(hubs, "key").select("hub", "key", "n", "root", "nd", "hubs", F.size("rare").alias("nr"), first.alias("first")))
+    x, y = (index.select("hub", F.explode("first").alias("e"), *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root", "nd", "nr", "hubs", "first")]) for side in "ab")
     both = least(F.col("nd_a") + F.col("nd_b") - part * (F.col("n_a") + F.col("n_b")))
+    early = lambda side: F.slice(f"first_{side}", F.lit(1), F.greatest(F.col(f"nr_{side}") - both + 1, F.lit(0)))
     near = (F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
-    early = (F.col("place_a") <= F.col("nd_a") - both + 1) & (F.col("place_b") <= F.col("nd_b") - both + 1)
-    pairs = stored(x.join(y, ["hub", "e"]).filter(near & early).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
-    discard(rows, sets, elements, index)
+    once = (F.col("hub") == F.array_min(F.array_intersect("hubs_a", "hubs_b"))) & (F.col("e") == F.array_min(F.array_intersect(early("a"), early("b"))))
+    pairs = stored(x.join(y, ["hub", "e"]).filter(near & once).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+    discard(rows, sets, apart, index)
     return pairs
 
 
