@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, language_id, line_dedup, packing, personal_data, quality_rules, secret_scan, simhash_dedup, suffix_dedup
+from . import chat_format, collocations, decontamination, exact_dedup, language_id, line_dedup, packing, periodic_runs, personal_data, quality_rules, secret_scan, simhash_dedup, suffix_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,26 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.link_calls(calls, results, chat_format.TOOLS, chat_format.other_turns(turns))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op4_line_dedup, op5_language_id, op6_secret_scan, op7_personal_data, op8_simhash_dedup, op9_decontamination, op10_chat_format)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    lines = F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"]))
+    best = [F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")]
+    exponent = F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli")
+    written = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent, F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_curve_packing, op4_line_dedup, op5_language_id, op6_secret_scan, op7_personal_data, op8_simhash_dedup, op9_decontamination, op10_chat_format, op11_periodic_runs, op12_phrase_collocations, op13_exact_dedup)}
+
 
 def _personal_data_sql() -> str:
     """Matches and the pieces between them, places as sums of their lengths, checks and scores kind by kind."""
@@ -212,4 +231,34 @@ t AS (
 )
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, kept_sha256
 FROM documents LEFT JOIN texts ON documents.text = texts.text LEFT JOIN cut USING (r)""",
+    "op12_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), t AS (
+  SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM pieces)
+), n AS (
+  SELECT lang, count(*) AS n FROM t GROUP BY lang
+), one AS (
+  SELECT lang, x, count(*) AS f FROM t GROUP BY ALL
+), two AS (
+  SELECT lang, x, y, count(*) AS a FROM t WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), three AS (
+  SELECT lang, x, y, z, count(*) AS a FROM t WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.a, 1 AS k, p.f AS l, q.a AS r FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+  UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.a, 2, q.a, p.f FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.z JOIN two q ON q.lang = t.lang AND q.x = t.x AND q.y = t.y
+  UNION ALL SELECT t.lang, t.x || ' ' || t.y, t.a, 1, p.f, q.f FROM two t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN one q ON q.lang = t.lang AND q.x = t.y
+  WHERE NOT EXISTS (SELECT 1 FROM three u WHERE u.lang = t.lang AND u.x = t.x AND u.y = t.y AND 100 * u.a >= 50 * t.a) AND NOT EXISTS (SELECT 1 FROM three u WHERE u.lang = t.lang AND u.y = t.x AND u.z = t.y AND 100 * u.a >= 50 * t.a)
+), scored AS (
+  SELECT *, (1000000 * a::HUGEINT * a) // (l::HUGEINT * r) AS score FROM cuts
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) JOIN n USING (lang) WHERE rank <= 2000""",
+    "op13_exact_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)""",
 }
