@@ -62,7 +62,8 @@ def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = pa.Table.from_batches([last, batch] if last is not None else [batch]).combine_chunks()
+        rows = pa.table(batch.columns, names=batch.schema.names)  # without what the schema says of nulls
+        rows = (rows if last is None else pa.concat_tables([pa.Table.from_batches([last]), rows])).combine_chunks()
         digest, sha = rows["digest"].to_numpy(), rows["sha"].combine_chunks()
         new = np.ones(len(digest), bool)
         new[1:] = (digest[1:] != digest[:-1]) | pc.not_equal(sha[1:], sha[:-1]).to_numpy(zero_copy_only=False)

@@ -239,6 +239,17 @@ def test_tree_merge_in_rounds(spark, runs):
     assert len(merged) == len(want)  # a digest of 64 bits that two texts share doesn't unite them
 
 
+def test_merge_over_batches():
+    names = ["owner", "doc_id", "tag", "digest", "sha", "size"]
+    strict = pa.schema([(n, pa.binary() if n == "sha" else pa.int64()) for n in names[:-1]] + [pa.field("size", pa.int64(), nullable=False)])
+    digests = [1, 1, 1, 1, 2, 2, 2, 3]
+    columns = [[0] * 8, list(range(8)), list(range(8)), digests, [b"x"] * 3 + [b"y"] + [b"z"] * 4, [1] * 8]
+    whole = pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, strict, strict=True)], schema=strict)
+    for n in (1, 2, 3, 8):
+        merged = pa.Table.from_batches(list(exact_dedup.merge(whole.slice(k, n) for k in range(0, 8, n)))).to_pylist()
+        assert [(r["digest"], r["sha"], r["doc_id"], r["size"]) for r in merged] == [(1, b"x", 0, 3), (1, b"y", 3, 1), (2, b"z", 4, 3), (3, b"z", 7, 1)]
+
+
 def test_exact_duplicates_of_odd_rows(spark):
     assert exact_dedup.mark_duplicates(frame(spark, ["a"]).limit(0)).count() == 0
     df = frame(spark, ["a", "a", "a", "b", "b", None, "", "c"], ids=[None, 5, 5, None, None, 1, 0, 9])
