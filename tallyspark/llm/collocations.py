@@ -37,7 +37,7 @@ from .common import discard, stored, utf8
 
 LEAST, BEST, SHADOWED = 10, 2000, 50
 #: Bytes of text in a block, and in a range of an exchange.
-BLOCK_BYTES, RANGE_BYTES = 16_000_000, 32_000_000
+BLOCK_BYTES, RANGE_BYTES = 8_000_000, 16_000_000
 #: Addresses along a side of a tile, and the most of them for each pair of a tile that is counted densely.
 TILE, DENSE = 1024, 16
 #: Parts of a language whose best phrases meet at once.
@@ -48,6 +48,8 @@ _END = b"\xff"
 _FOLD = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else 32 if c == 9 else c for c in range(256))
 #: Bytes of a text whose words are listed at once.
 _AT_ONCE = 1 << 20
+#: Places of a block whose pairs are looked up at once.
+_PLACES = 1 << 17
 
 
 class _Numbers(dict):
@@ -229,11 +231,12 @@ def triple_counter(bits: int):
         if blocks.num_rows and told.num_rows:
             seq = _sequence(blocks["seq"][0].as_py(), np.int64)
             keys, numbers = _told(told, "address")
-            place = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
-            address = seq[place] << bits | seq[place + 1]
-            at = np.minimum(np.searchsorted(keys, address), len(keys) - 1)
             pair = np.full(len(seq), -1)
-            pair[place] = np.where(keys[at] == address, numbers[at], -1)
+            for k in range(0, len(seq) - 1, _PLACES):
+                first, second = seq[k : k + _PLACES], seq[k + 1 : k + _PLACES + 1]
+                address = first[: len(second)] << bits | second
+                at = np.minimum(np.searchsorted(keys, address), len(keys) - 1)
+                pair[k : k + len(second)] = np.where((first[: len(second)] >= 0) & (second >= 0) & (keys[at] == address), numbers[at], -1)
             triple = np.flatnonzero((pair[:-1] >= 0) & (pair[1:] >= 0))
             parts = list(_counted(blocks["block"][0], blocks["lang"][0], pair[triple], seq[triple + 2], bits))
         schema = pa.schema([("address", pa.int64()), ("block", pa.int64()), ("lang", pa.string()), ("n", pa.int64())])
