@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import decontamination, line_dedup, near_copies, packing, quality_rules
-from tallyspark.llm.common import discard, stored, table
+from tallyspark.llm.common import digest, discard, stored, table
 
 #: The near-duplicate stage's shingles, in words.
 NEAR_SHINGLE = 5
@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark. A row goes by its text, so null and repeated ids are no matter; null
     texts stay, and all rows stay if the benchmark is empty."""
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), F.xxhash64("text").alias("key"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), digest(F.col("text")).alias("key"))
     leaks = decontamination.find_leaks(keyed.select("key", "text"), table(spark, sf_dir, "benchmark"), id_col="key").select(F.col("doc_id").alias("key")).distinct()
     return keyed.join(stored(leaks), "key", "left_anti").select(*[F.col(f"doc.`{c}`") for c in docs.columns])
 

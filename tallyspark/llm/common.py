@@ -96,6 +96,16 @@ def first_by_hash(df: DataFrame, columns: list[str], n: int, by: str | None = No
     return few.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= n).drop("__k").orderBy(by, "__h", *columns).collect()
 
 
+def digest(x: Column) -> Column:
+    """128 bits of the SHA-256 of a text, which stand for it; null for null."""
+    return F.substring(F.unhex(F.sha2(x, 256)), 1, 16)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """128 bits that stand for a row of df in all its columns: which of them are null counts too."""
+    return digest(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value evaluated once: lambdas would evaluate an outer expression for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

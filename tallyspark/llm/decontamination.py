@@ -169,7 +169,7 @@ def search(words: np.ndarray, found: np.ndarray, at: np.ndarray, text, known: di
     return [(known["names"][k], *best[k]) for k in sorted(best)]
 
 
-MATCH = "doc_id long, item_id long, similarity double, start long, n_words long"
+MATCH = "item_id long, similarity double, start long, n_words long"
 
 
 def _matcher(items: list[tuple[Any, bytes]], shingle: int, similar: float, radius: int):
@@ -203,21 +203,22 @@ def _matcher(items: list[tuple[Any, bytes]], shingle: int, similar: float, radiu
                     text = lambda s, e, low=low: data[starts[low + s] : ends[low + e - 1]].tobytes().split()
                     rows += [(batch.column(0)[a + doc].as_py(), *x) for x in search(hashes[low:high], found[mine], at[mine] - low, text, known, shingle, similar, radius)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "item_id", "similarity", "start", "n_words"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (batch.column(0).type, pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "item_id", "similarity", "start", "n_words"])
 
     return run
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, radius: int = RADIUS, text_col: str = "text", id_col: str = "doc_id", item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
-    """(doc_id, item_id, similarity, start, n_words): the best window of each document for each item that it holds."""
+    """(doc_id, item_id, similarity, start, n_words): the best window of each document for each item that it holds; doc_id
+    has the type that id_col has."""
     wanted = items.select(F.col(item_id_col).cast("long").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     total = wanted.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
     parts = []
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     for k in range(blocks):
         block = wanted if blocks == 1 else wanted.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         held = [(r.item, r.text.encode()) for r in block.orderBy("item", "text").collect()]
-        matches = rows.mapInArrow(_matcher(held, shingle, similar, radius), MATCH)
+        matches = rows.mapInArrow(_matcher(held, shingle, similar, radius), f"doc_id {rows.schema[0].dataType.simpleString()}, {MATCH}")
         parts.append(matches if blocks == 1 else stored(matches))
     return reduce(DataFrame.union, parts)

@@ -14,6 +14,9 @@ Lines travel as hashes. What recurs is decided for each different line, after a
 stands in very many documents is a large key of one join alone, which Spark splits. The texts of lines are shuffled
 once, those of large leaves alone while these are few enough to be sent to all tasks, and the documents once.
 
+Texts are told apart by 64-bit hashes. Two that share one count as one text, so a line may count one text too few; they
+lose no line by it that recurs nowhere, since what recurs is told by the line.
+
 Edge cases: a null text stays null and has no lines; blank lines are kept; rows of equal text lose the same lines,
 whatever their ids; near copies are different texts; null ids are kept; other columns pass through, whatever their
 names; an empty table gives an empty result.

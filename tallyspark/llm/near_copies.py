@@ -11,16 +11,19 @@ Links of fingerprints come first. Then each text is held against one of each of
 found without listing a bucket's pairs:
 
 - A bucket of at most `CROWD` texts gives each of them fewer pairs than that; only those of like size are made.
-- In a larger one texts are compared by what sets them apart from the hub, the set D of shingles that one of both has.
-  Texts a and b differ in |D(a)| + |D(b)| - 2 |D(a) & D(b)| shingles, and they are similar if these are at most t times
-  their shingles together, t = (1 - s) / (1 + s). Of two texts in different groups one isn't similar to the hub, and then
-  that bound asks for a common element of D, in fact for a known number of them. So pairs are sought among texts that
-  share an element early enough in the order of their rarest: copies with edits of their own share none there.
+- In a larger one each text is then held against other members, chosen by a hash, `STARS` times, which unites most of what
+  a large group of copies has. What is still apart is compared by what sets it apart from the hub, the set D of shingles
+  that one of both has. Texts a and b differ in |D(a)| + |D(b)| - 2 |D(a) & D(b)| shingles, and they are similar if these
+  are at most t times their shingles together, t = (1 - s) / (1 + s). Of two texts in different groups one isn't similar
+  to the hub, and then that bound asks for a common element of D, in fact for a known number of them. So pairs are sought
+  among texts that share an element early enough in the order of their rarest. Elements that one group alone has match
+  nothing of another, so they come first in that order and are left out: copies with edits of their own share none.
 
 Pairs within a group can't change it, so large groups of copies aren't paired and nothing is lost.
 
 Edge cases: null and blank texts have no shingle and are linked by their fingerprint, zero; texts under `shingle` words
-are one shingle; equal texts are one; rows are judged one by one, so two texts with one doc_id are two documents; null
+are one shingle; equal texts are one; rows are judged one by one, so two texts with one doc_id are two documents, and so are two
+rows that differ only in which column is null; null
 ids are kept and name a group only if all its ids are null; extra columns pass through first_of_each(); an empty table
 gives an empty result.
 """
@@ -33,11 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, discard, stored, utf8
+from .common import cut_lineage, digest, discard, row_digest, stored, utf8
 from .components import connected_components
 from .simhash_dedup import SEED, STEP, link_fingerprints, signed
 
@@ -46,7 +49,9 @@ SIMILAR, ROWS, BANDS = 0.8, 4, 32
 LEAST_EQUAL = 77
 #: The most texts of a bucket whose pairs are made.
 CROWD = 32
-#: The most texts, a number each, whose keys are sent to all tasks.
+#: Members that each text of a larger bucket is held against before the rest is compared exactly.
+STARS = 2
+#: The most texts, a digest each, whose keys are sent to all tasks.
 BROADCAST_TEXTS = 1_000_000
 
 _ODD = np.random.default_rng(11).integers(0, 2**63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,7 +85,7 @@ def marks_of(text: bytes, shingle: int) -> tuple[int, int, bytes, list[int]]:
     return int(np.packbits(2 * ones > len(parts), bitorder="little").view("<u8")[0]), len(once), ((least * _ODD) >> np.uint64(56)).astype(np.uint8).tobytes(), buckets.view(np.int64).tolist()
 
 
-MARKS = "doc_id long, row long, key long, fp long, n long, sketch binary, buckets array<long>"
+MARKS = "doc_id long, row binary, hash binary, fp long, n long, sketch binary, buckets array<long>"
 
 
 def _marker(shingle: int):
@@ -88,7 +93,7 @@ def _marker(shingle: int):
         for batch in batches:
             found = [marks_of(x, shingle) for x in utf8(batch.column(3))]
             columns = [pa.array([signed(x[0]) for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.binary()), pa.array([x[3] for x in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names=["doc_id", "row", "key", "fp", "n", "sketch", "buckets"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names=["doc_id", "row", "hash", "fp", "n", "sketch", "buckets"])
 
     return run
 
@@ -129,24 +134,29 @@ def shingle_hashes(shingle: int):
     return apply
 
 
-def _crowded(at: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """(a, b): pairs that can be similar, of different groups, from members (least, key, n, root) of large buckets. A pair
+def _texts_of(keys: DataFrame, once: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text) of some texts, each once."""
+    wanted = stored(keys.distinct().join(once.select("key", "hash"), "key"))
+    if wanted.count() <= BROADCAST_TEXTS:  # else the documents are shuffled to them
+        wanted = F.broadcast(wanted)
+    return texts.join(wanted, "hash").groupBy("key").agg(F.first("text").alias("text"))
+
+
+def _crowded(at: DataFrame, once: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(a, b): pairs that can be similar, of different groups, from members (hub, key, n, root) of large buckets. A pair
     is made once, at the first hub and common element of both."""
     part = (1 - SIMILAR) / (1 + SIMILAR)
     least = lambda x: F.greatest(F.lit(1), F.ceil(x / 2 - 1e-9)).cast("int")
-    rows = stored(at.select(F.col("least").alias("hub"), "key", "n", "root").distinct())
-    wanted = rows.select("key").union(rows.select("hub")).distinct()
-    if wanted.count() <= BROADCAST_TEXTS:  # else the documents are shuffled to them
-        wanted = F.broadcast(wanted)
-    sets = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).select("key", shingle_hashes(shingle)(F.col("text")).alias("set")))
+    rows = stored(at.select("hub", "key", "n", "root").distinct())
+    sets = stored(_texts_of(rows.select("key").union(rows.select("hub")), once, texts).select("key", shingle_hashes(shingle)(F.col("text")).alias("set")))
     joined = rows.join(sets, "key").join(sets.select(F.col("key").alias("hub"), F.col("set").alias("hub_set")), "hub")
     d = F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set"))
     beyond = F.size("d") - part * (F.col("n") + F.size("hub_set"))
     needed = F.when(beyond <= 1e-9, least((1 - part) * F.size("d"))).otherwise(least(beyond + (1 - part)))
     apart = stored(joined.withColumn("d", d).select("hub", "key", "n", "root", F.size("d").alias("nd"), needed.alias("needed"), "d"))
-    elements = apart.select("hub", "key", F.explode("d").alias("e"))
-    common = elements.groupBy("hub", "e").agg(F.count("*").alias("df")).filter("df > 1")
-    # a text's elements by rarity; those of it alone come before them and match nothing
+    elements = apart.select("hub", "key", "root", F.explode("d").alias("e"))
+    common = stored(elements.groupBy("hub", "e").agg(F.count("*").alias("df"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("hub", "e", "df"))
+    # a text's elements by rarity; those of its group alone come before them and match nothing
     rare = elements.join(common, ["hub", "e"]).groupBy("hub", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("rare"))
     hubs = rows.groupBy("key").agg(F.collect_set("hub").alias("hubs"))
     first = F.slice("rare", 1, F.greatest(F.size("rare") - F.col("needed") + 1, F.lit(0)))
@@ -155,81 +165,84 @@ def _crowded(at: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     both = least(F.col("nd_a") + F.col("nd_b") - part * (F.col("n_a") + F.col("n_b")))
     early = lambda side: F.slice(f"first_{side}", F.lit(1), F.greatest(F.col(f"nr_{side}") - both + 1, F.lit(0)))
     near = (F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
-    once = (F.col("hub") == F.array_min(F.array_intersect("hubs_a", "hubs_b"))) & (F.col("e") == F.array_min(F.array_intersect(early("a"), early("b"))))
-    pairs = stored(x.join(y, ["hub", "e"]).filter(near & once).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
-    discard(rows, sets, apart, index)
+    first_of_both = (F.col("hub") == F.array_min(F.array_intersect("hubs_a", "hubs_b"))) & (F.col("e") == F.array_min(F.array_intersect(early("a"), early("b"))))
+    pairs = stored(x.join(y, ["hub", "e"]).filter(near & first_of_both).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+    discard(rows, sets, apart, common, index)
     return pairs
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+def _verified(pairs: DataFrame, once: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(a, b): fingerprints of the pairs (a, b) of keys that are similar."""
-    end = lambda c: sketches.select(F.col("key").alias(c), F.col("fp").alias(f"fp_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    end = lambda c: once.select(F.col("key").alias(c), F.col("fp").alias(f"fp_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     sized = pairs.join(end("a"), "a").join(end("b"), "b").filter(F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
     likely = stored(sized.filter(equal_bytes()(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_EQUAL).select("a", "b", "fp_a", "fp_b"))
-    wanted = stored(likely.select(F.col("a").alias("key")).union(likely.select(F.col("b").alias("key"))).distinct())
-    if wanted.count() <= BROADCAST_TEXTS:  # else the documents are shuffled to them
-        wanted = F.broadcast(wanted)
-    held = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
+    held = stored(_texts_of(likely.select(F.col("a").alias("key")).union(likely.select(F.col("b").alias("key"))), once, texts))
     both = likely.join(held.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(held.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    return stored(both.filter(exact_similarity(shingle)(F.col("text_a"), F.col("text_b")) >= SIMILAR).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
-
+    similar = stored(both.filter(exact_similarity(shingle)(F.col("text_a"), F.col("text_b")) >= SIMILAR).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
+    discard(likely, held)
+    return similar
 
-def _row(docs: DataFrame) -> Column:
-    """What tells rows apart: a hash of all columns."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
-
-def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id", crowd: int = CROWD) -> DataFrame:
-    """(doc_id, row, component_id, root) for each row of docs: row is a hash of all its columns, root names its group,
+def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id", crowd: int = CROWD, stars: int = STARS) -> DataFrame:
+    """(doc_id, row, component_id, root) for each row of docs: row stands for all its columns, root names its group,
     component_id is the group's least doc_id."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row(docs).alias("row"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_digest(docs).alias("row"), digest(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
     marked = stored(texts.mapInArrow(_marker(shingle), MARKS))
-    rows, texts = marked.select("doc_id", "row", "fp"), texts.select("key", "text")
+    rows, texts = marked.select("doc_id", "row", "fp"), texts.select("hash", "text")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    once = marked.filter("n > 0").select("key", "fp", "n", "sketch")
-    sketches = stored(once.dropDuplicates(["key"]))
-    placed = marked.select("key", "fp", "n", F.explode("buckets").alias("bucket")).distinct()
+    # different texts, by a number each
+    once = stored(marked.filter("n > 0").dropDuplicates(["hash"]).select(F.monotonically_increasing_id().alias("key"), "hash", "fp", "n", "sketch", F.array_distinct("buckets").alias("buckets")))
+    placed = once.select("key", "fp", "n", F.explode("buckets").alias("bucket"))
     # texts of one bucket; those of one fingerprint are linked already
-    stats = placed.groupBy("bucket").agg(F.count_distinct("key").alias("size"), F.min("key").alias("least"), F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high")
-    together = stored(placed.join(stats.select("bucket", "size", "least"), "bucket"))
+    stats = stored(placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("key").alias("least"), F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high").select("bucket", "size", "least"))
+    together = stored(placed.join(stats, "bucket"))
     large = together.filter(F.col("size") > crowd)
     fame = large.groupBy("key").agg(F.sum("size").alias("fame"))
-    hubs = large.join(fame, "key").groupBy("bucket").agg(F.max_by("key", F.struct("fame", "key")).alias("hub"))
-    shared = stored(together.join(hubs, "bucket", "left").withColumn("least", F.coalesce("hub", "least")).drop("hub"))
+    hubs = stored(large.join(fame, "key").groupBy("bucket").agg(F.max_by("key", F.struct("fame", "key")).alias("hub")))
 
     links = cut_lineage(link_fingerprints(prints))
-    roots = lambda: prints.join(connected_components(links, "a", "b"), prints.fp == F.col("vertex"), "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
-    rooted = stored(roots())
-    at = stored(shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "least", "root"))
-    heads = at.filter("key = least").select("bucket", F.col("root").alias("head"))
-    stars = at.join(heads, "bucket").filter("root != head").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    links = links.union(_verified(stars, sketches, texts, shingle))
-    discard(rooted, at)
-    rooted = stored(roots())
-    at = shared.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "least", "size", "n", "root")
-    torn = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")
+    roots = lambda: stored(prints.join(connected_components(links, "a", "b"), prints.fp == F.col("vertex"), "left").select("fp", "first", F.coalesce("component", "fp").alias("root")))
+    torn = lambda at: at.join(stored(at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")), "bucket")
+    rooted = roots()
+    for star in range(1 + stars):
+        at = stored(torn((large if star else together).join(rooted.select("fp", "root"), "fp").select("bucket", "key", "least", "root")))
+        if star:
+            heads = at.groupBy("bucket").agg(F.max_by(F.struct(F.col("key").alias("head"), F.col("root").alias("head_root")), F.xxhash64("key", F.lit(star))).alias("h")).select("bucket", "h.*")
+        else:
+            named = at.join(hubs, "bucket", "left").withColumn("head", F.coalesce("hub", "least"))
+            heads = named.filter("key = head").select("bucket", "head", F.col("root").alias("head_root"))
+        pairs = stored(at.join(heads, "bucket").filter("root != head_root").select(F.least("head", "key").alias("a"), F.greatest("head", "key").alias("b")).distinct())
+        discard(at)
+        if star and pairs.isEmpty():
+            break
+        links = links.union(_verified(pairs, once, texts, shingle))
+        discard(rooted)
+        rooted = roots()
+    at = torn(together.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "size", "n", "root"))
     # similar texts are of one size level or of neighbouring ones
     level = F.floor(F.log(F.col("n").cast("double")) / -math.log(SIMILAR))
-    at = stored(at.join(torn, "bucket").withColumn("level", level))
+    at = stored(at.withColumn("level", level))
     x, y = (at.filter(F.col("size") <= crowd).select("bucket", F.col("key").alias(c), F.col("root").alias(f"root_{c}"), F.col("n").alias(f"n_{c}"), "level") for c in "ab")
     y = y.withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
     sized = F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")
     rest = x.join(y, ["bucket", "level"]).filter((F.col("root_a") < F.col("root_b")) & sized).select("a", "b")
-    rest = rest.union(_crowded(at.filter(F.col("size") > crowd), texts, shingle)).distinct()
-    links = links.union(_verified(rest, sketches, texts, shingle))
+    crowds = at.filter(F.col("size") > crowd)
+    if not crowds.isEmpty():
+        rest = rest.union(_crowded(crowds.join(hubs, "bucket"), once, texts, shingle))
+    links = links.union(_verified(rest.distinct(), once, texts, shingle))
     discard(rooted, at)
-    rooted = stored(roots())
+    rooted = roots()
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = stored(rows.join(rooted.join(names, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "row", "component_id", "root"))
-    discard(marked, prints, sketches, together, shared, rooted)
+    discard(marked, prints, once, stats, together, hubs, rooted)
     return found
 
 
 def first_of_each(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each group of near copies: of the least doc_id, and of its rows the one with the least hash."""
+    """One row of each group of near copies: of the least doc_id, and of its rows the one with the least digest."""
     groups = near_copies(docs, shingle, text_col, id_col)
     chosen = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("one")).select(F.col("one.row").alias("row"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), _row(docs).alias("row"))
-    # rows that are equal in all columns meet by the hash that the join has dealt them by
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_digest(docs).alias("row"))
+    # rows that are equal in all columns meet by the digest that the join has dealt them by
     kept = whole.join(stored(chosen), "row", "left_semi").dropDuplicates(["row"])
     return kept.select(*[F.col(f"doc.`{c}`") for c in docs.columns])

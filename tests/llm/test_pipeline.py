@@ -122,5 +122,15 @@ def test_near_copies_of_a_large_group(spark, crowd):
     assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs, crowd=crowd).collect()} == want
 
 
+def test_rows_whose_nulls_differ_are_different_rows(spark):
+    text = "alpha beta gamma delta epsilon zeta"
+    rows = [(None, text, None), (None, None, text), (3, None, None), (None, "x", None), (None, None, "x"), (None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = near_copies.first_of_each(docs).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(None, text, None), (3, None, None), (None, "x", None)], key=repr)
+    docs = spark.createDataFrame([(None, text, None), (None, None, text)], "doc_id long, text string, source string")
+    assert near_copies.first_of_each(docs).count() == 2
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
