@@ -1,7 +1,7 @@
 """Column functions over data addresses: identifiers, versions and request addresses.
 
-An address is read as its parts between slashes. The dataflow stands in one part with the agency and its version, with
-commas between them, or in the parts after the agency's.
+The dataflow stands between the agency and its version, with commas between them or as parts between slashes. A version
+is found without the agency too; one that nothing follows is none.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ def _parts(url: Column) -> Column:
     return F.split(url, "/")
 
 
-def _listed(url: Column) -> Column:
-    """The fields of the part that begins with the agency and a comma; null where there is none."""
-    return F.split(F.get(F.filter(_parts(url), lambda p: p.startswith(f"{AGENCY},")), F.lit(0)), ",")
+# How a version stands in an address, after a comma or between slashes, and how an identifier does before it.
+VERSION_LISTED, VERSION_SEATED = ",([0-9]+[.][0-9]+)/", "/([0-9]+[.][0-9]+)/"
+ID_LISTED, ID_SEATED = r"OECD\.DCD\.FSD,([^,/]+),[0-9]+[.][0-9]+", r"OECD\.DCD\.FSD/([^/]+)/[0-9]+[.][0-9]+"
 
 
 def _seat(url: Column) -> Column:
@@ -33,33 +33,27 @@ def _seat(url: Column) -> Column:
     return F.when(at > 0, at)
 
 
-def _version(text: Column) -> Column:
-    return F.when(text.rlike("^[0-9]+[.][0-9]+$"), text)
-
-
-def _named(url: Column) -> Column:
-    """struct(id, version), from commas or, where there are none, from slashes."""
-    listed, seat = _listed(url), _seat(url)
-    by_comma = F.struct(F.get(listed, F.lit(1)).alias("id"), _version(F.get(listed, F.lit(2))).alias("version"))
-    by_slash = F.struct(F.get(_parts(url), seat).alias("id"), _version(F.get(_parts(url), seat + 1)).alias("version"))
-    return F.when(by_comma["version"].isNotNull(), by_comma).when(by_slash["version"].isNotNull(), by_slash)
+def _first(url: Column, *forms: str) -> Column:
+    """What the first form that an address has holds; null without any."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(url, form, 1), F.lit("")) for form in forms])
 
 
 def dataflow_id(url: Column) -> Column:
-    return F.nullif(_named(url)["id"], F.lit(""))
+    """The identifier between the agency and a version."""
+    return _first(url, ID_LISTED, ID_SEATED)
 
 
 def dataflow_version(url: Column) -> Column:
-    return _named(url)["version"]
+    """The version that a slash follows, of whatever agency: after a comma, or else between slashes."""
+    return _first(url, VERSION_LISTED, VERSION_SEATED)
 
 
 def with_version(url: Column, version: str | Column) -> Column:
     """The address with another version; unchanged where it has none."""
-    new, listed, seat = F.lit(version) if isinstance(version, str) else version, _listed(url), _seat(url)
-    by_comma = F.transform(_parts(url), lambda p: F.when(p.startswith(f"{AGENCY},"), F.concat_ws(",", F.get(listed, F.lit(0)), F.get(listed, F.lit(1)), new)).otherwise(p))
-    by_slash = F.transform(_parts(url), lambda p, i: F.when(i == seat + 1, new).otherwise(p))
-    found = F.when(_version(F.get(listed, F.lit(2))).isNotNull(), by_comma).when(_version(F.get(_parts(url), seat + 1)).isNotNull(), by_slash)
-    return F.coalesce(F.array_join(found, "/"), url)
+    new = F.lit(version) if isinstance(version, str) else version
+    listed = F.regexp_replace(url, F.lit(VERSION_LISTED), F.concat(F.lit(","), new, F.lit("/")))
+    seated = F.regexp_replace(url, F.lit(VERSION_SEATED), F.concat(F.lit("/"), new, F.lit("/")))
+    return F.when(url.rlike(VERSION_LISTED), listed).otherwise(seated)
 
 
 def flow_id(url: Column) -> Column:

@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 # Price bases and their legacy codes.
 PRICES = {"V": "A", "Q": "D", "XDC": "N", "PT_B5G": "PT_B5G"}
-#: A codelist of at most this many rows is sent to all tasks; a larger one is shuffled.
-BROADCAST_ROWS = 100_000
+#: A codelist of at most this many rows, or bytes by Spark's own bound, is sent to all tasks; a larger one is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 100_000_000
+
+
+def size_bound(df: DataFrame) -> int:
+    """What Spark takes for df's size in bytes: known of files and literal rows, and multiplied where it joins them."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def small(codes: DataFrame) -> DataFrame:
-    """codes with a broadcast hint if it proves small; otherwise Spark shuffles it."""
+    """codes with a broadcast hint if it proves small, by Spark's bound or else a count; otherwise Spark shuffles it."""
+    if size_bound(codes) <= BROADCAST_BYTES:
+        return F.broadcast(codes)
     return F.broadcast(codes) if codes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else codes
 
 

@@ -395,14 +395,27 @@ def last_two_years(spark, d):
 
 # functions
 
-ADDRESS = "'https://example.org/rest/data/OECD.DCD.FSD,DSD_' || o_custkey || '@DF_' || o_orderkey || ',1.' || o_orderkey % 9 || '/all?x=1'"
-SLASHED = "'https://example.org/v2/OECD.DCD.FSD/DSD_' || o_custkey || '@DF_' || o_orderkey || '/2.' || o_orderkey % 9 || '/*?x=1'"
-ADDRESSES = f"CASE o_orderkey % 3 WHEN 0 THEN {ADDRESS} WHEN 1 THEN {SLASHED} ELSE 'https://example.org/' || o_orderkey END"
+#: Addresses of both forms, of other agencies, with versions of three numbers, with a version that nothing follows, and
+#: without any; then what is to be found: identifier, version, and the address with version 9.1.
+ADDRESSES = {
+    "'https://example.org/rest/data/OECD.DCD.FSD,DSD_' || o_custkey || '@DF_' || o_orderkey || ',1.' || o_orderkey % 9 || '/all?x=1'": ("'DSD_' || o_custkey || '@DF_' || o_orderkey", "'1.' || o_orderkey % 9", "'https://example.org/rest/data/OECD.DCD.FSD,DSD_' || o_custkey || '@DF_' || o_orderkey || ',9.1/all?x=1'"),
+    "'https://example.org/v2/OECD.DCD.FSD/DSD_' || o_custkey || '@DF_' || o_orderkey || '/2.' || o_orderkey % 9 || '/*?x=1'": ("'DSD_' || o_custkey || '@DF_' || o_orderkey", "'2.' || o_orderkey % 9", "'https://example.org/v2/OECD.DCD.FSD/DSD_' || o_custkey || '@DF_' || o_orderkey || '/9.1/*?x=1'"),
+    "'https://example.org/' || o_orderkey": ("NULL", "NULL", "'https://example.org/' || o_orderkey"),
+    "'https://example.org/rest/data/OTHER.AG,DF_' || o_custkey || ',1.' || o_orderkey % 9 || '/all'": ("NULL", "'1.' || o_orderkey % 9", "'https://example.org/rest/data/OTHER.AG,DF_' || o_custkey || ',9.1/all'"),
+    "'https://example.org/v2/OTHER.AG/DF_' || o_custkey || '/3.' || o_orderkey % 9 || '/*'": ("NULL", "'3.' || o_orderkey % 9", "'https://example.org/v2/OTHER.AG/DF_' || o_custkey || '/9.1/*'"),
+    "'https://example.org/v2/OECD.DCD.FSD/DF_' || o_custkey || '/1.3.' || o_orderkey % 9 || '/all'": ("'DF_' || o_custkey", "NULL", "'https://example.org/v2/OECD.DCD.FSD/DF_' || o_custkey || '/1.3.' || o_orderkey % 9 || '/all'"),
+    "'https://example.org/rest/data/OECD.DCD.FSD,DF_' || o_custkey || ',1.' || o_orderkey % 9": ("'DF_' || o_custkey", "NULL", "'https://example.org/rest/data/OECD.DCD.FSD,DF_' || o_custkey || ',1.' || o_orderkey % 9"),
+}
+
+
+def by_address(*expressions: str) -> str:
+    """The expression of each kind of address, dealt by the order's number."""
+    return "CASE o_orderkey % 7 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(expressions)) + " END"
 
 
-@query(f"SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 < 2 THEN 'DSD_' || o_custkey || '@DF_' || o_orderkey END AS id, CASE o_orderkey % 3 WHEN 0 THEN '1.' || o_orderkey % 9 WHEN 1 THEN '2.' || o_orderkey % 9 END AS version, replace(replace(u, ',1.' || o_orderkey % 9 || '/', ',9.1/'), '/2.' || o_orderkey % 9 || '/', '/9.1/') AS renewed FROM (SELECT *, {ADDRESSES} AS u FROM orders)")
+@query(f"SELECT o_orderkey AS k, {by_address(*[x[0] for x in ADDRESSES.values()])} AS id, {by_address(*[x[1] for x in ADDRESSES.values()])} AS version, {by_address(*[x[2] for x in ADDRESSES.values()])} AS renewed FROM orders")
 def address_parts(spark, d):
-    n = table(spark, d, "orders").withColumn("u", F.expr(ADDRESSES))
+    n = table(spark, d, "orders").withColumn("u", F.expr(by_address(*ADDRESSES)))
     return n.select(F.col("o_orderkey").alias("k"), urls.dataflow_id(F.col("u")).alias("id"), urls.dataflow_version(F.col("u")).alias("version"), urls.with_version(F.col("u"), "9.1").alias("renewed"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import shutil
 import tempfile
 import zipfile
@@ -61,9 +62,35 @@ def read_mapping(spark: SparkSession, path: str, keys_as_int: bool = True) -> Da
 
 def area_codes(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """(code, value, ord): the landed area codelist of a dataset, root/codelists, with the corrections over it."""
-    base = read_mapping(spark, f"{root.rstrip('/')}/codelists/{AREA_LISTS[dataset]}")
-    top = spark.createDataFrame([(c, v, n) for n, (c, v) in enumerate(AREA_CORRECTIONS.items(), 1)], "code int, value string, ord long")
-    return overlay(base, top)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/codelists/{AREA_LISTS[dataset]}")
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        raise FileNotFoundError(f"no codelist {at}: legacy codes need one, or areas, or dotstat_codes=False")
+    base = read_mapping(spark, at.toString())
+    fixed = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(v).alias("value"), F.lit(n).cast("long").alias("ord")) for n, (c, v) in enumerate(AREA_CORRECTIONS.items(), 1)])
+    return overlay(base, spark.range(1).select(F.inline(fixed)))
+
+
+#: Bytes of a codelist that the driver reads itself.
+DRIVER_BYTES = 4_000_000
+
+
+def area_values(spark: SparkSession, root: str, dataset: str) -> set[str] | None:
+    """The values of area_codes(), read without a job; None if the landed codelist is large."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/codelists/{AREA_LISTS[dataset]}")
+    fs = path.getFileSystem(conf)
+    parts = [path] if fs.getFileStatus(path).isFile() else [s.getPath() for s in fs.listStatus(path) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    if fs.getContentSummary(path).getLength() > DRIVER_BYTES:
+        return None
+    listed: dict[str, str] = {}
+    for part in parts:
+        stream = fs.open(part)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        listed |= json.loads(text) if text.strip() else {}
+    return {*({int(k): v for k, v in listed.items() if re.fullmatch("[0-9]+", k)} | AREA_CORRECTIONS).values()}
 
 
 def dataflow_version(xml: Column) -> Column:

@@ -46,11 +46,26 @@ def safe_names(header: Sequence[str]) -> dict[str, str]:
 AT_ONCE = 16
 
 
-def _headers(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The first line of each file: a job of one row a file."""
-    with ThreadPool(AT_ONCE) as pool:
-        firsts = pool.map(lambda p: spark.read.text(p).first(), paths)
-    return ["" if r is None else r[0].lstrip("\ufeff") for r in firsts]
+def plain_path(path: Column) -> Column:
+    """A file's name in `_metadata` as encoded() gives it."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def encoded(spark: SparkSession, path: str) -> str:
+    """A file's name as Spark writes it in `_metadata`."""
+    return re.sub("^file:/+", "file:/", spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString())
+
+
+def _survey(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str, bool]]:
+    """(file, header, quoted) of files with a line, in one job: their first lines, and whether quotes of a line don't pair,
+    so that a quoted value may hold a line end. A row a file comes to the driver, as its name did."""
+    at = F.when(F.col("start") == 0, F.monotonically_increasing_id())  # rows of a file's first block, in order
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    found = lines.withColumns({"at": at, "odd": odd}).groupBy("file").agg(F.min_by("value", "at").alias("header"), F.max("odd").alias("odd"))
+    rows = found.select(plain_path(F.col("file")).alias("file"), F.coalesce("header", F.lit("")).alias("header"), "odd").collect()
+    given = {encoded(spark, p): p for p in paths}
+    return sorted((given[r.file], r.header.lstrip("\ufeff"), r.odd) for r in rows)
 
 
 def split_header(line: str, sep: str = ",") -> list[str]:
@@ -58,44 +73,77 @@ def split_header(line: str, sep: str = ",") -> list[str]:
     return next(csv.reader([line], delimiter=sep), [])
 
 
-def _read(spark: SparkSession, paths: Sequence[str], names: Sequence[str], sep: str, multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.csv(list(paths), header=True, schema=schema, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue="")
+#: Columns of a read that says where rows come from and which aren't whole; no raw table has such names.
+FILE, BROKEN = "__file", "__broken"
 
 
-def read_observations(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, dict[str, str]]:
-    """A labelled file or folder as text columns, and raw names to the names in the frame.
+def _read(spark: SparkSession, paths: Sequence[str], names: Sequence[str], sep: str, multi_line: bool, marked: bool = False) -> DataFrame:
+    """Text columns of files of one header; marked: with the file of each row, and its text if it has fewer or more values
+    than the header. Spark tells such rows only where it parses all columns."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, *([BROKEN] if marked else []))])
+    options = {"columnPruning": False, "columnNameOfCorruptRecord": BROKEN} if marked else {}
+    df = spark.read.options(**options).csv(list(paths), header=True, schema=schema, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue="")
+    return df.select(*[quoted(c) for c in names], plain_path(F.col("_metadata.file_path")).alias(FILE), BROKEN) if marked else df
 
-    Files with one header are one scan; columns of different headers are united by name. With multi_line quoted values may
-    hold line ends, and then a file is one task; without it Spark splits files.
-    """
-    files = _list(spark, path)
-    by: dict[tuple[str, ...], list[str]] = {}
-    for f, line in zip(files, _headers(spark, files), strict=True):
+
+def _marked(spark: SparkSession, files: Sequence[str], multi_line: bool | None) -> tuple[DataFrame, dict[str, str]] | None:
+    """(rows with FILE and BROKEN, names) of labelled files; None if none has a line."""
+    by: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for f, line, odd in _survey(spark, files) if files else []:
         if line:
-            by.setdefault(tuple(mangle([x or f"_c{k}" for k, x in enumerate(split_header(line))])), []).append(f)
-    names = safe_names(list(dict.fromkeys(x for header in by for x in header)))
+            header = tuple(mangle([x or f"_c{k}" for k, x in enumerate(split_header(line))]))
+            by.setdefault((header, odd if multi_line is None else multi_line), []).append(f)
     if not by:
+        return None
+    names = safe_names(list(dict.fromkeys(x for header, _ in by for x in header)))
+    parts = [_read(spark, fs, [names[x] for x in header], ",", lines, marked=True).withColumn("__width", F.lit(len(header))) for (header, lines), fs in by.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), names
+
+
+def _values(record: Column) -> Column:
+    """How many values a record has, commas within quotes aside."""
+    bare = F.regexp_replace(record, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def observations_by_file(spark: SparkSession, files: Sequence[str], multi_line: bool | None = None, aside: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """As read_observations(), of listed files and with a column FILE."""
+    found = _marked(spark, files, multi_line)
+    if found is None:
         return spark.createDataFrame([], T.StructType([])), {}
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_read(spark, fs, [names[x] for x in header], ",", multi_line) for header, fs in by.items()]), names
+    df, names = found
+    # Spark refuses a read of nothing but the broken rows' column, as a count would be
+    whole = F.col(BROKEN).isNull() & (F.coalesce(F.length(quoted(df.columns[0])), F.lit(0)) >= 0)
+    if not aside:
+        said = F.concat(F.lit("a row that isn't whole in "), FILE, F.lit(": "), F.col(BROKEN))
+        whole = F.when(whole, True).otherwise(F.raise_error(said))
+    return df.filter(whole).drop(BROKEN, "__width"), names
+
 
+def read_observations(spark: SparkSession, path: str, multi_line: bool | None = None, aside: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """A labelled file or folder as text columns, and raw names to the names in the frame.
 
-#: The folder column of landed tables; the year stays a column of its own.
-YEAR_FOLDER = "year_folder"
+    Files with one header are one scan; columns of different headers are united by name. One job looks at all files first.
+    A file in which quotes of a line don't pair may hold values with line ends, and is read as one task; Spark splits the
+    others (multi_line decides this for all files). A row with fewer or more values than the header raises when it is
+    read, or is left out with aside; broken_rows() lists such rows.
+    """
+    df, names = observations_by_file(spark, _list(spark, path), multi_line, aside)
+    return (df.drop(FILE) if names else df), names
 
 
-def read_landed(spark: SparkSession, path: str, years: Column | None = None) -> tuple[DataFrame, dict[str, str]]:
-    """A table that was landed by year, and raw names to those in the frame; years: a predicate on YEAR_FOLDER."""
-    df = spark.read.parquet(path)
-    if years is not None:
-        df = df.filter(years)
-    df = df.drop(YEAR_FOLDER)
-    lower = {c.lower() for c in df.columns}
-    raw = lambda c: c.removesuffix(LABEL_SUFFIX) if c.endswith(LABEL_SUFFIX) and c.removesuffix(LABEL_SUFFIX).lower() in lower else c
-    return df, {raw(c): c for c in df.columns}
+def broken_rows(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """(file, reason, record): rows of labelled files that aren't whole, with their text."""
+    found = _marked(spark, _list(spark, path), multi_line)
+    if found is None:
+        return spark.createDataFrame([], "file string, reason string, record string")
+    n, wide = _values(F.col(BROKEN)), F.col("__width")
+    reason = F.when(n < wide, F.concat(n, F.lit(" values of "), wide)).when(n > wide, F.concat(n, F.lit(" values for "), wide)).otherwise("quotes that don't pair")
+    kept = found[0].filter(F.col(BROKEN).isNotNull() & (F.coalesce(F.length(quoted(found[0].columns[0])), F.lit(0)) >= 0))
+    return kept.select(F.col(FILE).alias("file"), reason.alias("reason"), F.col(BROKEN).alias("record"))
 
 
-def read_conformed(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, dict[str, str]]:
+def read_conformed(spark: SparkSession, path: str, multi_line: bool | None = None) -> tuple[DataFrame, dict[str, str]]:
     df, names = read_observations(spark, path, multi_line)
     return nulls_from_tokens(df), names
 

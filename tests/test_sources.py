@@ -130,6 +130,10 @@ def test_addresses(spark):
     assert tuple(row(a)) == ("DSD_A@DF_A", "1.8", a.replace("1.8", "3.1"))
     assert tuple(row(b)) == ("DSD_B@DF_B", "2.0", b.replace("2.0", "3.1"))
     assert tuple(row("https://h/x"))[:2] == (None, None)
+    assert tuple(row("https://h/d/OTHER.AG,DF_X,1.3/all")) == (None, "1.3", "https://h/d/OTHER.AG,DF_X,3.1/all")
+    assert tuple(row("https://h/d/OTHER.AG/DF_X/1.3/all")) == (None, "1.3", "https://h/d/OTHER.AG/DF_X/3.1/all")
+    for whole in ("https://h/OECD.DCD.FSD/DSD_A@DF_A/1.3.1/all", "https://h/OECD.DCD.FSD,DSD_A@DF_A,1.3"):
+        assert tuple(row(whole)) == ("DSD_A@DF_A", None, whole)
 
 
 def test_empty_and_differing_headers(spark, tmp_path):
