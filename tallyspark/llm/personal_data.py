@@ -7,7 +7,9 @@ numbers; proposals that score less than `LEAST_SCORE` are dropped, so a bare dat
 personal. Proposals that overlap a base span are dropped too.
 
 A pattern's matches and the pieces between them come from two native functions; a match starts where the lengths of all
-pieces and matches before it add up to. Lookarounds and possessive loops keep each scan linear in the text: a match can
+pieces and matches before it add up to. The context of a match is the `NEAR` characters of the text before it and after
+it, whatever else matches there; it is put together from the pieces and matches around, of which `AROUND` always suffice.
+Kinds made of digits are sought only in texts that hold `FEW_DIGITS` near each other, which one cheap scan tells. Lookarounds and possessive loops keep each scan linear in the text: a match can
 only start where a run starts or the last match ended.
 
 Edge cases: a null or empty text has no spans; rows are judged one by one, repeated or not; offsets count code points;
@@ -27,6 +29,10 @@ from .common import bind
 
 #: Characters before and after a match in which context words count.
 NEAR = 48
+#: Matches on each side of one that always hold so many characters, as each has two at least.
+AROUND = NEAR // 2 + 1
+#: What every match of digits holds: four of them with at most a mark between.
+FEW_DIGITS = r"[0-9](?:[ ./-]?[0-9]){3}"
 #: Spans of the method that score less, in hundredths, are dropped; base spans always stay.
 LEAST_SCORE = 50
 #: What words of the kind add to a score, and words of other numbers take.
@@ -143,10 +149,23 @@ def _spans(text: Column, kind: Kind) -> Column:
         return bind(lengths, lambda n: bind(F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / SUM_BLOCK).cast("int")), lambda b: _total(n, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))), lambda blocks: starts(matches, pieces, n, blocks)))
 
     def starts(matches: Column, pieces: Column, n: Column, blocks: Column) -> Column:
+        def around(first: Column, last: Column, pair: Callable[[Column], Column]) -> Column:
+            return F.array_join(F.when(first <= last, F.transform(F.sequence(first, F.greatest(first, last)), pair)).otherwise(F.array().cast("array<string>")), "")
+
+        def before(i: Column) -> Column:
+            piece = F.get(pieces, i)
+            more = around(F.greatest(F.lit(0), i - AROUND), i - 1, lambda j: F.concat(F.get(pieces, j), F.get(matches, j)))
+            return F.right(F.when(F.length(piece) >= NEAR, piece).otherwise(F.concat(more, piece)), F.lit(NEAR))
+
+        def after(i: Column) -> Column:
+            piece = F.get(pieces, i + 1)
+            more = around(i + 1, F.least(i + AROUND, F.size(matches) - 1), lambda j: F.concat(F.get(matches, j), F.get(pieces, j + 1)))
+            return F.left(F.when(F.length(piece) >= NEAR, piece).otherwise(F.concat(piece, more)), F.lit(NEAR))
+
         def one(m: Column, i: Column) -> Column:
             block = F.floor(i / SUM_BLOCK).cast("int")
             start = _total(blocks, F.lit(1), block) + _total(n, block * SUM_BLOCK + 1, F.pmod(i, F.lit(SUM_BLOCK))) + F.length(F.get(pieces, i))
-            near = F.lower(F.concat(F.right(F.get(pieces, i), F.lit(NEAR)), F.lit(" "), F.left(F.get(pieces, i + 1), F.lit(NEAR))))
+            near = F.lower(F.concat(before(i), F.lit(" "), after(i)))
             score = kind.score + F.when(near.rlike(kind.context), LIFT).otherwise(0) - F.when(near.rlike(OTHER_NUMBERS), DROP).otherwise(0)
             return F.struct(m.alias("m"), start.alias("s"), (start + F.length(m)).alias("e"), score.alias("score"))
 
@@ -162,10 +181,11 @@ def _spans(text: Column, kind: Kind) -> Column:
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_email, n_ip, n_card, n_phone, base_sha256, spans and scores (as spans, with =score)."""
     clean = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    #: What a text must hold for a kind to be sought.
-    needs = {"email": clean.contains("@"), "phone": clean.contains("+")}
     none = F.array().cast("array<struct<s:int,e:int,score:double>>")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[(F.when(needs[k.name], _spans(clean, k)).otherwise(none) if k.name in needs else _spans(clean, k)).alias(k.name) for k in KINDS])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), clean.alias("clean"), clean.rlike(FEW_DIGITS).alias("digits"))
+    #: What a text must hold for a kind to be sought.
+    needs = {"email": F.col("clean").contains("@"), "phone": F.col("clean").contains("+")}
+    whole = rows.select("doc", *[F.when(needs.get(k.name, F.col("digits")), _spans(F.col("clean"), k)).otherwise(none).alias(k.name) for k in KINDS])
     base, more = [k.name for k in KINDS if k.base], [k.name for k in KINDS if not k.base]
     taken = F.concat(*base)
     clear = lambda x: ~F.exists("taken", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"]))

@@ -80,7 +80,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quali
 
 
 def _personal_data_sql() -> str:
-    """Matches and the pieces between them, places as sums of their lengths, checks and scores kind by kind."""
+    """Matches at the sums of the lengths before them, context from the text, checks and scores kind by kind."""
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"
     luhn = f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INT) ELSE (2 * CAST(x AS INT)) // 10 + (2 * CAST(x AS INT)) % 10 END)) % 10 = 0"
     mod97 = "list_reduce(list_transform(string_split(substr(m, 5) || m[1:4], ''), lambda x: CASE WHEN x <= '9' THEN CAST(x AS INT) ELSE ascii(x) - 55 END), lambda a, x: CASE WHEN x < 10 THEN (a * 10 + x) % 97 ELSE (a * 100 + x) % 97 END) = 1"
@@ -102,8 +102,9 @@ def _personal_data_sql() -> str:
     for n, k in enumerate(personal_data.KINDS):
         pattern, check = valid[k.name]
         parts.append(f"""SELECT r, {n} AS o, '{k.name}' AS kind, {str(k.base).lower()} AS base, s, s + length(m) AS e, {k.score} + CASE WHEN regexp_matches(near, '{k.context}') THEN 20 ELSE 0 END - CASE WHEN regexp_matches(near, '{personal_data.OTHER_NUMBERS}') THEN 30 ELSE 0 END AS score
-  FROM (SELECT r, ms[i] AS m, coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) + list_sum(list_transform(ps[1:i], lambda x: length(x))) AS s, lower(right(ps[i], 48) || ' ' || left(ps[i + 1], 48)) AS near
-        FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d)))
+  FROM (SELECT r, m, s, lower(substr(t, CAST(greatest(s - 47, 1) AS BIGINT), CAST(least(s, 48) AS BIGINT)) || ' ' || substr(t, CAST(s + length(m) + 1 AS BIGINT), 48)) AS near
+        FROM (SELECT r, t, ms[i] AS m, coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) + list_sum(list_transform(ps[1:i], lambda x: length(x))) AS s
+              FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT r, t, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d))))
   WHERE {check}""")
     counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in ("email", "ip", "card", "phone"))
     union = "\n  UNION ALL ".join(parts)
