@@ -2,8 +2,10 @@
 
 Calls and results meet in a hash join on their identifier, each folded to one row before it. A call may name any number
 of earlier calls whose results it uses; its level in the topological order is the length of the longest chain of them.
-Chains of calls with one parent are shortened by pointer doubling, in rounds that grow with the logarithm of their
-length; what is left are calls with several parents, whose levels follow in one round for each that lies above another.
+Conversations that parents connect are a group. The calls of a group of `GROUP` calls and parents at most are gathered by
+number and identifier, without their texts, and their levels are folded in that row, so jobs don't grow with the length of
+a conversation. Larger groups take rounds: chains of calls with one parent are shortened by pointer doubling, in rounds
+that grow with the logarithm of their length, then calls with several parents are settled level by level.
 Arguments are parsed natively and checked against the schema of the tool that is called; a JSON variant has its keys in
 order, so writing it gives one form. No conversation is gathered: each call and each other turn is a row, and
 `write_conversations` sorts rows across the cluster so that a conversation's messages follow one another.
@@ -24,12 +26,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bind, cut_lineage
+from .common import bind, cut_lineage, discard, stored
+from .components import connected_components
 
 Schema = Mapping[str, Any]
 #: How a variant's schema begins for each type; integers are told by how they are written.
@@ -96,14 +100,65 @@ def canonical(text: Column) -> Column:
     return F.to_json(F.try_parse_json(text))
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level) from unique (call_id, parents array<string>): the length of the longest chain of calls that each
-    comes after; null where that never ends."""
-    known = calls.select("call_id")
-    edges = cut_lineage(calls.select("call_id", F.explode("parents").alias("parent")).distinct().join(known.withColumnRenamed("call_id", "parent"), "parent", "left_semi").select("call_id", "parent"))
+#: Calls and parents of a group of conversations whose levels are worked out in one row.
+GROUP = 4_000
+
+
+def _edges(calls: DataFrame) -> DataFrame:
+    """(call_id, parent): different parents that exist."""
+    known = calls.select(F.col("call_id").alias("parent"))
+    return cut_lineage(calls.select("call_id", F.explode("parents").alias("parent")).distinct().join(known, "parent", "left_semi").select("call_id", "parent"))
+
+
+def levels(calls: DataFrame, group: int = GROUP) -> DataFrame:
+    """(call_id, level) from unique (call_id, conv_id, parents array<string>): the length of the longest chain of calls
+    that each comes after; null where that never ends. Conversations that parents connect are one group; a group of at
+    most `group` calls and parents is folded within one row, others take rounds over all of them."""
+    edges = _edges(calls)
+    placed = cut_lineage(calls.select("call_id", F.when(F.col("conv_id").isNull(), F.xxhash64("call_id", F.lit(1))).otherwise(F.xxhash64("conv_id")).alias("conv")))
+    above = placed.select(F.col("call_id").alias("parent"), F.col("conv").alias("conv_above"))
+    # by hashes: two conversations that share one are folded together, which changes no level
+    across = edges.join(placed, "call_id").join(above, "parent").filter("conv != conv_above").select("conv", "conv_above").distinct()
+    united = connected_components(across, "conv", "conv_above").select(F.col("vertex").alias("conv"), "component")
+    grouped = placed.join(united, "conv", "left").select("call_id", F.coalesce("component", "conv").alias("group"))
+    ups = edges.groupBy("call_id").agg(F.count("*").alias("ups"))
+    sizes = grouped.join(ups, "call_id", "left").groupBy("group").agg(F.sum(1 + F.coalesce("ups", F.lit(0))).alias("size"))
+    sized = cut_lineage(grouped.join(sizes, "group"))
+    small, large = sized.filter(F.col("size") <= group).select("call_id", "group"), sized.filter(F.col("size") > group).select("call_id")
+    folded = _folded(small, edges)
+    if large.isEmpty():
+        return folded
+    return folded.union(_by_rounds(large, edges.join(large, "call_id", "left_semi")))
+
+
+def _folded(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """(call_id, level) of calls (call_id, group) of small groups, each gathered as numbers and identifiers alone."""
+    seat = F.row_number().over(Window.partitionBy("group").orderBy("call_id")) - 1
+    seated = cut_lineage(calls.withColumn("seat", seat))
+    over = edges.join(seated.select(F.col("call_id").alias("parent"), F.col("seat").alias("up")), "parent").groupBy("call_id").agg(F.collect_list("up").alias("ups"))
+    one = F.struct("seat", "call_id", F.coalesce("ups", F.array().cast("array<int>")).alias("ups"))
+    gathered = seated.join(over, "call_id", "left").groupBy("group").agg(F.array_sort(F.collect_list(one)).alias("all"))
+
+    def settle(now: Column) -> Column:
+        """Levels after one more round; -1 where a parent has none yet."""
+        at = lambda p: F.get(now, p)
+        return F.transform("all", lambda x: F.when(F.forall(x["ups"], lambda p: at(p) >= 0), F.coalesce(F.array_max(F.transform(x["ups"], at)) + 1, F.lit(0))).otherwise(-1))
+
+    def round_(state: Column, _: Column) -> Column:
+        after = bind(settle(state["now"]), lambda new: F.struct(new.alias("now"), (new == state["now"]).alias("done")))
+        return F.when(state["done"], state).otherwise(after)
+
+    start = F.struct(F.transform("all", lambda x: F.lit(-1)).alias("now"), F.lit(False).alias("done"))
+    known = gathered.select("all", F.aggregate(F.sequence(F.lit(0), F.size("all")), start, round_, lambda x: x["now"]).alias("levels"))
+    pairs = known.select(F.explode(F.arrays_zip("all", "levels")).alias("x"))
+    return pairs.select(F.col("x.all.call_id").alias("call_id"), F.when(F.col("x.levels") >= 0, F.col("x.levels")).cast("long").alias("level"))
+
+
+def _by_rounds(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """(call_id, level) of calls (call_id) and edges of large groups."""
     degrees = edges.groupBy("call_id").agg(F.count("*").alias("degree"), F.min("parent").alias("only"))
     # chains: of a call with one parent the call above it, and how far that is
-    start = known.join(degrees, "call_id", "left").select("call_id", F.when(F.col("degree") == 1, F.col("only")).alias("up"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    start = cut_lineage(known.join(degrees, "call_id", "left").select("call_id", F.when(F.col("degree") == 1, F.col("only")).alias("up"), F.coalesce("degree", F.lit(0)).alias("degree")))
     now = cut_lineage(start.select("call_id", F.coalesce("up", "call_id").alias("top"), F.col("up").isNull().alias("ended"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("far")))
     rounds = now.count().bit_length() + 1  # what hasn't ended after that goes round
     while rounds and not now.filter("not ended").isEmpty():
@@ -111,17 +166,24 @@ def levels(calls: DataFrame) -> DataFrame:
         now = cut_lineage(now.join(above, "top").select("call_id", F.col("next").alias("top"), F.col("ends").alias("ended"), (F.col("far") + F.col("more")).alias("far")))
         rounds -= 1
     chains = now.filter("ended").select("call_id", "top", "far")
-    # calls with several parents, each named by the top of its chain
-    many = degrees.filter("degree > 1").select("call_id", "degree")
-    over = cut_lineage(edges.join(many, "call_id").join(chains.withColumnRenamed("call_id", "parent"), "parent").select("call_id", "degree", "top", (F.col("far") + 1).alias("far")))
-    found = cut_lineage(start.filter("degree = 0").select(F.col("call_id").alias("top"), F.lit(0).cast("long").alias("level")))
-    fresh = not over.isEmpty()
-    while fresh:
-        ready = over.join(found, "top").groupBy("call_id", "degree").agg(F.count("*").alias("n"), F.max(F.col("level") + F.col("far")).alias("level"))
-        new = cut_lineage(ready.filter("n = degree").select(F.col("call_id").alias("top"), "level").join(found, "top", "left_anti"))
-        fresh = not new.isEmpty()
-        found = found.union(new)
-    return known.join(chains.join(found, "top").select("call_id", (F.col("far") + F.col("level")).alias("level")), "call_id", "left")
+    # calls with several parents, each named by the top of its chain; a round settles those whose parents all are
+    many = start.filter("degree > 1").select("call_id", "degree")
+    over = stored(edges.join(many, "call_id").join(chains.withColumnRenamed("call_id", "parent"), "parent").select("call_id", "degree", "top", (F.col("far") + 1).alias("far")))
+    fresh = stored(start.filter("degree = 0").select(F.col("call_id").alias("top"), F.lit(0).cast("long").alias("level")))
+    found = [fresh]
+    counted = stored(many.select("call_id", "degree", F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("level")))
+    while not fresh.isEmpty():
+        met = over.join(fresh, "top").groupBy("call_id").agg(F.count("*").alias("more"), F.max(F.col("level") + F.col("far")).alias("next"))
+        after = stored(counted.join(met, "call_id", "left").select("call_id", "degree", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), F.greatest("level", "next").alias("level")))
+        fresh = stored(after.filter("n = degree").select(F.col("call_id").alias("top"), "level"))
+        left = stored(after.filter("n < degree"))
+        discard(counted, after)
+        counted = left
+        found.append(fresh)
+        if len(found) > 64:  # a plan of few tables
+            found = [stored(reduce(DataFrame.union, found))]
+    settled = reduce(DataFrame.union, found)
+    return known.join(chains.join(settled, "top").select("call_id", (F.col("far") + F.col("level")).alias("level")), "call_id", "left")
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema], others: DataFrame | None = None) -> DataFrame:
@@ -133,7 +195,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schem
     distinct = cut_lineage(results.filter("call_id is not null").select("call_id", *told).distinct())
     first = cut_lineage(distinct.groupBy("call_id").agg(F.min(F.struct(*told)).alias("r")).select("call_id", "r.*"))
     answers = first.select("call_id", "content", F.col("conv_id").alias("answer_conv"), F.lit(True).alias("answered"))
-    joined = once.withColumn("called", F.lit(True)).join(answers, "call_id", "full").join(levels(once.select("call_id", "parents")), "call_id", "left")
+    joined = once.withColumn("called", F.lit(True)).join(answers, "call_id", "full").join(levels(once.select("call_id", "conv_id", "parents")), "call_id", "left")
     status = F.when(F.col("called").isNull(), "orphan").when(F.col("level").isNull(), "cyclic").when(F.col("answered").isNull(), "pending").otherwise("linked")
     columns = ["call_id", "conv_id", "level", "status", "name", "arguments", "content", "copies"]
     rows = joined.withColumns({"conv_id": F.coalesce("conv_id", "answer_conv"), "status": status}).select(columns)

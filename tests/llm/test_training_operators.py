@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -539,19 +540,31 @@ def test_chat_links(spark):
     assert json.loads(got["lost"].json)["arguments"] is None
 
 
-def test_chat_levels_with_several_parents(spark):
+@pytest.mark.parametrize("group", [4000, 0, 40])
+def test_chat_levels_with_several_parents(spark, group):
     rnd = random.Random(17)
-    parents = {k: sorted(set(rnd.sample(range(k), min(k, rnd.choice([0, 1, 1, 1, 2, 3]))))) for k in range(60)}
+    parents = {k: sorted(set(rnd.sample(range(k), min(k, rnd.choice([0, 1, 1, 1, 2, 3]))))) for k in range(40)}
+    parents |= {k: [k - 1] for k in range(41, 60)} | {40: []}  # a chain
     parents |= {100: [101], 101: [102, 3], 102: [100], 103: [100, 5], 104: [103], 105: [200]}
     level = {}
     for k in range(60):
         level[k] = max((level[p] + 1 for p in parents[k]), default=0)
     level |= {100: None, 101: None, 102: None, 103: None, 104: None, 105: 0}
-    rows = [(str(k), [str(p) for p in ps]) for k, ps in parents.items()]
-    got = {int(r.call_id): r.level for r in chat_format.levels(spark.createDataFrame(rows, "call_id string, parents array<string>")).collect()}
+    conv = lambda k: None if k == 40 else "a" if k < 20 else "b" if k < 40 else f"c{k % 3}"
+    rows = [(str(k), conv(k), [str(p) for p in ps] + [None, *(str(p) for p in ps[:1])]) for k, ps in parents.items()]
+    got = {int(r.call_id): r.level for r in chat_format.levels(spark.createDataFrame(rows, "call_id string, conv_id string, parents array<string>"), group).collect()}
     assert got == level
 
 
+def test_chat_levels_of_long_conversations(spark):
+    rows = [(f"{c}-{k}", c, [f"{c}-{k - 1}", f"{c}-{k - 2}"]) for c in ("x", "y") for k in range(1000)]
+    calls = spark.createDataFrame(rows, "call_id string, conv_id string, parents array<string>")
+    began = time.monotonic()
+    got = {r.call_id: r.level for r in chat_format.levels(calls).collect()}
+    assert got == {f"{c}-{k}": k for c in ("x", "y") for k in range(1000)}
+    assert time.monotonic() - began < 60  # rounds would take a second each
+
+
 def test_chat_schemas(spark):
     schema = {"type": "object", "properties": {"k": {"enum": ["a", 1]}, "o": {"type": "object", "properties": {"x y": {"type": "number", "minimum": 0, "maximum": 2}}, "required": ["x y"]}, "l": {"type": "array", "items": {"type": "array", "items": {"type": "integer"}, "maxItems": 2}}, "b": {"type": "boolean"}, "s": {"type": "string", "minLength": 1, "maxLength": 3}, "any": {}, "free": {"type": "object", "additionalProperties": True}}, "required": ["k"]}
     good = ['{"k":"a"}', '{"k":1,"o":{"x y":1.5}}', '{"k":"a","l":[]}', '{"k":"a","l":[[1,2],[]]}', '{"k":"a","b":false,"s":"éèà"}', '{"k":"a","any":[{}],"free":{"z":{}}}']
