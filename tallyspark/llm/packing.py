@@ -3,14 +3,16 @@
 A document's vector counts its byte pairs, hashed; its projection to three dimensions is a point of the unit cube, whose
 place on a Hilbert curve, followed by a hash that spreads equal points, is the sort key. The documents are range-sorted
 by that key, laid end to end, and cut every `length` tokens, so a sequence holds neighbours of the curve and only the
-very last one can need padding. The bounds of the ranges are quantiles of the keys, a number a range; a range is for
-`RANGE_BYTES` of text, so what a task sorts doesn't grow with the table until there are `MOST_RANGES`.
+very last one can need padding. A range is for `RANGE_BYTES` of text, so what a task sorts doesn't grow with the table
+until there are `MOST_RANGES`. Their bounds come from a histogram: bytes of text by the first bits of the key, and of those
+cells that hold more than a range by further bits, level by level, at most `CELLS` cells at once. Each is a sum that tasks
+begin and the shuffle ends; no task and no row sees more.
 
 The merges run in a compiled library that reads the tokenizer file's vocabulary and added tokens; tests hold its ids
 against the tokenizer's own.
 
 Edge cases: a null or empty text is the closing id alone; repeated rows and null ids are packed row by row, ordered by
-key and id; extra columns stay out; an empty table gives an empty result.
+key, id and token ids, so rows that tie in all of them are alike; extra columns stay out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, slices, utf8
+from .common import cut_lineage, discard, slices, stored, utf8
 
 LENGTH, CLOSING_ID = 1024, 0
 #: Text of a range, and the most ranges, a number each on the driver and in every task (beyond, ranges grow).
 RANGE_BYTES, MOST_RANGES = 24_000_000, 65_536
+#: Bits of a key that the first histogram counts by, and the most cells of one.
+FIRST_BITS, CELLS = 16, 1 << 20
 #: Dimensions, bits of each on the curve, what a projection is stretched by, and bits of the spreading hash.
 DIMENSIONS, BITS, SPREAD, TIE_BITS = 3, 10, 2.5, 32
 
@@ -113,8 +117,8 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return out
 
 
-KEYED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "key")])
-TOKENS = T.StructType([*KEYED, *(T.StructField(c, T.LongType()) for c in ("bucket", "n")), T.StructField("ids", T.BinaryType())])
+KEYED = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "bytes")])
+TOKENS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "key")), *(T.StructField(c, T.LongType()) for c in ("bucket", "n")), T.StructField("ids", T.BinaryType())])
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -129,21 +133,50 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Arra
 
 
 def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for names, _, keys in _keys(batches):
-        yield pa.RecordBatch.from_arrays([names, pa.array(keys)], names=KEYED.names)
+    for _, texts, keys in _keys(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())], names=KEYED.names)
+
+
+KEY_BITS = DIMENSIONS * BITS + TIE_BITS
+
+
+def range_bounds(keyed: DataFrame, range_bytes: int, most: int) -> list[int]:
+    """Keys at which ranges of about range_bytes begin, but for the first, at most `most`, from keyed (key, bytes)."""
+    def cells(rows: DataFrame, bits: int) -> dict[int, int]:
+        counted = rows.groupBy(F.shiftright("key", KEY_BITS - bits).alias("cell")).agg(F.sum("bytes").alias("bytes"))
+        return {r.cell: r.bytes for r in counted.filter("bytes > 0").collect()}
+
+    bits, now, leaves = min(FIRST_BITS, CELLS.bit_length() - 1), {}, []
+    now = cells(keyed, bits)
+    goal = max(range_bytes, -(-sum(now.values()) // most))
+    while True:
+        heavy = {c for c, n in now.items() if n > goal} if bits < KEY_BITS else set()
+        leaves += [(c << (KEY_BITS - bits), n) for c, n in now.items() if c not in heavy]
+        if not heavy:
+            break
+        more = min(KEY_BITS - bits, max(1, (CELLS // len(heavy)).bit_length() - 1))
+        chosen = keyed.sparkSession.createDataFrame([(c,) for c in heavy], "cell long")  # of `most` rows at most
+        now = cells(keyed.join(F.broadcast(chosen), F.shiftright("key", KEY_BITS - bits) == F.col("cell"), "left_semi"), bits + more)
+        bits += more
+    bounds, held = [], 0
+    for start, n in sorted(leaves):
+        if held and held + n > goal:
+            bounds.append(start)
+            held = 0
+        held += n
+    return bounds
 
 
 def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_col: str = "text", id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """The pieces of each document; with_ids adds each piece's ids as an array.
 
-    The driver sees two numbers a range: its bound and its tokens.
+    The driver sees two numbers a range, its bound and its tokens, and the cells of histograms.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, F.length(text_col)).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"), F.col(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = min(MOST_RANGES, max(1, -(-size // RANGE_BYTES)))
-    quantiles = rows.mapInArrow(place, KEYED).agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], max(10_000, 8 * ranges))).first()[0] if ranges > 1 else []
-    bounds = np.unique(np.array(quantiles or [], np.int64))
+    keyed = stored(rows.mapInArrow(place, KEYED))
+    bounds = np.array(range_bounds(keyed, RANGE_BYTES, MOST_RANGES), np.int64)
+    discard(keyed)
     with open(path, encoding="utf-8") as f:
         wide = max(json.load(f)["model"]["vocab"].values()) >= 1 << 16  # of ids
     stored_ids = "<u4" if wide else "<u2"
@@ -154,10 +187,10 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, text_co
             ids = [array("I" if wide else "H", [*encode(x or ""), CLOSING_ID]) for x in texts.to_pylist()]
             packed = [shrink.compress(x.tobytes()) for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [names, pa.array(keys), pa.array(np.searchsorted(bounds, keys)), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())], names=TOKENS.names
+                [names, pa.array(keys), pa.array(np.searchsorted(bounds, keys, side="right")), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())], names=TOKENS.names
             )
 
-    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartitionById(len(bounds) + 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "key", "doc_id"))
+    laid = cut_lineage(rows.mapInArrow(tokenize, TOKENS).repartitionById(len(bounds) + 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "key", "doc_id", "ids"))
     starts, total = {}, 0
     for bucket, n in sorted(laid.groupBy("bucket").agg(F.sum("n")).collect()):
         starts[bucket] = total

@@ -77,7 +77,9 @@ def test_quality_edges(spark):
 # packing
 
 
-def test_packing_round_trip(spark):
+@pytest.mark.parametrize("range_bytes", [24_000_000, 3_000])
+def test_packing_round_trip(spark, monkeypatch, range_bytes):
+    monkeypatch.setattr(packing, "RANGE_BYTES", range_bytes)
     texts = [*EDGES, "Hello  world,\n I'm <|endoftext|> here ² 日本 " * 400, *["Some text number %d." % k for k in range(50)]]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
@@ -100,6 +102,25 @@ def test_packing_round_trip(spark):
     assert packing.pack(frame(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_ranges_hold_like_bytes(spark, monkeypatch):
+    rnd = random.Random(12)
+    whole = 1 << packing.KEY_BITS
+    keys = [rnd.randrange(whole) for _ in range(2000)] + [(7 << 40) + rnd.randrange(1 << 20) for _ in range(3000)] + [99 << 30] * 500  # a dense place, and equal keys
+    rows = spark.createDataFrame([(k, rnd.choice([0, 5, 20])) for k in keys], "key long, bytes long").cache()
+    for cells, first in ((1 << 20, 16), (64, 4)):
+        monkeypatch.setattr(packing, "CELLS", cells)
+        monkeypatch.setattr(packing, "FIRST_BITS", first)
+        bounds = packing.range_bounds(rows, 500, 1000)
+        assert bounds == sorted(set(bounds))
+        held = np.zeros(len(bounds) + 1)
+        for r in rows.collect():
+            held[np.searchsorted(bounds, r.key, side="right")] += r.bytes
+        single = sum(r.bytes for r in rows.filter(f"key = {99 << 30}").collect())
+        assert sorted(held)[-2] <= 1000 and held.max() <= single + 500 and len(held) < 2.2 * held.sum() / 500
+        assert len(packing.range_bounds(rows, 500, 10)) < 20
+    assert packing.range_bounds(rows.limit(0), 500, 10) == []
+
+
 def test_hilbert_neighbours():
     side = np.arange(8)
     points = np.array([(x, y, z) for x in side for y in side for z in side])
