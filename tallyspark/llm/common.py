@@ -53,7 +53,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """df, checkpointed: the same partitions, read from the shared folder."""
     shared_folder(df.sparkSession)
     with _dropping_shuffles(df.sparkSession):
-        return df.checkpoint()
+        return df.select("*").checkpoint()  # what a frame drops is settled when it is made
+
+
+def only_row(df: DataFrame) -> Row | None:
+    """The first row of an aggregate, whose shuffle files go."""
+    with _dropping_shuffles(df.sparkSession):
+        return df.select("*").first()
 
 
 def stored(df: DataFrame) -> DataFrame:

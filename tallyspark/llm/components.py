@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import discard, only_row, stored
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -13,11 +13,12 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternates two star contractions until no edge changes: every vertex hands its larger neighbours, then its smaller
     ones, to the smallest of its neighbourhood. The number of rounds grows with the logarithm of the longest chain, and
-    the edges never grow in number. Each round is cut by a checkpoint, so a lost executor costs one round at most; a
-    hub's neighbours are never gathered, only their minimum, which is pre-aggregated before the shuffle.
+    the edges never grow in number. Each round is a table in the shared folder, which goes when the next is there, so a
+    lost executor costs one round at most and the disk holds two; a hub's neighbours are never gathered, only their
+    minimum, which is pre-aggregated before the shuffle.
     Empty edges give an empty result; self loops give single vertices.
     """
-    current = cut_lineage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    current = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before = None
     while True:
         # large star: of each vertex, the larger neighbours go to the smallest neighbour
@@ -29,8 +30,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         # small star: a vertex and its smaller neighbours go to the smallest neighbour
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).distinct()
-        current = cut_lineage(moved)
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        last, current = current, stored(moved)
+        discard(last)
+        now = only_row(current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))))
         if now == before:
             break
         before = now

@@ -11,13 +11,12 @@ Links of fingerprints come first. Then each text is held against one of each of
 found without listing a bucket's pairs:
 
 - A bucket of at most `CROWD` texts gives each of them fewer pairs than that; only those of like size are made.
-- In a larger one each text is then held against other members, chosen by a hash, `STARS` times, which unites most of what
-  a large group of copies has. What is still apart is compared by what sets it apart from the hub, the set D of shingles
-  that one of both has. Texts a and b differ in |D(a)| + |D(b)| - 2 |D(a) & D(b)| shingles, and they are similar if these
-  are at most t times their shingles together, t = (1 - s) / (1 + s). Of two texts in different groups one isn't similar
-  to the hub, and then that bound asks for a common element of D, in fact for a known number of them. So pairs are sought
-  among texts that share an element early enough in the order of their rarest. Elements that one group alone has match
-  nothing of another, so they come first in that order and are left out: copies with edits of their own share none.
+- In a larger one texts are compared by what sets them apart from the hub, the set D of shingles that one of both has.
+  Texts a and b differ in |D(a)| + |D(b)| - 2 |D(a) & D(b)| shingles, and they are similar if these are at most t times
+  their shingles together, t = (1 - s) / (1 + s). Of two texts in different groups one isn't similar to the hub, and then
+  that bound asks for a common element of D, in fact for a known number of them. So pairs are sought among texts that
+  share an element early enough in the order of their rarest. Elements that one group alone has match nothing of another,
+  so they come first in that order and are left out: copies with edits of their own share none.
 
 Pairs within a group can't change it, so large groups of copies aren't paired and nothing is lost.
 
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, digest, discard, row_digest, stored, utf8
+from .common import digest, discard, row_digest, stored, utf8
 from .components import connected_components
 from .simhash_dedup import SEED, STEP, link_fingerprints, signed
 
@@ -49,8 +48,6 @@ SIMILAR, ROWS, BANDS = 0.8, 4, 32
 LEAST_EQUAL = 77
 #: The most texts of a bucket whose pairs are made.
 CROWD = 32
-#: Members that each text of a larger bucket is held against before the rest is compared exactly.
-STARS = 2
 #: The most texts, a digest each, whose keys are sent to all tasks.
 BROADCAST_TEXTS = 1_000_000
 
@@ -183,7 +180,19 @@ def _verified(pairs: DataFrame, once: DataFrame, texts: DataFrame, shingle: int)
     return similar
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id", crowd: int = CROWD, stars: int = STARS) -> DataFrame:
+def _united(rooted: DataFrame, links: DataFrame) -> DataFrame:
+    """rooted (fp, first, root) after links (a, b) of fingerprints: roots that they connect become one."""
+    if links.isEmpty():
+        return rooted
+    root = lambda c: rooted.select(F.col("fp").alias(c), F.col("root").alias(f"root_{c}"))
+    edges = links.join(root("a"), "a").join(root("b"), "b").filter("root_a != root_b").select("root_a", "root_b")
+    united = connected_components(edges, "root_a", "root_b").select(F.col("vertex").alias("root"), "component")
+    after = stored(rooted.join(united, "root", "left").select("fp", "first", F.coalesce("component", "root").alias("root")))
+    discard(rooted, links)
+    return after
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_col: str = "doc_id", crowd: int = CROWD) -> DataFrame:
     """(doc_id, row, component_id, root) for each row of docs: row stands for all its columns, root names its group,
     component_id is the group's least doc_id."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_digest(docs).alias("row"), digest(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
@@ -200,24 +209,14 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     fame = large.groupBy("key").agg(F.sum("size").alias("fame"))
     hubs = stored(large.join(fame, "key").groupBy("bucket").agg(F.max_by("key", F.struct("fame", "key")).alias("hub")))
 
-    links = cut_lineage(link_fingerprints(prints))
-    roots = lambda: stored(prints.join(connected_components(links, "a", "b"), prints.fp == F.col("vertex"), "left").select("fp", "first", F.coalesce("component", "fp").alias("root")))
+    rooted = _united(stored(prints.withColumn("root", F.col("fp"))), stored(link_fingerprints(prints)))
     torn = lambda at: at.join(stored(at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")), "bucket")
-    rooted = roots()
-    for star in range(1 + stars):
-        at = stored(torn((large if star else together).join(rooted.select("fp", "root"), "fp").select("bucket", "key", "least", "root")))
-        if star:
-            heads = at.groupBy("bucket").agg(F.max_by(F.struct(F.col("key").alias("head"), F.col("root").alias("head_root")), F.xxhash64("key", F.lit(star))).alias("h")).select("bucket", "h.*")
-        else:
-            named = at.join(hubs, "bucket", "left").withColumn("head", F.coalesce("hub", "least"))
-            heads = named.filter("key = head").select("bucket", "head", F.col("root").alias("head_root"))
-        pairs = stored(at.join(heads, "bucket").filter("root != head_root").select(F.least("head", "key").alias("a"), F.greatest("head", "key").alias("b")).distinct())
-        discard(at)
-        if star and pairs.isEmpty():
-            break
-        links = links.union(_verified(pairs, once, texts, shingle))
-        discard(rooted)
-        rooted = roots()
+    at = stored(torn(together.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "least", "root")))
+    named = at.join(hubs, "bucket", "left").withColumn("head", F.coalesce("hub", "least"))
+    heads = named.filter("key = head").select("bucket", "head", F.col("root").alias("head_root"))
+    stars = at.join(heads, "bucket").filter("root != head_root").select(F.least("head", "key").alias("a"), F.greatest("head", "key").alias("b")).distinct()
+    rooted = _united(rooted, _verified(stars, once, texts, shingle))
+    discard(at)
     at = torn(together.join(rooted.select("fp", "root"), "fp").select("bucket", "key", "size", "n", "root"))
     # similar texts are of one size level or of neighbouring ones
     level = F.floor(F.log(F.col("n").cast("double")) / -math.log(SIMILAR))
@@ -229,9 +228,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, text_col: str = "text", id_co
     crowds = at.filter(F.col("size") > crowd)
     if not crowds.isEmpty():
         rest = rest.union(_crowded(crowds.join(hubs, "bucket"), once, texts, shingle))
-    links = links.union(_verified(rest.distinct(), once, texts, shingle))
-    discard(rooted, at)
-    rooted = roots()
+    rooted = _united(rooted, _verified(rest.distinct(), once, texts, shingle))
+    discard(at)
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = stored(rows.join(rooted.join(names, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "row", "component_id", "root"))
     discard(marked, prints, once, stats, together, hubs, rooted)
