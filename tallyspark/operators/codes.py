@@ -70,13 +70,18 @@ def map_prices(df: DataFrame, source: str = "amounttype_code", target: str = "am
     return df.withColumn(target, price_code(F.col(source), prices))
 
 
-def unit_to_amount_type(df: DataFrame) -> DataFrame:
-    """Rows in other units take the unit as amount type; the unit goes, repeated rows too. Rows without unit go."""
+def folded_units(df: DataFrame) -> DataFrame:
+    """Rows in other units take the unit as amount type; the unit goes. Rows without unit go, repeated ones stay."""
     other = F.col("unit_measure_code") != "USD"
     folded = df.filter("unit_measure_code is not null").withColumns(
         {"amounttype_code": F.when(other, F.col("unit_measure_code")).otherwise(F.col("amounttype_code")), "amount_type": F.when(other, F.col("unit_measure_name")).otherwise(F.col("amount_type"))}
     )
-    return folded.drop("unit_measure_code", "unit_measure_name").dropDuplicates()
+    return folded.drop("unit_measure_code", "unit_measure_name")
+
+
+def unit_to_amount_type(df: DataFrame) -> DataFrame:
+    """folded_units() without repeated rows."""
+    return folded_units(df).dropDuplicates()
 
 
 def union_members(members: Sequence[DataFrame]) -> DataFrame:
@@ -163,14 +168,40 @@ def last_observations(df: DataFrame, series: Sequence[str], n: int, period: str
     return df.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= n).drop("__n")
 
 
+#: Marks an aggregate's rows in which a dimension is summed over.
+TOTAL = "_T"
+
+
+def _lattice(totalled: Sequence[str]) -> dict[tuple[str, ...], tuple[str, ...]]:
+    """Each subset of the dimensions to the one it is built from, with one dimension more: that of which most others are
+    built, so that a level is summed once from the level above."""
+    sets = [tuple(t for k, t in enumerate(totalled) if mask >> k & 1) for mask in range(2 ** len(totalled) - 1, -1, -1)]
+    parent = {}
+    for s in sets:
+        if len(s) < len(totalled):
+            missing = next(t for t in reversed(totalled) if t not in s)
+            parent[s] = tuple(t for t in totalled if t in s or t == missing)
+    return parent
+
+
 def with_totals(df: DataFrame, dims: Sequence[str], totalled: Sequence[str], value: str, alias: str = "value") -> DataFrame:
-    """Sums over dims with total rows for each combination of two dimensions at most."""
-    if len(totalled) > 2:
-        raise ValueError("totals of more than two dimensions multiply the rows too often")
-    names = [*dims, *totalled]
-    sets = [[*dims, *kept] for kept in ([], *[[t] for t in totalled], list(totalled))] if len(totalled) == 2 else [list(dims), names]
-    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in names]).agg(F.sum(value).alias(alias), *[F.grouping(t).alias(f"__{t}") for t in totalled])
-    return grouped.select(*dims, *[F.when(F.col(f"__{t}") == 1, "_T").otherwise(F.col(t)).alias(t) for t in totalled], alias)
+    """Sums over dims with total rows (`TOTAL`) for each combination of the other dimensions.
+
+    The finest sums are the only ones that are made of df's rows; each other level is summed from a finer one that has
+    one dimension more, so what is shuffled is at most the finest level for each level, not df's rows for each.
+    """
+    levels = {tuple(totalled): df.groupBy(*dims, *totalled).agg(F.sum(value).alias(alias))}
+    kind = levels[tuple(totalled)].schema[alias].dataType  # a sum of sums is wider than a sum
+    for kept, finer in sorted(_lattice(totalled).items(), key=lambda x: -len(x[0])):
+        levels[kept] = levels[finer].groupBy(*dims, *kept).agg(F.sum(alias).cast(kind).alias(alias))
+    shown = lambda kept: levels[kept].select(*dims, *[F.col(f"`{t}`") if t in kept else F.lit(TOTAL).alias(t) for t in totalled], alias)
+    return union_members([shown(kept) for kept in levels])
+
+
+def merged_totals(parts: Sequence[DataFrame], dims: Sequence[str], totalled: Sequence[str], value: str = "value") -> DataFrame:
+    """with_totals() of several tables as that of all of them: a new year's sums are added to what there is."""
+    every = union_members(parts)
+    return every.groupBy(*dims, *totalled).agg(F.sum(value).cast(every.schema[value].dataType).alias(value))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -179,11 +210,15 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def dimension_catalogue(df: DataFrame, columns: Sequence[str], labels: dict[str, str] | None = None) -> DataFrame:
     """(dimension, code, label, n): observed codes, with a label from the column that labels names for theirs (of several
-    the least). Codes are counted in each task before they are shuffled."""
+    the least). Rows are first counted by all columns together, each once a task, and only those counts become a row a
+    dimension; where most rows differ, that count passes them on as they are."""
     labels = labels or {}
-    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(f"`{c}`").cast("string").alias("code"), (F.col(f"`{labels[c]}`").cast("string") if c in labels else F.lit(None).cast("string")).alias("label")) for c in columns])
-    long = df.select(F.explode(pairs).alias("x")).select("x.*")
-    return long.filter("code is not null").groupBy("dimension", "code").agg(F.min("label").alias("label"), F.count("*").alias("n"))
+    used = list(dict.fromkeys([*columns, *[labels[c] for c in columns if c in labels]]))
+    counted = df.groupBy(*[F.col(f"`{c}`").cast("string").alias(f"c{k}") for k, c in enumerate(used)]).agg(F.count("*").alias("n"))
+    at = lambda c: F.col(f"c{used.index(c)}")
+    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), at(c).alias("code"), (at(labels[c]) if c in labels else F.lit(None).cast("string")).alias("label")) for c in columns])
+    long = counted.select("n", F.explode(pairs).alias("x")).select("n", "x.*")
+    return long.filter("code is not null").groupBy("dimension", "code").agg(F.min("label").alias("label"), F.sum("n").alias("n"))
 
 
 def count_and_total(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

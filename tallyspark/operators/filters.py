@@ -99,11 +99,12 @@ def year_range(start: int | None = None, end: int | None = None, column: str = Y
     return _all(([year >= start] if start else []) + ([year <= end] if end else []))
 
 
-def filter_years(df: DataFrame, start: int | None, end: int | None, column: str = "Commitment Year") -> DataFrame:
-    """As year_range, but a bound must be a year of the data."""
+def filter_years(df: DataFrame, start: int | None, end: int | None, column: str = "Commitment Year", years: Sequence[int] | None = None) -> DataFrame:
+    """As year_range, but a bound must be a year of the data: of years, as a landed table's log has them, or else of the
+    column's values, which are read for it."""
     if not start and not end:
         return df
-    years = sorted(r[0] for r in df.select(F.col(column).try_cast("int")).dropna().distinct().collect())  # a row a year
+    years = sorted(years) if years is not None else sorted(r[0] for r in df.select(F.col(column).try_cast("int")).dropna().distinct().collect())  # a row a year
     if missing := [y for y in (start, end) if y and y not in years]:
         raise ValueError(f"no data for {missing}; available years: {years}")
     return df.filter(year_range(start, end, column))
@@ -130,9 +131,16 @@ def guard_totals(dataset: str, filters: Mapping | None) -> str | None:
 
 
 def double_count_report(df: DataFrame, dims: Sequence[str], unpinned: Sequence[str]) -> DataFrame:
-    """(dimension, groups, total_rows, detail_rows): where groups of the other dimensions hold both totals and details."""
-    parts = []
-    for d in unpinned:
-        mixed = df.groupBy(*[x for x in dims if x != d]).agg(F.count_if(F.col(d) == TOTAL).alias("t"), F.count_if(F.col(d) != TOTAL).alias("o")).filter("t > 0 and o > 0")
-        parts.append(mixed.agg(F.lit(d).alias("dimension"), F.count("*").alias("groups"), F.coalesce(F.sum("t"), F.lit(0)).alias("total_rows"), F.coalesce(F.sum("o"), F.lit(0)).alias("detail_rows")))
-    return reduce(DataFrame.unionAll, parts)
+    """(dimension, groups, total_rows, detail_rows): where groups of the other dimensions hold both totals and details.
+
+    Rows are counted once by all dimensions, by whether each unpinned one is a total in its code; those counts are then
+    regrouped by all dimensions but one, each time another, in one shuffle that a number tells apart.
+    """
+    counted = df.groupBy(*[F.col(d).alias(f"d{k}") for k, d in enumerate(dims)]).agg(F.count("*").alias("n"))
+    views = F.array(*[F.struct(F.lit(u).alias("dimension"), F.struct(*[(F.lit(None).cast(df.schema[d].dataType) if d == u else F.col(f"d{k}")).alias(f"d{k}") for k, d in enumerate(dims)]).alias("others"), (F.col(f"d{list(dims).index(u)}") == TOTAL).alias("total")) for u in unpinned])
+    seen = counted.select("n", F.explode(views).alias("x")).select("n", "x.*")
+    mixed = seen.groupBy("dimension", "others").agg(F.sum(F.when(F.col("total"), F.col("n"))).alias("t"), F.sum(F.when(~F.col("total"), F.col("n"))).alias("o")).filter("t > 0 and o > 0")
+    found = mixed.groupBy("dimension").agg(F.count("*").alias("groups"), F.sum("t").alias("total_rows"), F.sum("o").alias("detail_rows"))
+    asked = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(u) for u in unpinned])).alias("dimension"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return asked.join(found, "dimension", "left").select("dimension", zero("groups"), zero("total_rows"), zero("detail_rows"))

@@ -223,3 +223,40 @@ def test_project_table_is_saved(spark, tmp_path):
     (tmp_path / "p.csv").write_text(",".join(f'"{h}"' for h in header) + "\n7,2001," + ",".join(["No"] * len(flags)) + "\n")
     df = datasets.read_aiddata(spark, str(tmp_path / "p.csv"), save_to_path=str(tmp_path / "saved"))
     assert spark.read.parquet(str(tmp_path / "saved")).collect() == df.collect()
+
+
+def test_totals_of_four_dimensions(spark):
+    import itertools
+    import random
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice("xy"), rnd.choice(["1", "2", None]), rnd.choice("ab"), rnd.choice("cd"), rnd.choice("ef"), rnd.randrange(9)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "d string, c string, m string, r string, s string, v int")
+    out = codes.with_totals(df, ["d"], ["c", "m", "r", "s"], "v")
+    want = {}
+    for d, *keys, v in rows:
+        for kept in itertools.product((0, 1), repeat=4):
+            key = (d, *[(0, k) if on else "_T" for on, k in zip(kept, keys, strict=True)])
+            want[key] = want.get(key, 0) + v
+    got = {tuple(r)[:5]: r.value for r in out.collect()}
+    assert got == {tuple(x[1] if isinstance(x, tuple) else x for x in k): v for k, v in want.items()} and out.count() == len(want)
+    late = spark.createDataFrame([("x", "9", "a", "c", "e", 5)], df.schema)
+    merged = codes.merged_totals([out, codes.with_totals(late, ["d"], ["c", "m", "r", "s"], "v")], ["d"], ["c", "m", "r", "s"])
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(map(tuple, codes.with_totals(df.union(late), ["d"], ["c", "m", "r", "s"], "v").collect()), key=repr)
+
+
+def test_double_counts_in_one_pass(spark):
+    rows = [("x", "_T", "_T", 1), ("x", "1", "_T", 2), ("x", "1", "a", 3), ("x", None, "a", 4), ("y", "_T", "a", 5), ("y", "_T", "a", 6), ("y", "2", "a", 7)]
+    df = spark.createDataFrame(rows, "d string, c string, m string, v int")
+    got = {tuple(r) for r in filters.double_count_report(df, ["d", "c", "m"], ["c", "m"]).collect()}
+    assert got == {("c", 2, 3, 2), ("m", 1, 1, 1)}
+    plan = filters.double_count_report(df, ["d", "c", "m"], ["c", "m"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2  # the rows are read once
+    assert {tuple(r) for r in filters.double_count_report(df.limit(0), ["d", "c", "m"], ["c"]).collect()} == {("c", 0, 0, 0)}
+
+
+def test_years_from_metadata(spark):
+    df = spark.createDataFrame([(2000,), (2001,)], "y int")
+    assert filters.filter_years(df, 2001, None, "y", years=[2000, 2001]).count() == 1
+    with pytest.raises(ValueError, match="2000, 2001"):
+        filters.filter_years(df, 2005, None, "y", years=[2000, 2001])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import urls
 from tallyspark.sources import metadata, readers, sinks
-from tallyspark.streaming.increments import append_increments, read_increments
+from tallyspark.operators import codes
+from tallyspark.streaming.increments import append_increments, drop_repeated, keep_last, read_increments, read_last
 
 
 def write(path, text):
@@ -202,13 +203,14 @@ def test_kept_results(spark, tmp_path):
     build = lambda: made.append(1) or spark.range(5)
     store = sinks.Kept(spark, str(tmp_path / "kept"))
     assert store.get(build, a=1).count() == store.get(build, a=1).count() == 5 and len(made) == 1
-    folder = tmp_path / "kept" / sinks.result_key(a=1)
-    for f in folder.glob("part-*"):
+    entry = tmp_path / "kept" / sinks.result_key(a=1)
+    folder = lambda: entry / json.loads((entry / sinks.POINTER).read_text())["attempt"]
+    for f in folder().glob("part-*"):
         f.write_bytes(b"not parquet")
-    for f in folder.glob(".*.crc"):
+    for f in folder().glob(".*.crc"):
         f.unlink()
     assert store.get(build, a=1).count() == 5 and len(made) == 2  # a file that can't be read
-    (folder / "_SUCCESS").unlink()
+    (folder() / "_SUCCESS").unlink()
     assert store.get(build, a=1).count() == 5 and len(made) == 3  # a write that didn't end
     stats = store.stats()
     assert (stats["entries"], stats["hits"], stats["misses"]) == (1, 1, 3) and stats["bytes"] > 0
@@ -252,3 +254,69 @@ def test_request_addresses(spark):
     assert url(flow="DSD_CRS@DF_CRS", version=F.lit("1.0"), start=0).startswith("https://sdmx.oecd.org/dcd-public/rest/data/OECD.DCD.FSD,DSD_CRS@DF_CRS,1.0/all?format=csvfilewithlabels")
     ends = spark.createDataFrame([("https://h/OECD.DCD.FSD/DSD_A@DF_A/",), ("https://h/OECD.DCD.FSD/DSD_A@DF_A",), ("https://h/OECD.DCD.FSD/A/1.0/all",), ("https://h/OECD.DCD.FSD",)], "u string")
     assert [r[0] for r in ends.select(urls.flow_id(F.col("u"))).collect()] == ["DSD_A@DF_A", "DSD_A@DF_A", None, None]
+
+
+def test_kept_results_are_replaced_and_go(spark, tmp_path):
+    import time
+
+    root = tmp_path / "kept"
+    store = sinks.Kept(spark, str(root), max_age=1)
+    first = store.get(lambda: spark.range(5), a=1)
+    (root / "notes").mkdir()
+    (root / "notes/mine.txt").write_text("x")
+    time.sleep(1.1)
+    second = store.get(lambda: spark.range(7), a=1)  # past its age
+    assert first.count() == 5 and second.count() == 7 and store.misses == 2  # a reader of the old one keeps it
+    inner = lambda: sinks.Kept(spark, str(root)).get(lambda: spark.range(9), b=1).select("id")
+    assert sinks.Kept(spark, str(root), max_age=0).get(inner, b=1).count() == 9  # another writer of the key, meanwhile
+    assert sinks.Kept(spark, str(root)).get(lambda: spark.range(1), b=1).count() == 9
+    size = store.stats()["bytes"] // 2
+    small = sinks.Kept(spark, str(root), max_bytes=size + 1)
+    small.get(lambda: spark.range(3), a=1)  # used now, so b goes first
+    small.get(lambda: spark.range(3), c=1)
+    assert not (root / sinks.result_key(b=1)).exists() and (root / sinks.result_key(c=1)).exists()
+    assert store.clear() and (root / "notes/mine.txt").exists() and store.stats()["entries"] == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("x", "y"):
+            sinks.write_bucketed(spark.range(1000).selectExpr("id % 50 as k", f"id as {name}"), f"bucketed_{name}", str(tmp_path / name), ["k"], 4)
+        joined = spark.table("bucketed_x").groupBy("k").agg(F.sum("x").alias("x")).join(spark.table("bucketed_y"), "k")
+        assert joined.count() == 1000
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("x", "y"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
+def test_text_members_are_no_stream(spark, tmp_path):
+    write(tmp_path / "t/a.csv", "a\n1\n")
+    with pytest.raises(ValueError, match="a.csv"):
+        read_increments(spark, str(tmp_path / "t"), spark.range(1).schema)
+
+
+def test_repeated_rows_across_batches(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = "unit_measure_code string, unit_measure_name string, amounttype_code string, amount_type string, v int"
+    rows = [("USD", "d", "V", "p", 1), ("USD", "d", "V", "p", 1), ("XDC", "n", "V", "p", 2), (None, "n", "V", "p", 3), ("USD", None, None, "p", 4), ("USD", None, "p", None, 4)]
+    for k in range(3):
+        spark.createDataFrame(rows[: 2 * k + 2], schema).coalesce(1).write.mode("append").parquet(src)
+        stream = read_increments(spark, src, spark.read.parquet(src).schema, 1)
+        append_increments(stream, lambda df: drop_repeated(codes.folded_units(df)), out, cp)  # another run each time
+        assert sorted(map(tuple, spark.read.parquet(out).collect()), key=repr) == sorted(map(tuple, codes.unit_to_amount_type(spark.read.parquet(src)).collect()), key=repr)
+
+
+def test_last_rows_as_state(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    schema = "s string, TIME_PERIOD int, v double"
+    batches = [[("a", 2001, 1.0), ("a", 2003, 2.0), ("b", None, 3.0), ("a", 2002, 4.0)], [("a", 1999, 5.0), (None, 2000, 6.0)], [("a", 2002, 0.5), ("b", 2010, 7.0), ("a", 2009, None)]]
+    for rows in batches:  # late years too
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        kept = spark.read.parquet(src)
+        keep_last(read_increments(spark, src, kept.schema, 1), ["s"], 2, out, cp, ties=["v"])
+        got = read_last(spark, out, ["s"], kept.schema).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, codes.last_observations(kept, ["s"], 2, ties=["v"]).collect()), key=repr)
