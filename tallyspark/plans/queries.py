@@ -20,7 +20,7 @@ from ..functions import urls
 from ..operators import codes, filters, projections
 from ..sources import metadata, readers, sinks
 from ..sources.specs import spec_of
-from ..streaming.increments import append_increments, read_increments
+from ..streaming.increments import append_increments, drop_repeated, keep_last, read_increments, read_last
 from . import datasets
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -333,26 +333,53 @@ def landed(spark, d, dataset: str, raw: DataFrame) -> str:
     return root
 
 
-@query(with_obs(TRANSLATED["dac1"].replace("SELECT DISTINCT code, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code,", "SELECT DISTINCT code, sector_code, flow, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code, SECTOR AS sector_code, 1 AS flow,"), AREAS, INVERSE))
-def read_dac1(spark, d):
-    root = landed(spark, d, "dac1", labelled(spark, d).drop("FLOW_TYPE"))
-    out = datasets.read_dac1(spark, root, 1996, 1998, {"donor": ["NATION_6", "NATION_14", "NATION_21"]})
-    return out.select("donor_code", "aidtype_code", "year", "amounttype_code", "value")
+#: Full reads: what lands a dataset as text and tells where, and the read of what landed.
+READS: dict[str, tuple[Callable[[SparkSession, str], str], Query]] = {}
 
 
-def _reader(dataset: str, wanted: dict, columns: list[str]) -> None:
-    def f(spark, d):
-        read = getattr(datasets, f"read_{dataset}")
-        return read(spark, landed(spark, d, dataset, labelled(spark, d)), None, None, wanted).select(*columns)
+def _reader(dataset: str, years: tuple[int | None, int | None], wanted: dict, columns: list[str], sql: str, into_table: bool = True) -> None:
+    """A query that lands a dataset, in its table by year too, and reads it."""
 
-    f.__name__ = f"read_{dataset}"
-    query(with_obs(TRANSLATED[dataset], AREAS, INVERSE))(f)
+    def prepare(spark, d):
+        return landed(spark, d, dataset, labelled(spark, d).drop(*(["FLOW_TYPE"] if dataset == "dac1" else [])))
 
+    def read(spark, root):
+        return getattr(datasets, f"read_{dataset}")(spark, root, *years, wanted).select(*columns)
 
-_reader("dac2a", {"donor": "NATION_6", "unit_measure": "USD"}, ["donor_code", "recipient_code", "aidtype_code", "data_type_code", "year", "value"])
-_reader("crs", {"channel": 2, "modality": "N"}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
-_reader("cpa", {"channel": 3, "modality": "R"}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
-_reader("multisystem", {"recipient": "NATION_17", "sector": 3}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"])
+    def f(spark, d):
+        root = prepare(spark, d)
+        if into_table:
+            datasets.land_dataset(spark, root, dataset)
+        return read(spark, root)
+
+    f.__name__ = f"read_{dataset}"
+    READS[f.__name__] = prepare, read
+    query(sql)(f)
+
+
+_reader("dac1", (1996, 1998), {"donor": ["NATION_6", "NATION_14", "NATION_21"]}, ["donor_code", "aidtype_code", "year", "amounttype_code", "value"],
+        with_obs(TRANSLATED["dac1"].replace("SELECT DISTINCT code, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code,", "SELECT DISTINCT code, sector_code, flow, aidtype_code, year, amounttype_code, value FROM (SELECT inverse.code, SECTOR AS sector_code, 1 AS flow,"), AREAS, INVERSE))
+_reader("dac2a", (None, None), {"donor": "NATION_6", "unit_measure": "USD"}, ["donor_code", "recipient_code", "aidtype_code", "data_type_code", "year", "value"], with_obs(TRANSLATED["dac2a"], AREAS, INVERSE))
+_reader("crs", (None, None), {"channel": 2, "modality": "N"}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"], with_obs(TRANSLATED["crs"], AREAS, INVERSE))
+_reader("cpa", (None, None), {"channel": 3, "modality": "R"}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"], with_obs(TRANSLATED["cpa"], AREAS, INVERSE), into_table=False)
+_reader("multisystem", (None, None), {"recipient": "NATION_17", "sector": 3}, ["donor_code", "recipient_code", "sector_code", "data_type_code", "year", "value"], with_obs(TRANSLATED["multisystem"], AREAS, INVERSE))
+
+
+@query(with_obs("SELECT i.code AS donor_code, TIME_PERIOD AS year, count(*) AS n, sum(CASE WHEN TIME_PERIOD = 1995 THEN 3 ELSE 1 END * CAST(OBS_VALUE AS DOUBLE)) AS value FROM obs LEFT JOIN inverse i ON DONOR = i.value WHERE MD_DIM = 'DD' AND TIME_PERIOD BETWEEN 1993 AND 1996 AND SECTOR <> '6' GROUP BY ALL", AREAS, INVERSE))
+def landed_in_steps(spark, d):
+    """A table that files come to, change in and go from between three landings; the last reads what the first two wrote."""
+    rows, root = labelled(spark, d), scratch(spark)
+    text = lambda part, df: df.write.mode("overwrite").csv(f"{root}/crs/1.0/{part}", header=True)
+    times = lambda n: F.when(F.col("TIME_PERIOD") == "1995", (F.col("OBS_VALUE").cast("double") * n).cast("string")).otherwise(F.col("OBS_VALUE"))
+    text("early", rows.filter("TIME_PERIOD <= 1994 and SECTOR <> '6'"))
+    text("middle", rows.filter("TIME_PERIOD = 1995 and SECTOR <> '6'").withColumn("OBS_VALUE", times(2)))
+    text("wrong", rows.filter("SECTOR = '6'"))
+    datasets.land_dataset(spark, root, "crs")
+    text("late", rows.filter("TIME_PERIOD > 1995 and SECTOR <> '6'"))
+    datasets.land_dataset(spark, root, "crs")
+    text("middle", rows.filter("TIME_PERIOD = 1995 and SECTOR <> '6'").withColumn("OBS_VALUE", times(3)))
+    text("wrong", rows.limit(0))
+    return datasets.read_crs(spark, root, 1993, 1996, areas=areas(spark, d)).groupBy("donor_code", "year").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
 
 
 @query(with_obs("SELECT i.code AS donor_code, TIME_PERIOD AS year, count(*) AS n, sum(2 * CAST(OBS_VALUE AS DOUBLE)) AS value FROM obs LEFT JOIN inverse i ON DONOR = i.value WHERE MD_DIM = 'DD' AND TIME_PERIOD <= 1995 GROUP BY ALL", AREAS, INVERSE))
@@ -393,6 +420,44 @@ def last_two_years(spark, d):
     return codes.last_observations(yearly, ["DONOR", "SECTOR"], 2)
 
 
+@query(with_obs("SELECT DONOR, " + ", ".join(f"CASE WHEN grouping({c}) = 1 THEN '_T' ELSE {c} END AS {c}" for c in ("CHANNEL", "MODALITY", "RECIPIENT", "SECTOR")) + ", sum(OBS_VALUE) AS value FROM obs WHERE TIME_PERIOD = 1996 GROUP BY GROUPING SETS (" + ", ".join("(" + ", ".join(["DONOR", *[c for k, c in enumerate(("CHANNEL", "MODALITY", "RECIPIENT", "SECTOR")) if m >> k & 1]]) + ")" for m in range(16)) + ")"))
+def totals_lattice(spark, d):
+    """Totals over all dimensions that tables hold totals of, of one year."""
+    return codes.with_totals(obs(spark, d).filter("TIME_PERIOD = 1996"), ["DONOR"], ["CHANNEL", "MODALITY", "RECIPIENT", "SECTOR"], "OBS_VALUE")
+
+
+#: The view with two more dimensions that have totals.
+MARKED = "marked AS (SELECT DONOR, TIME_PERIOD, MD_DIM, CASE CHANNEL WHEN '5' THEN '_T' ELSE CHANNEL END AS CHANNEL, CASE MODALITY WHEN 'N' THEN '_T' ELSE MODALITY END AS MODALITY, CASE SECTOR WHEN '0' THEN '_T' ELSE SECTOR END AS SECTOR FROM obs)"
+_MARKED_DIMS = ("DONOR", "TIME_PERIOD", "MD_DIM", "CHANNEL", "MODALITY", "SECTOR")
+
+
+@query(with_obs(" UNION ALL ".join(f"SELECT '{u}' AS dimension, count(*) AS groups, CAST(coalesce(sum(t), 0) AS BIGINT) AS total_rows, CAST(coalesce(sum(o), 0) AS BIGINT) AS detail_rows FROM (SELECT count(*) FILTER ({u} = '_T') AS t, count(*) FILTER ({u} <> '_T') AS o FROM marked GROUP BY {', '.join(x for x in _MARKED_DIMS if x != u)}) WHERE t > 0 AND o > 0" for u in _MARKED_DIMS[2:]), MARKED))
+def double_counting_dimensions(spark, d):
+    marked = obs(spark, d).withColumns({"CHANNEL": F.when(F.col("CHANNEL") == "5", "_T").otherwise(F.col("CHANNEL")), "MODALITY": F.when(F.col("MODALITY") == "N", "_T").otherwise(F.col("MODALITY")), "SECTOR": F.when(F.col("SECTOR") == "0", "_T").otherwise(F.col("SECTOR"))})
+    return filters.double_count_report(marked, _MARKED_DIMS, _MARKED_DIMS[2:])
+
+
+@query(with_obs("SELECT filter, kind, n FROM (" + " UNION ALL ".join(f"SELECT '{c.lower()}' AS filter, 'code, list of codes or None' AS kind, count(DISTINCT {c}) AS n FROM obs" for c in ("DONOR", "RECIPIENT", "SECTOR", "MEASURE", "CHANNEL", "MODALITY", "FLOW_TYPE", "PRICE_BASE", "UNIT_MEASURE")) + " UNION ALL SELECT 'microdata', 'bool', count(DISTINCT MD_DIM) FROM obs)"))
+def filter_menu(spark, d):
+    """The filters of the project table, with how many codes each has to choose from."""
+    kinds, o = datasets.available_filters("crs"), obs(spark, d)
+    at = {n: n.upper() if n != "microdata" else "MD_DIM" for n in kinds}
+    found = codes.dimension_catalogue(o, list(at.values())).groupBy("dimension").agg(F.count("*").alias("n"))
+    listed = F.array(*[F.struct(F.lit(n).alias("filter"), F.lit(k).alias("kind"), F.lit(at[n]).alias("dimension")) for n, k in kinds.items()])
+    return found.join(spark.range(1).select(F.inline(listed)), "dimension").select("filter", "kind", "n")
+
+
+@query("SELECT c_nationkey AS nation, count(*) FILTER (c_custkey % 5 >= 2 AND (c_custkey % 5 >= 4 OR c_custkey % 4 = 0)) > 0 AS drifted FROM customer WHERE c_nationkey < 3 GROUP BY ALL")
+def drift_alarms(spark, d):
+    """Whether the codes of a nation's customers have drifted, for three nations, which are asked for one by one."""
+    nation = table(spark, d, "customer").select(F.col("c_custkey").cast("int").alias("code"), F.col("c_nationkey").alias("nation"))
+    said = []
+    for k in range(3):
+        old, live = (x.join(nation.filter(F.col("nation") == k), "code", "left_semi") for x in old_and_live(spark, d))
+        said.append((k, codes.has_drift(old, live)))
+    return nation.filter("nation < 3").select("nation").distinct().join(spark.createDataFrame(said, "nation long, drifted boolean"), "nation")
+
+
 # functions
 
 #: Addresses of both forms, of other agencies, with versions of three numbers, with a version that nothing follows, and
@@ -627,3 +692,50 @@ def streamed_increments(spark, d):
     schema = spark.read.parquet(landing).schema
     append_increments(read_increments(spark, landing, schema), lambda df: df.filter(F.col("SECTOR").startswith("1")), target, checkpoint)
     return spark.read.schema(schema).parquet(target).groupBy("DONOR", "RECIPIENT").agg(F.sum("OBS_VALUE").alias("value"))
+
+
+@query("SELECT reason, count(*) AS n FROM (SELECT CASE c_custkey % 5 WHEN 1 THEN '2 values of 3' WHEN 2 THEN '4 values for 3' END AS reason FROM customer) WHERE reason IS NOT NULL GROUP BY ALL")
+def broken_records(spark, d):
+    """Rows with too few and too many values beside whole ones with line ends and quotes in them."""
+    path, k = scratch(spark), F.col("c_custkey").cast("string")
+    quote = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    row = F.when(k % 5 == 0, F.concat_ws(",", k, quote(F.concat("c_name", F.lit("\nnext, line"))), k)).when(k % 5 == 1, F.concat_ws(",", k, "c_name")).when(k % 5 == 2, F.concat_ws(",", k, "c_name", k, k)).when(k % 5 == 3, F.concat_ws(",", k, quote(F.concat(F.lit('a ""b"" '), "c_name")), k)).otherwise(F.concat_ws(",", k, "c_name", F.lit("")))
+    lines = table(spark, d, "customer").select(row.alias("value"))
+    lines.repartitionByRange(3, "value").write.option("lineSep", "\n").text(f"{path}/bare")
+    headed = spark.read.text(f"{path}/bare", wholetext=True).select(F.concat(F.lit("k,name,again\n"), "value").alias("value"))  # a file a row
+    headed.write.option("lineSep", "\n").text(f"{path}/headed")
+    return readers.broken_rows(spark, f"{path}/headed").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(with_obs("SELECT * FROM folded", FOLD))
+def streamed_fold(spark, d):
+    """The fold of units over files that hold rows again, in two runs of a stream."""
+    landing, target, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    rows = unfolded(spark, d)
+    fold = lambda df: drop_repeated(codes.folded_units(df))
+    for part in (rows.filter("TIME_PERIOD < 1996"), rows.filter("TIME_PERIOD > 1994")):
+        part.write.mode("append").parquet(landing)
+        append_increments(read_increments(spark, landing, rows.schema), fold, target, checkpoint)
+    return spark.read.schema(fold(rows).schema).parquet(target)
+
+
+@query(with_obs("SELECT DONOR, SECTOR, TIME_PERIOD, value FROM (SELECT *, row_number() OVER (PARTITION BY DONOR, SECTOR ORDER BY TIME_PERIOD DESC) AS k FROM (SELECT DONOR, SECTOR, TIME_PERIOD, sum(OBS_VALUE) AS value FROM obs GROUP BY ALL)) WHERE k <= 3"))
+def streamed_last_years(spark, d):
+    """The newest three years of each series as a stream's state, late years last."""
+    landing, target, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    yearly = obs(spark, d).groupBy("DONOR", "SECTOR", "TIME_PERIOD").agg(F.sum("OBS_VALUE").alias("value"))
+    for part in (yearly.filter("TIME_PERIOD % 2 = 0"), yearly.filter("TIME_PERIOD % 2 = 1")):
+        part.write.mode("append").parquet(landing)
+        keep_last(read_increments(spark, landing, yearly.schema), ["DONOR", "SECTOR"], 3, target, checkpoint)
+    return read_last(spark, target, ["DONOR", "SECTOR"], yearly.schema)
+
+
+@query(ORACLES["join_cubes"])
+def join_bucketed_cubes(spark, d):
+    """Two cubes landed in buckets of their keys, joined without a shuffle."""
+    o, name = obs(spark, d).withColumnsRenamed({"DONOR": "donor_code", "TIME_PERIOD": "year"}), f"cube_{uuid.uuid4().hex}"
+    totals = o.groupBy("donor_code", "year").agg(F.sum("OBS_VALUE").alias("total"))
+    others = o.filter("PRICE_BASE = 'V'").groupBy("donor_code", "year").agg(F.count_distinct("RECIPIENT").alias("recipients"))
+    for part, cube in (("a", totals), ("b", others)):
+        sinks.write_bucketed(cube, f"{name}_{part}", scratch(spark), ["donor_code", "year"], 8)
+    return codes.join_measures(spark.table(f"{name}_a"), spark.table(f"{name}_b"), ["donor_code", "year"])
