@@ -222,8 +222,8 @@ def read_text_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def land_archives(spark: SparkSession, path: str, target: str) -> str:
     """Unpacks archives to a folder that read_bulk() reads, and returns it: parquet members as one table if there are any,
-    else each delimited member as text, under its clean name. A member's lines stay in order, header first, since one
-    task unpacks and writes an archive."""
+    else each delimited member as text, under its clean name. A member's lines stay in order, header first: one task
+    unpacks, sorts and writes an archive."""
     from .sinks import clean_member
 
     target = target.rstrip("/")
@@ -233,5 +233,6 @@ def land_archives(spark: SparkSession, path: str, target: str) -> str:
     except ValueError:
         found = read_text_archives(spark, path)
     name = F.concat_ws("-", F.regexp_extract("path", "([^/]+?)(?:[.]zip)?$", 1), F.regexp_replace(F.regexp_replace(clean_member(F.col("member")), "[.]parquet$", ""), "/", "-"))
-    (found.select(name.alias("member"), F.col("line").alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("member").text(f"{target}/text"))
+    ordered = found.select(name.alias("member"), "at", F.col("line").alias("value")).sortWithinPartitions("member", "at").drop("at")
+    (ordered.write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("member").text(f"{target}/text"))
     return f"{target}/text"
