@@ -183,7 +183,7 @@ class Landed:
                 for raw, name in found.items():
                     names.setdefault(raw, name if name.lower() not in {x.lower() for x in names.values()} else f"{name}_{len(names)}")
                 parts.append(df.select(FILE, *[quoted(n).alias(names[raw]) for raw, n in found.items()]))
-        old = {taken[f][2] for f in gone}
+        old = {taken[f][2] for f in gone} & set(now.attempts if now else [])  # one without a row is no part of the table
         if now and len(now.attempts) >= MOST_ATTEMPTS:
             old = set(now.attempts)
         if old and now:

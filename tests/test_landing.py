@@ -73,6 +73,10 @@ def test_added_changed_and_removed_files_show(spark, root):
     assert gone == 3 and donors(read(spark, root)) == [(5, 2019, 9.0), (5, 2022, 8.25)]
     (root / "crs/1.6/b c+d.csv").unlink()
     assert table.land().attempts == [] and table.land().years() == []
+    for rows in ([], None, [row()]):  # a file of a header alone comes, goes, and comes with a row
+        (root / "crs/1.6/c.csv").unlink() if rows is None else write(root, "crs/1.6/c.csv", rows)
+        table.vacuum(1)
+        assert len(table.land().attempts) == bool(rows)
 
 
 def test_a_landing_that_breaks_leaves_the_version_before(spark, root, monkeypatch):
