@@ -141,51 +141,63 @@ def _total(lengths: Column, start: Column, n: Column) -> Column:
     return F.aggregate(F.slice(lengths, start, n), F.lit(0), lambda a, x: a + x)
 
 
-def _spans(text: Column, kind: Kind) -> Column:
-    """array<struct<s, e, score>> of a kind's valid matches, from 0, end exclusive."""
+def _matched(text: Column, kind: Kind) -> Column:
+    """struct<matches, pieces> of a kind's pattern; of nothing where no match is valid."""
+    cut = lambda m: F.struct(m.alias("matches"), F.split(text, kind.pattern, -1).alias("pieces"))
+    return bind(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), lambda m: F.when(F.exists(m, kind.valid), cut(m)).otherwise(_nothing()))
 
-    def place(matches: Column, pieces: Column) -> Column:
-        lengths = F.transform(matches, lambda m, i: F.length(m) + F.length(F.get(pieces, i)))
-        return bind(lengths, lambda n: bind(F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / SUM_BLOCK).cast("int")), lambda b: _total(n, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))), lambda blocks: starts(matches, pieces, n, blocks)))
 
-    def starts(matches: Column, pieces: Column, n: Column, blocks: Column) -> Column:
-        def around(first: Column, last: Column, pair: Callable[[Column], Column]) -> Column:
-            return F.array_join(F.when(first <= last, F.transform(F.sequence(first, F.greatest(first, last)), pair)).otherwise(F.array().cast("array<string>")), "")
+def _nothing() -> Column:
+    none = F.array().cast("array<string>")
+    return F.struct(none.alias("matches"), none.alias("pieces"))
 
-        def before(i: Column) -> Column:
-            piece = F.get(pieces, i)
-            more = around(F.greatest(F.lit(0), i - AROUND), i - 1, lambda j: F.concat(F.get(pieces, j), F.get(matches, j)))
-            return F.right(F.when(F.length(piece) >= NEAR, piece).otherwise(F.concat(more, piece)), F.lit(NEAR))
 
-        def after(i: Column) -> Column:
-            piece = F.get(pieces, i + 1)
-            more = around(i + 1, F.least(i + AROUND, F.size(matches) - 1), lambda j: F.concat(F.get(matches, j), F.get(pieces, j + 1)))
-            return F.left(F.when(F.length(piece) >= NEAR, piece).otherwise(F.concat(piece, more)), F.lit(NEAR))
+def _placed(matches: Column, pieces: Column) -> Column:
+    """array<struct<m, s, near>> of matches: where each starts, from 0, and its context."""
 
+    def around(first: Column, last: Column, pair: Callable[[Column], Column]) -> Column:
+        return F.array_join(F.when(first <= last, F.transform(F.sequence(first, F.greatest(first, last)), pair)).otherwise(F.array().cast("array<string>")), "")
+
+    def before(i: Column) -> Column:
+        piece = F.get(pieces, i)
+        more = around(F.greatest(F.lit(0), i - AROUND), i - 1, lambda j: F.concat(F.get(pieces, j), F.get(matches, j)))
+        return F.right(F.when(F.length(piece) >= NEAR, piece).otherwise(F.concat(more, piece)), F.lit(NEAR))
+
+    def after(i: Column) -> Column:
+        piece = F.get(pieces, i + 1)
+        more = around(i + 1, F.least(i + AROUND, F.size(matches) - 1), lambda j: F.concat(F.get(matches, j), F.get(pieces, j + 1)))
+        return F.left(F.when(F.length(piece) >= NEAR, piece).otherwise(F.concat(piece, more)), F.lit(NEAR))
+
+    def starts(n: Column, blocks: Column) -> Column:
         def one(m: Column, i: Column) -> Column:
             block = F.floor(i / SUM_BLOCK).cast("int")
             start = _total(blocks, F.lit(1), block) + _total(n, block * SUM_BLOCK + 1, F.pmod(i, F.lit(SUM_BLOCK))) + F.length(F.get(pieces, i))
-            near = F.lower(F.concat(before(i), F.lit(" "), after(i)))
-            score = kind.score + F.when(near.rlike(kind.context), LIFT).otherwise(0) - F.when(near.rlike(OTHER_NUMBERS), DROP).otherwise(0)
-            return F.struct(m.alias("m"), start.alias("s"), (start + F.length(m)).alias("e"), score.alias("score"))
+            return F.struct(m.alias("m"), start.alias("s"), F.lower(F.concat(before(i), F.lit(" "), after(i))).alias("near"))
+
+        return F.transform(matches, one)
+
+    lengths = F.transform(matches, lambda m, i: F.length(m) + F.length(F.get(pieces, i)))
+    sums = lambda n: F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / SUM_BLOCK).cast("int")), lambda b: _total(n, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK)))
+    return bind(lengths, lambda n: bind(sums(n), lambda blocks: starts(n, blocks)))
 
-        found = F.transform(matches, one)
-        keep = lambda x: kind.valid(x["m"]) if kind.base else kind.valid(x["m"]) & (x["score"] >= LEAST_SCORE)
-        return F.transform(F.filter(found, keep), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), (x["score"] / F.lit(100.0)).alias("score")))
 
-    none = F.array().cast("array<struct<s:int,e:int,score:double>>")
-    # without a valid match there is nothing to place
-    return bind(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), lambda m: F.when(F.exists(m, kind.valid), bind(F.split(text, kind.pattern, -1), lambda p: place(m, p))).otherwise(none))
+def _kept(placed: Column, kind: Kind) -> Column:
+    """array<struct<s, e, score>> of a kind's valid matches, of further kinds those that score enough."""
+    score = lambda x: kind.score + F.when(x["near"].rlike(kind.context), LIFT).otherwise(0) - F.when(x["near"].rlike(OTHER_NUMBERS), DROP).otherwise(0)
+    keep = lambda x: kind.valid(x["m"]) if kind.base else kind.valid(x["m"]) & (score(x) >= LEAST_SCORE)
+    return F.transform(F.filter(placed, keep), lambda x: F.struct(x["s"].alias("s"), (x["s"] + F.length(x["m"])).alias("e"), (score(x) / F.lit(100.0)).alias("score")))
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_email, n_ip, n_card, n_phone, base_sha256, spans and scores (as spans, with =score)."""
     clean = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    none = F.array().cast("array<struct<s:int,e:int,score:double>>")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), clean.alias("clean"), clean.rlike(FEW_DIGITS).alias("digits"))
     #: What a text must hold for a kind to be sought.
     needs = {"email": F.col("clean").contains("@"), "phone": F.col("clean").contains("+")}
-    whole = rows.select("doc", *[F.when(needs.get(k.name, F.col("digits")), _spans(F.col("clean"), k)).otherwise(none).alias(k.name) for k in KINDS])
+    pairs = F.array(*[F.when(needs.get(k.name, F.col("digits")), _matched(F.col("clean"), k)).otherwise(_nothing()) for k in KINDS])
+    # one expression places the matches of all kinds
+    placed = rows.select("doc", F.transform(pairs, lambda p: _placed(p["matches"], p["pieces"])).alias("placed"))
+    whole = placed.select("doc", *[_kept(F.get("placed", F.lit(n)), k).alias(k.name) for n, k in enumerate(KINDS)])
     base, more = [k.name for k in KINDS if k.base], [k.name for k in KINDS if not k.base]
     taken = F.concat(*base)
     clear = lambda x: ~F.exists("taken", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"]))
