@@ -101,8 +101,9 @@ def test_near_duplicates_of_similarity(spark):
     assert near_copies.near_copies(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [0, 32])
-def test_near_copies_of_a_large_group(spark, crowd):
+@pytest.mark.parametrize(("crowd", "often"), [(0, 16), (32, 3), (32, 0)])
+def test_near_copies_of_a_large_group(spark, monkeypatch, crowd, often):
+    monkeypatch.setattr(near_copies, "OFTEN", often)
     rnd = random.Random(40)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
     base, texts = [word() for _ in range(120)], []
