@@ -52,6 +52,8 @@ CROWD = 32
 OFTEN = 16
 #: The most texts, a digest each, whose keys are sent to all tasks.
 BROADCAST_TEXTS = 1_000_000
+#: The most elements, three numbers each, that are sent to all tasks.
+BROADCAST_ELEMENTS = 500_000
 
 _ODD = np.random.default_rng(11).integers(0, 2**63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = np.random.default_rng(12).integers(0, 2**63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -153,19 +155,24 @@ def _crowded(at: DataFrame, once: DataFrame, texts: DataFrame, shingle: int) ->
     beyond = F.size("d") - part * (F.col("n") + F.size("hub_set"))
     needed = F.when(beyond <= 1e-9, least((1 - part) * F.size("d"))).otherwise(least(beyond + (1 - part)))
     apart = stored(joined.withColumn("d", d).select("hub", "key", "n", "root", F.size("d").alias("nd"), needed.alias("needed"), "d"))
-    elements = apart.select("hub", "key", "root", F.explode("d").alias("e"))
-    common = stored(elements.groupBy("hub", "e").agg(F.count("*").alias("df"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("hub", "e", "df"))
+    elements = stored(apart.select("hub", "key", "root", F.explode("d").alias("e")))
+    shared = elements.groupBy("hub", "e").agg(F.count("*").alias("df"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
     # elements that a good share of a hub's texts have are listed and found in the rows; the others are joined. There are
     # at most OFTEN times as many as a text has on average
     members = rows.groupBy("hub").agg(F.count("*").alias("members"))
-    many = common.join(members, "hub").filter(OFTEN * F.col("df") >= F.col("members"))
+    common = stored(shared.join(members, "hub").select("hub", "e", "df", (OFTEN * F.col("df") >= F.col("members")).alias("many")))
+    many, few = (common.filter(F.col("many") == x).select("hub", "e", "df") for x in (True, False))
     frequent = stored(many.groupBy("hub").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("frequent")))
     held = F.coalesce("frequent", F.array().cast("array<long>"))
-    listed = stored(apart.join(frequent, "hub", "left").select("hub", "key", "n", "root", "nd", "needed", F.array_intersect(held, "d").alias("often"), F.array_except("d", held).alias("d")))
+    listed = stored(apart.join(frequent, "hub", "left").select("hub", "key", "n", "root", "nd", "needed", F.array_intersect(held, "d").alias("often")))
     # a text's elements by rarity; those of its group alone come before them and match nothing
-    seldom = listed.select("hub", "key", F.explode("d").alias("e")).join(common, ["hub", "e"]).groupBy("hub", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("seldom"))
+    if few.count() <= BROADCAST_ELEMENTS:
+        matched = elements.join(F.broadcast(few), ["hub", "e"])
+    else:  # both are dealt out, without the elements that would gather in one task
+        matched = elements.join(F.broadcast(many) if many.count() <= BROADCAST_ELEMENTS else many, ["hub", "e"], "left_anti").join(few, ["hub", "e"])
+    seldom = matched.groupBy("hub", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("seldom"))
     hubs = rows.groupBy("key").agg(F.collect_set("hub").alias("hubs"))
-    rare = listed.drop("d").join(seldom, ["hub", "key"], "left").withColumn("rare", F.concat(F.coalesce("seldom", F.array().cast("array<long>")), "often"))
+    rare = listed.join(seldom, ["hub", "key"], "left").withColumn("rare", F.concat(F.coalesce("seldom", F.array().cast("array<long>")), "often"))
     first = F.slice("rare", 1, F.greatest(F.size("rare") - F.col("needed") + 1, F.lit(0)))
     index = stored(rare.join(hubs, "key").select("hub", "key", "n", "root", "nd", "hubs", F.size("rare").alias("nr"), first.alias("first")))
     x, y = (index.select("hub", F.explode("first").alias("e"), *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root", "nd", "nr", "hubs", "first")]) for side in "ab")
@@ -174,7 +181,7 @@ def _crowded(at: DataFrame, once: DataFrame, texts: DataFrame, shingle: int) ->
     near = (F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
     first_of_both = (F.col("hub") == F.array_min(F.array_intersect("hubs_a", "hubs_b"))) & (F.col("e") == F.array_min(F.array_intersect(early("a"), early("b"))))
     pairs = stored(x.join(y, ["hub", "e"]).filter(near & first_of_both).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
-    discard(rows, sets, apart, common, frequent, listed, index)
+    discard(rows, sets, apart, elements, common, frequent, listed, index)
     return pairs
 
 

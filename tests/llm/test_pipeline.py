@@ -101,9 +101,10 @@ def test_near_duplicates_of_similarity(spark):
     assert near_copies.near_copies(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("crowd", "often"), [(0, 16), (32, 3), (32, 0)])
-def test_near_copies_of_a_large_group(spark, monkeypatch, crowd, often):
+@pytest.mark.parametrize(("crowd", "often", "sent"), [(0, 16, 500_000), (32, 3, 500_000), (32, 0, 500_000), (0, 16, 40), (32, 3, 0)])
+def test_near_copies_of_a_large_group(spark, monkeypatch, crowd, often, sent):
     monkeypatch.setattr(near_copies, "OFTEN", often)
+    monkeypatch.setattr(near_copies, "BROADCAST_ELEMENTS", sent)
     rnd = random.Random(40)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
     base, texts = [word() for _ in range(120)], []
