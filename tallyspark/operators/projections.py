@@ -32,12 +32,28 @@ def _present(fields: tuple[Field, ...], df: DataFrame, names: Mapping[str, str])
     return [f for f in fields if names.get(f.raw, f.raw) in df.columns]
 
 
+_EDGE = "[^0-9A-Za-z.+-]*"
+_INTEGER = rf"^{_EDGE}[+-]?0*[0-9]{{1,19}}{_EDGE}$"
+#: What every text that casts to a type looks like, and few others.
+LOOKS = {
+    **dict.fromkeys(("tinyint", "smallint", "int", "bigint"), _INTEGER),
+    "double": rf"(?i)^{_EDGE}[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[df]?|0x[0-9a-f]*\.?[0-9a-f]*p[+-]?[0-9]+[df]?|inf|infinity|nan){_EDGE}$",
+    "boolean": rf"(?i)^{_EDGE}(?:t|true|y|yes|1|f|false|n|no|0){_EDGE}$",
+}
+
+
+def isnt(text: Column, kind: str) -> Column:
+    """Whether a text doesn't cast to a type. A try_cast that fails throws and catches an exception, many times the work of
+    a cast, so it sees only texts that look like the type."""
+    return F.when(text.rlike(LOOKS[kind]), text.try_cast(kind).isNull()).otherwise(text.isNotNull())
+
+
 def failed_casts(df: DataFrame, dataset: str, names: Mapping[str, str] | None = None) -> dict[str, Column]:
     """For each numeric column of the spec in df the aggregate that counts values that aren't of its type."""
     names = names or {}
     numeric = [f for f in _present(spec_of(dataset), df, names) if f.type in (*_INTEGERS, "double") and not f.flag]
     at = lambda f: quoted(names.get(f.raw, f.raw))
-    return {f.raw: F.count_if(at(f).isNotNull() & at(f).try_cast(f.type).isNull()) for f in numeric}
+    return {f.raw: F.count_if(isnt(at(f), f.type)) for f in numeric}
 
 
 def types_after(dataset: str, failed: Mapping[str, int]) -> dict[str, str]:

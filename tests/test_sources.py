@@ -320,3 +320,18 @@ def test_last_rows_as_state(spark, tmp_path):
         keep_last(read_increments(spark, src, kept.schema, 1), ["s"], 2, out, cp, ties=["v"])
         got = read_last(spark, out, ["s"], kept.schema).collect()
         assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, codes.last_observations(kept, ["s"], 2, ties=["v"]).collect()), key=repr)
+
+
+def test_casts_are_tried_on_texts_that_look_like_the_type_alone(spark):
+    from tallyspark.operators.projections import isnt
+
+    texts = ["1", " 1 ", "+1", "-01", "1.5", "1.", "-.5", "1e10", "1d", "0x1p3", "inf", "-Infinity", "nan", "NATION_6", "1-URGENT", "TRUE", "yes ", "n", "", " ", "9223372036854775808", "300", "1\x7f", "x", None]
+    df = spark.createDataFrame([(x,) for x in texts], "v string")
+    for kind in ("bigint", "int", "smallint", "tinyint", "double", "boolean"):
+        plain = F.col("v").isNotNull() & F.col("v").try_cast(kind).isNull()
+        assert df.filter(plain != isnt(F.col("v"), kind)).collect() == []
+        # a text cast that fails costs an exception, so none is tried without a look at the text
+        plan = df.agg(F.count_if(isnt(F.col("v"), kind)))._jdf.queryExecution().optimizedPlan().toString()
+        assert "RLIKE" in plan.upper()
+    typed = readers.with_inferred_types(df.select("v", F.when(F.col("v").isNotNull(), "7").alias("n")))
+    assert dict(typed.dtypes) == {"v": "string", "n": "bigint"}
