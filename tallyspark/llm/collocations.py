@@ -7,7 +7,7 @@
 2. Neighbouring numbers are an address in the square of words by words. Ranking gathers frequent pairs in few tiles of
    `TILE` x `TILE` addresses: a tile with at least one pair for `DENSE` addresses is counted by a dense bincount, all
    others by sorting their addresses (coordinates with counts). Counts of blocks meet by address, pairs that occur `least`
-   times or more are numbered by rank again, and each block is told the numbers of its pairs.
+   times or more are numbered by rank again, and each block is told the numbers of its pairs, a list from each range.
 3. Pairs and the word after them are again a square, counted alike: phrases of three words. Every part of a candidate is
    itself a candidate or a frequent word, so nothing that counts is lost on the way.
 
@@ -23,7 +23,7 @@ out; an empty table gives an empty result. Ranks of ties among words change only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -50,6 +50,8 @@ _FOLD = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 el
 _AT_ONCE = 1 << 20
 #: Places of a block whose pairs are looked up at once.
 _PLACES = 1 << 17
+#: The most addresses of a row that a block is told.
+_TOLD = 100_000
 
 
 class _Numbers(dict):
@@ -110,9 +112,34 @@ def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(lang)
 
 
-def number_frequent(ranges: int, least: int, key: list[str], carried: list[str]):
+def _one_a_key(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    yield from rows.filter(rows["first"]).drop_columns("first").to_batches(max_chunksize=100_000)
+
+
+def _packed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """From a range's (address, block, lang, total, number, first): a row an address without a block, and what each block
+    is told, as lists of at most _TOLD addresses and their numbers."""
+    ones = rows.filter(rows["first"])
+    nothing = lambda n, kind: pa.nulls(n, kind)
+    many = pa.list_(pa.int64())
+    names = ["block", "lang", "address", "total", "number", "addresses", "numbers"]
+    for b in ones.to_batches(max_chunksize=100_000):
+        n = b.num_rows
+        yield pa.RecordBatch.from_arrays([nothing(n, pa.int64()), *(b.column(c) for c in ("lang", "address", "total", "number")), nothing(n, many), nothing(n, many)], names=names)
+    blocks = rows["block"].to_numpy()
+    order = np.argsort(blocks, kind="stable")
+    blocks, addresses, numbers = blocks[order], rows["address"].to_numpy()[order], rows["number"].to_numpy()[order]
+    heads = np.append(np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])), len(blocks)).tolist()
+    for head, end in zip(heads, heads[1:], strict=False):
+        for k in range(head, end, _TOLD):
+            lists = [pa.array([x[k : min(k + _TOLD, end)]], many) for x in (addresses, numbers)]
+            yield pa.RecordBatch.from_arrays([pa.array([int(blocks[k])], pa.int64()), nothing(1, pa.string()), *[nothing(1, pa.int64())] * 3, *lists], names=names)
+
+
+def number_frequent(ranges: int, least: int, key: list[str], carried: list[str], given: Callable[[pa.Table], Iterator[pa.RecordBatch]] | None = None):
     """From rows (at, *key, *carried, n) sorted by key: those of keys whose n sum up to least or more, with the sum and
-    the key's number, by rank in the range `at`. What is kept of a range is held until its end."""
+    the key's number, by rank in the range `at`; or what `given` makes of a range's. What is kept of a range is held until
+    its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.Table] = []
@@ -144,17 +171,19 @@ def number_frequent(ranges: int, least: int, key: list[str], carried: list[str])
             first, total = rows["first"].to_numpy(), rows["total"].to_numpy()
             rank = np.empty(int(first.sum()), np.int64)
             rank[np.argsort(-total[first], kind="stable")] = np.arange(len(rank))
-            yield from rows.append_column("number", pa.array((rank * ranges + at)[np.cumsum(first) - 1])).select([*key, *carried, "total", "number", "first"]).to_batches(max_chunksize=100_000)
+            rows = rows.append_column("number", pa.array((rank * ranges + at)[np.cumsum(first) - 1])).select([*key, *carried, "total", "number", "first"])
+            yield from given(rows) if given else rows.to_batches(max_chunksize=100_000)
 
     return run
 
 
-def _exchanged(rows: DataFrame, ranges: int, least: int, key: list[str], carried: list[str], kinds: str) -> DataFrame:
-    """rows (*key, *carried, n) of frequent keys with total and number; first marks one row of each key."""
+def _exchanged(rows: DataFrame, ranges: int, least: int, key: list[str], carried: list[str], kinds: str, given: Callable[[pa.Table], Iterator[pa.RecordBatch]] | None = None) -> DataFrame:
+    """rows (*key, *carried, n) of frequent keys with total and number; first marks one row of each key. Or what `given`
+    makes of them, as `kinds`."""
     dealt = rows.withColumn("at", F.pmod(F.xxhash64(*key), F.lit(ranges)).cast("int")).select("at", *key, *carried, "n")
     # by a hash first, which is quicker to sort than words
     order = [F.xxhash64(*key), *key] if key != ["address"] else key
-    return stored(dealt.repartitionById(ranges, F.col("at")).sortWithinPartitions(*order).mapInArrow(number_frequent(ranges, least, key, carried), f"{kinds}, total long, number long, first boolean"))
+    return stored(dealt.repartitionById(ranges, F.col("at")).sortWithinPartitions(*order).mapInArrow(number_frequent(ranges, least, key, carried, given), kinds if given else f"{kinds}, total long, number long, first boolean"))
 
 
 def count_addresses(first: np.ndarray, second: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +211,9 @@ def _sequence(packed: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
 
 
-def _told(rows: pa.Table, keys: str) -> tuple[np.ndarray, np.ndarray]:
+def _told(found: pa.ChunkedArray, numbers: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(sorted keys, their numbers) of what a block is told."""
-    found, numbers = rows[keys].to_numpy(), rows["number"].to_numpy()
+    found, numbers = found.to_numpy(), numbers.to_numpy()
     order = np.argsort(found)
     return found[order], numbers[order]
 
@@ -194,7 +223,7 @@ def renumber(blocks: pa.Table, told: pa.Table) -> pa.Table:
     if not blocks.num_rows or not told.num_rows:
         return pa.table({"block": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "seq": pa.array([], pa.binary())})
     seq = _sequence(blocks["seq"][0].as_py(), np.int32)
-    places, numbers = _told(told, "place")
+    places, numbers = _told(told["place"], told["number"])
     of = np.full(int(max(seq.max(), places[-1])) + 1, -1)
     of[places] = numbers
     packed = zstandard.ZstdCompressor(level=1).compress(of[seq].tobytes())
@@ -230,7 +259,7 @@ def triple_counter(bits: int):
         parts: list[pa.RecordBatch] = []
         if blocks.num_rows and told.num_rows:
             seq = _sequence(blocks["seq"][0].as_py(), np.int64)
-            keys, numbers = _told(told, "address")
+            keys, numbers = _told(pc.list_flatten(told["addresses"]), pc.list_flatten(told["numbers"]))
             pair = np.full(len(seq), -1)
             for k in range(0, len(seq) - 1, _PLACES):
                 first, second = seq[k : k + _PLACES], seq[k + 1 : k + _PLACES + 1]
@@ -274,14 +303,14 @@ def mine_phrases(docs: DataFrame, least: int = LEAST, best: int = BEST, text_col
     discard(said)
 
     kinds = "address long, block long, lang string"
-    paired = _exchanged(numbered.mapInArrow(pair_counter(bits), f"{kinds}, n long"), ranges, least, ["address"], ["block", "lang"], kinds)
-    pairs = stored(paired.filter("first").select("lang", "number", "address", F.col("total").alias("a")))
+    paired = _exchanged(numbered.mapInArrow(pair_counter(bits), f"{kinds}, n long"), ranges, least, ["address"], ["block", "lang"], "block long, lang string, address long, total long, number long, addresses array<long>, numbers array<long>", _packed)
+    pairs = stored(paired.filter("block is null").select("lang", "number", "address", F.col("total").alias("a")))
     if bits + _bits(pairs, "number") > 63:
         raise ValueError("pairs and words have more numbers than an address has")
-    triples_in = by(numbered).cogroup(by(paired.select("block", "address", "number"))).applyInArrow(triple_counter(bits), f"{kinds}, n long")
-    tripled = _exchanged(triples_in, ranges, least, ["address"], ["block", "lang"], kinds)
-    triples = stored(tripled.filter("first").select("lang", "address", F.col("total").alias("a")))
-    discard(numbered, paired, tripled)
+    triples_in = by(numbered).cogroup(by(paired.filter("block is not null").select("block", "addresses", "numbers"))).applyInArrow(triple_counter(bits), f"{kinds}, n long")
+    tripled = _exchanged(triples_in, ranges, least, ["address"], ["lang"], "address long, lang string, total long, number long", _one_a_key)
+    triples = tripled.select("lang", "address", F.col("total").alias("a"))
+    discard(numbered, paired)
     return _ranked_phrases(words, pairs, triples, totals, bits, best, ranges)
 
 

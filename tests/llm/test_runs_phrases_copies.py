@@ -258,3 +258,22 @@ def test_exact_duplicates_of_odd_rows(spark):
     kept = exact_dedup.first_of_equal(df)
     assert kept.columns == df.columns and sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None) == [(0, ""), (5, "a"), (9, "c")]
     assert kept.count() == 4
+
+
+def test_a_block_is_told_its_pairs_in_lists(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "_TOLD", 3)
+    rows = sorted((address, block) for address in range(10) for block in (7, 9) if address < 8 or block == 7)
+    sums = {a: sum(x == a for x, _ in rows) for a, _ in rows}
+    columns = [[0] * len(rows), [a for a, _ in rows], [b for _, b in rows], ["x"] * len(rows), [5] * len(rows)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["at", "address", "block", "lang", "n"])
+    run = collocations.number_frequent(1, 10, ["address"], ["block", "lang"], collocations._packed)
+    made = pa.Table.from_batches(list(run(iter([batch])))).to_pylist()
+    keys = [r for r in made if r["block"] is None]
+    assert {r["address"]: r["total"] for r in keys} == {a: 5 * n for a, n in sums.items() if n > 1}
+    numbers = {r["address"]: r["number"] for r in keys}
+    assert sorted(numbers.values()) == list(range(8))
+    told = [r for r in made if r["block"] is not None]
+    assert len(told) == 6 and max(len(r["addresses"]) for r in told) == 3
+    assert sorted((r["block"], a, n) for r in told for a, n in zip(r["addresses"], r["numbers"], strict=True)) == sorted((b, a, numbers[a]) for a, b in rows if a in numbers)
