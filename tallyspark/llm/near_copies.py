@@ -11,12 +11,12 @@ Links of fingerprints come first. Then each text is held against one of each of
 found without listing a bucket's pairs:
 
 - A bucket of at most `CROWD` texts gives each of them fewer pairs than that; only those of like size are made.
-- In a larger one texts are compared by what sets them apart from the hub, the set D of shingles that one of both has.
-  Texts a and b differ in |D(a)| + |D(b)| - 2 |D(a) & D(b)| shingles, and they are similar if these are at most t times
-  their shingles together, t = (1 - s) / (1 + s). Of two texts in different groups one isn't similar to the hub, and then
-  that bound asks for a common element of D, in fact for a known number of them. So pairs are sought among texts that
-  share an element early enough in the order of their rarest. Elements that one group alone has match nothing of another,
-  so they come first in that order and are left out: copies with edits of their own share none.
+- Texts of larger ones are expanded once each, not once a bucket, into the first of their shingles in an order that is
+  one for all texts. Similar texts of sizes m <= n have at least s / (1 + s) * (m + n) shingles in common, so of the
+  shorter one's first m / 9 + 1 and the longer one's first n / 5 + 1 one is the same (s = 0.8), and both places leave room
+  for the rest. That is exact in any order, and whatever bucket two texts share. In the one taken, shingles that more of
+  the large buckets' hubs have come later: passages that many texts share are in most of their hubs. So the rows are at
+  most a third of the shingles and two a text.
 
 Pairs within a group can't change it, so large groups of copies aren't paired and nothing is lost.
 
@@ -48,11 +48,11 @@ SIMILAR, ROWS, BANDS = 0.8, 4, 32
 LEAST_EQUAL = 77
 #: The most texts of a bucket whose pairs are made.
 CROWD = 32
-#: Elements that at least one in so many of a hub's texts have are looked up as one list.
+#: Levels of how many hubs have an element, by powers of two; from the last on they aren't told apart.
 OFTEN = 16
 #: The most texts, a digest each, whose keys are sent to all tasks.
 BROADCAST_TEXTS = 1_000_000
-#: The most elements, three numbers each, that are sent to all tasks.
+#: The most elements of hubs, two numbers each, that are sent to all tasks; in the order the others are as those of no hub.
 BROADCAST_ELEMENTS = 500_000
 
 _ODD = np.random.default_rng(11).integers(0, 2**63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,6 +135,23 @@ def shingle_hashes(shingle: int):
     return apply
 
 
+def first_elements(shingle: int, listed: np.ndarray, levels: np.ndarray):
+    """text -> its first elements, as hashes by level and hash: one of them at least is in each similar text that is no
+    longer. listed: elements in order, whose levels are given; the others' is 0."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def apply(texts: pa.Array) -> pa.Array:
+        found = []
+        for x in utf8(texts):
+            own = np.unique(np.array([signed(xxhash.xxh64_intdigest(s, SEED)) for s in shingles_of(x, shingle)], np.int64))
+            at = np.minimum(np.searchsorted(listed, own), max(len(listed) - 1, 0))
+            level = np.where(listed[at] == own, levels[at], 0) if len(listed) else np.zeros(len(own), np.int64)
+            found.append(own[np.lexsort((own, level))][: len(own) - math.ceil(SIMILAR * len(own) - 1e-9) + 1])
+        return pa.array(found, pa.list_(pa.int64()))
+
+    return apply
+
+
 def _texts_of(keys: DataFrame, once: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, text) of some texts, each once."""
     wanted = stored(keys.distinct().join(once.select("key", "hash"), "key"))
@@ -144,44 +161,25 @@ def _texts_of(keys: DataFrame, once: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _crowded(at: DataFrame, once: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """(a, b): pairs that can be similar, of different groups, from members (hub, key, n, root) of large buckets. A pair
-    is made once, at the first hub and common element of both."""
-    part = (1 - SIMILAR) / (1 + SIMILAR)
-    least = lambda x: F.greatest(F.lit(1), F.ceil(x / 2 - 1e-9)).cast("int")
-    rows = stored(at.select("hub", "key", "n", "root").distinct())
-    sets = stored(_texts_of(rows.select("key").union(rows.select("hub")), once, texts).select("key", shingle_hashes(shingle)(F.col("text")).alias("set")))
-    joined = rows.join(sets, "key").join(sets.select(F.col("key").alias("hub"), F.col("set").alias("hub_set")), "hub")
-    d = F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set"))
-    beyond = F.size("d") - part * (F.col("n") + F.size("hub_set"))
-    needed = F.when(beyond <= 1e-9, least((1 - part) * F.size("d"))).otherwise(least(beyond + (1 - part)))
-    apart = stored(joined.withColumn("d", d).select("hub", "key", "n", "root", F.size("d").alias("nd"), needed.alias("needed"), "d"))
-    elements = stored(apart.select("hub", "key", "root", F.explode("d").alias("e")))
-    shared = elements.groupBy("hub", "e").agg(F.count("*").alias("df"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    # elements that a good share of a hub's texts have are listed and found in the rows; the others are joined. There are
-    # at most OFTEN times as many as a text has on average
-    members = rows.groupBy("hub").agg(F.count("*").alias("members"))
-    common = stored(shared.join(members, "hub").select("hub", "e", "df", (OFTEN * F.col("df") >= F.col("members")).alias("many")))
-    many, few = (common.filter(F.col("many") == x).select("hub", "e", "df") for x in (True, False))
-    frequent = stored(many.groupBy("hub").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("frequent")))
-    held = F.coalesce("frequent", F.array().cast("array<long>"))
-    listed = stored(apart.join(frequent, "hub", "left").select("hub", "key", "n", "root", "nd", "needed", F.array_intersect(held, "d").alias("often")))
-    # a text's elements by rarity; those of its group alone come before them and match nothing
-    if few.count() <= BROADCAST_ELEMENTS:
-        matched = elements.join(F.broadcast(few), ["hub", "e"])
-    else:  # both are dealt out, without the elements that would gather in one task
-        matched = elements.join(F.broadcast(many) if many.count() <= BROADCAST_ELEMENTS else many, ["hub", "e"], "left_anti").join(few, ["hub", "e"])
-    seldom = matched.groupBy("hub", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "e"))), lambda x: x["e"]).alias("seldom"))
-    hubs = rows.groupBy("key").agg(F.collect_set("hub").alias("hubs"))
-    rare = listed.join(seldom, ["hub", "key"], "left").withColumn("rare", F.concat(F.coalesce("seldom", F.array().cast("array<long>")), "often"))
-    first = F.slice("rare", 1, F.greatest(F.size("rare") - F.col("needed") + 1, F.lit(0)))
-    index = stored(rare.join(hubs, "key").select("hub", "key", "n", "root", "nd", "hubs", F.size("rare").alias("nr"), first.alias("first")))
-    x, y = (index.select("hub", F.explode("first").alias("e"), *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root", "nd", "nr", "hubs", "first")]) for side in "ab")
-    both = least(F.col("nd_a") + F.col("nd_b") - part * (F.col("n_a") + F.col("n_b")))
-    early = lambda side: F.slice(f"first_{side}", F.lit(1), F.greatest(F.col(f"nr_{side}") - both + 1, F.lit(0)))
-    near = (F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
-    first_of_both = (F.col("hub") == F.array_min(F.array_intersect("hubs_a", "hubs_b"))) & (F.col("e") == F.array_min(F.array_intersect(early("a"), early("b"))))
-    pairs = stored(x.join(y, ["hub", "e"]).filter(near & first_of_both).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
-    discard(rows, sets, apart, elements, common, frequent, listed, index)
+    """(a, b): pairs that can be similar, of different groups, from members (hub, key, n, root) of large buckets."""
+    share = SIMILAR / (1 + SIMILAR)
+    members = stored(at.select("key", "n", "root").distinct())
+    held = stored(_texts_of(members.select("key"), once, texts))
+    hubs = held.join(at.select(F.col("hub").alias("key")).distinct(), "key")
+    counts = hubs.select(F.explode(shingle_hashes(shingle)(F.col("text"))).alias("e")).groupBy("e").agg(F.count("*").alias("df"))
+    level = F.least(F.lit(OFTEN), F.length(F.bin("df"))).cast("long")
+    listed = counts.orderBy(F.desc("df"), "e").limit(BROADCAST_ELEMENTS).select("e", level.alias("level")).toArrow().sort_by("e")
+    first = first_elements(shingle, *(listed.column(c).to_numpy() for c in ("e", "level")))
+    index = stored(held.select("key", first(F.col("text")).alias("first")).join(members, "key"))
+    # of the shorter text fewer come first, since both sizes bound what they have in common
+    fewer = F.slice("first", F.lit(1), (F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9) + 1).cast("int"))
+    x, y = (index.select(F.posexplode(part).alias(f"at_{c}", "e"), *[F.col(k).alias(f"{k}_{c}") for k in ("key", "n", "root")]) for part, c in ((fewer, "a"), (F.col("first"), "b")))
+    common = F.ceil(share * (F.col("n_a") + F.col("n_b")) - 1e-9)
+    sized = (F.struct("n_a", "key_a") < F.struct("n_b", "key_b")) & (F.col("n_a") >= SIMILAR * F.col("n_b"))
+    room = (F.col("at_a") <= F.col("n_a") - common) & (F.col("at_b") <= F.col("n_b") - common)
+    ends = F.when(F.col("root_a") < F.col("root_b"), F.struct(F.col("key_a").alias("a"), F.col("key_b").alias("b"))).otherwise(F.struct(F.col("key_b").alias("a"), F.col("key_a").alias("b")))
+    pairs = stored(x.join(y, "e").filter(sized & room & (F.col("root_a") != F.col("root_b"))).select(ends.alias("x")).select("x.a", "x.b").distinct())
+    discard(members, held, index)
     return pairs
 
 

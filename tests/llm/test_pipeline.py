@@ -124,6 +124,42 @@ def test_near_copies_of_a_large_group(spark, monkeypatch, crowd, often, sent):
     assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs, crowd=crowd).collect()} == want
 
 
+def test_texts_of_many_large_buckets_are_expanded_once(spark, monkeypatch):
+    rnd = random.Random(41)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    passages = [[word() for _ in range(60)] for _ in range(6)]
+    texts = []
+    for k in range(120):  # texts that share passages and differ, and copies of some with an edit or more
+        base = sum(rnd.sample(passages, 3), []) + [word() for _ in range(rnd.randrange(20, 90))]
+        for edits in (0, 2, 5)[: 1 + 2 * (k % 10 == 0)]:
+            copy = list(base)
+            for at in rnd.sample(range(len(base)), edits):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    rows, expanded, hubs = list(enumerate(texts)), [], []
+    stored, crowded = near_copies.stored, near_copies._crowded
+
+    def counted(df):
+        lists = [F.size(c) for c, t in df.dtypes if t == "array<bigint>" and c not in ("buckets", "hubs")]
+        table = stored(df)
+        expanded.extend(table.agg(F.sum(x)).first()[0] or 0 for x in lists)
+        return table
+
+    def watched(at, *rest):
+        hubs.append(at.select("hub", "key").distinct().count())
+        with monkeypatch.context() as m:
+            m.setattr(near_copies, "stored", counted)
+            return crowded(at, *rest)
+
+    monkeypatch.setattr(near_copies, "_crowded", watched)
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], DOCS)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs, crowd=8).collect()}
+    assert got == groups(rows)
+    sizes = [len(near_copies.shingles_of(t.encode(), 5)) for t in texts]
+    assert hubs[0] > len(texts)  # texts have more than one hub
+    assert 0 < max(expanded) <= sum(n // 5 + 1 for n in sizes)
+
+
 def test_rows_whose_nulls_differ_are_different_rows(spark):
     text = "alpha beta gamma delta epsilon zeta"
     rows = [(None, text, None), (None, None, text), (3, None, None), (None, "x", None), (None, None, "x"), (None, "x", None)]
