@@ -368,7 +368,9 @@ _reader("multisystem", (None, None), {"recipient": "NATION_17", "sector": 3}, ["
 @query(with_obs("SELECT i.code AS donor_code, TIME_PERIOD AS year, count(*) AS n, sum(CASE WHEN TIME_PERIOD = 1995 THEN 3 ELSE 1 END * CAST(OBS_VALUE AS DOUBLE)) AS value FROM obs LEFT JOIN inverse i ON DONOR = i.value WHERE MD_DIM = 'DD' AND TIME_PERIOD BETWEEN 1993 AND 1996 AND SECTOR <> '6' GROUP BY ALL", AREAS, INVERSE))
 def landed_in_steps(spark, d):
     """A table that files come to, change in and go from between three landings; the last reads what the first two wrote."""
-    rows, root = labelled(spark, d), scratch(spark)
+    root, joined = scratch(spark), scratch(spark)
+    labelled(spark, d).write.parquet(joined)  # five files are written from it
+    rows = spark.read.parquet(joined)
     text = lambda part, df: df.write.mode("overwrite").csv(f"{root}/crs/1.0/{part}", header=True)
     times = lambda n: F.when(F.col("TIME_PERIOD") == "1995", (F.col("OBS_VALUE").cast("double") * n).cast("string")).otherwise(F.col("OBS_VALUE"))
     text("early", rows.filter("TIME_PERIOD <= 1994 and SECTOR <> '6'"))

@@ -214,3 +214,15 @@ def test_jobs_do_not_grow_with_files(spark, tmp_path):
         write(tmp_path, f"t/{k}.csv", [f"{k},1"], "a,b" if k % 3 else "a,c")
     (df, names), jobs = jobs_of(spark, lambda: readers.read_observations(spark, str(tmp_path / "t")))
     assert jobs <= 2 and df.count() == 30 and df.filter(F.col("c").isNotNull()).count() == 10
+
+
+def test_landed_in_steps_joins_its_rows_once(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tallyspark.plans import queries
+
+    written, csv = [], DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *args, **options: (written.append(self._df.inputFiles()), csv(self, *args, **options))[1])
+    rows = queries.QUERIES["landed_in_steps"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) > 0 and len(written) == 6
+    assert not [f for files in written for f in files if "lineitem.parquet" in f]
